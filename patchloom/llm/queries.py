@@ -19,6 +19,12 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from patchloom.llm import line_dedup
+
+    return line_dedup.line_report(_table(spark, sf_dir, "documents"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from patchloom.llm import packing
 
@@ -31,12 +37,22 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from patchloom.llm import ngram_join
+
+    return ngram_join.components(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_line_dedup": op1_line_dedup,
         "op7_packing": op7_packing,
         "op9_decontamination": op9_decontamination,
+        "op10_ngram_join": op10_ngram_join,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    from patchloom.llm import line_dedup
+
+    return {"op1_line_dedup": line_dedup.ORACLE_SQL}
