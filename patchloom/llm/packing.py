@@ -30,7 +30,7 @@ CAPACITY = 2048
 SMALLEST_HALF = 64
 BLOCK_DOCS = 4096
 END_ID = 1
-CACHE_WORDS = 400_000
+CACHE_WORDS = 800_000
 
 PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
 RESULT = f"{PIECES}, sequence_id bigint, offset bigint"
@@ -51,25 +51,79 @@ def piece_lengths(n: int, capacity: int = CAPACITY, smallest: int = SMALLEST_HAL
 class WordIds:
     """Ids of white-space separated words, as little-endian bytes.
 
-    The tokenizer drops white space and never joins across it, so a text's ids
-    are its words' ids in turn.  Words are remembered up to a bound.
+    The tokenizer drops white space, never joins across it, and parts letters
+    from other signs.  So a text's ids are its words' ids in turn, and those of
+    a word of letters with a full stop or comma are the word's and the sign's.
+    Words of letters are encoded many at a time and cut after the ids that end
+    a word.  Words are remembered up to a bound, as long as the worker lives.
     """
 
+    shared: dict[str, WordIds] = {}
+
     def __init__(self, tokenizer_path: str) -> None:
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.known = Tokenizer.from_file(tokenizer_path), {}
+        self.tokenizer = Tokenizer.from_file(tokenizer_path)
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.known: dict[str, bytes] = {}
+
+    @classmethod
+    def of(cls, tokenizer_path: str) -> WordIds:
+        if tokenizer_path not in cls.shared:
+            cls.shared[tokenizer_path] = cls(tokenizer_path)
+        return cls.shared[tokenizer_path]
+
+    def _encode_each(self, words: list[str]) -> Iterator[bytes]:
+        for got in self.tokenizer.encode_batch_fast(words, add_special_tokens=False):
+            yield np.asarray(got.ids, "<u4").tobytes()
+
+    def _encode_letters(self, words: list[str]) -> Iterator[bytes]:
+        for at in range(0, len(words), 512):
+            some = words[at : at + 512]
+            ids = np.asarray(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, "<u4")
+            cuts = ((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist()
+            if len(cuts) == len(some):
+                raw = ids.tobytes()
+                yield from (raw[lo:hi] for lo, hi in zip([0, *cuts], cuts, strict=False))
+            else:
+                yield from self._encode_each(some)
+
+    def _learn(self, words: set[str]) -> None:
+        known = self.known
+        signs = dict(zip(".,", self._encode_each([".", ","]), strict=True))
+        letters, others = set(), []
+        lettered: list[str] = []
+        cores: list[str] = []
+        tails: list[str] = []
+        for word in words:
+            plain = word.lower() if word.isascii() else word
+            core, sign = (plain[:-1], plain[-1]) if plain[-1:] in signs else (plain, "")
+            if core.isalpha():
+                lettered.append(word)
+                cores.append(core)
+                tails.append(sign)
+                if core not in known:
+                    letters.add(core)
+            else:
+                others.append(word)
+        order = list(letters)
+        known.update(zip(order, self._encode_letters(order), strict=True))
+        for word, core, sign in zip(lettered, cores, tails, strict=True):
+            known[word] = known[core] + signs[sign] if sign else known[core]
+        for at in range(0, len(others), 4096):
+            some = others[at : at + 4096]
+            known.update(zip(some, self._encode_each(some), strict=True))
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        new = {w for words in split for w in words}.difference(self.known)
-        if len(self.known) + len(new) > CACHE_WORDS:
-            self.known, new = {}, new.union(*map(set, split))
-        order = list(new)
-        for at in range(0, len(order), 4096):
-            some = order[at : at + 4096]
-            for word, got in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                self.known[word] = np.asarray(got.ids, "<u4").tobytes()
+        split, new = [t.replace("\n", " ").split(" ") for t in texts], set()
+        for words in split:
+            new.update(words)
+        fresh = new.difference(self.known)
+        if len(self.known) + len(fresh) > CACHE_WORDS:
+            self.known, fresh = {}, new
+        self._learn(fresh)
         look = self.known.__getitem__
         for words in split:
             yield b"".join(map(look, words))
@@ -80,7 +134,7 @@ def _tokenise(tokenizer_path: str, end_id: int, capacity: int):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        ids, end = WordIds(tokenizer_path), np.asarray([end_id], "<u4").tobytes()
+        ids, end = WordIds.of(tokenizer_path), np.asarray([end_id], "<u4").tobytes()
         for batch in batches:
             docs, texts = batch.column(0).to_pylist(), batch.column(1)
             for lo in range(0, len(docs), 512):
