@@ -25,12 +25,24 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_report(_table(spark, sf_dir, "documents"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from patchloom.llm import toxicity
+
+    return toxicity.predictions(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from patchloom.llm import packing
 
     return packing.pack(_table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from patchloom.llm import suffix_dedup
+
+    return suffix_dedup.report(_table(spark, sf_dir, "documents"))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from patchloom.llm import decontamination
 
@@ -46,7 +58,9 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_line_dedup": op1_line_dedup,
+        "op6_toxicity": op6_toxicity,
         "op7_packing": op7_packing,
+        "op8_suffix_dedup": op8_suffix_dedup,
         "op9_decontamination": op9_decontamination,
         "op10_ngram_join": op10_ngram_join,
     }
