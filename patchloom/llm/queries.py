@@ -25,6 +25,24 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_report(_table(spark, sf_dir, "documents"))
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from patchloom.llm import quality
+
+    return quality.predictions(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from patchloom.llm import license_scan
+
+    return license_scan.scan(_table(spark, sf_dir, "documents"))
+
+
+def op4_gif_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from patchloom.llm import gif
+
+    return gif.media_digests(_table(spark, sf_dir, "documents"))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from patchloom.llm import toxicity
 
@@ -58,6 +76,9 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_line_dedup": op1_line_dedup,
+        "op2_quality": op2_quality,
+        "op3_license_scan": op3_license_scan,
+        "op4_gif_media": op4_gif_media,
         "op6_toxicity": op6_toxicity,
         "op7_packing": op7_packing,
         "op8_suffix_dedup": op8_suffix_dedup,
@@ -67,6 +88,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    from patchloom.llm import line_dedup
+    from patchloom.llm import license_scan, line_dedup
 
-    return {"op1_line_dedup": line_dedup.ORACLE_SQL}
+    return {
+        "op1_line_dedup": line_dedup.ORACLE_SQL,
+        "op3_license_scan": license_scan.oracle_sql(),
+    }
