@@ -43,6 +43,12 @@ def op4_gif_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gif.media_digests(_table(spark, sf_dir, "documents"))
 
 
+def op5_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from patchloom.llm import warc
+
+    return warc.derivatives(warc.responses_from_pages(_table(spark, sf_dir, "pages")))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from patchloom.llm import toxicity
 
@@ -73,24 +79,33 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.components(_table(spark, sf_dir, "documents"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_line_dedup": op1_line_dedup,
         "op2_quality": op2_quality,
         "op3_license_scan": op3_license_scan,
         "op4_gif_media": op4_gif_media,
+        "op5_warc_derivatives": op5_warc_derivatives,
         "op6_toxicity": op6_toxicity,
         "op7_packing": op7_packing,
         "op8_suffix_dedup": op8_suffix_dedup,
         "op9_decontamination": op9_decontamination,
         "op10_ngram_join": op10_ngram_join,
+        "pipeline": pipeline,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    from patchloom.llm import license_scan, line_dedup
+    from patchloom.llm import license_scan, line_dedup, warc
 
     return {
         "op1_line_dedup": line_dedup.ORACLE_SQL,
         "op3_license_scan": license_scan.oracle_sql(),
+        "op5_warc_derivatives": warc.oracle_sql(),
     }
