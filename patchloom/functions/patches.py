@@ -9,13 +9,11 @@ from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.functions import udtf
 
 from patchloom.functions.text import split_lines
 
-PY_LINE_END = re.compile("\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85  ]")
-
-
 def lines_of(text: str) -> list[str]:
     return text.splitlines()
 
@@ -140,7 +138,7 @@ class TestSpans:
                 yield node.name, min([node.lineno, *(d.lineno for d in node.decorator_list)]), node.end_lineno
 
 
-@F.udf("string")
+@F.udf(T.StringType())
 def unified_diff(before: str, after: str) -> str:
     """The hunks between two texts, without file headers."""
     got = list(difflib.unified_diff(lines_of(before or ""), lines_of(after or ""), lineterm=""))
@@ -148,14 +146,14 @@ def unified_diff(before: str, after: str) -> str:
     return "\n".join(got[first:])
 
 
-@F.udf("string")
+@F.udf(T.StringType())
 def without_spans(text: str, spans: list) -> str:
     """The text without the lines of 1-based inclusive spans."""
     gone = {i for s in spans or [] for i in range(s["start"], s["end"] + 1)}
     return "\n".join(x for i, x in enumerate(lines_of(text or ""), 1) if i not in gone)
 
 
-@F.udf("string")
+@F.udf(T.StringType())
 def selected_file_text(patch: str, name: str) -> str:
     """Lines that a diff adds to the file of that base name, in any folder."""
     out, here, hunk = [], False, False

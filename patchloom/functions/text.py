@@ -7,10 +7,11 @@ import decimal
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from patchloom.schemas import LANGUAGE_EXTENSIONS
 
-LINE_END = r"\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85  ]"
+LINE_END = r"\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029]"
 
 
 def split_lines(text: Column) -> Column:
@@ -87,7 +88,7 @@ def year_of_cve(cve: Column, strict: bool = False) -> Column:
     return part.cast("int") if strict else part.try_cast("int")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def round_half_even_exact(x: pd.Series, digits: pd.Series) -> pd.Series:
     """Rounds the exact binary value of a double, ties to even."""
     places = [decimal.Decimal(1).scaleb(-int(d)) for d in digits]
