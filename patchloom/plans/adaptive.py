@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 
 from patchloom.schemas import MASK_CAP, MASK_RATIOS
+from patchloom.session import cut_lineage
 
 Stage = Callable[[DataFrame, float, int], DataFrame]
 
@@ -22,11 +23,11 @@ def adaptive(tasks: DataFrame, stages: list[Stage], key: str = "instance_id", ra
     for ratio in ratios:
         rows = left
         for stage in stages:
-            rows = stage(rows, ratio, cap).checkpoint()
+            rows = cut_lineage(stage(rows, ratio, cap))
             if not rows.take(1):
                 return tasks.limit(0) if done is None else done
         done = rows if done is None else done.unionByName(rows)
-        left = left.join(rows.select(key), key, "left_anti").checkpoint()
+        left = cut_lineage(left.join(rows.select(key), key, "left_anti"))
         if not left.take(1):
             break
     return done
