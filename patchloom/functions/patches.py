@@ -102,26 +102,31 @@ class PatchBlocks:
                 yield i, m[1], m[2], part
 
 
+def hunk_lines(hunks: str) -> Iterator[tuple[str, int | None, int | None]]:
+    """'added', 'removed' and 'same' lines of a file's hunks, with their numbers before and after."""
+    old = new = 0
+    inside = False
+    for line in lines_of(hunks or ""):
+        m = re.match(r"@@ -(\d+)(?:,(\d+))? \+(\d+)(?:,(\d+))? @@", line)
+        if m:
+            old, new, inside = int(m[1]), int(m[3]), True
+        elif inside and line[:1] == "+":
+            yield "added", None, new
+            new += 1
+        elif inside and line[:1] == "-":
+            yield "removed", old, None
+            old += 1
+        elif inside:
+            yield "same", old, new
+            old, new = old + 1, new + 1
+
+
 @udtf(returnType="kind string, old_ln int, new_ln int")
 class HunkLines:
-    """'added', 'removed' and 'same' lines of a file's hunks, with their numbers before and after."""
+    """The rows of ``hunk_lines``."""
 
     def eval(self, hunks: str):
-        old = new = 0
-        inside = False
-        for line in lines_of(hunks or ""):
-            m = re.match(r"@@ -(\d+)(?:,(\d+))? \+(\d+)(?:,(\d+))? @@", line)
-            if m:
-                old, new, inside = int(m[1]), int(m[3]), True
-            elif inside and line[:1] == "+":
-                yield "added", None, new
-                new += 1
-            elif inside and line[:1] == "-":
-                yield "removed", old, None
-                old += 1
-            elif inside:
-                yield "same", old, new
-                old, new = old + 1, new + 1
+        yield from hunk_lines(hunks)
 
 
 @udtf(returnType="name string, start int, end int")
@@ -138,19 +143,32 @@ class TestSpans:
                 yield node.name, min([node.lineno, *(d.lineno for d in node.decorator_list)]), node.end_lineno
 
 
+@udtf(returnType="new_ln int, old_ln int")
+class LineMap:
+    """Unchanged lines by their numbers after and before: the n-th that is not added is the n-th that is not removed."""
+
+    def eval(self, hunks: str, before: str, after: str):
+        changed = list(hunk_lines(hunks))
+        added = {new for kind, _, new in changed if kind == "added"}
+        removed = {old for kind, old, _ in changed if kind == "removed"}
+        old = (i for i in range(1, len(lines_of(before or "")) + 1) if i not in removed)
+        new = (i for i in range(1, len(lines_of(after or "")) + 1) if i not in added)
+        yield from zip(new, old, strict=False)
+
+
 @F.udf(T.StringType())
 def unified_diff(before: str, after: str) -> str:
-    """The hunks between two texts, without file headers."""
-    got = list(difflib.unified_diff(lines_of(before or ""), lines_of(after or ""), lineterm=""))
+    """The hunks between two texts, with their line ends and without file headers."""
+    got = list(difflib.unified_diff((before or "").splitlines(keepends=True), (after or "").splitlines(keepends=True)))
     first = next((i for i, x in enumerate(got) if x.startswith("@@")), len(got))
-    return "\n".join(got[first:])
+    return "".join(got[first:])
 
 
 @F.udf(T.StringType())
 def without_spans(text: str, spans: list) -> str:
     """The text without the lines of 1-based inclusive spans."""
     gone = {i for s in spans or [] for i in range(s["start"], s["end"] + 1)}
-    return "\n".join(x for i, x in enumerate(lines_of(text or ""), 1) if i not in gone)
+    return "".join(x for i, x in enumerate((text or "").splitlines(keepends=True), 1) if i not in gone)
 
 
 @F.udf(T.StringType())

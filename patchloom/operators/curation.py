@@ -83,3 +83,28 @@ def required_fields(df: DataFrame) -> DataFrame:
     """Adds ``error`` for rows without an image name or a problem statement; no row goes."""
     gone = lambda c: F.coalesce(F.col(c), F.lit("")) == ""
     return df.withColumn("error", F.when(gone("image_name"), "image_name missing").when(gone("problem_statement"), "problem_statement missing"))
+
+
+def verified(results: DataFrame, text: str = "result") -> DataFrame:
+    """Adds ``successful`` (both fields present) and ``verified`` (and not excessive) from a verifier's JSON."""
+    got = F.from_json(text, "excessive_implementations boolean, explanation string")
+    complete = got["excessive_implementations"].isNotNull() & got["explanation"].isNotNull()
+    return results.withColumn("successful", F.coalesce(complete, F.lit(False))).withColumn("verified", F.col("successful") & ~F.coalesce(got["excessive_implementations"], F.lit(True)))
+
+
+def applicable(df: DataFrame, checks: DataFrame, key: str = "instance_id") -> DataFrame:
+    """Rows of which all patches apply, by a table of (key, patch_applies)."""
+    good = checks.groupBy(key).agg(F.bool_and("patch_applies").alias("ok")).filter("ok").select(key)
+    return df.join(good, key, "left_semi")
+
+
+def live(df: DataFrame, statuses: DataFrame, url: str = "html_url") -> DataFrame:
+    """Rows whose address is known to answer, by a table of (url, status)."""
+    return df.join(statuses.filter("status = 200").select(F.col("url").alias(url)).distinct(), url, "left_semi")
+
+
+def dataset_numbers(dataset: DataFrame) -> DataFrame:
+    """Tasks, projects, distinct weaknesses and mean lines of a solution."""
+    weaknesses = dataset.select(F.explode("cwe_ids").alias("id")).agg(F.count_distinct("id").alias("weaknesses"))
+    rest = dataset.agg(F.count("*").alias("tasks"), F.count_distinct("project").alias("projects"), F.avg(patches.count_lines(F.col("golden_patch"))).alias("mean_lines"))
+    return rest.join(F.broadcast(weaknesses))
