@@ -37,7 +37,8 @@ def normalised(text: Column) -> Column:
 
 def notice_table(spark: SparkSession, notices: dict[str, str]) -> list[tuple[str, list[int]]]:
     """Each notice's distinct bigram hashes, made by the same expressions as a line's."""
-    rows = spark.createDataFrame(sorted(notices.items()), "id string, text string").select("id", F.split(normalised(F.col("text")), " ").alias("w"))
+    listed = F.array(*(F.struct(F.lit(k).alias("id"), F.lit(v).alias("text")) for k, v in sorted(notices.items())))
+    rows = spark.range(1).select(F.inline(listed)).select("id", F.split(normalised(F.col("text")), " ").alias("w"))
     return [(r["id"], r["grams"]) for r in rows.select("id", _bigrams().alias("grams")).collect()]
 
 
@@ -54,13 +55,12 @@ def best_notices(docs: DataFrame, notices: dict[str, str] | None = None, thresho
     words = lines.select("doc_id", F.split(normalised(F.col("line")), " ").alias("w"))
     grams = words.select("doc_id", F.when(F.size("w") - 1 >= least, _bigrams()).alias("grams"), F.col("w").isNotNull().alias("is_line"))
     sized = grams.select("doc_id", "is_line", "grams", F.size("grams").alias("n"))
-    scores = []
-    for name, own in table:
-        size = len(own)
-        fits = F.col("n").between(threshold / (2 - threshold) * size, (2 - threshold) / threshold * size)
-        dice = 2.0 * F.size(F.array_intersect("grams", F.array(*(F.lit(g) for g in own)))) / (F.col("n") + size)
-        scores.append(F.when(fits, F.struct(dice.alias("score"), F.lit(name).alias("id"))))
-    best = sized.select("doc_id", "is_line", F.greatest(F.struct(F.lit(-1.0).alias("score"), F.lit("").alias("id")), *scores).alias("best"))
+    low, high = threshold / (2 - threshold), (2 - threshold) / threshold
+    sizes = [len(g) for _, g in table]
+    known = F.array(*(F.struct(F.lit(name).alias("id"), F.lit(len(g)).alias("size"), F.array(*(F.lit(x) for x in g)).alias("grams")) for name, g in table))
+    fitting = F.filter(known, lambda k: F.col("n").between(k["size"] * low, k["size"] * high))
+    compared = F.transform(fitting, lambda k: F.struct((2.0 * F.size(F.array_intersect("grams", k["grams"])) / (F.col("n") + k["size"])).alias("score"), k["id"].alias("id")))
+    best = sized.select("doc_id", "is_line", F.when(F.col("n").between(low * min(sizes), high * max(sizes)), F.array_max(compared)).alias("best"))
     return best.select("doc_id", "is_line", F.when(F.col("best.score") >= threshold, F.col("best")).alias("best"))
 
 
