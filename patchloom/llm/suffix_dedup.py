@@ -35,8 +35,8 @@ SEGMENT = 1 << 20
 RUN_BYTES = 16 << 20
 LEAST_ID = -(2**63)
 
-#: ``at`` holds the first byte's place (34 bits), the phrase's length (6) and a tag of the text (24).
-PHRASE = np.dtype([("trigger", "<u8"), ("content", "<u8"), ("doc", "<i8"), ("at", "<u8")])
+#: 48 bits of the trigger's and of the phrase's hash; ``at`` holds the first byte's place (34 bits), the phrase's length (6) and a tag of the text (24).
+PHRASE = np.dtype([("trigger_high", "<u4"), ("trigger_low", "<u2"), ("content_high", "<u4"), ("content_low", "<u2"), ("doc", "<i8"), ("at", "<u8")])
 SPAN = np.dtype([("doc", "<i8"), ("tag", "<i8"), ("start", "<i8"), ("end", "<i8")])
 SHARED = np.dtype([("trigger", "<u8"), ("doc", "<i8"), ("tag", "<i8"), ("start", "<i8"), ("length", "<i8"), ("bytes", "u1", (LENGTH + STRIDE,))])
 
@@ -80,10 +80,6 @@ def phrases(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     return row[lo], lo - offsets[row[lo]], hi - lo, trigger_hash, content
 
 
-def _tag_of(text: bytes | memoryview) -> int:
-    return int.from_bytes(hashlib.blake2b(text, digest_size=3).digest(), "little")
-
-
 def _segments(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """First row, first byte in it, bytes and row offsets, of at most about ``SEGMENT`` bytes each."""
     for lo, hi in kernels.doc_chunks(offsets, SEGMENT):
@@ -134,9 +130,11 @@ def _parse(parts: int):
         again = doc > np.repeat(doc[first], np.diff([*first, len(doc)]))
         gone = _span_records(doc[again], tag[again], start[again], (start + length)[again])
         out = np.empty(int((~again).sum()), PHRASE)
-        out["trigger"], out["content"], out["doc"] = trigger[~again], content[~again], doc[~again]
+        for name, hashes in (("trigger", trigger[~again]), ("content", content[~again])):
+            out[f"{name}_high"], out[f"{name}_low"] = hashes >> U64(32), (hashes >> U64(16)) & U64(0xFFFF)
+        out["doc"] = doc[~again]
         out["at"] = (start[~again].astype(np.uint64) << U64(30)) | ((length[~again] - LENGTH).astype(np.uint64) << U64(24)) | tag[~again].astype(np.uint64)
-        rows = list(blobs.deal(0, out["trigger"], out, parts)) + list(blobs.deal(1, kernels.mix(gone["doc"].astype(np.uint64)), gone, parts))
+        rows = list(blobs.deal(0, trigger[~again], out, parts)) + list(blobs.deal(1, kernels.mix(gone["doc"].astype(np.uint64)), gone, parts))
         for lo in range(0, len(rows), 256):
             yield blobs.batch(rows[lo : lo + 256])
 
@@ -145,8 +143,8 @@ def _parse(parts: int):
         size = 0
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
-            data, offsets = kernels.text_buffer(batch.column(1))
-            tags = np.array([_tag_of(data[a:b].data) for a, b in zip(offsets[:-1], offsets[1:], strict=True)], np.int64)
+            tags = batch.column(1).to_numpy(zero_copy_only=False)
+            data, offsets = kernels.text_buffer(batch.column(2))
             for lo, ahead, part, at in _segments(data, offsets):
                 row, start, length, trigger, content = phrases(part, at)
                 held.append((ids[row + lo], tags[row + lo], start + ahead, length, trigger, content))
@@ -174,17 +172,20 @@ def _dictionary(got: dict[int, list[bytes]]) -> pa.Table:
         out.append(_marks(0, gone["doc"], gone["tag"], gone["start"], gone["end"]))
     if 0 in got:
         found = blobs.unpack(got[0], PHRASE)
-        order = np.argsort(found["trigger"])
-        found = found[order]
-        first = blobs.runs(found["trigger"])
+        trigger = found["trigger_high"].astype(np.uint64) << U64(16) | found["trigger_low"]
+        order = np.argsort(trigger)
+        found, trigger = found[order], trigger[order]
+        first = blobs.runs(trigger)
         several = np.repeat(np.diff([*first, len(found)]) > 1, np.diff([*first, len(found)]))
-        found = found[several]
+        found, trigger = found[several], trigger[several]
         if len(found):
-            found = found[np.lexsort((found["doc"], found["content"], found["trigger"]))]
-            first = blobs.runs(found["trigger"])
+            content = found["content_high"].astype(np.uint64) << U64(16) | found["content_low"]
+            order = np.lexsort((found["doc"], content, trigger))
+            found, trigger, content = found[order], trigger[order], content[order]
+            first = blobs.runs(trigger)
             count = np.diff([*first, len(found)])
             other_doc = np.repeat(np.minimum.reduceat(found["doc"], first) < np.maximum.reduceat(found["doc"], first), count)
-            each = blobs.runs(found["trigger"], found["content"])
+            each = blobs.runs(trigger, content)
             least = np.repeat(found["doc"][each], np.diff([*each, len(found)]))
             mixed = np.zeros(len(found), np.int64)
             mixed[each] = 1
@@ -281,25 +282,29 @@ def _id(column: Column) -> Column:
     return F.coalesce(column.cast("bigint"), F.lit(LEAST_ID))
 
 
-def _tag(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in frames:
-        data, offsets = kernels.text_buffer(batch.column(1))
-        tags = [_tag_of(data[a:b].data) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(tags, pa.int64()), batch.column(1)], ["doc", "tag", "text"])
+def keyed_texts(docs: DataFrame) -> DataFrame:
+    """``(doc, tag, text)``; the tag, 24 bits of a hash, tells apart the texts of one id and is 0 where ids are unique."""
+    texts = docs.select(_id(F.col("doc_id")).alias("doc"), F.col("text").cast("string").alias("text"))
+    repeated = texts.groupBy("doc").count().filter("count > 1").limit(1).count() > 0
+    tag = F.pmod(F.xxhash64("text"), F.lit(1 << 24)) if repeated else F.lit(0).cast("bigint")
+    return texts.select("doc", tag.alias("tag"), "text")
 
 
-def repeated_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The keyed texts ``(doc, tag, text)`` and, per key, the list ``spans`` of byte ranges to remove (overlaps not merged)."""
+def repeated_spans(docs: DataFrame) -> DataFrame:
+    """``doc``, ``text`` and ``spans``, the byte ranges to remove, whose overlaps are not merged.
+
+    Texts are shuffled by id once: the exchange below the first join is the one
+    below the second.
+    """
     spark = prepare(docs.sparkSession)
     parts = blobs.part_count(spark)
-    texts = docs.select(_id(F.col("doc_id")).alias("doc"), F.col("text").cast("string").alias("text"))
+    texts = keyed_texts(docs)
     marks = cut_lineage(blobs.by_part(texts.mapInArrow(_parse(parts), blobs.SCHEMA), _dictionary, MARKS))
-    keyed = texts.mapInArrow(_tag, "doc bigint, tag bigint, text string")
-    asked = marks.filter("kind = 1").groupBy("doc", "tag").agg(F.collect_list(F.struct("start", "end")).alias("asked"))
-    shared = keyed.join(asked, ["doc", "tag"]).mapInArrow(_share(parts), blobs.SCHEMA)
-    more = blobs.by_part(shared, _order, MARKS)
-    spans = marks.filter("kind = 0").unionByName(more).groupBy("doc", "tag").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
-    return keyed, spans
+    lists = marks.filter("kind = 1").groupBy("doc", "tag").agg(F.collect_list(F.struct("start", "end")).alias("asked"))
+    shared = texts.hint("merge").join(lists, ["doc", "tag"]).mapInArrow(_share(parts), blobs.SCHEMA)
+    gone = marks.filter("kind = 0").unionByName(blobs.by_part(shared, _order, MARKS))
+    spans = gone.groupBy("doc", "tag").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    return texts.hint("merge").join(spans, ["doc", "tag"], "left").select("doc", "text", "spans")
 
 
 def _cut(spans: object, size: int) -> np.ndarray:
@@ -336,8 +341,8 @@ def report(docs: DataFrame) -> DataFrame:
     than each other; a null ``doc_id`` is smaller than all numbers.  Other
     columns are not read; an empty table gives no rows.
     """
-    keyed, spans = repeated_spans(docs)
-    return keyed.join(spans, ["doc", "tag"], "left").select("doc", "text", "spans").mapInPandas(_report, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
+    schema = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
+    return repeated_spans(docs).mapInPandas(_report, schema)
 
 
 def _texts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -348,5 +353,4 @@ def _texts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def deduplicate(docs: DataFrame) -> DataFrame:
     """``doc_id`` and the remaining text; characters cut in two at a span's end go whole."""
-    keyed, spans = repeated_spans(docs)
-    return keyed.join(spans, ["doc", "tag"], "left").select("doc", "text", "spans").mapInPandas(_texts, "doc_id bigint, text string")
+    return repeated_spans(docs).mapInPandas(_texts, "doc_id bigint, text string")
