@@ -26,8 +26,10 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from patchloom.llm import blobs, kernels
+from patchloom.llm.id_filter import IdFilter
 from patchloom.llm.components import connected_components
 from patchloom.llm.session import cut_lineage, prepare
 
@@ -38,7 +40,8 @@ NUM, DEN = 4, 5
 SMALL = 32
 TEXT_BYTES = 2 << 20
 RUN_BYTES = 16 << 20
-DIMENSIONS = 64
+#: A point has 2 ** LEAST_BITS to 2 ** MOST_BITS groups, in the R-tree at most 2 ** TREE_BITS.
+LEAST_BITS, TREE_BITS, MOST_BITS = 6, 8, 15
 LEAF = 16
 CELL = 2048
 
@@ -50,7 +53,8 @@ WORD_BYTES = WORD_BYTES.astype(np.uint8)
 for _b in [0x20, *range(0x09, 0x0E)]:
     WORD_BYTES[_b] = 0
 
-SIGNED = np.dtype([("sig", "<u8"), ("doc", "<i8")])
+#: Block keys travel with 48 bits: the 24 that choose the part and 24 more.
+SIGNED = np.dtype([("high", "<u4"), ("low", "<u2"), ("doc", "<i8")])
 DOC = np.dtype([("s1", "<u8"), ("s2", "<u8"), ("doc", "<i8"), ("n", "<i8")])
 COPY = np.dtype([("doc", "<i8"), ("first", "<i8"), ("n", "<i8")])
 
@@ -131,9 +135,10 @@ def _sign(parts: int):
             rows += blobs.deal(1, docs["s1"], docs, parts)
         if held["sigs"]:
             signed = np.empty(sum(map(len, held["sigs"])), SIGNED)
-            signed["sig"] = np.concatenate(held["sigs"])
+            sig = np.concatenate(held["sigs"])
+            signed["high"], signed["low"] = sig >> U64(32), (sig >> U64(16)) & U64(0xFFFF)
             signed["doc"] = np.repeat(np.array(held["ids"], np.int64), [len(s) for s in held["sigs"]])
-            rows += blobs.deal(0, signed["sig"], signed, parts)
+            rows += blobs.deal(0, sig, signed, parts)
         for x in held.values():
             x.clear()
         for lo in range(0, len(rows), 256):
@@ -168,12 +173,13 @@ def _sign(parts: int):
     return run
 
 
-#: kind 0: a document, its set's size and a copy of it; 1: a pair to verify; 2: a block and its member.
+#: kind 0: a document, its set's size and a copy of it; 1: a pair to verify; 2: a block of more than two and its member.
 MET = "kind int, a bigint, b bigint, n bigint"
 
 
 def _meet(got: dict[int, list[bytes]]) -> pa.Table:
-    out: list[tuple[int, np.ndarray, np.ndarray, np.ndarray | None]] = []
+    none = np.empty(0, np.int64)
+    out: list[tuple[int, np.ndarray, np.ndarray, np.ndarray | None]] = [(0, none, none, none)]
     if 2 in got:
         copies = blobs.unpack(got[2], COPY)
         out.append((0, copies["doc"], copies["first"], copies["n"]))
@@ -185,9 +191,11 @@ def _meet(got: dict[int, list[bytes]]) -> pa.Table:
         out.append((0, docs["doc"], least, docs["n"]))
     if 0 in got:
         signed = blobs.unpack(got[0], SIGNED)
-        order = np.lexsort((signed["doc"], signed["sig"]))
-        sig, doc = signed["sig"][order], signed["doc"][order]
-        del signed, order
+        sig, doc = signed["high"].astype(np.uint64) << U64(16) | signed["low"], signed["doc"].copy()
+        del signed
+        order = np.lexsort((doc, sig))
+        sig, doc = sig[order], doc[order]
+        del order
         fresh = blobs.runs(sig, doc)
         sig, doc = sig[fresh], doc[fresh]
         first = blobs.runs(sig)
@@ -205,18 +213,78 @@ def _meet(got: dict[int, list[bytes]]) -> pa.Table:
             sig, doc = sig[np.repeat(keep, count)], doc[np.repeat(keep, count)]
             pairs = np.unique(np.stack([least, doc], 1)[least != doc], axis=0)
             out.append((1, pairs[:, 0], pairs[:, 1], None))
-            out.append((2, sig.view(np.int64), doc, None))
+            more = np.repeat(count[keep] > 2, count[keep])
+            out.append((2, sig[more].view(np.int64), doc[more], None))
     columns = [np.concatenate([np.full(len(x[1]), x[0], np.int32) for x in out]), np.concatenate([x[1] for x in out]), np.concatenate([x[2] for x in out]), np.concatenate([np.zeros(len(x[1]), np.int64) if x[3] is None else x[3] for x in out])]
     return pa.table([pa.array(columns[0], pa.int32()), *(pa.array(c, pa.int64()) for c in columns[1:])], ["kind", "a", "b", "n"])
 
 
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        data, offsets = kernels.text_buffer(batch.column(1))
-        for lo, hi in kernels.doc_chunks(offsets, TEXT_BYTES):
-            some = list(shingle_sets(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]))
-            points = [np.bincount((t >> U64(58)).astype(np.int64), minlength=DIMENSIONS).astype("<u4").tobytes() for t in some]
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(points, pa.binary()), pa.array([t.tobytes() for t in some], pa.binary())], ["doc", "point", "tokens"])
+def point(tokens: np.ndarray) -> bytes:
+    """Group counts of a set, with about as many groups as tokens: log2 of the groups, a count's bytes, counts."""
+    bits = int(np.clip(max(1, len(tokens) - 1).bit_length(), LEAST_BITS, MOST_BITS))
+    counts = np.bincount((tokens >> U64(64 - bits)).astype(np.int64), minlength=1 << bits)
+    width = 1 if counts.max() < 256 else 4
+    return bytes([bits, width]) + counts.astype(f"<u{width}").tobytes()
+
+
+def counts_of(raw: bytes, bits: int | None = None) -> np.ndarray:
+    """The counts of a point; with ``bits``, neighbouring groups are added until it has as few groups."""
+    counts = np.frombuffer(raw, f"<u{raw[1]}", offset=2).astype(np.int64)
+    return counts if bits is None else counts.reshape(1 << bits, -1).sum(1)
+
+
+def coarse(raw: bytes) -> bytes:
+    """A point with at most 2 ** TREE_BITS groups."""
+    if raw[0] <= TREE_BITS:
+        return raw
+    counts = counts_of(raw, TREE_BITS)
+    width = 1 if counts.max() < 256 else 4
+    return bytes([TREE_BITS, width]) + counts.astype(f"<u{width}").tobytes()
+
+
+@F.pandas_udf(T.BinaryType())
+def _coarse(raw: pd.Series) -> pd.Series:
+    return raw.map(coarse)
+
+
+def overlap_bound(a: bytes, b: bytes) -> int:
+    """The summed coordinate minima of two points, which no intersection exceeds."""
+    bits = min(a[0], b[0])
+    return int(np.minimum(counts_of(a, bits), counts_of(b, bits)).sum())
+
+
+def _points(tokens: np.ndarray) -> bytes:
+    return point(tokens)
+
+
+def _tokens(tokens: np.ndarray) -> bytes:
+    return tokens.tobytes()
+
+
+def _derive(value, some: IdFilter | None, centres: IdFilter | None):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if some is not None:
+                batch = some.keep(batch)
+            data, offsets = kernels.text_buffer(batch.column(1))
+            for lo, hi in kernels.doc_chunks(offsets, TEXT_BYTES):
+                sets = list(shingle_sets(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]))
+                ids = batch.column(0).slice(lo, hi - lo)
+                centre = np.zeros(hi - lo, bool) if centres is None else centres.may_hold(ids.to_numpy(zero_copy_only=False))
+                yield pa.RecordBatch.from_arrays([ids, pa.array([len(t) for t in sets], pa.int64()), pa.array(centre), pa.array([value(t) for t in sets], pa.binary())], ["doc", "n", "centre", "value"])
+
+    return run
+
+
+DERIVED = "doc bigint, n bigint, centre boolean, value binary"
+
+
+def _of_pairs_documents(docs: DataFrame, pairs: DataFrame, value, also: DataFrame | None = None) -> DataFrame:
+    """``(doc, n, centre, value)`` of the documents in ``pairs`` and ``also``, and perhaps of others; centres may be an ``a``."""
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc"))
+    ids = (ids if also is None else ids.union(also)).distinct()
+    some, centres = IdFilter.of(ids), IdFilter.of(pairs.select(F.col("a").alias("doc")).distinct())
+    return docs.mapInArrow(_derive(value, some, centres), DERIVED)
 
 
 def linked(a: np.ndarray, b: np.ndarray) -> bool:
@@ -225,21 +293,27 @@ def linked(a: np.ndarray, b: np.ndarray) -> bool:
     return DEN * both >= NUM * (len(a) + len(b) - both)
 
 
+def _bounded(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for f in frames:
+        total = (f["n_a"] + f["n_b"]).tolist()
+        yield f.loc[[min(x, y) > 0 and overlap_bound(a, b) >= least_overlap(t) for a, b, x, y, t in zip(f["value_a"], f["value_b"], f["n_a"], f["n_b"], total, strict=True)], ["a", "b"]]
+
+
 def _verify(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for f in frames:
-        keep = []
-        for pa_, pb, ta, tb in zip(f["point_a"], f["point_b"], f["tokens_a"], f["tokens_b"], strict=True):
-            a, b = np.frombuffer(ta, "<u8"), np.frombuffer(tb, "<u8")
-            bound = int(np.minimum(np.frombuffer(pa_, "<u4"), np.frombuffer(pb, "<u4")).sum())
-            keep.append(len(a) > 0 and len(b) > 0 and bound >= least_overlap(len(a) + len(b)) and linked(a, b))
-        yield f.loc[keep, ["a", "b"]]
+        yield f.loc[[len(a) > 0 and len(b) > 0 and linked(np.frombuffer(a, "<u8"), np.frombuffer(b, "<u8")) for a, b in zip(f["value_a"], f["value_b"], strict=True)], ["a", "b"]]
+
 
+def _of_pairs(pairs: DataFrame, values: DataFrame, test, only_centres: bool = True) -> DataFrame:
+    """The pairs ``(a, b)`` that pass a test on both documents' values."""
+    one = {s: values.filter("centre" if s == "a" and only_centres else "true").select(F.col("doc").alias(s), F.col("n").alias(f"n_{s}"), F.col("value").alias(f"value_{s}")) for s in "ab"}
+    return pairs.join(one["b"], "b").join(one["a"], "a").mapInPandas(test, "a bigint, b bigint")
 
-def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs ``(a, b)`` that are linked."""
-    right = sets.select(F.col("doc").alias("b"), F.col("point").alias("point_b"), F.col("tokens").alias("tokens_b"))
-    left = sets.select(F.col("doc").alias("a"), F.col("point").alias("point_a"), F.col("tokens").alias("tokens_a"))
-    return pairs.join(right, "b").join(left, "a").mapInPandas(_verify, "a bigint, b bigint")
+
+def _links(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The linked ones of ``pairs``, by their token sets."""
+    sets = cut_lineage(_of_pairs_documents(docs, pairs, _tokens))
+    return cut_lineage(_of_pairs(pairs, sets, _verify))
 
 
 class RTree:
@@ -278,15 +352,26 @@ class RTree:
             yield asked[near], np.full(int(near.sum()), row)
 
 
-def _tree_pairs(block: pd.DataFrame) -> pd.DataFrame:
-    points = np.stack([np.frombuffer(p, "<u4").astype(np.int64) for p in block["point"]])
-    label, doc = block["component"].to_numpy(), block["doc"].to_numpy()
-    tree = RTree(points, label)
+def _tree_pairs(table: pa.Table) -> pa.Table:
+    """Pairs of different components whose coarse bound allows a link, of all blocks of a group."""
+    frame = table.to_pandas().sort_values(["block", "x", "y", "doc"], ignore_index=True)
+    raw = frame["value"].to_list()
+    bits = np.array([p[0] for p in raw])
+    doc, label = frame["doc"].to_numpy(), frame["component"].to_numpy()
+    cuts = np.append(blobs.runs(*(frame[c].to_numpy() for c in ("block", "x", "y"))), len(frame))
     found = [np.empty((0, 2), np.int64)]
-    for lo in range(0, len(doc), 1024):
-        for a, b in tree.search(points, label, np.arange(lo, min(lo + 1024, len(doc)))):
-            found.append(np.stack([doc[a], doc[b]], 1)[doc[a] < doc[b]])
-    return pd.DataFrame(np.unique(np.concatenate(found), axis=0), columns=["a", "b"])
+    for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+        few = int(bits[lo:hi].min())
+        own, tags = np.stack([counts_of(p, few) for p in raw[lo:hi]]), label[lo:hi]
+        tree = RTree(own, tags)
+        for first in range(0, hi - lo, 1024):
+            for a, b in tree.search(own, tags, np.arange(first, min(first + 1024, hi - lo))):
+                pair = np.stack([doc[a + lo], doc[b + lo]], 1)
+                found.append(pair[pair[:, 0] < pair[:, 1]])
+        if len(found) > 4096:
+            found = [np.unique(np.concatenate(found), axis=0)]
+    pairs = np.unique(np.concatenate(found), axis=0)
+    return pa.table([pa.array(pairs[:, 0], pa.int64()), pa.array(pairs[:, 1], pa.int64())], ["a", "b"])
 
 
 def components(docs: DataFrame) -> DataFrame:
@@ -298,36 +383,57 @@ def components(docs: DataFrame) -> DataFrame:
     columns are not read; an empty table gives no rows.
     """
     spark = prepare(docs.sparkSession)
-    docs = docs.select(F.col("doc_id").cast("bigint").alias("doc"), F.col("text").cast("string").alias("text"))
+    every = docs.select(F.col("doc_id").cast("bigint").alias("doc"), F.col("text").cast("string").alias("text"))
+    docs = every.filter("doc is not null")
     parts = blobs.part_count(spark)
-    signed = docs.filter("doc is not null").mapInArrow(_sign(parts), blobs.SCHEMA)
+    signed = docs.mapInArrow(_sign(parts), blobs.SCHEMA)
     met = cut_lineage(blobs.by_part(signed, _meet, MET))
     pairs = met.filter("kind = 1").select("a", "b").distinct()
     members = met.filter("kind = 2").select(F.col("a").alias("block"), F.col("b").alias("doc"))
-    wanted = members.select("doc").distinct()
-    sets = cut_lineage(docs.join(wanted, "doc", "left_semi").mapInArrow(_sets, "doc bigint, point binary, tokens binary"))
+    points = cut_lineage(_of_pairs_documents(docs, pairs, _points, members.select("doc")))
     copies = met.filter("kind = 0 and a <> b").select("a", "b")
-    near = _links(pairs, sets)
-    edges = cut_lineage(copies.union(near))
+    near = cut_lineage(_of_pairs(pairs, points, _bounded))
+    edges = cut_lineage(copies.union(_links(docs, near)))
     labels = connected_components(edges)
 
     labelled = members.join(labels.withColumnRenamed("node", "doc"), "doc", "left").select("block", "doc", F.coalesce("component", "doc").alias("component"))
-    mixed = labelled.groupBy("block").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size")).filter("low < high")
+    blocks = labelled.groupBy("block").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size"), F.sum(F.xxhash64("doc").cast("decimal(38,0)")).alias("content"))
+    mixed = blocks.filter("low < high").groupBy("content", "size").agg(F.min("block").alias("block"))
     cells = F.greatest(F.lit(1), F.ceil(F.col("size") / CELL)).cast("int")
     own = F.pmod(F.xxhash64("doc"), F.col("cells")).cast("int")
     spread = labelled.join(mixed.select("block", cells.alias("cells")), "block").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)))
-    cell = spread.select("block", "doc", "component", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y")).join(sets.select("doc", "point"), "doc")
-    again = cell.groupBy("block", "x", "y").applyInPandas(_tree_pairs, "a bigint, b bigint").distinct().join(pairs, ["a", "b"], "left_anti")
-    more = cut_lineage(_links(again, sets))
-    if more.limit(1).count():
-        labels = connected_components(edges.union(more))
+    cell = spread.select("block", "doc", "component", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y")).join(points.select("doc", _coarse("value").alias("value")), "doc")
+    groups = cell.withColumn("part", F.pmod(F.xxhash64("block", "x", "y"), F.lit(parts)))
+    found = groups.groupBy("part").applyInArrow(_tree_pairs, "a bigint, b bigint").distinct()
+    again = cut_lineage(_of_pairs(found.join(pairs, ["a", "b"], "left_anti"), points, _bounded, only_centres=False))
+    if again.limit(1).count():
+        more = _links(docs, again)
+        if more.limit(1).count():
+            labels = connected_components(edges.union(more))
     base = met.filter("kind = 0").select(F.col("a").alias("doc_id"), F.col("n").alias("n_shingles"))
     out = base.join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
-    lost = docs.filter("doc is null").mapInArrow(_sets, "doc bigint, point binary, tokens binary").select(F.col("doc").alias("doc_id"), F.expr("octet_length(tokens) div 8").alias("n_shingles"), F.lit(None).cast("bigint").alias("component_id"))
+    lost = every.filter("doc is null").mapInArrow(_derive(_points, None, None), DERIVED).select(F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), F.lit(None).cast("bigint").alias("component_id"))
     return out.unionByName(lost)
 
 
+def _side(hit: IdFilter, id_at: int, held: bool):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column(id_at).cast(pa.int64())
+            may = hit.may_hold(ids.fill_null(0).to_numpy(zero_copy_only=False)) & ~np.asarray(ids.is_null())
+            yield batch.filter(pa.array(may if held else ~may))
+
+    return run
+
+
 def keep_first(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs``, all columns, that are the least of their component; repeated rows of a ``doc_id`` stay together."""
-    found = components(docs).filter("doc_id <> component_id").select(F.col("doc_id").alias("__later")).distinct()
-    return docs.join(found, docs["doc_id"] == found["__later"], "left_anti")
+    """The rows of ``docs``, all columns, that are the least of their component.
+
+    Repeated rows of a ``doc_id`` stay or go together; a null ``doc_id`` stays.
+    Only rows that an id filter does not clear are shuffled.
+    """
+    gone = cut_lineage(components(docs).filter("doc_id <> component_id").select(F.col("doc_id").alias("doc")).distinct())
+    hit, at = IdFilter.of(gone), docs.columns.index("doc_id")
+    clear = docs.mapInArrow(_side(hit, at, held=False), docs.schema)
+    asked = docs.mapInArrow(_side(hit, at, held=True), docs.schema)
+    return clear.unionByName(asked.join(gone, asked["doc_id"] == gone["doc"], "left_anti"))
