@@ -132,7 +132,7 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block
     found = None
     for b in range(blocks):
         some = items if blocks == 1 else items.filter(F.pmod(F.xxhash64("item"), F.lit(blocks)) == b)
-        windows = item_windows([(r["item"], r["text"]) for r in some.toLocalIterator() if r["item"] is not None], window)
+        windows = item_windows([(r["item"], r["text"]) for r in some.collect() if r["item"] is not None], window)
         one = docs.mapInArrow(_scan(spark.sparkContext.broadcast(windows)), schema)
         found = one if found is None else found.unionByName(one)
     if blocks > 1:
@@ -185,7 +185,7 @@ def remove_documents(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW
     names = docs.columns
     for b in range(blocks):
         some = items if blocks == 1 else items.filter(F.pmod(F.xxhash64("item"), F.lit(blocks)) == b)
-        windows = item_windows([(r["item"], r["text"]) for r in some.toLocalIterator() if r["item"] is not None], window)
+        windows = item_windows([(r["item"], r["text"]) for r in some.collect() if r["item"] is not None], window)
         docs = docs.mapInArrow(_clean(spark.sparkContext.broadcast(windows), names.index("text")), docs.schema)
     return docs
 

@@ -100,7 +100,7 @@ def word_vectors(docs: DataFrame) -> np.ndarray:
     schema = "salt int, block int, sums binary"
     sums = texts.mapInArrow(_count_contexts(salts), schema).groupBy("salt", "block").applyInArrow(_add, schema).groupBy("block").applyInArrow(_add, schema)
     table = np.zeros((BUCKETS // BLOCK, BLOCK * DIMENSIONS))
-    for row in sums.toLocalIterator():
+    for row in sums.collect():
         table[row["block"]] = np.frombuffer(row["sums"], "<f4")
     table = table.reshape(BUCKETS, DIMENSIONS)
     table = np.sign(table) * np.log1p(np.abs(table))
