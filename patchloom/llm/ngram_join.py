@@ -41,7 +41,7 @@ SMALL = 32
 TEXT_BYTES = 2 << 20
 RUN_BYTES = 16 << 20
 #: A point has 2 ** LEAST_BITS to 2 ** MOST_BITS groups, in the R-tree at most 2 ** TREE_BITS.
-LEAST_BITS, TREE_BITS, MOST_BITS = 6, 8, 15
+LEAST_BITS, TREE_BITS, MOST_BITS = 6, 10, 15
 LEAF = 16
 CELL = 2048
 
