@@ -69,6 +69,17 @@ class Lookup:
         return at[at + self.k <= word_offsets[row + 1]]
 
 
+def united(spans) -> list[dict]:
+    """Spans in order of start, overlapping and touching ones made one."""
+    out: list[dict] = []
+    for x in sorted(spans, key=lambda x: (x["start"], x["end"])):
+        if out and x["start"] <= out[-1]["end"]:
+            out[-1]["end"] = max(x["end"], out[-1]["end"])
+        else:
+            out.append({"start": x["start"], "end": x["end"]})
+    return out
+
+
 def _scan(lookups) -> object:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = [Lookup(w, k) for k, w in lookups.value.items()]
@@ -89,10 +100,8 @@ def _scan(lookups) -> object:
                         if owners := table.windows.get(text):
                             first = at - int(word_at[row])
                             items[row].update(owners)
-                            if spans[row] and first <= spans[row][-1]["end"]:
-                                spans[row][-1]["end"] = max(first + table.k, spans[row][-1]["end"])
-                            else:
-                                spans[row].append({"start": first, "end": first + table.k})
+                            spans[row].append({"start": first, "end": first + table.k})
+                spans = [united(x) for x in spans]
                 yield pa.RecordBatch.from_arrays(
                     [*(batch.column(c).slice(lo, hi - lo) for c in range(batch.num_columns)), pa.array(np.diff(word_at)), pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), pa.array([sorted(x) for x in items], pa.list_(pa.string()))],
                     [*batch.schema.names, "n_words", "spans", "items"],
@@ -105,11 +114,7 @@ def _finish(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for frame in frames:
         hit, digest = [], []
         for spans in frame["spans"]:
-            n, end = 0, 0
-            for x in sorted(spans, key=lambda x: (x["start"], x["end"])):
-                n += max(0, x["end"] - max(end, x["start"]))
-                end = max(end, x["end"])
-            hit.append(n)
+            hit.append(sum(x["end"] - x["start"] for x in united(spans)))
         for items in frame["items"]:
             digest.append(hashlib.sha256(",".join(sorted(set(items))).encode()).hexdigest())
         yield pd.DataFrame({"doc_id": frame["doc_id"], "n_words": frame["n_words"], "n_hit": hit, "n_items": [len(set(x)) for x in frame["items"]], "items_sha256": digest, "contaminated": [n > 0 for n in hit]})
@@ -159,7 +164,7 @@ def _strip(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 raw = np.frombuffer(text.encode(), np.uint8)
                 starts, ends, _ = kernels.word_spans(WORD_BYTES[raw], np.array([0, len(raw)]))
                 keep = np.ones(len(raw), bool)
-                for x in spans:
+                for x in united(spans):
                     keep[starts[x["start"]] : ends[x["end"] - 1]] = False
                 text = raw[keep].tobytes().decode()
             out.append(text)

@@ -160,6 +160,19 @@ def test_decontamination(spark, docs, rows, empty, clashing):
     assert decontamination.remove_documents(clashing, bench).columns == clashing.columns
 
 
+def test_short_items_beside_long_ones(spark):
+    """Windows of two lengths in one document, the short item before, after and within the long one."""
+    long, short = " ".join(f"long{i}" for i in range(12)), "Tiny item here"
+    bench = spark.createDataFrame([(1, long), (2, short), (3, "long4 long5")], "item_id bigint, text string")
+    texts = [f"a b {short} c {long} d", f"a {long} b c {short} d", f"{short} {long} {short}", f"{short}, x. {short}", f"a {long}"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    for block in (1 << 20, 100):
+        got = {r["doc_id"]: (r["n_hit"], r["n_items"]) for r in decontamination.contamination(docs, bench, block_bytes=block).collect()}
+        assert got == {0: (15, 3), 1: (15, 3), 2: (18, 3), 3: (6, 1), 4: (12, 2)}
+    kept = {r["doc_id"]: r["text"].split() for r in decontamination.remove_spans(docs, bench).collect()}
+    assert kept == {0: ["a", "b", "c", "d"], 1: ["a", "b", "c", "d"], 2: [], 3: [",", "x."], 4: ["a"]}
+
+
 def test_packing(docs, rows, empty, clashing):
     from tokenizers import Tokenizer
 
