@@ -1,14 +1,22 @@
-"""License scans: lines compared to licence notices by Dice coefficient over word bigrams.
+"""License scans: lines and runs of words compared to licence texts by Dice coefficient over word bigrams.
 
 A line's text is normalised (lower case, anything but letters, digits and dots
 is a space); its distinct bigrams are hashed.  A notice is compared only if the
-numbers of bigrams allow the threshold at all.  Everything is built from
-DataFrame functions on the rows as they are read; one aggregate per document
-follows.
+numbers of bigrams allow the threshold at all.
+
+What no single line shows (notices wrapped over lines or inside a paragraph,
+and whole licence texts) is found in the normalised text as a whole.  A licence
+is looked for only where the text has as many of its bigrams as any run at the
+threshold must have; then the run for which twice the hits less the threshold
+times the bigrams is greatest is scored.  Everything is built from DataFrame
+functions on the rows as they are read; one aggregate per document follows.
 """
 
 from __future__ import annotations
 
+import math
+import pkgutil
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,6 +38,13 @@ NOTICES = {
     "all-rights-reserved": "All rights reserved.",
 }
 
+#: Whole licence texts, compared to runs of words besides the notices.
+TEXTS = ["apache-2.0", "bsd-3-clause", "cc0-1.0", "gpl-2.0", "gpl-3.0", "lgpl-2.1", "lgpl-3.0", "mit", "mpl-2.0"]
+
+
+def full_texts() -> dict[str, str]:
+    return {f"{name}-text": pkgutil.get_data(__package__, f"licences/{name}-text.txt").decode() for name in TEXTS}
+
 
 def normalised(text: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(text), r"[^a-z0-9.]+", " "))
@@ -64,21 +79,79 @@ def best_notices(docs: DataFrame, notices: dict[str, str] | None = None, thresho
     return best.select("doc_id", "is_line", F.when(F.col("best.score") >= threshold, F.col("best")).alias("best"))
 
 
+def _longs(values) -> Column:
+    """A constant array, as one expression however long it is."""
+    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>")
+
+
+def _best_run(at: Column, grams: Column, threshold: float) -> Column:
+    """First and last place of the run of ``grams`` with the greatest sum, from the hits' places ``at``.
+
+    The sum is twice the distinct hits less ``threshold`` times the bigrams,
+    where a hit that the run has already adds nothing; a run whose sum the gap
+    before a hit uses up starts anew at the hit.
+    """
+    gain, start = 2.0 - threshold, F.struct(F.lit(0.0).alias("sum"), F.lit(-1).alias("start"), F.lit(-1).alias("at"), F.lit(0.0).alias("best"), F.lit(0).alias("first"), F.lit(-1).alias("last"))
+
+    def step(state: Column, place: Column) -> Column:
+        left = state["sum"] - threshold * (place - state["at"] - 1)
+        anew = (state["start"] < 0) | (left <= 0)
+        run = F.slice(grams, state["start"] + 1, place - state["start"])
+        again = F.when(anew, F.lit(False)).otherwise(F.array_contains(run, F.get(grams, place)))
+        total = F.when(anew, F.lit(gain)).otherwise(left + F.when(again, F.lit(0.0)).otherwise(F.lit(gain)))
+        return F.struct(total.alias("sum"), F.when(anew, place).otherwise(state["start"]).alias("start"), place.alias("at"), state["best"].alias("best"), state["first"].alias("first"), state["last"].alias("last"))
+
+    def keep(state: Column) -> Column:
+        more = state["sum"] > state["best"]
+        return F.struct(state["sum"].alias("sum"), state["start"].alias("start"), state["at"].alias("at"), F.when(more, state["sum"]).otherwise(state["best"]).alias("best"), F.when(more, state["start"]).otherwise(state["first"]).alias("first"), F.when(more, state["at"]).otherwise(state["last"]).alias("last"))
+
+    return F.aggregate(at, start, lambda state, place: F.get(F.transform(F.array(step(state, place)), keep), F.lit(0)))
+
+
+def best_runs(docs: DataFrame, notices: dict[str, str] | None = None, threshold: float = THRESHOLD) -> DataFrame:
+    """``doc_id`` and, for each licence that a run of its words meets the threshold for, the name and the score."""
+    table = notice_table(docs.sparkSession, (notices or NOTICES) | full_texts())
+    table = [(name, grams) for name, grams in table if grams]
+    known = F.array(*(F.struct(F.lit(name).alias("id"), F.lit(len(g)).alias("size"), F.lit(math.ceil(threshold / (2 - threshold) * len(g) - 1e-9)).alias("need"), _longs(g).alias("grams")) for name, g in table))
+    every = sorted({x for _, g in table for x in g})
+    words = docs.select("doc_id", F.split(normalised(F.col("text").cast("string")), " ").alias("w"))
+    n = F.size("w") - 1
+    grams = words.select("doc_id", F.zip_with(F.slice("w", 1, F.greatest(n, F.lit(0))), F.slice("w", 2, F.greatest(n, F.lit(0))), lambda a, b: F.xxhash64(a, b)).alias("grams"))
+    hits = grams.select("doc_id", "grams", F.array_distinct(F.filter("grams", lambda g: g.isin(every))).alias("hits"))
+    named = hits.select("doc_id", "grams", F.explode_outer(F.filter(known, lambda k: F.when(F.size("hits") >= k["need"], F.size(F.array_intersect("hits", k["grams"])) >= k["need"]).otherwise(F.lit(False)))).alias("k")).filter("k is not null")
+    places = named.select("doc_id", "grams", "k", F.filter(F.transform("grams", lambda g, i: F.when(F.array_contains("k.grams", g), i)), lambda i: i.isNotNull()).alias("at"))
+    runs = places.select("doc_id", "grams", "k", _best_run(F.col("at"), F.col("grams"), threshold).alias("run"))
+    cut = runs.select("doc_id", "k", F.array_distinct(F.slice("grams", F.col("run.first") + 1, F.col("run.last") - F.col("run.first") + 1)).alias("run"))
+    score = 2.0 * F.size(F.array_intersect("run", "k.grams")) / (F.size("run") + F.col("k.size"))
+    return cut.select("doc_id", F.col("k.id").alias("id"), score.alias("score")).filter(F.col("score") >= threshold)
+
+
 def scan(docs: DataFrame, notices: dict[str, str] | None = None, threshold: float = THRESHOLD) -> DataFrame:
-    """Per ``doc_id``: lines, lines that are notices, the licences found and the best score (0 if none).
+    """Per ``doc_id``: lines, notices, the licences found and the best score (0 if none).
 
-    Of notices with one score, the line gets the greatest name.  A null text has
+    Notices are the lines that are one, and each licence that only a run of
+    words shows: over several lines, within a line, or the whole text.  Of
+    notices with one score, the line gets the greatest name.  A null text has
     no lines, an empty one has one; lines of a single word have no bigrams and
     match nothing.  Rows that share a ``doc_id`` (null is one, too) are scanned
     together into one row.  Other columns are not read; an empty table gives no
     rows.
     """
-    best = best_notices(docs, notices, threshold)
-    return best.groupBy("doc_id").agg(
+    runs = best_runs(docs, notices, threshold).select("doc_id", F.struct("id", "score").alias("run"))
+    found = best_notices(docs, notices, threshold).unionByName(runs, allowMissingColumns=True).groupBy("doc_id").agg(
         F.count_if("is_line").alias("n_lines"),
-        F.count("best").alias("n_notices"),
-        F.array_join(F.array_sort(F.collect_set("best.id")), ",").alias("licenses"),
-        F.round(F.coalesce(F.max("best.score"), F.lit(0.0)), 6).alias("best_score"),
+        F.count("best").alias("n_lines_found"),
+        F.collect_set("best.id").alias("ids"),
+        F.max("best.score").alias("score"),
+        F.collect_set("run").alias("runs"),
+    )
+    more = found.withColumn("runs", F.filter("runs", lambda r: ~F.array_contains("ids", r["id"])))
+    return more.select(
+        "doc_id",
+        "n_lines",
+        (F.col("n_lines_found") + F.size(F.array_distinct("runs.id"))).alias("n_notices"),
+        F.array_join(F.array_sort(F.array_union("ids", "runs.id")), ",").alias("licenses"),
+        F.round(F.coalesce(F.greatest("score", F.array_max("runs.score")), F.lit(0.0)), 6).alias("best_score"),
     )
 
 

@@ -274,6 +274,26 @@ def test_license_scan(spark, docs, empty, clashing):
     assert license_scan.scan(empty).count() == 0 and license_scan.scan(clashing).count() == 2
 
 
+def test_licenses_over_lines(spark):
+    """Wrapped headers, a notice within a paragraph and whole licence files, by a brute-force score of known runs."""
+    import textwrap
+
+    wrap = lambda name, mark: "\n".join(mark + x for x in textwrap.wrap(license_scan.NOTICES[name], 60))
+    full = license_scan.full_texts()
+    rows = [(i, f"import os\n{wrap(name, mark)}\ndef f(): return 1") for i, (name, mark) in enumerate([("apache-2.0-header", "# "), ("mit-permission", " * "), ("bsd", "// "), ("gpl-3.0-header", "    ")])]
+    rows += [(10, "Some words before. This work is licensed under the GNU General Public License, version 3. And " + "many more words after it " * 30)]
+    rows += [(20 + i, f"Copyright 2020 Somebody\n\n{full[name]}") for i, name in enumerate(sorted(full))]
+    rows += [(40, wrap("bsd", "") + "\n" + "other words here\n" * 40 + wrap("bsd", "")), (41, "in the form of the License. You may use the work for any purpose with or without it\n" * 9)]
+    got = {r["doc_id"]: r for r in license_scan.scan(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    for i, name in enumerate(["apache-2.0-header", "mit-permission", "bsd", "gpl-3.0-header"]):
+        assert name in got[i]["licenses"].split(",") and got[i]["best_score"] == 1.0
+    assert got[10]["licenses"] == "gpl-3.0" and got[10]["n_notices"] == 1 and got[10]["best_score"] == 1.0
+    for i, name in enumerate(sorted(full)):
+        assert name in got[20 + i]["licenses"].split(",") and got[20 + i]["best_score"] == 1.0
+    assert got[40]["licenses"] == "bsd" and got[40]["n_notices"] == 1
+    assert got[41]["n_notices"] == 0 and got[41]["n_lines"] == 10
+
+
 def test_warc(spark):
     html = '<html><head><title> A &amp; B </title></head><body><script>no</script><p>One <b>two</b></p><p>x &lt; y</p><a href="/l">k</a></body></html>'
     pages = spark.createDataFrame([(1, "http://a/", html, 5), (2, None, None, 6)], "page_id bigint, url string, html string, block int")
