@@ -1,7 +1,7 @@
 """WARC derivatives: a metadata and a conversion record for each response.
 
-Everything is a projection of the response's row, so records are built where
-the response is read and nothing is shuffled.  Both derivatives refer to the
+Everything is made of the response's row (character references are resolved in
+Arrow batches), so records are built where the response is read and nothing is shuffled.  Both derivatives refer to the
 response, keep its target, date, source headers and payload digest, and carry
 digests of their own blocks.  Record ids follow from the response's id and the
 record's type, so a task that runs again writes the same records.
@@ -9,32 +9,50 @@ record's type, so a task that runs again writes the same records.
 
 from __future__ import annotations
 
+import html as html_rules
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 CRLF = "\r\n"
 RESPONSE = "record_id string, target_uri string, warc_date string, http_headers string, payload string"
 
-# What of HTML is no text, what parts lines, and the entities that are resolved.
+# What of HTML is no text, what parts lines; ENTITIES and LINK are those of the SQL twin, which resolves fewer.
 UNSEEN = r"(?is)<!--.*?-->|<script\b.*?</script>|<style\b.*?</style>|<head\b.*?</head>"
 BREAKS = r"(?i)<(?:/?(?:p|div|li|ul|ol|tr|table|h[1-6]|article|section|nav|header|footer|blockquote|pre)\b[^>]*|br\b[^>]*)>"
 TAGS = r"<[^>]*>"
 ENTITIES = [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")]
 TITLE = r"(?is)<title[^>]*>(.*?)</title>"
 LINK = r'(?i)<a\b[^>]*?\bhref="([^"]*)"'
-
-
-def _entities(text: Column) -> Column:
-    for name, sign in ENTITIES:
-        text = F.replace(text, F.lit(name), F.lit(sign))
-    return text
-
-
-def plain_text(html: Column) -> Column:
-    """Visible text: scripts, styles, the head, comments and tags go, blocks end lines, blank lines and outer spaces go."""
+#: An anchor's first href in double quotes, in single quotes or bare; quoted values of other attributes are passed over whole.
+ANCHOR = r"""(?is)<a(?=[\s/])(?:[^>"'=]|=\s*"[^"]*"|=\s*'[^']*'|=(?!\s*["'])|["'](?=[\s/>]))*?[\s/"']href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>][^\s>]*)"""
+
+
+def _decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The columns text, title and links with all character references of HTML resolved."""
+    decoded = lambda x: html_rules.unescape(x).replace("\xa0", " ")
+    for batch in batches:
+        columns = []
+        for name, column in zip(batch.schema.names, batch.columns, strict=True):
+            if name in ("text", "title"):
+                column = pa.array([x if x is None or "&" not in x and "\xa0" not in x else decoded(x) for x in column.to_pylist()], pa.string())
+            elif name == "links":
+                column = pa.array([[html_rules.unescape(x) for x in links] for links in column.to_pylist()], pa.list_(pa.string()))
+            columns.append(column)
+        yield pa.RecordBatch.from_arrays(columns, batch.schema.names)
+
+
+def _shown(html: Column) -> Column:
+    """Text with its references: scripts, styles, the head, comments and tags go, blocks end lines."""
     text = F.regexp_replace(html, UNSEEN, "")
     text = F.regexp_replace(text, BREAKS, "\n")
-    text = _entities(F.regexp_replace(text, TAGS, ""))
+    return F.regexp_replace(text, TAGS, "")
+
+
+def _lines(text: Column) -> Column:
+    """Blank lines and outer spaces go."""
     text = F.regexp_replace(text, r"[ \t\r]*\n[ \t\r\n]*", "\n")
     return F.regexp_replace(text, r"^\s+|\s+$", "")
 
@@ -110,17 +128,19 @@ def derivatives(responses: DataFrame) -> DataFrame:
     keep = [c for c in ("page_id",) if c in responses.columns]
     html = F.coalesce(F.col("payload").cast("string"), F.lit(""))
     read = responses.select(*keep, "record_id", "target_uri", "warc_date", "http_headers", html.alias("html"), _digest(html).alias("source_digest"))
+    quoted = F.regexp_extract_all("html", F.lit(ANCHOR), F.lit(1))
     fields = read.select(
         *keep, "record_id", "target_uri", "warc_date", "http_headers", "source_digest",
-        plain_text(F.col("html")).alias("text"),
-        F.trim(_entities(F.regexp_extract("html", TITLE, 1))).alias("title"),
-        F.regexp_extract_all("html", F.lit(LINK), F.lit(1)).alias("links"),
+        _shown(F.col("html")).alias("text"),
+        F.regexp_extract("html", TITLE, 1).alias("title"),
+        F.transform(quoted, lambda x: F.when(x.rlike("^[\"']"), F.substring(x, F.lit(2), F.length(x) - 2)).otherwise(x)).alias("links"),
     )
+    fields = fields.mapInArrow(_decode, fields.schema).withColumn("text", _lines(F.col("text"))).withColumn("title", F.trim("title"))
     metadata = F.concat(
         F.concat(F.lit("title: "), F.regexp_replace("title", r"\s+", " "), F.lit(CRLF)),
         F.concat(F.lit("source-payload-digest: "), F.col("source_digest"), F.lit(CRLF)),
         F.coalesce(F.concat(F.lit("source-"), F.replace("http_headers", F.lit(CRLF), F.lit(CRLF + "source-")), F.lit(CRLF)), F.lit("")),
-        F.array_join(F.transform("links", lambda x: F.concat(F.lit("outlink: "), x, F.lit(CRLF))), ""),
+        F.array_join(F.transform("links", lambda x: F.concat(F.lit("outlink: "), F.regexp_replace(F.trim(x), r"[\r\n\t]", ""), F.lit(CRLF))), ""),
     )
     blocks = fields.select(*keep, "record_id", "target_uri", "warc_date", "http_headers", "source_digest", "text", metadata.alias("metadata"))
     both = F.array(_record("metadata", "application/warc-fields", "metadata"), _record("conversion", "text/plain; charset=utf-8", "text"))
@@ -133,7 +153,7 @@ def records(derived: DataFrame) -> DataFrame:
 
 
 def oracle_sql() -> str:
-    """The derivatives of the pages table, in DuckDB's SQL."""
+    """The derivatives of the pages table, in DuckDB's SQL, which resolves the references of ENTITIES only."""
     uuid = "concat('<urn:uuid:', substr(h, 1, 8), '-', substr(h, 9, 4), '-', substr(h, 13, 4), '-', substr(h, 17, 4), '-', substr(h, 21, 12), '>')"
     entities = "{}"
     for name, sign in ENTITIES:

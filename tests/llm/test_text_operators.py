@@ -306,3 +306,28 @@ def test_warc(spark):
     assert one["metadata"]["refers_to"] == one["conversion"]["refers_to"] != one["metadata"]["record_id"]
     assert one["metadata"]["source_digest"] == "sha256:" + hashlib.sha256(html.encode()).hexdigest()
     assert len(out) == 4 and warc.derivatives(warc.responses_from_pages(pages.limit(0))).count() == 0
+
+
+def test_warc_references_and_links(spark):
+    """Every named and numeric reference and all quotings of href, against Python's HTML parser."""
+    import html.entities
+    from html.parser import HTMLParser
+
+    class Links(HTMLParser):
+        def __init__(self):
+            super().__init__()
+            self.found = []
+
+        def handle_starttag(self, tag, attrs):
+            self.found += [v for k, v in attrs[::-1] if tag == "a" and k == "href"][-1:]
+
+    names = [n for n in sorted(html.entities.html5) if n.endswith(";") and html.entities.html5[n].strip() and "\xa0" not in html.entities.html5[n]]
+    body = "<p>" + "</p><p>".join(f"x&{n}y" for n in names) + "</p><p>it&#8217;s &#x27;so&#X27; &copy; &middot; a&nbsp;b &amp;lt; &nosuch;</p>"
+    anchors = """<a href="/d?a=1&amp;b=2">1</a><a href='/s'>2</a><a href=/bare>3</a><A class='x' HREF = '/up'>4</A><a title="href=/no" href=/yes>5</a><a data-href="/no">6</a><a name=n>7</a><a id="a>b" href="/gt">8</a><abbr href="/no">9</abbr>"""
+    parser = Links()
+    parser.feed(anchors)
+    pages = spark.createDataFrame([(1, "http://a/", body), (2, "http://b/", anchors)], "page_id bigint, url string, html string")
+    out = {(r["page_id"], r["warc_type"]): r["block"] for r in warc.derivatives(warc.responses_from_pages(pages)).collect()}
+    assert out[1, "conversion"].split("\n")[-1] == "it\u2019s 'so' \xa9 \xb7 a b &lt; &nosuch;"
+    assert out[1, "conversion"].split("\n")[: len(names)] == [f"x{html.entities.html5[n]}y" for n in names]
+    assert re.findall("outlink: (.*)\r\n", out[2, "metadata"]) == parser.found == ["/d?a=1&b=2", "/s", "/bare", "/up", "/yes", "/gt"]
