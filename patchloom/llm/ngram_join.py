@@ -7,10 +7,12 @@
    groups empty for that argument also use their least tokens as keys, of which
    linked documents share one.
 2. In a block, the least document is compared to the others; components follow.
-3. In the blocks that still hold several components, group counts are points of
-   an R-tree.  The summed coordinate minima of a point and a node's upper corner
-   bound the overlap with anything below the node; subtrees under the bound, or
-   of the point's own component, are left out.
+3. Blocks that still hold several components are grouped by which they hold.
+   A group's documents, by their group counts, are points of an R-tree, and
+   those outside its largest component are searched in it.  The summed
+   coordinate minima of a point and a node's upper corner bound the overlap with
+   anything below the node; subtrees under the bound, or of the point's own
+   component, are left out.
 4. Surviving pairs are verified on the token sets.
 
 Exact copies meet by a digest of the set and take no part in 2 to 4 beyond one
@@ -44,6 +46,7 @@ RUN_BYTES = 16 << 20
 LEAST_BITS, TREE_BITS, MOST_BITS = 6, 10, 15
 LEAF = 16
 CELL = 2048
+ASKED_AT_ONCE = 256
 
 #: Bytes of words after lower-casing A-Z; space and 0x09-0x0D separate.  Byte 0 is a word's, too.
 WORD_BYTES = np.arange(256, dtype=np.uint16)
@@ -322,7 +325,7 @@ class RTree:
     def __init__(self, points: np.ndarray, label: np.ndarray, rows: np.ndarray | None = None) -> None:
         self.rows = np.arange(len(points)) if rows is None else rows
         own = points[self.rows]
-        self.high, sizes = own.max(0), own.sum(1)
+        self.high, sizes = own.max(0), own.sum(1, dtype=np.int64)
         self.least, self.most = int(sizes.min()), int(sizes.max())
         one = label[self.rows]
         self.label = int(one[0]) if (one == one[0]).all() else None
@@ -330,50 +333,108 @@ class RTree:
         if len(self.rows) > LEAF:
             order = np.argsort(own[:, int(np.argmax(np.ptp(own, axis=0)))], kind="stable")
             half = len(order) // 2
+            del own
             self.below = [RTree(points, label, self.rows[order[:half]]), RTree(points, label, self.rows[order[half:]])]
 
-    def search(self, points: np.ndarray, label: np.ndarray, asked: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Pairs (asked, found) of different labels whose bound allows a link."""
-        size = points[asked].sum(1)
-        bound = np.minimum(points[asked], self.high).sum(1)
-        keep = (bound >= least_overlap(size + self.least)) & (NUM * size <= DEN * self.most) & (NUM * self.least <= DEN * size)
+    def search(self, points: np.ndarray, label: np.ndarray, asked: np.ndarray, tag: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Pairs (row of ``asked``, row of ``points``) of different labels whose bound allows a link."""
+        yield from self._search(points, label, asked, tag, asked.sum(1, dtype=np.int64), np.arange(len(asked)))
+
+    def _search(self, points, label, asked, tag, size, rows) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        own = size[rows]
+        keep = (NUM * own <= DEN * self.most) & (NUM * self.least <= DEN * own)
         if self.label is not None:
-            keep &= label[asked] != self.label
-        asked = asked[keep]
-        if len(asked) == 0:
+            keep &= tag[rows] != self.label
+        rows, own = rows[keep], own[keep]
+        if len(rows) == 0:
+            return
+        bound = np.minimum(asked[rows], self.high).sum(1, dtype=np.int64)
+        rows = rows[bound >= least_overlap(own + self.least)]
+        if len(rows) == 0:
             return
         if self.below:
             for node in self.below:
-                yield from node.search(points, label, asked)
+                yield from node._search(points, label, asked, tag, size, rows)
             return
         for row in self.rows.tolist():
-            total = points[asked].sum(1) + int(points[row].sum())
-            near = (np.minimum(points[asked], points[row]).sum(1) >= least_overlap(total)) & (label[asked] != label[row])
-            yield asked[near], np.full(int(near.sum()), row)
+            other = rows[tag[rows] != label[row]]
+            bound = np.minimum(asked[other], points[row]).sum(1, dtype=np.int64)
+            near = other[bound >= least_overlap(size[other] + int(points[row].sum(dtype=np.int64)))]
+            yield near, np.full(len(near), row)
+
+
+def _dense(raw: list[bytes]) -> np.ndarray:
+    """Points as rows of small counts, all with as few groups as the coarsest has."""
+    bits = min(p[0] for p in raw)
+    wide = any(p[1] > 1 for p in raw) or bits < max(p[0] for p in raw)
+    out = np.empty((len(raw), 1 << bits), np.uint32 if wide else np.uint8)
+    for i, p in enumerate(raw):
+        out[i] = counts_of(p, bits) if wide else np.frombuffer(p, np.uint8, offset=2)
+    return out
 
 
 def _tree_pairs(table: pa.Table) -> pa.Table:
-    """Pairs of different components whose coarse bound allows a link, of all blocks of a group."""
-    frame = table.to_pandas().sort_values(["block", "x", "y", "doc"], ignore_index=True)
-    raw = frame["value"].to_list()
-    bits = np.array([p[0] for p in raw])
-    doc, label = frame["doc"].to_numpy(), frame["component"].to_numpy()
-    cuts = np.append(blobs.runs(*(frame[c].to_numpy() for c in ("block", "x", "y"))), len(frame))
+    """Pairs of different components whose coarse bound allows a link, of all cells dealt to a part.
+
+    A cell has points, of which its R-tree is built, and asked points, which are
+    searched in it; ``asked`` tells them apart.
+    """
+    order = np.lexsort(tuple(table.column(c).to_numpy() for c in ("doc", "asked", "y", "x", "group")))
+    keys = [table.column(c).to_numpy()[order] for c in ("group", "x", "y")]
+    doc, label, asked = (table.column(c).to_numpy(zero_copy_only=False)[order] for c in ("doc", "component", "asked"))
+    value = table.column("value").combine_chunks()
+    cuts = np.append(blobs.runs(*keys), len(order))
     found = [np.empty((0, 2), np.int64)]
     for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-        few = int(bits[lo:hi].min())
-        own, tags = np.stack([counts_of(p, few) for p in raw[lo:hi]]), label[lo:hi]
-        tree = RTree(own, tags)
-        for first in range(0, hi - lo, 1024):
-            for a, b in tree.search(own, tags, np.arange(first, min(first + 1024, hi - lo))):
-                pair = np.stack([doc[a + lo], doc[b + lo]], 1)
-                found.append(pair[pair[:, 0] < pair[:, 1]])
+        middle = lo + int(np.searchsorted(asked[lo:hi], True))
+        if middle in (lo, hi):
+            continue
+        every = _dense([value[i].as_buffer().to_pybytes() for i in order[lo:hi].tolist()])
+        own, others = every[: middle - lo], every[middle - lo :]
+        tree = RTree(own, label[lo:middle])
+        for first in range(0, hi - middle, ASKED_AT_ONCE):
+            some = slice(middle + first, min(middle + first + ASKED_AT_ONCE, hi))
+            for a, b in tree.search(own, label[lo:middle], others[first : first + ASKED_AT_ONCE], label[some]):
+                pair = np.stack([doc[some][a], doc[lo:middle][b]], 1)
+                found.append(np.sort(pair, axis=1))
         if len(found) > 4096:
             found = [np.unique(np.concatenate(found), axis=0)]
     pairs = np.unique(np.concatenate(found), axis=0)
     return pa.table([pa.array(pairs[:, 0], pa.int64()), pa.array(pairs[:, 1], pa.int64())], ["a", "b"])
 
 
+def _mixed_groups(labelled: DataFrame) -> DataFrame:
+    """``(group, doc, component, major, size, minor)`` of the blocks that hold several components.
+
+    Blocks that hold the same components are one group: a family of near copies
+    meets in about as many blocks as it has groups of tokens, with the same
+    components each time.  ``major`` is the group's largest component and
+    ``minor`` the number of documents outside it.  A pair of different
+    components has a document outside the major one, so only those are asked.
+    """
+    met = labelled.select("block", "component").distinct()
+    kinds = met.groupBy("block").agg(F.count("*").alias("kinds"), F.sum(F.xxhash64("component").cast("decimal(38,0)")).alias("sum"), F.bit_xor(F.xxhash64("component", F.lit(1))).alias("xor"))
+    names = kinds.filter("kinds > 1").select("block", F.xxhash64("kinds", "sum", "xor").alias("group"))
+    members = cut_lineage(labelled.join(names, "block").select("group", "doc", "component").distinct())
+    sizes = members.groupBy("group", "component").agg(F.count("*").alias("n"))
+    groups = sizes.groupBy("group").agg(F.sum("n").alias("size"), (F.sum("n") - F.max("n")).alias("minor"), F.max_by("component", F.struct("n", "component")).alias("major"))
+    return members.join(groups, "group")
+
+
+def _cells(members: DataFrame) -> DataFrame:
+    """``(group, x, y, doc, component, asked)``: chunks of a group's points against chunks of its asked documents.
+
+    A cell has at most about ``CELL`` points and ``CELL`` asked documents.  Where
+    few are asked, each point is in one cell.
+    """
+    columns, rows = (F.ceil(F.col(c) / CELL).cast("int") for c in ("size", "minor"))
+    place = lambda n, salt: F.pmod(F.xxhash64("doc", F.lit(salt)), n).cast("int")
+    upto = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+    points = members.select("group", upto(rows).alias("x"), place(columns, 0).alias("y"), "doc", "component", F.lit(False).alias("asked"))
+    asked = members.filter("component <> major").select("group", place(rows, 1).alias("x"), upto(columns).alias("y"), "doc", "component", F.lit(True).alias("asked"))
+    return points.unionByName(asked)
+
+
 def components(docs: DataFrame) -> DataFrame:
     """Per row of ``docs``: ``doc_id``, ``n_shingles`` and ``component_id``, its least linked ``doc_id``.
 
@@ -397,13 +458,8 @@ def components(docs: DataFrame) -> DataFrame:
     labels = connected_components(edges)
 
     labelled = members.join(labels.withColumnRenamed("node", "doc"), "doc", "left").select("block", "doc", F.coalesce("component", "doc").alias("component"))
-    blocks = labelled.groupBy("block").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size"), F.sum(F.xxhash64("doc").cast("decimal(38,0)")).alias("content"))
-    mixed = blocks.filter("low < high").groupBy("content", "size").agg(F.min("block").alias("block"))
-    cells = F.greatest(F.lit(1), F.ceil(F.col("size") / CELL)).cast("int")
-    own = F.pmod(F.xxhash64("doc"), F.col("cells")).cast("int")
-    spread = labelled.join(mixed.select("block", cells.alias("cells")), "block").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)))
-    cell = spread.select("block", "doc", "component", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y")).join(points.select("doc", _coarse("value").alias("value")), "doc")
-    groups = cell.withColumn("part", F.pmod(F.xxhash64("block", "x", "y"), F.lit(parts)))
+    cells = _cells(_mixed_groups(labelled)).join(points.select("doc", _coarse("value").alias("value")), "doc")
+    groups = cells.withColumn("part", F.pmod(F.xxhash64("group", "x", "y"), F.lit(parts)))
     found = groups.groupBy("part").applyInArrow(_tree_pairs, "a bigint, b bigint").distinct()
     again = cut_lineage(_of_pairs(found.join(pairs, ["a", "b"], "left_anti"), points, _bounded, only_centres=False))
     if again.limit(1).count():
