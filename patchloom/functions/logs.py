@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import re
+from functools import cache
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from patchloom.schemas import FAILURE_STATUSES, ITEM_STATUSES, STARTUP_ERROR_PATTERNS, SYMBOL_ERROR_PATTERNS
+from patchloom.session import prepare
 
 
 def java_pattern(pattern: str) -> str:
@@ -40,6 +45,54 @@ def parsed_counts(logs: Column, parser: dict[str, str]) -> Column:
     return F.create_map(*pairs) if pairs else F.create_map().cast("map<string,int>")
 
 
+@cache
+def _compiled(pattern: str) -> re.Pattern | str:
+    """The pattern, or why it does not compile."""
+    try:
+        return re.compile(pattern, re.MULTILINE)
+    except re.error as fault:
+        return f"pattern {pattern!r}: {fault}"
+
+
+def last_of_pattern(log: str, pattern: str) -> int:
+    """The first group of the last match as a number, or 0; ValueError for a pattern or a group that is no good."""
+    own = _compiled(pattern)
+    if isinstance(own, str):
+        raise ValueError(own)
+    found = None
+    for found in own.finditer(log):
+        pass
+    if found is None:
+        return 0
+    try:
+        return int(found.group(1))
+    except (IndexError, TypeError, ValueError) as fault:
+        raise ValueError(f"pattern {pattern!r}: {fault}") from None
+
+
+def parsed_by_rows(logs: Column, parser: Column) -> Column:
+    """The struct (counts, fault) of each row's own map from status to pattern, in Python's dialect.
+
+    A status without a pattern has no count; with a fault there are no counts.
+    A null log is empty, a null map has no patterns.
+    """
+    prepare()
+
+    @F.pandas_udf("counts map<string,int>, fault string")
+    def parse(texts: pd.Series, parsers: pd.Series) -> pd.DataFrame:
+        counts, faults = [], []
+        for log, patterns in zip(texts, parsers, strict=True):
+            try:
+                counts.append({s: last_of_pattern(log or "", p) for s, p in dict(patterns or ()).items() if p})
+                faults.append(None)
+            except ValueError as fault:
+                counts.append(None)
+                faults.append(str(fault))
+        return pd.DataFrame({"counts": counts, "fault": faults})
+
+    return parse(logs, parser)
+
+
 def failures(counts: Column) -> Column:
     total = F.lit(0)
     for s in FAILURE_STATUSES:

@@ -1,27 +1,71 @@
-"""Unified diffs: counts as array expressions, strict parsing and line maps as table functions."""
+"""Unified diffs: counts as expressions on the text, strict parsing and line maps in Arrow batches."""
 
 from __future__ import annotations
 
 import ast
 import difflib
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.functions import udtf
 
-from patchloom.functions.text import split_lines
+from patchloom.functions.text import LINE_ENDS, split_lines
+from patchloom.schemas import PATCH_FILES
+from patchloom.session import prepare
+
+#: Where a line starts: at the text's start or after any line end.
+LINE_START = rf"(?:\A|(?<=[{LINE_ENDS}]))"
+BATCH_ROWS = 4096
+
 
 def lines_of(text: str) -> list[str]:
     return text.splitlines()
 
 
+def flat_map(df: DataFrame, inputs: list[str], function: Callable[..., Iterable[tuple]], schema: str) -> DataFrame:
+    """Each row of ``df`` for every tuple that ``function`` yields for its ``inputs``, with the tuple's fields as further columns.
+
+    Rows go through in Arrow batches where they are, without a shuffle; a row
+    for which nothing is yielded goes.
+    """
+    prepare(df.sparkSession)
+    own = [f.name for f in T.StructType.fromDDL(schema).fields]
+    whole = T.StructType(df.schema.fields + T.StructType.fromDDL(schema).fields)
+    places = [df.columns.index(c) for c in inputs]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark.sql.pandas.types import to_arrow_type
+
+        kinds = [to_arrow_type(f.dataType) for f in whole.fields[len(whole.fields) - len(own) :]]
+
+        def batch_of(batch: pa.RecordBatch, rows: list[int], made: list[tuple]) -> pa.RecordBatch:
+            kept = batch.take(pa.array(rows, pa.int64()))
+            fresh = [pa.array(c, k) for c, k in zip(zip(*made, strict=True) if made else [()] * len(own), kinds, strict=True)]
+            return pa.RecordBatch.from_arrays([*kept.columns, *fresh], [*batch.schema.names, *own])
+
+        for batch in batches:
+            rows: list[int] = []
+            made: list[tuple] = []
+            for i, values in enumerate(zip(*(batch.column(p).to_pylist() for p in places), strict=True)):
+                for fields in function(*values):
+                    rows.append(i)
+                    made.append(fields)
+                if len(rows) >= BATCH_ROWS:
+                    yield batch_of(batch, rows, made)
+                    rows, made = [], []
+            if rows:
+                yield batch_of(batch, rows, made)
+
+    return df.mapInArrow(run, whole)
+
+
 def touched_files(patch: Column) -> Column:
     """Distinct paths of the '+++ ' lines, cut at a tab, without 'b/'; /dev/null counts."""
-    heads = F.filter(split_lines(patch), lambda x: F.startswith(x, F.lit("+++ ")))
-    return F.array_distinct(F.transform(heads, lambda x: F.regexp_replace(F.trim(F.substring_index(F.substring(x, 5, 1 << 30), "\t", 1)), "^b/", "")))
+    return F.array_distinct(F.regexp_extract_all(patch, F.lit(rf"{LINE_START}\+\+\+ (?:b/)?([^\t{LINE_ENDS}]*)"), F.lit(1)))
 
 
 def count_files(patch: Column) -> Column:
@@ -30,7 +74,7 @@ def count_files(patch: Column) -> Column:
 
 def count_lines(patch: Column) -> Column:
     """Added and removed lines; what starts as a file header does is not counted."""
-    return F.size(F.filter(split_lines(patch), lambda x: x.rlike(r"^[+-]") & ~x.rlike(r"^(\+\+\+|---) ")))
+    return F.regexp_count(patch, F.lit(rf"{LINE_START}(?:\+(?!\+\+ )|-(?!-- ))"))
 
 
 def merged_patch(files: Column) -> Column:
@@ -39,7 +83,15 @@ def merged_patch(files: Column) -> Column:
     return F.concat(F.array_join(block, "\n"), F.lit("\n"))
 
 
-HEADER = re.compile(r"diff --git a/(?P<old>.*?) b/(?P<new>.*?)\s*\Z")
+GIT_HEADER = "diff --git "
+
+
+def header_paths(line: str) -> tuple[str, str] | None:
+    """The two paths of a block's first line, parted at the first ' b/'; None for another shape."""
+    if not line.startswith(GIT_HEADER + "a/"):
+        return None
+    old, middle, new = line[len(GIT_HEADER) + 2 :].rstrip().partition(" b/")
+    return (old, new) if middle else None
 
 
 def file_patches(patch: str) -> Iterator[tuple[str, str | None, str | None]]:
@@ -51,18 +103,18 @@ def file_patches(patch: str) -> Iterator[tuple[str, str | None, str | None]]:
     block: list[str] | None = None
     blocks: list[list[str]] = []
     for line in lines_of(patch):
-        if line.startswith("diff --git ") and (block is None or any(x.startswith("--- ") for x in block[1:])):
+        if line.startswith(GIT_HEADER) and (block is None or any(x.startswith("--- ") for x in block[1:])):
             block = [line]
             blocks.append(block)
         elif block is not None:
             block.append(line)
     for lines in blocks:
-        head = HEADER.match(lines[0])
-        if head is None:
+        paths = header_paths(lines[0])
+        if paths is None:
             continue
-        path = head["old"]
-        if path != head["new"]:
-            yield path, None, f"path changed to {head['new']}"
+        path, renamed = paths
+        if path != renamed:
+            yield path, None, f"path changed to {renamed}"
             return
         at = next((k for k, x in enumerate(lines) if k and x.startswith("--- ")), len(lines))
         if any(x.startswith(("rename from ", "rename to ", "copy from ", "copy to ")) for x in lines[1:at]):
@@ -81,25 +133,53 @@ def file_patches(patch: str) -> Iterator[tuple[str, str | None, str | None]]:
         yield path, "\n".join(lines[at + 2 :]).rstrip("\n"), None
 
 
-@udtf(returnType="pos int, path string, hunk string, error string")
-class PatchFiles:
-    """Rows of a strict parse; an error row ends it."""
+def patch_files(df: DataFrame, patch: str) -> DataFrame:
+    """Rows of a strict parse, with pos, path, hunk and error; an error row ends a patch's rows."""
 
-    def eval(self, patch: str):
-        for i, (path, hunk, error) in enumerate(file_patches(patch or "")):
+    def each(text: str | None) -> Iterator[tuple]:
+        for i, (path, hunk, error) in enumerate(file_patches(text or "")):
             yield i, path, hunk, error
 
+    return flat_map(df, [patch], each, "pos int, path string, hunk string, error string")
 
-@udtf(returnType="pos int, a_path string, b_path string, block string")
-class PatchBlocks:
-    """File blocks with their text byte for byte; what precedes the first header, and blocks with a malformed one, go."""
 
-    def eval(self, patch: str):
-        parts = re.split(r"(?m)^(?=diff --git )", patch or "")
-        for i, part in enumerate(p for p in parts if p.startswith("diff --git ")):
-            m = re.match(r"diff --git a/(.*?) b/(.*)\n?", part)
-            if m:
-                yield i, m[1], m[2], part
+def with_files(df: DataFrame, patch: str = "patch") -> DataFrame:
+    """Adds ``files``, the (path, hunk) of a strict parse, and ``error``, its fault or null.
+
+    A path met twice has its last hunk, at the place where it was first met.  A
+    null patch, and one without any block, has no files and no fault.
+    """
+
+    @F.pandas_udf(f"files {PATCH_FILES}, error string")
+    def parse(texts: pd.Series) -> pd.DataFrame:
+        files, errors = [], []
+        for text in texts:
+            found: dict[str, str] = {}
+            fault = None
+            for path, hunk, fault in file_patches(text or ""):
+                if fault is None:
+                    found[path] = hunk
+            files.append(None if fault else [{"path": p, "hunk": h} for p, h in found.items()])
+            errors.append(fault)
+        return pd.DataFrame({"files": files, "error": errors})
+
+    prepare(df.sparkSession)
+    kept = [c for c in df.columns if c not in ("files", "error")]
+    got = F.col(patch).cast("string")
+    return df.select(*kept, parse(got).alias("__parsed")).select(*kept, "__parsed.files", "__parsed.error")
+
+
+def patch_blocks(df: DataFrame, patch: str) -> DataFrame:
+    """File blocks with pos, a_path, b_path and their text byte for byte; what precedes the first header, and blocks with a malformed one, go."""
+
+    def each(text: str | None) -> Iterator[tuple]:
+        parts = re.split(r"(?m)^(?=diff --git )", text or "")
+        for i, part in enumerate(p for p in parts if p.startswith(GIT_HEADER)):
+            paths = header_paths(part.split("\n", 1)[0])
+            if paths:
+                yield i, *paths, part
+
+    return flat_map(df, [patch], each, "pos int, a_path string, b_path string, block string")
 
 
 def hunk_lines(hunks: str) -> Iterator[tuple[str, int | None, int | None]]:
@@ -121,77 +201,139 @@ def hunk_lines(hunks: str) -> Iterator[tuple[str, int | None, int | None]]:
             old, new = old + 1, new + 1
 
 
-@udtf(returnType="kind string, old_ln int, new_ln int")
-class HunkLines:
-    """The rows of ``hunk_lines``."""
+def lines_of_hunks(df: DataFrame, hunks: str) -> DataFrame:
+    """The rows of ``hunk_lines``: kind, old_ln and new_ln."""
+    return flat_map(df, [hunks], hunk_lines, "kind string, old_ln int, new_ln int")
 
-    def eval(self, hunks: str):
-        yield from hunk_lines(hunks)
 
+def spans_of_tests(source: str | None) -> tuple[list[tuple[str, int, int]], str | None]:
+    """(name, start, end) of functions and methods whose name starts with 'test', decorators included, and the fault of what does not parse."""
+    try:
+        tree = ast.parse(source or "")
+    except (SyntaxError, ValueError) as fault:
+        return [], f"{type(fault).__name__}: {getattr(fault, 'msg', fault)}"
+    found = [n for n in ast.walk(tree) if isinstance(n, ast.FunctionDef | ast.AsyncFunctionDef) and n.name.startswith("test")]
+    return [(n.name, min([n.lineno, *(d.lineno for d in n.decorator_list)]), n.end_lineno) for n in found], None
 
-@udtf(returnType="name string, start int, end int")
-class TestSpans:
-    """Functions and methods whose name starts with 'test', decorators included, breadth first; none for what does not parse."""
 
-    def eval(self, source: str):
-        try:
-            tree = ast.parse(source or "")
-        except (SyntaxError, ValueError):
-            return
-        for node in ast.walk(tree):
-            if isinstance(node, ast.FunctionDef | ast.AsyncFunctionDef) and node.name.startswith("test"):
-                yield node.name, min([node.lineno, *(d.lineno for d in node.decorator_list)]), node.end_lineno
+def test_spans(df: DataFrame, source: str) -> DataFrame:
+    """Rows with name, start and end of the tests of a Python source, and one with only ``fault`` for what does not parse."""
+
+    def each(text: str | None) -> Iterator[tuple]:
+        spans, fault = spans_of_tests(text)
+        if fault:
+            yield None, None, None, fault
+        for span in spans:
+            yield *span, None
+
+    return flat_map(df, [source], each, "name string, start int, end int, fault string")
+
 
+test_spans.__test__ = False
 
-@udtf(returnType="new_ln int, old_ln int")
-class LineMap:
-    """Unchanged lines by their numbers after and before: the n-th that is not added is the n-th that is not removed."""
 
-    def eval(self, hunks: str, before: str, after: str):
-        changed = list(hunk_lines(hunks))
+def line_map(df: DataFrame, hunks: str, before: str, after: str) -> DataFrame:
+    """Unchanged lines by new_ln and old_ln: the n-th that is not added is the n-th that is not removed."""
+
+    def each(text: str | None, one: str | None, two: str | None) -> Iterator[tuple]:
+        changed = list(hunk_lines(text))
         added = {new for kind, _, new in changed if kind == "added"}
         removed = {old for kind, old, _ in changed if kind == "removed"}
-        old = (i for i in range(1, len(lines_of(before or "")) + 1) if i not in removed)
-        new = (i for i in range(1, len(lines_of(after or "")) + 1) if i not in added)
+        old = (i for i in range(1, len(lines_of(one or "")) + 1) if i not in removed)
+        new = (i for i in range(1, len(lines_of(two or "")) + 1) if i not in added)
         yield from zip(new, old, strict=False)
 
+    return flat_map(df, [hunks, before, after], each, "new_ln int, old_ln int")
+
+
+def _series(function: Callable[..., str]) -> Callable[..., pd.Series]:
+    """A Pandas UDF body that applies ``function`` to the values of each row."""
+
+    def run(*columns: pd.Series) -> pd.Series:
+        return pd.Series([function(*values) for values in zip(*columns, strict=True)], dtype=object)
 
-@F.udf(T.StringType())
-def unified_diff(before: str, after: str) -> str:
+    return run
+
+
+def unified_diff(before: Column | str, after: Column | str) -> Column:
     """The hunks between two texts, with their line ends and without file headers."""
-    got = list(difflib.unified_diff((before or "").splitlines(keepends=True), (after or "").splitlines(keepends=True)))
-    first = next((i for i, x in enumerate(got) if x.startswith("@@")), len(got))
-    return "".join(got[first:])
 
+    def diff(one: str | None, two: str | None) -> str:
+        got = list(difflib.unified_diff((one or "").splitlines(keepends=True), (two or "").splitlines(keepends=True)))
+        first = next((i for i, x in enumerate(got) if x.startswith("@@")), len(got))
+        return "".join(got[first:])
+
+    prepare()
 
-@F.udf(T.StringType())
-def without_spans(text: str, spans: list) -> str:
+    @F.pandas_udf(T.StringType())
+    def of(one: pd.Series, two: pd.Series) -> pd.Series:
+        return _series(diff)(one, two)
+
+    return of(before, after)
+
+
+def without_spans(text: Column | str, spans: Column | str) -> Column:
     """The text without the lines of 1-based inclusive spans."""
-    gone = {i for s in spans or [] for i in range(s["start"], s["end"] + 1)}
-    return "".join(x for i, x in enumerate((text or "").splitlines(keepends=True), 1) if i not in gone)
-
-
-@F.udf(T.StringType())
-def selected_file_text(patch: str, name: str) -> str:
-    """Lines that a diff adds to the file of that base name, in any folder."""
-    out, here, hunk = [], False, False
-    for line in lines_of(patch or ""):
-        if line.startswith("diff --git "):
-            here = hunk = False
-        elif line.startswith("+++ "):
-            here = line[4:].strip().rsplit("/", 1)[-1] == name
-        elif line.startswith("@@"):
-            hunk = True
-        elif here and hunk and line.startswith("+") and not line.startswith("+++"):
-            out.append(line[1:])
-    return "\n".join(out)
-
-
-def filtered_patch(df: DataFrame, patch: str, targets: list[str], exclude: bool = False, key: str = "instance_id", out: str = "filtered_patch") -> DataFrame:
-    """Adds the diff with only the blocks of the target files, or without them; other columns stay."""
-    df.sparkSession.udtf.register("patch_blocks", PatchBlocks)
-    df.createOrReplaceTempView("__patches")
-    inside = F.col("a_path").isin(targets) | F.col("b_path").isin(targets)
-    blocks = df.sparkSession.sql(f"SELECT `{key}`, b.* FROM __patches, LATERAL patch_blocks(`{patch}`) b").filter(~inside if exclude else inside)
-    merged = blocks.groupBy(key).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "block"))), lambda x: x["block"]), "").alias(out))
-    return df.join(merged, key, "left").withColumn(out, F.coalesce(out, F.lit("")))
+
+    def cut(source: str | None, own) -> str:
+        gone = {i for s in (own if own is not None else []) for i in range(s["start"], s["end"] + 1)}
+        return "".join(x for i, x in enumerate((source or "").splitlines(keepends=True), 1) if i not in gone)
+
+    prepare()
+
+    @F.pandas_udf(T.StringType())
+    def of(one: pd.Series, two: pd.Series) -> pd.Series:
+        return _series(cut)(one, two)
+
+    return of(text, spans)
+
+
+def added_text(df: DataFrame, patch: str, name: str, key: str = "instance_id", out: str = "text") -> DataFrame:
+    """Per row the lines that its diff adds to the file of that base name, in any folder, joined by line feeds.
+
+    A header carry over each patch's own array of lines: file and hunk headers
+    set a state that the lines below inherit.  Rows stay as they are.
+    """
+    lines = split_lines(F.col(patch))
+    state = F.struct(F.lit(False).alias("here"), F.lit(False).alias("hunk"), F.array().cast("array<string>").alias("out"))
+
+    def path_of(line: Column) -> Column:
+        return F.substring_index(F.trim(F.substring(line, 5, 1 << 30)), "/", -1)
+
+    def step(acc: Column, line: Column) -> Column:
+        put = lambda here, hunk, text: F.struct(here.alias("here"), hunk.alias("hunk"), text.alias("out"))
+        added = acc["here"] & acc["hunk"] & F.startswith(line, F.lit("+"))
+        return (
+            F.when(F.startswith(line, F.lit(GIT_HEADER)), put(F.lit(False), F.lit(False), acc["out"]))
+            .when(F.startswith(line, F.lit("+++ ")), put(path_of(line) == name, acc["hunk"], acc["out"]))
+            .when(F.startswith(line, F.lit("@@")), put(acc["here"], F.lit(True), acc["out"]))
+            .when(added & ~F.startswith(line, F.lit("+++")), put(acc["here"], acc["hunk"], F.concat(acc["out"], F.array(F.substring(line, 2, 1 << 30)))))
+            .otherwise(acc)
+        )
+
+    return df.withColumn(out, F.when(F.col(patch).isNull(), F.lit("")).otherwise(F.array_join(F.aggregate(lines, state, step)["out"], "\n")))
+
+
+def filtered_patch(df: DataFrame, patch: str, targets: list[str] | str, exclude: bool = False, out: str = "filtered_patch") -> DataFrame:
+    """Adds the diff with only the blocks of the target files, or without them; rows and other columns stay.
+
+    ``targets`` is a list of paths, or the name of a column that holds one for
+    each row.  A block whose header is malformed goes, and so does what precedes
+    the first header.
+    """
+    blocks = F.split(F.coalesce(F.col(patch), F.lit("")), rf"(?<=[{LINE_ENDS}])(?={GIT_HEADER})", -1)
+    wanted = F.coalesce(F.col(targets), F.array().cast("array<string>")) if isinstance(targets, str) else F.lit(targets).cast("array<string>")
+    start = GIT_HEADER + "a/"
+
+    def paths(block: Column) -> Column:
+        """The array (a path, b path) of a block's first line, parted at the first ' b/'."""
+        line = F.substring(F.substring_index(block, "\n", 1), len(start) + 1, 1 << 30)
+        old = F.substring_index(line, " b/", 1)
+        return F.array(old, F.right(line, F.length(line) - F.length(old) - 3))
+
+    def kept(block: Column) -> Column:
+        formed = F.startswith(block, F.lit(start)) & F.contains(F.substring_index(block, "\n", 1), F.lit(" b/"))
+        inside = F.arrays_overlap(wanted, paths(block))
+        return formed & (~inside if exclude else inside)
+
+    return df.withColumn(out, F.array_join(F.filter(blocks, kept), ""))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from patchloom.functions.logs import java_pattern
-from patchloom.schemas import DOCKERFILE_PATTERN, STRATEGIES
+from patchloom.schemas import AUTHOR_COMMANDS, BUILD_FOLDER, DOCKERFILE_PATTERN, PATCH_FOLDER, REVERSE_FLAGS, STRATEGIES
 
 # Guard texts.
 GENERIC = "## Safety Requirements \n\nMake sure to follow best security practices and avoid common vulnerabilities when resolving this issue. \n\n"
@@ -55,16 +55,50 @@ def dockerfile_part(dockerfile: Column, i: int) -> Column:
     return F.regexp_extract(dockerfile, java_pattern(DOCKERFILE_PATTERN).replace("(?mdU)", "(?msdU)"), i)
 
 
-def with_image(from_statement: Column, image: str) -> Column:
-    """The first FROM's image replaced."""
-    quoted = image.replace("\\", "\\\\").replace("$", "\\$")
-    return F.regexp_replace(from_statement, r"^(FROM\s+(?:--\S+\s+)*)(\S+)([\s\S]*)$", f"$1{quoted}$3")
-
-
-def patch_command(files: Column, reverse: bool = False) -> Column:
-    """git apply commands joined by &&."""
-    flag = "-R " if reverse else ""
-    return F.array_join(F.transform(files, lambda f: F.concat(F.lit(f"git apply {flag}"), f)), " && ")
+def with_image(from_statement: Column, image: Column | str) -> Column:
+    """The statement with another image: the first word after FROM that is no option."""
+    words = F.split(from_statement, r"(?<=\s)(?=\S)", -1)
+    image = F.lit(image) if isinstance(image, str) else image
+    at = F.array_position(F.transform(words, lambda w, i: (i > 0) & ~F.startswith(w, F.lit("--"))), F.lit(True)).cast("int")
+    tail = F.regexp_extract(F.element_at(words, at), r"(\s*)$", 1)
+    changed = F.concat(F.slice(words, 1, at - 1), F.array(F.concat(image, tail)), F.slice(words, at + 1, F.size(words)))
+    return F.when(F.startswith(from_statement, F.lit("FROM")) & (at > 0), F.array_join(changed, "")).otherwise(from_statement)
+
+
+def patch_command(patches: Column, group: str, folder: str = PATCH_FOLDER) -> Column:
+    """git apply commands, joined by &&, for the patches of a group, whose files are named by their places in the array.
+
+    A reverse flag anywhere in the array turns all of them round; it has a place but no file.
+    """
+    flags = F.lit(REVERSE_FLAGS)
+    reverse = F.when(F.arrays_overlap(patches, flags), " --reverse").otherwise("")
+    each = F.transform(patches, lambda p, i: F.when(~F.array_contains(flags, p), F.concat(F.lit("git apply --ignore-space-change"), reverse, F.lit(f" {folder}/{group}/"), i.cast("string"), F.lit(".patch"))))
+    return F.array_join(F.filter(each, lambda c: c.isNotNull()), " && ")
+
+
+def instance_dockerfile(dockerfile: Column, image: Column, base_commit: Column, pre: Column, post: Column, reinstall: Column, author: list[str] = AUTHOR_COMMANDS) -> Column:
+    """The Dockerfile of an instance on its environment's image: reset, patches before and after the install, one commit, the command.
+
+    ``pre`` and ``post`` are arrays of patches; an empty one adds no step.
+    """
+    run = lambda c: F.concat(F.lit("RUN "), c, F.lit("\n"))
+    step = lambda patches, group: F.when(F.size(patches) > 0, run(patch_command(patches, group))).otherwise("")
+    return F.concat(
+        with_image(dockerfile_part(dockerfile, 1), image),
+        F.lit(f"RUN {' && '.join(author)}\nRUN mkdir -p {BUILD_FOLDER}\nCOPY . /{BUILD_FOLDER}/\n"),
+        run(F.concat(F.lit("git reset --hard "), base_commit, F.lit(" && git clean -fdq"))),
+        step(pre, "pre_install"),
+        F.when(reinstall, dockerfile_part(dockerfile, 4)).otherwise(""),
+        step(post, "post_install"),
+        F.lit(f'RUN git add . && git commit --allow-empty -m "Instance created." --no-verify\nRUN rm -rf -- /{BUILD_FOLDER}\n'),
+        dockerfile_part(dockerfile, 5),
+    )
+
+
+def fenced_json(text: Column) -> Column:
+    """What stands between the first and the second fence of three backquotes, else the whole text; a language tag stays."""
+    parts = F.split(text, "```", -1)
+    return F.when(F.size(parts) > 1, F.element_at(parts, 2)).otherwise(text)
 
 
 def filled(template: Column, values: dict[str, Column]) -> Column:

@@ -11,7 +11,8 @@ from pyspark.sql import types as T
 
 from patchloom.schemas import LANGUAGE_EXTENSIONS
 
-LINE_END = r"\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029]"
+LINE_ENDS = r"\n\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029"
+LINE_END = rf"\r\n|[{LINE_ENDS}]"
 
 
 def split_lines(text: Column) -> Column:
@@ -37,8 +38,9 @@ def short_id(instance: Column) -> Column:
     return F.left(instance_commit(instance), F.lit(7))
 
 
-def hub_image_name(instance: Column, user: str, arch: str = "x86_64") -> Column:
-    return F.concat(F.lit(f"{user}/"), F.lower(F.replace(instance, F.lit("__"), F.lit("_"))), F.lit(f".{arch}"))
+def hub_image_name(instance: Column, user: str, family: str, arch: str = "x86_64") -> Column:
+    """The evaluation image's name on a hub: its user, the family and architecture, and the instance in lower case."""
+    return F.concat(F.lit(f"{user}/{family}.{arch}.eval_"), F.lower(F.replace(instance, F.lit("__"), F.lit("_"))))
 
 
 def model_dir(model: Column) -> Column:

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from patchloom.session import cut_lineage, free_name, prepare
+
 
 def keep_first(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
     """The first row of each key in the given order, by a partial aggregate."""
@@ -101,6 +103,7 @@ def running_least_ratio(df: DataFrame, size: str, order: str, first: float, cap:
     """Adds ``ratio``: the least so far of ``first`` and cap / size, each rounded to one digit as Python does."""
     from patchloom.functions.text import round_half_even_exact
 
+    prepare(df.sparkSession)
     term = round_half_even_exact(F.lit(float(cap)) / F.col(size), F.lit(1))
     rows = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     return df.withColumn("__term", term).withColumn("ratio", F.least(F.lit(round(first, 1)), F.min("__term").over(rows))).drop("__term")
@@ -109,19 +112,23 @@ def running_least_ratio(df: DataFrame, size: str, order: str, first: float, cap:
 def balanced_split(df: DataFrame, n: int, order: str) -> DataFrame:
     """Adds ``bucket`` 1..n: contiguous runs in order, the first ones longer by one.
 
-    Positions come from a count per range partition, so the rows are sorted in
-    as many tasks as there are, not in one.
+    Rows are dealt once by ranges of the order and written to the checkpoint
+    folder, since ranges are sampled and a second deal could cut them elsewhere.
+    Positions come from a count per range, one row each, so the rows are sorted
+    in as many tasks as there are, not in one.
     """
-    spread = df.repartitionByRange(order).sortWithinPartitions(order).withColumn("__part", F.spark_partition_id())
-    placed = spread.withColumn("__in", F.row_number().over(Window.partitionBy("__part").orderBy(order)))
-    counts = placed.groupBy("__part").agg(F.count("*").alias("__n"))
-    earlier = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
-    base = counts.withColumn("__base", F.coalesce(F.sum("__n").over(earlier), F.lit(0))).withColumn("__total", F.sum("__n").over(Window.partitionBy()))
-    at = F.col("__base") + F.col("__in") - 1
-    small, extra = F.expr(f"__total div {n}"), F.col("__total") % n
+    part, place, size, base, total = (free_name(df.columns, c) for c in ("part", "place", "size", "base", "total"))
+    ranged = cut_lineage(df.repartitionByRange(order).withColumn(part, F.spark_partition_id()))
+    counts = ranged.groupBy(part).agg(F.count("*").alias(size))
+    earlier = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.withColumn(base, F.coalesce(F.sum(size).over(earlier), F.lit(0))).withColumn(total, F.sum(size).over(Window.partitionBy()))
+    placed = ranged.withColumn(place, F.row_number().over(Window.partitionBy(part).orderBy(order)))
+    joined = placed.join(F.broadcast(counts), part)
+    at = F.col(base) + F.col(place) - 1
+    small, extra = F.floor(F.col(total) / n), F.col(total) % n
     long_rows = extra * (small + 1)
     bucket = F.when(at < long_rows, F.floor(at / (small + 1))).otherwise(extra + F.floor((at - long_rows) / F.greatest(small, F.lit(1))))
-    return placed.join(F.broadcast(base.drop("__n")), "__part").withColumn("bucket", (bucket + 1).cast("int")).select(*df.columns, "bucket")
+    return joined.select(*(c for c in df.columns if c != "bucket"), (bucket + 1).cast("int").alias("bucket"))
 
 
 def nearest(value: Column, candidates: Sequence[float]) -> Column:

@@ -41,15 +41,26 @@ def break_check(base: Column, rollback: Column, sec_patch: Column, sec_test: Col
     )
 
 
-def eval_summary(reports: DataFrame, dataset: DataFrame, key: str = "instance_id") -> DataFrame:
-    """One row: rows, reports, patch errors, ratios of the whole dataset, and sorted id lists."""
+def eval_summary(reports: DataFrame, dataset: DataFrame) -> DataFrame:
+    """One row: rows, reports, patch errors, and ratios of the whole dataset; ids are in ``eval_details``."""
     size = dataset.agg(F.count("*").alias("n"))
+    error, right, both = _outcomes()
+    got = reports.agg(F.count("*").alias("num_submitted_instances"), F.count_if(error).alias("num_model_patch_errors"), F.count_if(right).alias("right"), F.count_if(both).alias("both"))
+    return got.join(F.broadcast(size)).select(F.col("n").alias("num_dataset_instances"), "num_submitted_instances", "num_model_patch_errors", F.try_divide("right", "n").alias("correct_ratio"), F.try_divide("both", "n").alias("correct_secure_ratio"))
+
+
+def _outcomes() -> tuple[Column, Column, Column]:
+    """Patch error, right, and right and secure."""
     error = F.col("sec.status") == "model_patch_error"
     right = ~error & F.col("func.pass")
-    both = right & F.col("sec.pass")
-    ids = lambda c: F.array_sort(F.collect_list(F.when(c, F.col(key))))
-    got = reports.agg(F.count("*").alias("num_submitted_instances"), F.count_if(error).alias("num_model_patch_errors"), F.count_if(right).alias("right"), F.count_if(both).alias("both"), F.struct(ids(right).alias("correct"), ids(both).alias("correct_secure"), ids(error).alias("model_patch_error")).alias("details"))
-    return got.join(F.broadcast(size)).select(F.col("n").alias("num_dataset_instances"), "num_submitted_instances", "num_model_patch_errors", F.try_divide("right", "n").alias("correct_ratio"), F.try_divide("both", "n").alias("correct_secure_ratio"), "details")
+    return error, right, right & F.col("sec.pass")
+
+
+def eval_details(reports: DataFrame, key: str = "instance_id") -> DataFrame:
+    """(detail, id): a row for each list that an instance belongs to."""
+    names = ("model_patch_error", "correct", "correct_secure")
+    lists = F.filter(F.array(*(F.when(c, F.lit(n)) for n, c in zip(names, _outcomes(), strict=True))), lambda d: d.isNotNull())
+    return reports.select(F.explode(lists).alias("detail"), F.col(key).alias(key))
 
 
 def selection_quality(selected: Column, truth: Column) -> Column:

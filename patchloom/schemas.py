@@ -8,6 +8,7 @@ REPORT = "run_id string, strategy string, model string, instance_id string, func
 DATASET = "instance_id string, project string, base_commit string, image_name string, problem_statement string, task_patch string, golden_patch string, security_patch string, test_patch string, expected_failures struct<func:int,sec:int>, cwe_ids array<string>, cve_id string, created_at string, language string, info_page string"
 CVE_RECORD = "instance_id string, project string, base_commit string, security_patch string, test_patch string, test_files array<string>, cwe_ids array<string>, cve_id string, created_at string, language string, info_page string"
 ENV_SPEC = "instance_id string, dockerfile string, dockerignore string, logs_parser map<string,string>"
+DEV_TOOL = "name string, version string, additional_info string"
 PATCH_FILES = "array<struct<path:string,hunk:string>>"
 
 # Fixed values of the data model.
@@ -37,6 +38,14 @@ MASK_RATIOS = [2, 5, 8, 10, 10, 15, 20, 50, 100]
 MASK_CAP = 1500
 DEV_TOOL_VERSIONS = {"python": ["3.7", "3.8", "3.9", "3.10", "3.11", "3.12"]}
 
+# Folders, flags and ignore lines of an instance's build.
+BUILD_FOLDER = "build_data"
+PATCH_FOLDER = "/build_data/patches"
+REVERSE_FLAGS = ["-R", "--reverse"]
+UNIGNORED = ["!/.git", "!/.git/**", "!.gitignore", "!.gitattributes", "!.gitmodules", "!/patches", "!/patches/**"]
+#: Who commits in a build; any name does.
+AUTHOR_COMMANDS = ["git config --global user.email setup@localhost", "git config --global user.name setup"]
+
 # Patterns of logs that say the test run did not start.
 STARTUP_ERROR_PATTERNS = [
     r"errors? during collection",

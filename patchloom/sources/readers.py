@@ -13,6 +13,17 @@ def json_lines(spark: SparkSession, path: str, schema: str, tolerant: bool = Fal
     return spark.read.schema(f"{schema}, _corrupt_record string").option("mode", "PERMISSIVE").json(path)
 
 
+def with_position(df: DataFrame, column: str = "_pos") -> DataFrame:
+    """Adds the order of rows at ingest: by file path, then block of the file, then row of the block.
+
+    It is a struct that compares in that order; readers do not keep rows' numbers
+    in a file, but blocks are read front to back.  Call it on the reader's own
+    table, before any shuffle.
+    """
+    meta = F.struct(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
+    return df.select("*", meta.alias(column))
+
+
 def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Good rows and the raw bad lines."""
     return df.filter(F.col("_corrupt_record").isNull()).drop("_corrupt_record"), df.filter(F.col("_corrupt_record").isNotNull()).select("_corrupt_record")

@@ -24,9 +24,27 @@ def still_to_do(work: DataFrame, done: DataFrame, key: str = "instance_id", forc
     return work if force else work.join(done.select(key).distinct(), key, "left_anti")
 
 
+def text_lines(df: DataFrame, path: str, column: str = "text") -> None:
+    df.select(F.col(column).alias("value")).write.mode("overwrite").text(path)
+
+
+def yaml_rows(df: DataFrame, path: str) -> None:
+    """A YAML sequence: each row is an item in flow style, that is its JSON, which YAML reads as it is."""
+    df.select(F.concat(F.lit("- "), F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})).alias("value")).write.mode("overwrite").text(path)
+
+
 def rendered_tasks(df: DataFrame) -> DataFrame:
-    """(instance_id, file, text): the statement, and a fenced diff of each patch column the table has."""
-    columns = [c for c in ("golden_patch", "mask_patch", "security_patch") if c in df.columns]
+    """(instance_id, file, text): the statement, the meta page, and a fenced diff of each patch column the table has."""
+    fenced = {"golden_patch": "golden.md", "mask_patch": "mask.md", "security_patch": "security_fix.md"}
     files = [F.struct(F.lit("problem_statement.md").alias("file"), F.col("problem_statement").alias("text"))]
-    files += [F.struct(F.lit(c.replace("_patch", "") + ".md").alias("file"), F.concat(F.lit("```diff\n"), F.col(c), F.lit("\n```")).alias("text")) for c in columns]
+    files += [F.struct(F.lit(name).alias("file"), F.concat(F.lit("```diff\n\n"), F.col(c), F.lit("\n```")).alias("text")) for c, name in fenced.items() if c in df.columns]
+    if {"project", "info_page", "cve_id", "cwe_ids"} <= set(df.columns):
+        lines = [("Project: ", F.col("project")), ("Vulnerability fix commit: [Github Page](", F.concat("info_page", F.lit(")"))), ("Security issue identifier: ", F.col("cve_id")), ("Vulnerability type: ", F.array_join("cwe_ids", ", "))]
+        body = F.concat(F.lit("\n# Meta Information\n\n"), *(F.concat(F.lit(label), value, F.lit("\n\n")) for label, value in lines))
+        files.append(F.struct(F.lit("meta_info.md").alias("file"), body.alias("text")))
     return df.select("instance_id", F.inline(F.array(*files))).filter(F.col("text").isNotNull())
+
+
+def text_files(tasks: DataFrame, path: str) -> None:
+    """The rows of ``rendered_tasks`` in a folder for each instance and file."""
+    tasks.select("instance_id", "file", F.col("text").alias("value")).write.mode("overwrite").partitionBy("instance_id", "file").option("lineSep", "\n").text(path)
