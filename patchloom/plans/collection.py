@@ -2,31 +2,89 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from patchloom.functions import text
-from patchloom.functions.patches import PatchFiles
+from patchloom.functions import patches, text
 from patchloom.operators import curation, relational
 
+FIELDS = ["instance_id", "project", "base_commit", "security_patch", "test_patch", "test_files", "cwe_ids", "cve_id", "created_at", "language", "info_page"]
+
+
+def _first_of(df: DataFrame, names: Sequence[str], rest: Column | None = None) -> Column:
+    """The first of the columns that the table has, where not null; else ``rest``."""
+    own = [F.col(c) for c in names if c in df.columns]
+    return F.coalesce(*own, *([] if rest is None else [rest]), F.lit(None).cast("string"))
+
+
+def with_fields(df: DataFrame, target: str = "python") -> DataFrame:
+    """Adds the fields of a record, with their defaults where a source lacks them (null means lacking).
+
+    project is owner/repo, created_at is commit_date, and info_page is html_url
+    or the commit's page under repo_url.
+    """
+    text_of = lambda c: F.coalesce(F.col(c), F.lit("")) if c in df.columns else F.lit("")
+    project = _first_of(df, ["project"], F.concat(text_of("owner"), F.lit("/"), text_of("repo")))
+    page = _first_of(df, ["html_url"], F.concat(text_of("repo_url"), F.lit("/commit/"), F.col("commit_id")))
+    made = _first_of(df, ["created_at", "commit_date"])
+    out = df.withColumns({"project": project, "info_page": page, "created_at": made, "base_commit": F.col("commit_id"), "language": F.lit(target)})
+    return out.withColumn("instance_id", text.instance_id(F.col("project"), F.col("commit_id")))
+
+
+def listed_changes(records: DataFrame, statuses: DataFrame) -> DataFrame:
+    """Records that list their changes as ``details (file_name, patch)``: recent ones whose page answers, with ``files`` and ``cwe_ids``.
+
+    A file met twice has its last patch, at the place where it was first met.
+    """
+    own = curation.live(curation.recent(records), statuses)
+    names = F.array_distinct(F.transform("details", lambda d: d["file_name"]))
+    last = lambda name: F.element_at(F.filter("details", lambda d: d["file_name"] == name), -1)["patch"]
+    return own.withColumn("files", F.transform(names, lambda n: F.struct(n.alias("path"), last(n).alias("hunk")))).withColumnRenamed("cwe_id", "cwe_ids")
+
+
+def crawled_changes(lines: DataFrame, target: str = "python", test: str = "python") -> tuple[DataFrame, DataFrame]:
+    """Records with one patch text: those that parse and are of the target's language, with ``files`` and commit_id; and the faults.
+
+    ``lines`` has patch and commits, and ``_corrupt_record`` if it was read tolerantly.
+    """
+    good = lines.filter(F.col("_corrupt_record").isNull()).drop("_corrupt_record") if "_corrupt_record" in lines.columns else lines
+    parsed = patches.with_files(curation.non_empty(good, "patch"))
+    wanted = curation.target_language_only(F.col("files"), target, test)
+    reason = F.coalesce(F.col("error"), F.when(~wanted, "other language or no tests"))
+    out = parsed.withColumn("reject", reason).drop("error").withColumn("commit_id", F.try_element_at("commits", F.lit(1))["commit_sha"])
+    return curation.split_accepted(out)
 
-def with_files(df: DataFrame, patch: str = "patch", key: str = "row_idx") -> tuple[DataFrame, DataFrame]:
-    """Rows with the array ``files`` of their diff, and rejected rows with ``error``."""
-    spark = df.sparkSession
-    spark.udtf.register("patch_files", PatchFiles)
-    df.createOrReplaceTempView("__records")
-    each = spark.sql(f"SELECT `{key}`, f.* FROM __records, LATERAL patch_files(`{patch}`) f")
-    lists = each.groupBy(key).agg(F.max("error").alias("error"), F.transform(F.array_sort(F.collect_list(F.struct("pos", "path", "hunk"))), lambda x: F.struct(x["path"].alias("path"), x["hunk"].alias("hunk"))).alias("files"))
-    joined = df.join(lists, key)
-    return joined.filter("error IS NULL").drop("error"), joined.filter("error IS NOT NULL").drop("files")
 
+def crawl_plan(addresses: DataFrame, fetched: DataFrame) -> DataFrame:
+    """Recent changes of a single commit with their ``patch``: their own, else that of ``fetched (owner, repo, sha, patch)``."""
+    own = curation.single_commit(curation.recent(addresses, strict=True)).withColumn("sha", F.element_at("commits", 1)["commit_sha"])
+    got = fetched.groupBy("owner", "repo", "sha").agg(F.max("patch").alias("__fetched"))
+    joined = own.join(got, ["owner", "repo", "sha"], "left")
+    patch = F.coalesce("patch", "__fetched") if "patch" in addresses.columns else F.col("__fetched")
+    return joined.withColumn("patch", patch).select(*(c for c in addresses.columns if c != "patch"), "patch")
 
-def collect(handlers: list[DataFrame], target: str = "python", test: str = "python", limit: int | None = None) -> DataFrame:
-    """Accepted records of all handlers, the first of each instance.
 
-    A handler has project, commit_id, cve_id, cwe_ids, files and row_idx.
+def collect(handlers: list[DataFrame], target: str = "python", test: str = "python", limit: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """Records of all handlers, the first of each instance, and the rejected rows with their ``reject`` reason.
+
+    A handler has commit_id, cve_id, cwe_ids, files, row_idx and what ``with_fields`` looks for.
     """
-    accepted, _ = curation.split_accepted(curation.routed(curation.recent(relational.union_handlers(*handlers)), target, test))
-    keyed = accepted.withColumn("instance_id", text.instance_id(F.col("project"), F.col("commit_id"))).withColumn("language", F.lit(target))
-    first = relational.keep_first(keyed, "instance_id", ["handler_idx", "row_idx"])
-    return first if limit is None else first.orderBy("handler_idx", "row_idx").limit(limit)
+    every = relational.union_handlers(*(with_fields(h, target) for h in handlers))
+    accepted, rejected = curation.split_accepted(curation.routed(every, target, test))
+    first = relational.keep_first(accepted, "instance_id", ["handler_idx", "row_idx"])
+    if limit is not None:
+        first = first.orderBy("handler_idx", "row_idx").limit(limit)
+    return first.select(*FIELDS), rejected
+
+
+def projects(records: DataFrame) -> DataFrame:
+    """The distinct projects, whose repositories have to be there before patches are checked."""
+    return records.select("project").distinct()
+
+
+def verified_records(records: DataFrame, checks: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Records of which both patches apply, by ``checks (instance_id, patch_applies)``, and the others; one without a check does not apply."""
+    good = curation.applicable(records, checks, "instance_id")
+    return good, records.join(good.select("instance_id"), "instance_id", "left_anti")

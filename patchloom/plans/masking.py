@@ -2,34 +2,66 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from patchloom.functions import patches
+from patchloom.functions import patches, text
 from patchloom.operators import relational
+from patchloom.schemas import TEST_KEYWORD
+
+
+def masked_tests(files: DataFrame, key: Sequence[str] = ("file_id",)) -> DataFrame:
+    """Adds ``masked``, ``before`` without the touched test functions, ``mask``, the diff to it, and ``fault``.
+
+    ``files`` has the key's columns, hunks, before and after.  A test is touched
+    if a removed line is in it before, or an added line is in it after; the
+    latter is found before by the line its start had.  Where either source does
+    not parse, ``fault`` says why, and ``masked`` and ``mask`` are null.
+    """
+    key = list(key)
+    spans = {side: patches.test_spans(files.select(*key, side), side).drop(side) for side in ("before", "after")}
+    fault = spans["before"].unionByName(spans["after"]).filter("fault IS NOT NULL").groupBy(*key).agg(F.min("fault").alias("fault"))
+    spans = {side: s.filter("fault IS NULL") for side, s in spans.items()}
+    lines = patches.lines_of_hunks(files.select(*key, "hunks"), "hunks").drop("hunks")
+    kept = patches.line_map(files.select(*key, "hunks", "before", "after"), "hunks", "before", "after").select(*key, F.col("new_ln").alias("start"), "old_ln")
+    removed = lines.filter("kind = 'removed'").select(*key, F.col("old_ln").alias("ln"))
+    added = lines.filter("kind = 'added'").select(*key, F.col("new_ln").alias("ln"))
+    direct = relational.interval_semi_join(spans["before"], removed, key, "start", "end", "ln").select(*key, "start", "end")
+    later = relational.interval_semi_join(spans["after"], added, key, "start", "end", "ln").select(*key, "start")
+    starts = later.join(kept, [*key, "start"]).select(*key, F.col("old_ln").alias("start")).distinct()
+    found = spans["before"].join(starts, [*key, "start"]).select(*key, "start", "end")
+    gone = direct.unionByName(found).groupBy(*key).agg(F.collect_set(F.struct("start", "end")).alias("__spans"))
+    joined = files.join(gone, key, "left").join(fault, key, "left")
+    whole = F.col("fault").isNull()
+    joined = joined.withColumn("masked", F.when(whole, patches.without_spans("before", "__spans")))
+    return joined.withColumn("mask", F.when(whole, patches.unified_diff("before", "masked"))).drop("__spans")
 
 
-def masked_tests(files: DataFrame) -> DataFrame:
-    """Adds ``mask``, the diff that removes the touched test functions from ``before``.
+def expanded_masks(records: DataFrame, sources: DataFrame, test: str = "python") -> tuple[DataFrame, DataFrame]:
+    """Records whose ``test_patch`` restores the masked tests whole, and those rejected, with ``fault``.
 
-    ``files`` has file_id, hunks, before and after.  A test is touched if a
-    removed line is in it before, or an added line is in it after; the latter is
-    found before by the line its start had.  Sources that do not parse have no
-    tests, and so an empty mask.
+    ``records`` has instance_id and test_patch; ``sources`` (instance_id, path,
+    before, after) has the files that test patches touch.  The new patch of a
+    test file leads from its masked text to ``after``, that of another file from
+    ``before``.  A record is rejected if its patch is no strict diff or is
+    without a file's source, or if a test file does not parse.
     """
-    spark = files.sparkSession
-    for name, function in (("test_spans", patches.TestSpans), ("hunk_lines", patches.HunkLines), ("line_map", patches.LineMap)):
-        spark.udtf.register(name, function)
-    files.createOrReplaceTempView("__files")
-    spans = {side: spark.sql(f"SELECT file_id, s.name, s.start, s.end FROM __files, LATERAL test_spans({side}) s") for side in ("before", "after")}
-    lines = spark.sql("SELECT file_id, l.* FROM __files, LATERAL hunk_lines(hunks) l")
-    kept = spark.sql("SELECT file_id, m.* FROM __files, LATERAL line_map(hunks, before, after) m")
-    removed = lines.filter("kind = 'removed'").select("file_id", F.col("old_ln").alias("ln"))
-    added = lines.filter("kind = 'added'").select("file_id", F.col("new_ln").alias("ln"))
-    direct = relational.interval_semi_join(spans["before"], removed, ["file_id"], "start", "end", "ln").select("file_id", "start", "end")
-    later = relational.interval_semi_join(spans["after"], added, ["file_id"], "start", "end", "ln")
-    starts = later.join(kept, (later["file_id"] == kept["file_id"]) & (later["start"] == kept["new_ln"])).select(later["file_id"], kept["old_ln"].alias("start"))
-    found = spans["before"].join(starts.distinct(), ["file_id", "start"]).select("file_id", "start", "end")
-    gone = direct.unionByName(found).groupBy("file_id").agg(F.collect_set(F.struct("start", "end")).alias("__spans"))
-    joined = files.join(gone, "file_id", "left")
-    return joined.withColumn("mask", patches.unified_diff("before", patches.without_spans("before", "__spans"))).drop("__spans")
+    parsed = patches.with_files(records.select("instance_id", "test_patch"), "test_patch")
+    each = parsed.select("instance_id", F.posexplode("files").alias("pos", "f")).select("instance_id", "pos", F.col("f.path").alias("path"), F.col("f.hunk").alias("hunks"))
+    files = each.join(sources.select("instance_id", "path", "before", "after", F.lit(True).alias("here")), ["instance_id", "path"], "left")
+    is_test = F.contains(F.lower("path"), F.lit(TEST_KEYWORD)) & text.of_language(F.col("path"), test)
+    own = masked_tests(files.filter(is_test), ["instance_id", "path"])
+    other = files.filter(~is_test).withColumn("masked", F.col("before")).withColumn("fault", F.lit(None).cast("string"))
+    every = own.drop("mask").unionByName(other).withColumn("fault", F.when(F.col("here").isNull(), "no source").otherwise(F.col("fault")))
+    hunk = patches.unified_diff(F.col("masked"), F.col("after"))
+    ready = every.select("instance_id", "pos", "path", "fault", F.when(F.col("fault").isNull(), hunk).alias("hunk"))
+    rows = F.array_sort(F.collect_list(F.struct("pos", "path", "hunk")))
+    whole = ready.groupBy("instance_id").agg(F.max("fault").alias("fault"), F.filter(rows, lambda r: r["hunk"] != "").alias("r"))
+    merged = patches.merged_patch(F.transform("r", lambda r: F.struct(r["path"].alias("path"), F.regexp_replace(r["hunk"], "\n$", "").alias("hunk"))))
+    new = whole.select("instance_id", "fault", merged.alias("__patch"))
+    bad = parsed.select("instance_id", F.coalesce("error", F.when(F.coalesce(F.size("files"), F.lit(0)) == 0, "no files")).alias("__error"))
+    out = records.join(bad, "instance_id").join(new, "instance_id", "left").withColumn("fault", F.coalesce("__error", "fault"))
+    good = out.filter("fault IS NULL").withColumn("test_patch", F.col("__patch"))
+    return good.select(*records.columns), out.filter("fault IS NOT NULL").select(*records.columns, "fault")
