@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from patchloom.functions import logs, patches, render, text
-from patchloom.operators import relational, scoring
+from patchloom.operators import curation, relational, scoring
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -28,6 +28,27 @@ def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def run_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A log of each user's even and odd events, one line for each, in order of event_id."""
+    n = lambda m: (F.col("event_id") % m).cast("string")
+    kind = F.col("event_type")
+    line = (
+        F.when(kind == "view", F.concat(n(5), F.lit(" failed"))).when(kind == "click", F.concat(n(7), F.lit(" passed"))).when(kind == "error", "TypeError: bad").when(kind == "signup", "NameError: name")
+        .when(F.col("event_id") % 11 == 0, "INTERNALERROR> x").otherwise(F.concat(n(3), F.lit(" error")))
+    )
+    side = (F.col("event_id") % 2).alias("side")
+    lists = _t(spark, sf_dir, "events").groupBy("user_id", side).agg(F.array_sort(F.collect_list(F.struct("event_id", line.alias("line")))).alias("x"))
+    return lists.select("user_id", "side", F.array_join(F.transform("x", lambda x: x["line"]), "\n").alias("logs"), (F.size("x") > 40).alias("timed_out"))
+
+
+RUN_SQL = """
+WITH r AS (
+  SELECT user_id, event_id % 2 AS side, CASE WHEN count(*) > 40 THEN 'timeout' WHEN bool_or(event_type = 'purchase' AND event_id % 11 = 0) THEN 'startup_error' ELSE 'completion' END AS status,
+         coalesce(arg_max(event_id % 5, event_id) FILTER (WHERE event_type = 'view'), 0) AS failed, coalesce(arg_max(event_id % 7, event_id) FILTER (WHERE event_type = 'click'), 0) AS passed,
+         coalesce(arg_max(event_id % 3, event_id) FILTER (WHERE event_type = 'purchase' AND event_id % 11 <> 0), 0) AS errors
+  FROM events GROUP BY 1, 2
+)"""
+
 #: A full order of line items, whose number in an order is not unique.
 ITEM_ORDER = ["l_linenumber", "l_partkey", "l_returnflag", "l_shipdate", "l_suppkey", "l_quantity", "l_extendedprice"]
 ITEM_SQL = ", ".join(ITEM_ORDER)
@@ -41,7 +62,7 @@ def q_eval_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     error = (F.col("quality") == 0) & (F.col("toxic") == 1)
     status = F.when(error, "model_patch_error").otherwise("completion")
     reports = _t(spark, sf_dir, "labels").select(F.col("doc_id").alias("instance_id"), F.struct((F.col("quality") == 1).alias("pass"), status.alias("status")).alias("func"), F.struct((F.col("toxic") == 0).alias("pass"), status.alias("status")).alias("sec"))
-    return scoring.eval_summary(reports, _t(spark, sf_dir, "documents").select("doc_id")).drop("details")
+    return scoring.eval_summary(reports, _t(spark, sf_dir, "documents").select("doc_id"))
 
 
 @query("""
@@ -65,7 +86,9 @@ def q_anti_completed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT doc_id, lang, source FROM documents d WHERE EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id AND quality = 1)")
 def q_semi_submitted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _t(spark, sf_dir, "documents").select("doc_id", "lang", "source").join(_t(spark, sf_dir, "labels").filter("quality = 1").select("doc_id"), "doc_id", "left_semi")
+    status = F.when(F.col("quality") == 1, "submitted").otherwise("exit_error")
+    lists = _t(spark, sf_dir, "labels").groupBy(status.alias("status"), (F.col("doc_id") % 16).alias("part")).agg(F.collect_list("doc_id").alias("instance_ids"))
+    return relational.submitted(_t(spark, sf_dir, "documents").select("doc_id", "lang", "source"), lists, "doc_id", ["submitted"])
 
 
 @query("""
@@ -100,8 +123,8 @@ WITH l AS (SELECT lang, unnest(string_split(text, chr(10))) AS line FROM documen
 SELECT line, count(*) AS n FROM ((SELECT line FROM l WHERE lang = 'en') EXCEPT ALL (SELECT line FROM l WHERE lang = 'de')) GROUP BY line""")
 def q_bag_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _t(spark, sf_dir, "documents")
-    one, two = (_lines(docs.filter(F.col("lang") == x)).select("line") for x in ("en", "de"))
-    return one.exceptAll(two).groupBy("line").agg(F.count("*").alias("n"))
+    one, two = (_lines(docs.filter(F.col("lang") == x)).withColumn("at", F.struct("doc_id", "pos")) for x in ("en", "de"))
+    return relational.bag_difference(two, one, [], "line", "at").groupBy("line").agg(F.count("*").alias("n"))
 
 
 @query("""
@@ -116,15 +139,15 @@ def q_bag_diff_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return relational.bag_difference(rows.filter("lang = 'de'"), right, ["source"], "line", "at").select("source", "doc_id", "pos", "line")
 
 
-@query("SELECT o_orderkey, CAST(ntile(7) OVER (ORDER BY o_orderkey) AS INTEGER) AS bucket FROM orders")
+@query("SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority, CAST(ntile(7) OVER (ORDER BY o_orderkey) AS INTEGER) AS bucket FROM orders")
 def q_ntile_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return relational.balanced_split(_t(spark, sf_dir, "orders").select("o_orderkey"), 7, "o_orderkey")
+    return relational.balanced_split(_t(spark, sf_dir, "orders").drop("o_orderdate"), 7, "o_orderkey")
 
 
-@query("SELECT o_custkey, o_orderkey, least(500.0, min(o_totalprice) OVER (PARTITION BY o_custkey ORDER BY o_orderkey ROWS UNBOUNDED PRECEDING)) AS least_so_far FROM orders")
+@query("SELECT o_custkey, o_orderkey, least(5.0, min(round(100000 / o_totalprice, 1)) OVER (PARTITION BY o_custkey ORDER BY o_orderkey ROWS UNBOUNDED PRECEDING)) AS ratio FROM orders")
 def q_running_min(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = Window.partitionBy("o_custkey").orderBy("o_orderkey").rowsBetween(Window.unboundedPreceding, 0)
-    return _t(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", F.least(F.lit(500.0), F.min("o_totalprice").over(rows)).alias("least_so_far"))
+    own = _t(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_totalprice")
+    return relational.running_least_ratio(own, "o_totalprice", "o_orderkey", 5, 100000, by=["o_custkey"]).drop("o_totalprice")
 
 
 @query("SELECT p_partkey, (SELECT arg_min(v, abs(v - p_size) * 100 + i) FROM (VALUES (0, 5), (1, 12), (2, 20), (3, 33), (4, 47)) t(i, v)) AS nearest FROM part")
@@ -142,20 +165,21 @@ def q_last_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _t(spark, sf_dir, "pages").select("page_id", logs.last_number(F.col("html"), r'/([0-9]+)"').alias("last"))
 
 
-@query("SELECT doc_id, CAST(len(regexp_extract_all(text, '(?m)^[A-Z]')) AS INTEGER) AS n FROM documents")
+@query("""
+SELECT user_id, event_id % 2 AS side, CAST(count_if(event_type IN ('error', 'signup')) AS INTEGER) AS symbols FROM events GROUP BY 1, 2""")
 def q_pattern_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _t(spark, sf_dir, "documents").select("doc_id", F.regexp_count("text", F.lit("(?md)^[A-Z]")).alias("n"))
+    return run_logs(spark, sf_dir).select("user_id", "side", logs.symbol_errors(F.col("logs")).alias("symbols"))
 
 
-@query("""
-SELECT page_id, CASE WHEN length(html) > 3000 THEN 'timeout' WHEN regexp_matches(html, 'class="ad"') AND page_id % 3 = 0 THEN 'startup_error' ELSE 'completion' END AS status,
-       bool_and(length(html) <= 3000) OVER (PARTITION BY page_id % 10) AS bucket_ok
-FROM pages""")
+@query(f"{RUN_SQL} SELECT user_id, side, status FROM r")
 def q_status_case(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = _t(spark, sf_dir, "pages").select("page_id", (F.length("html") > 3000).alias("slow"), F.contains("html", F.lit('class="ad"')).alias("ad"))
-    status = F.when(F.col("slow"), "timeout").when(F.col("ad") & (F.col("page_id") % 3 == 0), "startup_error").otherwise("completion")
-    buckets = pages.groupBy((F.col("page_id") % 10).alias("b")).agg(F.bool_and(~F.col("slow")).alias("bucket_ok"))
-    return pages.select("page_id", status.alias("status"), (F.col("page_id") % 10).alias("b")).join(F.broadcast(buckets), "b").drop("b")
+    return run_logs(spark, sf_dir).select("user_id", "side", logs.run_status(F.col("logs"), F.col("timed_out")).alias("status"))
+
+
+@query(f"{RUN_SQL} SELECT user_id FROM r GROUP BY user_id HAVING bool_and(status <> 'timeout' AND status <> 'startup_error')")
+def q_runs_allowed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    status = logs.run_status(F.col("logs"), F.col("timed_out"))
+    return curation.runs_allowed(run_logs(spark, sf_dir).select("user_id", F.col("side").alias("run_idx"), status.alias("status")), "user_id")
 
 
 @query("""
@@ -221,9 +245,7 @@ def q_patch_len(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"{PATCH_SQL} SELECT l_orderkey, CAST(i - 1 AS INTEGER) AS pos, path, hunk FROM block")
 def q_patch_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    spark.udtf.register("patch_files", patches.PatchFiles)
-    _patches(spark, sf_dir).createOrReplaceTempView("__q_patches")
-    return spark.sql("SELECT l_orderkey, f.pos, f.path, f.hunk FROM __q_patches, LATERAL patch_files(patch) f WHERE f.error IS NULL")
+    return patches.patch_files(_patches(spark, sf_dir), "patch").filter("error IS NULL").select("l_orderkey", "pos", "path", "hunk")
 
 
 def _patch_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -240,30 +262,35 @@ def q_patch_carry(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""{PATCH_SQL} SELECT l_orderkey, coalesce(string_agg(concat('diff --git a/', path, ' b/', path, chr(10), '--- a/', path, chr(10), '+++ b/', path, chr(10), hunk, chr(10)), '' ORDER BY i)
   FILTER (WHERE path NOT IN ('src/p1.py', 'src/p2.py', 'src/p3.py')), '') AS patch FROM block GROUP BY l_orderkey""")
 def q_patch_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    got = patches.filtered_patch(_patches(spark, sf_dir), "patch", ["src/p1.py", "src/p2.py", "src/p3.py"], exclude=True, key="l_orderkey")
+    got = patches.filtered_patch(_patches(spark, sf_dir), "patch", ["src/p1.py", "src/p2.py", "src/p3.py"], exclude=True)
     return got.select("l_orderkey", F.col("filtered_patch").alias("patch"))
 
 
 @query(f"""{PATCH_SQL} SELECT l_orderkey, CAST(i - 1 AS INTEGER) AS pos, unnest(['same', 'removed', 'added']) AS kind, unnest([1, 2, -1]) AS old_ln, unnest([1, -1, 2]) AS new_ln FROM block""")
 def q_hunk_lineno(spark: SparkSession, sf_dir: str) -> DataFrame:
-    spark.udtf.register("hunk_lines", patches.HunkLines)
-    _files(spark, sf_dir).select("l_orderkey", F.posexplode("files").alias("pos", "f")).select("l_orderkey", "pos", "f.hunk").createOrReplaceTempView("__q_hunks")
-    return spark.sql("SELECT l_orderkey, pos, h.kind, coalesce(h.old_ln, -1) AS old_ln, coalesce(h.new_ln, -1) AS new_ln FROM __q_hunks, LATERAL hunk_lines(hunk) h")
+    hunks = _files(spark, sf_dir).select("l_orderkey", F.posexplode("files").alias("pos", "f")).select("l_orderkey", "pos", "f.hunk")
+    return patches.lines_of_hunks(hunks, "hunk").select("l_orderkey", "pos", "kind", F.coalesce("old_ln", F.lit(-1)).alias("old_ln"), F.coalesce("new_ln", F.lit(-1)).alias("new_ln"))
 
 
 @query("""
 SELECT l_orderkey, bool_or(l_returnflag = 'R') AND coalesce(bool_and(l_quantity < 40) FILTER (WHERE l_returnflag <> 'R'), true) AS ok FROM lineitem GROUP BY l_orderkey""")
 def q_lang_quantified(spark: SparkSession, sf_dir: str) -> DataFrame:
-    is_r = F.col("l_returnflag") == "R"
-    return _t(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg((F.bool_or(is_r) & F.coalesce(F.bool_and(F.when(~is_r, F.col("l_quantity") < 40)), F.lit(True))).alias("ok"))
+    path = F.when(F.col("l_returnflag") == "R", "tests/a.py").when(F.col("l_quantity") < 40, "src/a.py").otherwise("src/a.go")
+    lists = _t(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.collect_list(F.struct(path.alias("path"), F.lit("").alias("hunk"))).alias("files"))
+    return lists.select("l_orderkey", curation.target_language_only(F.col("files"), "python", "python").alias("ok"))
 
 
 @query("""
-SELECT page_id, CASE WHEN NOT regexp_matches(url, '/[a-z]{2}/[0-9]+') THEN 'other' WHEN contains(lower(url), 'page') OR contains(lower(url), 'ref') THEN 'test' ELSE 'code' END AS side FROM pages""")
+WITH f AS (SELECT l_orderkey, CASE l_returnflag WHEN 'R' THEN 'test' WHEN 'A' THEN 'code' ELSE 'docs' END AS side, l_partkey FROM lineitem)
+SELECT l_orderkey, CAST(count_if(side = 'code') AS INTEGER) AS code_blocks, CAST(count_if(side <> 'code') AS INTEGER) AS test_blocks, CAST(count_if(side = 'test') AS INTEGER) AS test_files,
+       CASE WHEN count(DISTINCT CASE WHEN side = 'code' THEN l_partkey END) > 10 THEN 'too long' WHEN count_if(side = 'code') = 0 THEN 'no target language' WHEN count_if(side = 'test') = 0 THEN 'no tests' END AS reject
+FROM f GROUP BY l_orderkey""")
 def q_route_case(spark: SparkSession, sf_dir: str) -> DataFrame:
-    url = F.col("url")
-    side = F.when(~url.rlike("/[a-z]{2}/[0-9]+"), "other").when(text.has_keyword(url, ["page", "ref"]), "test").otherwise("code")
-    return _t(spark, sf_dir, "pages").select("page_id", side.alias("side"))
+    part = F.col("l_partkey").cast("string")
+    path = F.when(F.col("l_returnflag") == "R", F.concat(F.lit("tests/p"), part, F.lit(".py"))).when(F.col("l_returnflag") == "A", F.concat(F.lit("src/p"), part, F.lit(".py"))).otherwise("README.md")
+    files = _t(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.collect_list(F.struct(path.alias("path"), F.lit("@@ -1 +1 @@").alias("hunk"))).alias("files"))
+    blocks = lambda c: F.regexp_count(c, F.lit("diff --git ")).alias
+    return curation.routed(files).select("l_orderkey", blocks("security_patch")("code_blocks"), blocks("test_patch")("test_blocks"), F.size("test_files").alias("test_files"), "reject")
 
 
 @query("SELECT o_orderkey, year(o_orderdate)::INTEGER AS year FROM orders WHERE year(o_orderdate) >= 1998")
@@ -292,9 +319,16 @@ def q_break_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select("user_id", check.alias("c")).select("user_id", "c.accepted", F.col("c.expected_failures.func").alias("expected_func"), F.col("c.expected_failures.sec").alias("expected_sec"), "c.num_sec_tests", "c.num_func_tests")
 
 
-@query("SELECT event_id, json_extract_string(props, '$.k') AS k FROM events")
+@query("""
+WITH c AS (SELECT conv_id, list(DISTINCT role) AS sel FROM conversations GROUP BY conv_id)
+SELECT conv_id, CASE WHEN conv_id % 5 = 0 THEN 0.0 ELSE len(list_intersect(sel, ['user', 'system'])) / len(sel) END AS precision,
+       CASE WHEN conv_id % 5 = 0 THEN 0.0 ELSE len(list_intersect(sel, ['user', 'system'])) / 2 END AS recall FROM c""")
 def q_json_field(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _t(spark, sf_dir, "events").select("event_id", F.get_json_object("props", "$.k").alias("k"))
+    named = _t(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.to_json(F.struct(F.collect_set("role").alias("selected_cwes"))).alias("j"))
+    lines = F.concat(F.lit("diff --git a/selected_cwes.json b/selected_cwes.json\n--- /dev/null\n+++ b/selected_cwes.json\n@@ -0,0 +1 @@\n+"), F.when(F.col("conv_id") % 5 == 0, F.lit("{")).otherwise(F.col("j")))
+    text_of = patches.added_text(named.select("conv_id", lines.alias("patch")), "patch", "selected_cwes.json", out="text")
+    quality = scoring.selection_quality_of_text(F.col("text"), F.array(F.lit("user"), F.lit("system")))
+    return text_of.select("conv_id", quality.alias("q")).select("conv_id", "q.precision", "q.recall")
 
 
 @query("SELECT p_brand, string_agg(concat('- **', p_partkey, '**: ', p_name, chr(10)), '' ORDER BY p_partkey) AS items FROM part GROUP BY p_brand")
@@ -303,9 +337,12 @@ def q_template(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lists.select("p_brand", render.weakness_list(F.col("x")).alias("items"))
 
 
-@query("SELECT user_id, array_to_string(list_sort(list(DISTINCT event_type)), ',') AS types FROM events GROUP BY user_id")
+@query("SELECT DISTINCT event_type AS id, concat('name of ', event_type) AS name FROM events WHERE event_type <> 'click'")
 def q_set_union(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _t(spark, sf_dir, "events").groupBy("user_id").agg(F.array_join(F.array_sort(F.collect_set("event_type")), ",").alias("types"))
+    events = _t(spark, sf_dir, "events")
+    ids = events.groupBy("user_id").agg(F.collect_list("event_type").alias("cwe_ids"))
+    names = events.select(F.col("event_type").alias("id")).distinct().filter("id <> 'click'").withColumn("name", F.concat(F.lit("name of "), F.col("id")))
+    return render.all_weaknesses(ids, names)
 
 
 @query("""

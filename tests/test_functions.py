@@ -82,24 +82,40 @@ def test_filtered_patch(spark):
     gone = patches.filtered_patch(df, "p", ["src/a.py"]).first()["filtered_patch"]
     assert gone + kept == PATCH[PATCH.index("diff") :]
     assert kept.startswith("diff --git a/tests/test_b.py")
+    odd = "before\ndiff --git a/x b/y z\n+1\ndiff --git odd\n+2\ndiff --git a/q b/q\n+3"
+    by_row = spark.createDataFrame([(odd, ["y z"]), (odd, ["q", "x"]), (odd, None), (None, ["q"])], "p string, t array<string>")
+    assert [r["filtered_patch"] for r in patches.filtered_patch(by_row, "p", "t").collect()] == ["diff --git a/x b/y z\n+1\n", "diff --git a/x b/y z\n+1\ndiff --git a/q b/q\n+3", "", ""]
+
+
+def test_with_files(spark):
+    twice = "diff --git a/x b/x\n--- a/x\n+++ b/x\n@@ -1 +1 @@\n-a\n+b\n"
+    df = spark.createDataFrame([(0, None), (1, "no header"), (2, twice + twice.replace("+b", "+c")), (3, "diff --git a/x b/y\n--- a/x\n+++ b/y\n")], "k int, patch string")
+    got = {r["k"]: r for r in patches.with_files(df).collect()}
+    assert len(got) == 4 and got[0]["files"] == got[1]["files"] == [] and [(f["path"], f["hunk"][-2:]) for f in got[2]["files"]] == [("x", "+c")]
+    assert got[3]["files"] is None and got[3]["error"] and got[2]["error"] is None
+
+
+def test_paths_are_not_trimmed(spark):
+    assert one(spark, patches.touched_files(F.col("v")), "+++ b/a b \t2020\r\n+++ c\x0b+++ b/b/d\n x+++ e") == ["a b ", "c", "b/d"]
 
 
 def test_hunk_lines(spark):
-    spark.udtf.register("hunk_lines", patches.HunkLines)
-    spark.createDataFrame([("@@ -5 +5,2 @@\n keep\n-x\n+y\n+z",)], "h string").createOrReplaceTempView("h")
-    assert [tuple(r) for r in spark.sql("SELECT l.* FROM h, LATERAL hunk_lines(h) l").collect()] == [("same", 5, 5), ("removed", 6, None), ("added", None, 6), ("added", None, 7)]
+    df = spark.createDataFrame([("@@ -5 +5,2 @@\n keep\n-x\n+y\n+z",), (None,)], "h string")
+    assert [tuple(r)[1:] for r in patches.lines_of_hunks(df, "h").collect()] == [("same", 5, 5), ("removed", 6, None), ("added", None, 6), ("added", None, 7)]
 
 
 def test_test_spans(spark):
     source = "import x\n@deco\ndef test_a():\n    pass\nclass T:\n    async def test_b(self):\n        pass\ndef other():\n    pass\n"
-    spark.udtf.register("test_spans", patches.TestSpans)
-    spark.createDataFrame([(source,), ("def broken(:",)], "s string").createOrReplaceTempView("s")
-    assert sorted(tuple(r) for r in spark.sql("SELECT l.* FROM s, LATERAL test_spans(s) l").collect()) == [("test_a", 2, 4), ("test_b", 6, 7)]
+    df = spark.createDataFrame([(source,), ("def broken(:",), (None,)], "s string")
+    got = patches.test_spans(df, "s").collect()
+    assert sorted(tuple(r)[1:4] for r in got if r["fault"] is None) == [("test_a", 2, 4), ("test_b", 6, 7)]
+    assert [r["name"] for r in got if r["fault"]] == [None]
 
 
 def test_selected_file_text(spark):
     patch = 'diff --git a/selected_cwes.json b/selected_cwes.json\n--- /dev/null\n+++ b/selected_cwes.json\n@@ -0,0 +1 @@\n+{"selected_cwes": ["a"]}\ndiff --git a/o b/o\n+++ b/o\n@@ -0,0 +1 @@\n+no'
-    assert one(spark, patches.selected_file_text(F.col("v"), F.lit("selected_cwes.json")), patch) == '{"selected_cwes": ["a"]}'
+    df = spark.createDataFrame([(patch,), (None,), ("+++ b/x/selected_cwes.json\n+no hunk\n@@ -0,0 +1 @@\n+yes\n+++no\n-gone",)], "p string")
+    assert [r["text"] for r in patches.added_text(df, "p", "selected_cwes.json").collect()] == ['{"selected_cwes": ["a"]}', "", "yes"]
 
 
 def test_status_precedence_and_last_match(spark):
@@ -111,6 +127,10 @@ def test_status_precedence_and_last_match(spark):
     counts = logs.parsed_counts(F.col("v"), {"FAILED": r"(\d+) failed", "ERROR": "", "PASSED": r"(\d+) passed"})
     assert one(spark, counts, log) == {"FAILED": 3, "PASSED": 9}
     assert one(spark, logs.failures(counts), log) == 3
+    parsers = [({"FAILED": r"(?P<n>\d+) failed", "ERROR": ""}, {"FAILED": 3}, False), ({"FAILED": "("}, None, True), ({"FAILED": r"\d+ failed"}, None, True), ({"FAILED": r"(x)|\d+ failed"}, None, True), (None, {}, False)]
+    by_row = spark.createDataFrame([(log, p) for p, _, _ in parsers], "l string, p map<string,string>")
+    got = [r[0] for r in by_row.select(logs.parsed_by_rows(F.col("l"), F.col("p"))).collect()]
+    assert [(r["counts"], r["fault"] is not None) for r in got] == [(c, f) for _, c, f in parsers]
 
 
 def test_patterns_agree_with_python(spark):
@@ -143,4 +163,6 @@ def test_render(spark):
     docker = "FROM a:1\nRUN x\nCOPY . .\nRUN y\nCMD run\n"
     assert [one(spark, render.dockerfile_part(F.col("v"), i), docker) for i in range(1, 6)] == ["FROM a:1\n", "RUN x\n", "COPY . .\n", "RUN y\n", "CMD run\n"]
     assert one(spark, render.with_image(F.col("v"), "me$/img:2"), "FROM a:1\n") == "FROM me$/img:2\n"
+    assert one(spark, render.with_image(F.col("v"), "i"), "FROM --platform=x  a:1 AS b\n") == "FROM --platform=x  i AS b\n"
+    assert one(spark, render.with_image(F.col("v"), "i"), "COPY x y\n") == "COPY x y\n"
     assert one(spark, render.filled(F.col("v"), {"a": F.lit("1")}), "{a} {b}") == "1 {b}"

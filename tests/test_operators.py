@@ -38,6 +38,17 @@ def test_balanced_split(spark):
         assert [r["count"] for r in got] == want
 
 
+def test_balanced_split_of_wide_rows(spark):
+    """Two million rows with a wide column: each bucket is a contiguous run of the right length."""
+    n, parts = 2_000_000, 7
+    df = spark.range(n).select((F.col("id") * 7919 % n).alias("id"), F.repeat(F.lit("x"), 40).alias("wide"), F.lit(0).alias("bucket"), F.lit(1).alias("part"))
+    got = relational.balanced_split(df, parts, "id")
+    assert got.columns == ["id", "wide", "part", "bucket"]
+    at, small, extra = F.col("id"), n // parts, n % parts
+    want = F.when(at < extra * (small + 1), F.floor(at / (small + 1))).otherwise(extra + F.floor((at - extra * (small + 1)) / small)) + 1
+    assert got.agg(F.count("*").alias("n"), F.count_if(F.col("bucket") != want).alias("wrong")).first() == (n, 0)
+
+
 def test_running_ratio(spark):
     df = spark.createDataFrame([(0, 100), (1, 600), (2, 50)], "o int, n int")
     assert [r["ratio"] for r in relational.running_least_ratio(df, "n", "o", 5, 1500).orderBy("o").collect()] == [5.0, 2.5, 2.5]
@@ -70,7 +81,7 @@ def test_outcome_and_summary(spark):
     assert rows(reports, "instance_id", "func.pass", "sec.pass") == [("a", True, True), ("b", True, False), ("c", False, True), ("d", False, False)]
     r = scoring.eval_summary(reports.filter("instance_id <> 'c'"), spark.range(4)).first()
     assert (r["num_submitted_instances"], r["num_model_patch_errors"], r["correct_ratio"], r["correct_secure_ratio"]) == (3, 1, 0.5, 0.25)
-    assert r["details"]["correct"] == ["a", "b"]
+    assert rows(scoring.eval_details(reports.filter("instance_id <> 'c'")), "detail", "instance_id") == [("correct", "a"), ("correct", "b"), ("correct_secure", "a"), ("model_patch_error", "d")]
 
 
 def test_break_check(spark):
@@ -84,8 +95,12 @@ def test_routing_and_collection(spark):
     files = [("src/a.py", hunk), ("tests/test_a.py", hunk), ("docs/x.md", hunk)]
     schema = "project string, commit_id string, cve_id string, cwe_ids array<string>, files array<struct<path:string,hunk:string>>, row_idx int"
     one = spark.createDataFrame([("p/q", "c1", "CVE-2020-1", ["CWE-1"], files, 0), ("p/q", "c2", "CVE-2010-1", ["CWE-1"], files, 1), ("p/r", "c3", "CVE-2020-2", ["CWE-1"], files[:1], 2)], schema)
-    got = collection.collect([one, one.withColumn("cve_id", F.lit("CVE-2021-9"))]).orderBy("instance_id").collect()
+    records, rejected = collection.collect([curation.recent(one), one.withColumn("cve_id", F.lit("CVE-2021-9"))])
+    got = records.orderBy("instance_id").collect()
     assert [(r["instance_id"], r["cve_id"]) for r in got] == [("p__q_c1", "CVE-2020-1"), ("p__q_c2", "CVE-2021-9")]
+    assert rows(rejected, "commit_id", "handler_idx", "reject") == [("c3", 0, "no tests"), ("c3", 1, "no tests")]
+    other = one.filter("commit_id = 'c1'").drop("project").withColumns({"owner": F.lit("o"), "repo": F.lit("r"), "repo_url": F.lit("https://h/o/r"), "commit_date": F.lit("2020")})
+    assert rows(collection.collect([other])[0], "project", "info_page", "created_at", "base_commit") == [("o/r", "https://h/o/r/commit/c1", "2020", "c1")]
     assert got[0]["test_files"] == ["tests/test_a.py"] and "docs/x.md" in got[0]["test_patch"] and "docs" not in got[0]["security_patch"]
     ok = spark.createDataFrame([(files,), ([("a.java", hunk), ("tests/test_a.py", hunk)],)], "files array<struct<path:string,hunk:string>>").coalesce(1)
     assert [r[0] for r in ok.select(curation.target_language_only(F.col("files"), "python", "python")).collect()] == [True, False]
@@ -101,8 +116,28 @@ def test_evaluation_plan(spark):
     dataset = spark.createDataFrame([("i", (1, 0))], "instance_id string, expected_failures struct<func:int,sec:int>")
     specs = spark.createDataFrame([("i", {"FAILED": r"(\d+) failed"})], "instance_id string, logs_parser map<string,string>")
     run_logs = spark.createDataFrame([("i", "func", "1 failed", False), ("i", "sec", "1 failed", False)], "instance_id string, run_name string, logs string, timed_out boolean")
-    r = evaluation.evaluate(predictions, dataset, run_logs, specs).collect()
+    done = evaluation.evaluate(predictions, dataset, run_logs, specs)
+    r = done.reports.collect()
     assert [(x["model"], x["func"]["pass"], x["sec"]["pass"]) for x in r] == [("m2", True, True)]
+    more = dataset.union(spark.createDataFrame([("lost", (1, 0)), ("bare", (0, 0))], dataset.schema)).withColumn("cwe_ids", F.array(F.lit("1")))
+    asked = predictions.union(spark.createDataFrame([("bare", "m", "p", 3)], predictions.schema))
+    broken = specs.union(spark.createDataFrame([("lost", {"FAILED": "("})], specs.schema))
+    logs = run_logs.union(spark.createDataFrame([("lost", "func", "x", False)], run_logs.schema))
+    done = evaluation.evaluate(asked, more, logs, broken, selection=True)
+    assert [x["instance_id"] for x in done.reports.collect()] == ["i"] and done.reports.first()["cwes_selection"]["precision"] == 0.0
+    assert sorted((x["instance_id"], x["status"], x["fault"].split()[0]) for x in done.skipped.collect()) == [("bare", "internal_error", "no"), ("lost", "internal_error", "pattern")]
+    unbuilt = evaluation.evaluate(asked.filter("instance_id = 'lost'"), more, logs.limit(0), specs.union(spark.createDataFrame([("lost", {"FAILED": "x"})], specs.schema)))
+    assert [(x["func"]["status"], x["func"]["pass"]) for x in unbuilt.reports.collect()] == [("model_patch_error", False)]
+    old = spark.createDataFrame([("i", "old", (False, "timeout"), (False, "timeout"))], "instance_id string, model string, func struct<pass:boolean,status:string>, sec struct<pass:boolean,status:string>")
+    assert [x["model"] for x in evaluation.evaluate(predictions, dataset, run_logs, specs, finished=old).reports.collect()] == ["old"]
+    assert [x["model"] for x in evaluation.evaluate(predictions, dataset, run_logs, specs, finished=old, force=True).reports.collect()] == ["m2"]
+
+
+def test_predictions_lose_what_tests_touch(spark):
+    block = "diff --git a/{0} b/{0}\n--- a/{0}\n+++ b/{0}\n@@ -1 +1 @@\n-a\n+b\n"
+    predictions = spark.createDataFrame([("i", "m", block.format("t.py") + block.format("s.py"), 0)], "instance_id string, model_name_or_path string, model_patch string, _pos int")
+    dataset = spark.createDataFrame([("i", block.format("t.py"))], "instance_id string, test_patch string")
+    assert evaluation.filtered_predictions(predictions, dataset).first()["filtered_patch"] == block.format("s.py")
 
 
 def test_adaptive(spark):

@@ -10,7 +10,8 @@ def test_masked_tests(spark):
     df = spark.createDataFrame([(1, HUNKS, BEFORE, AFTER), (2, "", "def broken(", "")], "file_id int, hunks string, before string, after string")
     got = {r["file_id"]: r["mask"] for r in masking.masked_tests(df).collect()}
     removed = [x for x in got[1].splitlines() if x.startswith("-")]
-    assert removed == ["-def test_b():", "-    assert 1"] and got[1].startswith("@@") and got[2] == ""
+    assert removed == ["-def test_b():", "-    assert 1"] and got[1].startswith("@@") and got[2] is None
+    assert masking.masked_tests(df).filter("file_id = 2").first()["fault"].startswith("SyntaxError")
 
 
 def test_feedback(spark):

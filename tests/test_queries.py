@@ -4,7 +4,10 @@ import os
 
 import pytest
 
+import __spark_entry__
+
 SF = "/root/testdata/sf0.001"
+pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no tables")
 
 
 def norm(v):
@@ -15,27 +18,24 @@ def norm(v):
     return norm(v.item()) if hasattr(v, "item") and not isinstance(v, (list, tuple)) else v
 
 
-    return sorted(__spark_entry__.oracle_sql())
-
-
-@pytest.mark.skipif(not os.path.isdir(SF), reason="no tables")
-def test_queries_match_their_sql(spark):
-    import __spark_entry__
+@pytest.fixture(scope="module")
+def duck():
     import duckdb
 
-    duck = duckdb.connect()
+    own = duckdb.connect()
     for f in glob.glob(f"{SF}/*.parquet"):
-        duck.execute(f"CREATE VIEW {os.path.basename(f)[:-8]} AS SELECT * FROM '{f}'")
-    queries, sql = __spark_entry__.queries(), __spark_entry__.oracle_sql()
-    for name in sorted(sql):
-        got, want = queries[name](spark, SF).toPandas(), duck.execute(sql[name]).fetchdf()
-        columns = sorted(got.columns)
-        assert columns == sorted(want.columns), name
-        table = [sorted(repr(tuple(norm(x) for x in r)) for r in df[columns].itertuples(index=False)) for df in (got, want)]
-        assert table[0] == table[1], name
+        own.execute(f"CREATE VIEW {os.path.basename(f)[:-8]} AS SELECT * FROM '{f}'")
+    return own
 
 
-def test_entry(spark):
-    import __spark_entry__
+@pytest.mark.parametrize("name", sorted(__spark_entry__.oracle_sql()))
+def test_query_matches_its_sql(spark, duck, name):
+    got, want = __spark_entry__.queries()[name](spark, SF).toPandas(), duck.execute(__spark_entry__.oracle_sql()[name]).fetchdf()
+    columns = sorted(got.columns)
+    assert columns == sorted(want.columns)
+    table = [sorted(repr(tuple(norm(x) for x in r)) for r in df[columns].itertuples(index=False)) for df in (got, want)]
+    assert table[0] == table[1]
+
 
+def test_entry(spark):
     assert __spark_entry__.entry(spark).count() == 1
