@@ -11,19 +11,21 @@ from __future__ import annotations
 
 import html as html_rules
 from collections.abc import Iterator
+from html.entities import html5
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from patchloom.llm.session import prepare
+
 CRLF = "\r\n"
 RESPONSE = "record_id string, target_uri string, warc_date string, http_headers string, payload string"
 
-# What of HTML is no text, what parts lines; ENTITIES and LINK are those of the SQL twin, which resolves fewer.
+# What of HTML is no text, what parts lines; LINK is that of the SQL twin, which reads double quotes only.
 UNSEEN = r"(?is)<!--.*?-->|<script\b.*?</script>|<style\b.*?</style>|<head\b.*?</head>"
 BREAKS = r"(?i)<(?:/?(?:p|div|li|ul|ol|tr|table|h[1-6]|article|section|nav|header|footer|blockquote|pre)\b[^>]*|br\b[^>]*)>"
 TAGS = r"<[^>]*>"
-ENTITIES = [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")]
 TITLE = r"(?is)<title[^>]*>(.*?)</title>"
 LINK = r'(?i)<a\b[^>]*?\bhref="([^"]*)"'
 #: An anchor's first href in double quotes, in single quotes or bare; quoted values of other attributes are passed over whole.
@@ -125,6 +127,7 @@ def derivatives(responses: DataFrame) -> DataFrame:
     target, date or header is left out of the WARC header.  Repeated rows give
     repeated records; other columns are not read; an empty table gives no rows.
     """
+    prepare(responses.sparkSession)
     keep = [c for c in ("page_id",) if c in responses.columns]
     html = F.coalesce(F.col("payload").cast("string"), F.lit(""))
     read = responses.select(*keep, "record_id", "target_uri", "warc_date", "http_headers", html.alias("html"), _digest(html).alias("source_digest"))
@@ -152,24 +155,34 @@ def records(derived: DataFrame) -> DataFrame:
     return derived.withColumn("record", F.concat("headers", F.lit(CRLF * 2), "block", F.lit(CRLF * 2)))
 
 
+def _resolved_sql(text: str) -> str:
+    """DuckDB's expression for ``text`` with every reference that ends in a semicolon resolved, by name from ``names`` or by number."""
+    pieces = f"regexp_extract_all({text}, '&#[0-9]+;|&#[xX][0-9a-fA-F]+;|&[A-Za-z][A-Za-z0-9]*;|[^&]+|&')"
+    number = "chr(CAST(substr(p, 3, length(p) - 3) AS INTEGER))"
+    hexadecimal = "chr(CAST(concat('0x', substr(p, 4, length(p) - 4)) AS INTEGER))"
+    one = f"CASE WHEN p[2] <> '#' OR length(p) < 4 OR p[1] <> '&' THEN coalesce(m[p], p) WHEN lower(p[3]) = 'x' THEN {hexadecimal} ELSE {number} END"
+    return f"replace(array_to_string(list_transform({pieces}, lambda p: {one}), ''), chr(160), ' ')"
+
+
 def oracle_sql() -> str:
-    """The derivatives of the pages table, in DuckDB's SQL, which resolves the references of ENTITIES only."""
+    """The derivatives of the pages table, in DuckDB's SQL, for pages whose references end in semicolons and whose links are in double quotes."""
     uuid = "concat('<urn:uuid:', substr(h, 1, 8), '-', substr(h, 9, 4), '-', substr(h, 13, 4), '-', substr(h, 17, 4), '-', substr(h, 21, 12), '>')"
-    entities = "{}"
-    for name, sign in ENTITIES:
-        entities = f"replace({entities}, '{name}', '{sign.replace(chr(39), chr(39) * 2)}')"
+    literal = lambda x: "'" + x.replace("'", "''") + "'"
+    known = {f"&{n}": v for n, v in html5.items() if n.endswith(";")}
+    names = f"MAP([{', '.join(map(literal, known))}], [{', '.join(map(literal, known.values()))}])"
     text = f"regexp_replace(regexp_replace(html, '{UNSEEN}', '', 'g'), '{BREAKS}', chr(10), 'g')"
-    text = entities.format(f"regexp_replace({text}, '{TAGS}', '', 'g')")
+    text = _resolved_sql(f"regexp_replace({text}, '{TAGS}', '', 'g')")
     text = f"regexp_replace(regexp_replace({text}, '[ \\t\\r]*\\n[ \\t\\r\\n]*', chr(10), 'g'), '^\\s+|\\s+$', '', 'g')"
-    title = entities.format(f"regexp_extract(html, '{TITLE}', 1)")
+    title = _resolved_sql(f"regexp_extract(html, '{TITLE}', 1)")
+    links = f"list_transform(regexp_extract_all(html, '{LINK}', 1), lambda x: {_resolved_sql('x')})"
     return f"""
-WITH source AS (
+WITH names AS (SELECT {names} AS m), source AS (
   SELECT page_id, url, html, md5(concat_ws('|', 'response', page_id, url)) AS h,
          concat('sha256:', sha256(html)) AS source_digest,
          concat('HTTP/1.1 200 OK', chr(13), chr(10), 'Content-Type: text/html; charset=utf-8', chr(13), chr(10), 'Content-Length: ', strlen(html)) AS source_headers,
          strftime(make_timestamp((1704067200 + page_id) * 1000000), '%Y-%m-%dT%H:%M:%SZ') AS warc_date,
-         {text} AS text, trim({title}) AS title, regexp_extract_all(html, '{LINK}', 1) AS links
-  FROM pages
+         {text} AS text, trim({title}) AS title, {links} AS links
+  FROM pages, names
 ), response AS (SELECT *, {uuid} AS refers_to FROM source
 ), block AS (
   SELECT page_id, refers_to, url, warc_date, source_digest, source_headers, 'conversion' AS warc_type, 'text/plain; charset=utf-8' AS content_type, text AS block FROM response
