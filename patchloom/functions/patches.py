@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from patchloom.functions.text import LINE_ENDS, split_lines
-from patchloom.schemas import PATCH_FILES
+from patchloom.schemas import HUNK_PATTERN, PATCH_FILES
 from patchloom.session import prepare
 
 #: Where a line starts: at the text's start or after any line end.
@@ -187,7 +187,7 @@ def hunk_lines(hunks: str) -> Iterator[tuple[str, int | None, int | None]]:
     old = new = 0
     inside = False
     for line in lines_of(hunks or ""):
-        m = re.match(r"@@ -(\d+)(?:,(\d+))? \+(\d+)(?:,(\d+))? @@", line)
+        m = re.match(HUNK_PATTERN, line)
         if m:
             old, new, inside = int(m[1]), int(m[3]), True
         elif inside and line[:1] == "+":

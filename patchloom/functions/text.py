@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from patchloom.schemas import LANGUAGE_EXTENSIONS
+from patchloom.session import prepare
 
 LINE_ENDS = r"\n\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029"
 LINE_END = rf"\r\n|[{LINE_ENDS}]"
@@ -85,6 +86,24 @@ def tail_words(text: Column, n: int) -> Column:
     return F.array_join(F.slice(words, F.greatest(F.lit(1), F.size(words) - (n - 1)), n), " ")
 
 
+def tail_tokens(text: Column, tokenizer_path: str, n: int) -> Column:
+    """The end of a text from where its last ``n`` tokens start; the whole text if it has no more.
+
+    ``tokenizer_path`` names a tokenizer file that all workers can read.
+    """
+    prepare()
+
+    @F.pandas_udf(T.StringType())
+    def tail(texts: pd.Series) -> pd.Series:
+        from tokenizers import Tokenizer
+
+        tokenizer = Tokenizer.from_file(tokenizer_path)
+        offsets = [None if t is None else tokenizer.encode(t, add_special_tokens=False).offsets for t in texts]
+        return pd.Series([t if o is None or len(o) <= n else t[o[-n][0] :] if n else "" for t, o in zip(texts, offsets, strict=True)], dtype=object)
+
+    return tail(text)
+
+
 def year_of_cve(cve: Column, strict: bool = False) -> Column:
     part = F.split_part(cve, F.lit("-"), F.lit(2))
     return part.cast("int") if strict else part.try_cast("int")

@@ -77,5 +77,7 @@ SYMBOL_ERROR_PATTERNS = [
     r"pydantic\..*?ValidationError:",
     r"Unknown keyword argument",
 ]
+# Fixed value: the first line of a hunk, with the start and length before and after.
+HUNK_PATTERN = r"@@ -(\d+)(?:,(\d+))? \+(\d+)(?:,(\d+))? @@"
 # Fixed value: statements of an environment's Dockerfile, as five groups.
 DOCKERFILE_PATTERN = r"^(FROM[^\r\n]*\r?\n)(.*?)^(COPY[^\r\n]*\r?\n)(.*?)^(CMD[^\r\n]*(?:\r?\n|$))"

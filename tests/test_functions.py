@@ -95,6 +95,13 @@ def test_with_files(spark):
     assert got[3]["files"] is None and got[3]["error"] and got[2]["error"] is None
 
 
+def test_tail_tokens(spark):
+    public_tokenizers = pytest.importorskip("public_tokenizers")
+    path = public_tokenizers.path("word_bpe_49k.json")
+    df = spark.createDataFrame([("one two  three, four",), ("one",), ("",), (None,)], "t string")
+    assert [r[0] for r in df.select(text.tail_tokens(F.col("t"), path, 3)).collect()] == ["three, four", "one", "", None]
+
+
 def test_paths_are_not_trimmed(spark):
     assert one(spark, patches.touched_files(F.col("v")), "+++ b/a b \t2020\r\n+++ c\x0b+++ b/b/d\n x+++ e") == ["a b ", "c", "b/d"]
 
