@@ -2,32 +2,26 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-from pathlib import Path
+from collections.abc import Callable, Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
-ROOT = str(Path(__file__).resolve().parents[2])
+from patchloom.session import cut_lineage, free_name, prepare
 
+__all__ = ["cut_lineage", "free_name", "prepare", "schema_of", "with_names"]
 
-def prepare(spark: SparkSession) -> SparkSession:
-    """Let Python workers import this package, wherever the driver was started."""
-    env = spark.sparkContext.environment
-    paths = env.get("PYTHONPATH", "").split(os.pathsep)
-    if ROOT not in paths:
-        env["PYTHONPATH"] = os.pathsep.join([ROOT, *(p for p in paths if p)])
-    return spark
 
+def schema_of(df: DataFrame) -> str:
+    """The columns of ``df`` as a schema string."""
+    return ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in df.schema)
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the cluster's checkpoint folder and read it from there.
 
-    The folder is the one in ``spark.checkpoint.dir``, which all executors
-    share; only where none is set (tests) a local one is used.
+def with_names(df: DataFrame, names: Iterable[str], function: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``function`` of ``df`` with all its columns but ``names`` renamed c0, c1 ... so that none clashes, and named back after it.
+
+    Columns that ``function`` adds keep their names, after those of ``df``.
     """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        configured = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(configured or tempfile.mkdtemp(prefix="checkpoint-"))
-    return df.checkpoint(eager=True)
+    names = list(names)
+    short = [c if c in names else f"c{i}" for i, c in enumerate(df.columns)]
+    out = function(df.toDF(*short))
+    return out.toDF(*df.columns, *out.columns[len(short) :])
