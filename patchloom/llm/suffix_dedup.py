@@ -4,13 +4,19 @@ A rolling hash sets triggers in each text so that every string of ``LENGTH``
 bytes holds one and equal strings hold it at the same place.  The strings that
 share a trigger form a phrase, which reaches as far as they do.
 
-* The dictionary: phrases are dealt by their trigger.  A phrase that a smaller
-  document has too goes whole; one whose trigger nobody else has stays.
-* Where a trigger has several phrases (at the ends of what is repeated), their
-  bytes are brought together and all suffixes of at least ``LENGTH`` bytes are
-  put in order, so that equal strings meet, with the least document first.
-* The parse, the phrases' places in each document, takes these answers back
-  into text order; overlapping ones are merged.
+* The parse: each document's phrases with their places.  Phrases are dealt by
+  their trigger.  One that a smaller document has too goes whole; one whose
+  trigger nobody else has stays.
+* The dictionary: where a trigger has several phrases (at the ends of what is
+  repeated), the distinct ones are brought together, and a suffix array orders
+  their suffixes of at least ``LENGTH`` bytes.  Equal strings are neighbours in
+  it, and each belongs to the least document that the parse has for it.
+* These answers go back along the parse into text order; overlapping ones are
+  merged.
+* A trigger that very many phrases have (a passage of all documents, with other
+  text beside it) would bring them all to one task.  Such triggers, of which
+  there can be only ``MOST_HEAVY``, are found first; the strings around them are
+  dealt by their own hashes, the least document of each run of texts only.
 """
 
 from __future__ import annotations
@@ -35,8 +41,14 @@ SEGMENT = 1 << 20
 RUN_BYTES = 16 << 20
 LEAST_ID = -(2**63)
 
-#: 48 bits of the trigger's and of the phrase's hash; ``at`` holds the first byte's place (34 bits), the phrase's length (6) and a tag of the text (24).
-PHRASE = np.dtype([("trigger_high", "<u4"), ("trigger_low", "<u2"), ("content_high", "<u4"), ("content_low", "<u2"), ("doc", "<i8"), ("at", "<u8")])
+#: A trigger is heavy if it has over a MOST_HEAVY-th of all phrases, and NOTED in a run of texts at least.
+MOST_HEAVY, NOTED = 20_000, 64
+
+#: 48 bits of the trigger's and of the phrase's hash; ``at`` holds the first byte's place (34 bits) and the phrase's length (6).
+PHRASE = np.dtype([("trigger_high", "<u4"), ("trigger_low", "<u2"), ("content_high", "<u4"), ("content_low", "<u2"), ("doc", "<i8"), ("at_high", "u1"), ("at", "<u4")])
+#: The same where ids repeat, with a hash that tells apart the texts of one id.
+TAGGED = np.dtype([*PHRASE.descr, ("tag", "<i8")])
+STRING = np.dtype([("hash", "<u8"), ("doc", "<i8"), ("tag", "<i8"), ("start", "<i8")])
 SPAN = np.dtype([("doc", "<i8"), ("tag", "<i8"), ("start", "<i8"), ("end", "<i8")])
 SHARED = np.dtype([("trigger", "<u8"), ("doc", "<i8"), ("tag", "<i8"), ("start", "<i8"), ("length", "<i8"), ("bytes", "u1", (LENGTH + STRIDE,))])
 
@@ -80,6 +92,15 @@ def phrases(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     return row[lo], lo - offsets[row[lo]], hi - lo, trigger_hash, content
 
 
+def string_hashes(data: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of the ``LENGTH`` bytes from each place."""
+    out = np.zeros(len(first), np.uint64)
+    for i in range(LENGTH):
+        out *= U64(kernels.BASE)
+        out += kernels.BYTE_HASH[data[first + i]]
+    return kernels.mix(out)
+
+
 def _segments(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """First row, first byte in it, bytes and row offsets, of at most about ``SEGMENT`` bytes each."""
     for lo, hi in kernels.doc_chunks(offsets, SEGMENT):
@@ -118,41 +139,105 @@ def _span_records(doc: np.ndarray, tag: np.ndarray, start: np.ndarray, end: np.n
     return out
 
 
-def _parse(parts: int):
-    def flush(held: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
-        if not held:
-            return
-        doc, tag, start, length, trigger, content = (np.concatenate(x) for x in zip(*held, strict=True))
+def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, int, int, np.ndarray, np.ndarray]]:
+    """Ids and tags of a batch with each segment of its texts: first row, first byte, bytes and row offsets."""
+    for batch in batches:
+        ids, tags = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+        data, offsets = kernels.text_buffer(batch.column(2))
+        for segment in _segments(data, offsets):
+            yield ids, tags, *segment
+
+
+def _note_triggers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Triggers that a run of texts has ``NOTED`` times or more, and with 0 the run's number of phrases."""
+    held: list[np.ndarray] = []
+    size = 0
+
+    def flush() -> pa.RecordBatch:
+        trigger, n = np.unique(np.concatenate([np.empty(0, np.uint64), *held]) >> U64(16), return_counts=True)
+        noted = n >= NOTED
+        total = int(n.sum())
         held.clear()
-        order = np.lexsort((doc, content, trigger))
-        doc, tag, start, length, trigger, content = (x[order] for x in (doc, tag, start, length, trigger, content))
-        first = blobs.runs(trigger, content)
-        again = doc > np.repeat(doc[first], np.diff([*first, len(doc)]))
-        gone = _span_records(doc[again], tag[again], start[again], (start + length)[again])
-        out = np.empty(int((~again).sum()), PHRASE)
-        for name, hashes in (("trigger", trigger[~again]), ("content", content[~again])):
-            out[f"{name}_high"], out[f"{name}_low"] = hashes >> U64(32), (hashes >> U64(16)) & U64(0xFFFF)
-        out["doc"] = doc[~again]
-        out["at"] = (start[~again].astype(np.uint64) << U64(30)) | ((length[~again] - LENGTH).astype(np.uint64) << U64(24)) | tag[~again].astype(np.uint64)
-        rows = list(blobs.deal(0, trigger[~again], out, parts)) + list(blobs.deal(1, kernels.mix(gone["doc"].astype(np.uint64)), gone, parts))
+        return pa.RecordBatch.from_arrays([pa.array(np.append(trigger[noted].astype(np.int64), 0)), pa.array(np.append(n[noted], total))], ["trigger", "n"])
+
+    for _, _, _, _, part, at in _texts(batches):
+        held.append(phrases(part, at)[3])
+        size += len(part)
+        if size >= RUN_BYTES:
+            size = 0
+            yield flush()
+    yield flush()
+
+
+def heavy_triggers(texts: DataFrame) -> np.ndarray:
+    """The first 48 bits of the triggers that more than a ``MOST_HEAVY``-th of all phrases have, in order."""
+    counts = cut_lineage(texts.mapInArrow(_note_triggers, "trigger bigint, n bigint").groupBy("trigger").agg(F.sum("n").alias("n")))
+    total = counts.filter("trigger = 0").agg(F.sum("n")).first()[0] or 0
+    rows = counts.filter((F.col("trigger") != 0) & (F.col("n") > total / MOST_HEAVY) & (F.col("n") >= NOTED)).select("trigger").collect()
+    return np.sort(np.array([r[0] for r in rows], np.int64).astype(np.uint64))
+
+
+def _least_first(key: np.ndarray, doc: np.ndarray, *more: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order by keys, then documents, and which places in it are not of a key's least document."""
+    order = np.lexsort((doc, *more, key))
+    first = blobs.runs(key[order], *(m[order] for m in more))
+    return order, doc[order] > np.repeat(doc[order][first], np.diff([*first, len(order)]))
+
+
+def _parse(parts: int, heavy, tagged: bool):
+    def flush(held: list[tuple[np.ndarray, ...]], strings: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
+        rows: list[tuple[int, int, bytes]] = []
+        spans = []
+        if held:
+            doc, tag, start, length, trigger, content = (np.concatenate(x) for x in zip(*held, strict=True))
+            order, again = _least_first(trigger, doc, content)
+            doc, tag, start, length, trigger, content = (x[order] for x in (doc, tag, start, length, trigger, content))
+            spans.append((doc[again], tag[again], start[again], (start + length)[again]))
+            out = np.empty(int((~again).sum()), TAGGED if tagged else PHRASE)
+            for name, hashes in (("trigger", trigger[~again]), ("content", content[~again])):
+                out[f"{name}_high"], out[f"{name}_low"] = hashes >> U64(32), (hashes >> U64(16)) & U64(0xFFFF)
+            out["doc"] = doc[~again]
+            at = (start[~again].astype(np.uint64) << U64(6)) | (length[~again] - LENGTH).astype(np.uint64)
+            out["at_high"], out["at"] = at >> U64(32), at & U64(0xFFFFFFFF)
+            if tagged:
+                out["tag"] = tag[~again]
+            rows += blobs.deal(0, trigger[~again], out, parts)
+        if strings:
+            key, doc, tag, start = (np.concatenate(x) for x in zip(*strings, strict=True))
+            order, again = _least_first(key, doc)
+            key, doc, tag, start = (x[order] for x in (key, doc, tag, start))
+            spans.append((doc[again], tag[again], start[again], start[again] + LENGTH))
+            out = np.empty(int((~again).sum()), STRING)
+            out["hash"], out["doc"], out["tag"], out["start"] = key[~again], doc[~again], tag[~again], start[~again]
+            rows += blobs.deal(2, out["hash"], out, parts)
+        if spans:
+            gone = _span_records(*(np.concatenate(x) for x in zip(*spans, strict=True)))
+            rows += blobs.deal(1, kernels.mix(gone["doc"].astype(np.uint64)), gone, parts)
+        held.clear()
+        strings.clear()
         for lo in range(0, len(rows), 256):
             yield blobs.batch(rows[lo : lo + 256])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, ...]] = []
-        size = 0
-        for batch in batches:
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
-            tags = batch.column(1).to_numpy(zero_copy_only=False)
-            data, offsets = kernels.text_buffer(batch.column(2))
-            for lo, ahead, part, at in _segments(data, offsets):
-                row, start, length, trigger, content = phrases(part, at)
-                held.append((ids[row + lo], tags[row + lo], start + ahead, length, trigger, content))
-                size += len(part)
-                if size >= RUN_BYTES:
-                    size = 0
-                    yield from flush(held)
-        yield from flush(held)
+        strings: list[tuple[np.ndarray, ...]] = []
+        often, size = heavy.value, 0
+        for ids, tags, lo, ahead, part, at in _texts(batches):
+            row, start, length, trigger, content = phrases(part, at)
+            if len(often):
+                place = np.minimum(np.searchsorted(often, trigger >> U64(16)), len(often) - 1)
+                split = often[place] == trigger >> U64(16)
+                n = length[split] - LENGTH + 1
+                own = np.repeat(row[split], n)
+                each = np.repeat(start[split], n) + np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+                strings.append((string_hashes(part, at[own] + each), ids[own + lo], tags[own + lo], each + ahead))
+                row, start, length, trigger, content = (x[~split] for x in (row, start, length, trigger, content))
+            held.append((ids[row + lo], tags[row + lo], start + ahead, length, trigger, content))
+            size += len(part)
+            if size >= RUN_BYTES:
+                size = 0
+                yield from flush(held, strings)
+        yield from flush(held, strings)
 
     return run
 
@@ -165,40 +250,47 @@ def _marks(kind: int, doc, tag, start, end) -> pa.Table:
     return pa.table([pa.array(np.full(len(doc), kind, np.int32)), *(pa.array(np.ascontiguousarray(x), pa.int64()) for x in (doc, tag, start, end))], ["kind", "doc", "tag", "start", "end"])
 
 
-def _dictionary(got: dict[int, list[bytes]]) -> pa.Table:
-    out = [_marks(0, *(np.empty(0, np.int64),) * 4)]
-    if 1 in got:
-        gone = blobs.unpack(got[1], SPAN)
-        out.append(_marks(0, gone["doc"], gone["tag"], gone["start"], gone["end"]))
-    if 0 in got:
-        found = blobs.unpack(got[0], PHRASE)
-        trigger = found["trigger_high"].astype(np.uint64) << U64(16) | found["trigger_low"]
-        order = np.argsort(trigger)
-        found, trigger = found[order], trigger[order]
-        first = blobs.runs(trigger)
-        several = np.repeat(np.diff([*first, len(found)]) > 1, np.diff([*first, len(found)]))
-        found, trigger = found[several], trigger[several]
-        if len(found):
-            content = found["content_high"].astype(np.uint64) << U64(16) | found["content_low"]
-            order = np.lexsort((found["doc"], content, trigger))
-            found, trigger, content = found[order], trigger[order], content[order]
-            first = blobs.runs(trigger)
-            count = np.diff([*first, len(found)])
-            other_doc = np.repeat(np.minimum.reduceat(found["doc"], first) < np.maximum.reduceat(found["doc"], first), count)
-            each = blobs.runs(trigger, content)
-            least = np.repeat(found["doc"][each], np.diff([*each, len(found)]))
-            mixed = np.zeros(len(found), np.int64)
-            mixed[each] = 1
-            mixed = np.repeat(np.add.reduceat(mixed, first) > 1, count)
-            start = (found["at"] >> U64(30)).astype(np.int64)
-            end = start + LENGTH + ((found["at"] >> U64(24)) & U64(63)).astype(np.int64)
-            tag = (found["at"] & U64(0xFFFFFF)).astype(np.int64)
-            gone = found["doc"] > least
-            spans = _span_records(found["doc"][gone], tag[gone], start[gone], end[gone])
+def _dictionary(tagged: bool):
+    def run(got: dict[int, list[bytes]]) -> pa.Table:
+        out = [_marks(0, *(np.empty(0, np.int64),) * 4)]
+        if 1 in got:
+            gone = blobs.unpack(got[1], SPAN)
+            out.append(_marks(0, gone["doc"], gone["tag"], gone["start"], gone["end"]))
+        if 2 in got:
+            found = blobs.unpack(got[2], STRING)
+            order, again = _least_first(found["hash"], found["doc"])
+            found = found[order][again]
+            spans = _span_records(found["doc"], found["tag"], found["start"], found["start"] + LENGTH)
             out.append(_marks(0, spans["doc"], spans["tag"], spans["start"], spans["end"]))
-            ask = ~gone & mixed & other_doc
-            out.append(_marks(1, found["doc"][ask], tag[ask], start[ask], end[ask]))
-    return pa.concat_tables(out)
+        if 0 in got:
+            found = blobs.unpack(got[0], TAGGED if tagged else PHRASE)
+            trigger = found["trigger_high"].astype(np.uint64) << U64(16) | found["trigger_low"]
+            order = np.argsort(trigger)
+            found, trigger = found[order], trigger[order]
+            first = blobs.runs(trigger)
+            several = np.repeat(np.diff([*first, len(found)]) > 1, np.diff([*first, len(found)]))
+            found, trigger = found[several], trigger[several]
+            if len(found):
+                content = found["content_high"].astype(np.uint64) << U64(16) | found["content_low"]
+                order, gone = _least_first(trigger, found["doc"], content)
+                found, trigger, content = found[order], trigger[order], content[order]
+                first = blobs.runs(trigger)
+                count = np.diff([*first, len(found)])
+                other_doc = np.repeat(np.minimum.reduceat(found["doc"], first) < np.maximum.reduceat(found["doc"], first), count)
+                mixed = np.zeros(len(found), np.int64)
+                mixed[blobs.runs(trigger, content)] = 1
+                mixed = np.repeat(np.add.reduceat(mixed, first) > 1, count)
+                at = found["at_high"].astype(np.uint64) << U64(32) | found["at"]
+                start = (at >> U64(6)).astype(np.int64)
+                end = start + LENGTH + (at & U64(63)).astype(np.int64)
+                tag = found["tag"] if tagged else np.zeros(len(found), np.int64)
+                spans = _span_records(found["doc"][gone], tag[gone], start[gone], end[gone])
+                out.append(_marks(0, spans["doc"], spans["tag"], spans["start"], spans["end"]))
+                ask = ~gone & mixed & other_doc
+                out.append(_marks(1, found["doc"][ask], tag[ask], start[ask], end[ask]))
+        return pa.concat_tables(out)
+
+    return run
 
 
 def _share(parts: int):
@@ -240,26 +332,51 @@ def _least_steps(strings: np.ndarray) -> np.ndarray:
     return np.argmin(word & U64(0xFFFFFFFFFF000000), axis=1)
 
 
+def suffix_array(dictionary: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The suffixes of at least ``LENGTH`` bytes of distinct phrases in order of their first ``LENGTH`` bytes.
+
+    For each: its phrase, its place in it, and whether these bytes differ from
+    those of the suffix before.  Phrases have at most ``LENGTH + STRIDE`` bytes.
+    """
+    phrase, place, text = [], [], []
+    for i in range(STRIDE + 1):
+        has = np.flatnonzero(length >= LENGTH + i)
+        if len(has):
+            phrase.append(has)
+            place.append(np.full(len(has), i))
+            text.append(np.ascontiguousarray(dictionary[has, i : i + LENGTH]).view(f"S{LENGTH}").ravel())
+    phrase, place, text = np.concatenate(phrase), np.concatenate(place), np.concatenate(text)
+    order = np.argsort(text, kind="stable")
+    text = text[order]
+    return phrase[order], place[order], np.append(True, text[1:] != text[:-1])
+
+
 def _order(got: dict[int, list[bytes]]) -> pa.Table:
-    """Spans of the strings of the shared phrases that a smaller document has too."""
+    """Spans of the strings of the shared phrases that a smaller document has too.
+
+    The parse names each phrase by its entry in the dictionary of distinct ones.
+    Equal strings are neighbours in the dictionary's suffix array; the least
+    document of a run of them is the least that the parse has for its phrases.
+    """
     out = [_marks(0, *(np.empty(0, np.int64),) * 4)]
-    for blob in _groups(got.get(0, [])):
-        suffix, doc, tag, place = [], [], [], []
-        for i in range(STRIDE + 1):
-            has = blob["length"] >= LENGTH + i
-            if has.any():
-                suffix.append(np.ascontiguousarray(blob["bytes"][has, i : i + LENGTH]).view(f"S{LENGTH}").ravel())
-                doc.append(blob["doc"][has])
-                tag.append(blob["tag"][has])
-                place.append(blob["start"][has] + i)
-        text = np.concatenate(suffix)
-        doc, tag, place = np.concatenate(doc), np.concatenate(tag), np.concatenate(place)
-        order = np.lexsort((doc, text))
-        first = blobs.runs(text[order])
-        least = np.empty(len(order), np.int64)
-        least[order] = np.repeat(doc[order][first], np.diff([*first, len(order)]))
-        gone = doc > least
-        spans = _span_records(doc[gone], tag[gone], place[gone], place[gone] + LENGTH)
+    for shared in _groups(got.get(0, [])):
+        whole = np.ascontiguousarray(shared["bytes"]).view(f"V{LENGTH + STRIDE}").ravel()
+        _, entry, parse = np.unique(whole, return_index=True, return_inverse=True)
+        phrase, place, new = suffix_array(shared["bytes"][entry], shared["length"][entry])
+        least_of_phrase = np.full(len(entry), np.iinfo(np.int64).max)
+        np.minimum.at(least_of_phrase, parse, shared["doc"])
+        first = np.flatnonzero(new)
+        least = np.empty(len(phrase), np.int64)
+        least[:] = np.repeat(np.minimum.reduceat(least_of_phrase[phrase], first), np.diff([*first, len(phrase)]))
+        by_phrase = np.argsort(phrase, kind="stable")
+        suffixes = np.bincount(phrase, minlength=len(entry))
+        begin = np.cumsum(suffixes) - suffixes
+        n = suffixes[parse]
+        occurrence = np.repeat(np.arange(len(shared)), n)
+        suffix = by_phrase[np.repeat(begin[parse], n) + np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)]
+        gone = shared["doc"][occurrence] > least[suffix]
+        occurrence, start = occurrence[gone], shared["start"][occurrence[gone]] + place[suffix[gone]]
+        spans = _span_records(shared["doc"][occurrence], shared["tag"][occurrence], start, start + LENGTH)
         out.append(_marks(0, spans["doc"], spans["tag"], spans["start"], spans["end"]))
     return pa.concat_tables(out)
 
@@ -282,12 +399,12 @@ def _id(column: Column) -> Column:
     return F.coalesce(column.cast("bigint"), F.lit(LEAST_ID))
 
 
-def keyed_texts(docs: DataFrame) -> DataFrame:
-    """``(doc, tag, text)``; the tag, 24 bits of a hash, tells apart the texts of one id and is 0 where ids are unique."""
+def keyed_texts(docs: DataFrame) -> tuple[DataFrame, bool]:
+    """``(doc, tag, text)`` and whether ids repeat; the tag, a hash of the text, tells apart the texts of one id and is 0 where none repeats."""
     texts = docs.select(_id(F.col("doc_id")).alias("doc"), F.col("text").cast("string").alias("text"))
     repeated = texts.groupBy("doc").count().filter("count > 1").limit(1).count() > 0
-    tag = F.pmod(F.xxhash64("text"), F.lit(1 << 24)) if repeated else F.lit(0).cast("bigint")
-    return texts.select("doc", tag.alias("tag"), "text")
+    tag = F.xxhash64("text") if repeated else F.lit(0).cast("bigint")
+    return texts.select("doc", tag.alias("tag"), "text"), repeated
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
@@ -298,8 +415,9 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     """
     spark = prepare(docs.sparkSession)
     parts = blobs.part_count(spark)
-    texts = keyed_texts(docs)
-    marks = cut_lineage(blobs.by_part(texts.mapInArrow(_parse(parts), blobs.SCHEMA), _dictionary, MARKS))
+    texts, tagged = keyed_texts(docs)
+    heavy = spark.sparkContext.broadcast(heavy_triggers(texts))
+    marks = cut_lineage(blobs.by_part(texts.mapInArrow(_parse(parts, heavy, tagged), blobs.SCHEMA), _dictionary(tagged), MARKS))
     lists = marks.filter("kind = 1").groupBy("doc", "tag").agg(F.collect_list(F.struct("start", "end")).alias("asked"))
     shared = texts.hint("merge").join(lists, ["doc", "tag"]).mapInArrow(_share(parts), blobs.SCHEMA)
     gone = marks.filter("kind = 0").unionByName(blobs.by_part(shared, _order, MARKS))
@@ -345,12 +463,15 @@ def report(docs: DataFrame) -> DataFrame:
     return repeated_spans(docs).mapInPandas(_report, schema)
 
 
-def _texts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _remaining(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for f in frames:
         kept = [_kept(t, s)[1].decode(errors="ignore") for t, s in zip(f["text"], f["spans"], strict=True)]
         yield pd.DataFrame({"doc_id": [None if d == LEAST_ID else d for d in f["doc"]], "text": kept}).astype({"doc_id": "Int64"})
 
 
 def deduplicate(docs: DataFrame) -> DataFrame:
-    """``doc_id`` and the remaining text; characters cut in two at a span's end go whole."""
-    return repeated_spans(docs).mapInPandas(_texts, "doc_id bigint, text string")
+    """``doc_id`` and the remaining text; characters cut in two at a span's end go whole.
+
+    A null text comes back empty; other edge cases are those of ``report``.
+    """
+    return repeated_spans(docs).mapInPandas(_remaining, "doc_id bigint, text string")
