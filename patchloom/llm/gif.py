@@ -2,9 +2,9 @@
 
 The reader takes any GIF: it decodes LZW code streams, applies global and local
 palettes, transparency and disposal, and gives each frame's time and colour
-histogram.  The writer stores a payload as full frames of 24 x 24 samples with
-a grey palette, each frame's stream holding literal codes between clear codes,
-so that frames have one size and whole batches are written and read at once.
+histogram.  The writer stores a payload as frames of 24 x 24 samples with a grey
+palette.  A sample that the frame before has at its place is left transparent,
+where a byte is free to say so; the rest is a compressed code stream.
 """
 
 from __future__ import annotations
@@ -20,23 +20,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from patchloom.llm import kernels
-from patchloom.llm.session import prepare
+from patchloom.llm.session import prepare, schema_of, with_names
 
 SIDE = 24
 SAMPLES = SIDE * SIDE
 FILL = 255
 DELAY = 10
 BINS = 8
-RUN = 254
 CHUNK_BYTES = 1 << 20
-
-CLEAR, STOP = 256, 257
-_codes_per_frame = SAMPLES + -(-SAMPLES // RUN) + 1
-_data_bytes = -(-_codes_per_frame * 9 // 8)
-_groups = -(-_codes_per_frame // 8)
+#: A screen or frame has at most so many samples, and a GIF's screens together.
+MOST_PIXELS, MOST_SAMPLES = 1 << 24, 1 << 31
+#: Streams of frames up to this size are decoded together, 1,024 at a time.
+ALIKE_PIXELS = 1 << 10
+#: Frames are encoded so many at a time; their tables take up to 430 KB each, with text about 100 KB.
+FRAMES_AT_ONCE = 256
+#: UTF-8 never has this byte, so frames of text can use it as the transparent index.
+CLEAR_INDEX = 0xF5
+CODE_SIZE, LONGEST = 8, 12
 
 HEADER = b"GIF89a" + bytes([SIDE, 0, SIDE, 0, 0xF7, 0, 0]) + bytes(c for i in range(256) for c in (i, i, i))
-FRAME_HEAD = bytes([0x21, 0xF9, 4, 4, DELAY, 0, 0, 0, 0x2C, 0, 0, 0, 0, SIDE, 0, SIDE, 0, 0, 8])
 TRAILER = b"\x3b"
 
 
@@ -48,39 +50,105 @@ def _pad(text: bytes) -> bytes:
     return text + bytes([FILL]) * (max(1, -(-len(text) // SAMPLES)) * SAMPLES - len(text))
 
 
-def write_frames(samples: np.ndarray) -> np.ndarray:
-    """The bytes of the frames of an array (frames, 576)."""
-    codes = np.zeros((len(samples), _groups * 8), np.uint16)
-    at = 0
-    for lo in range(0, SAMPLES, RUN):
-        part = samples[:, lo : lo + RUN]
-        codes[:, at] = CLEAR
-        codes[:, at + 1 : at + 1 + part.shape[1]] = part
-        at += 1 + part.shape[1]
-    codes[:, at] = STOP
-    eight = codes.reshape(len(samples), _groups, 8)
-    packed = np.empty((len(samples), _groups, 9), np.uint8)
-    packed[..., 0] = eight[..., 0] & 0xFF
-    for j in range(1, 8):
-        packed[..., j] = (eight[..., j - 1] >> (9 - j)) | ((eight[..., j] << j) & 0xFF)
-    packed[..., 8] = eight[..., 7] >> 1
-    data = packed.reshape(len(samples), -1)[:, :_data_bytes]
-    blocks = [data[:, lo : lo + 255] for lo in range(0, _data_bytes, 255)]
-    column = lambda b: np.full((len(samples), 1), b, np.uint8)
-    head = np.broadcast_to(np.frombuffer(FRAME_HEAD, np.uint8), (len(samples), len(FRAME_HEAD)))
-    return np.concatenate([head, *(x for b in blocks for x in (column(b.shape[1]), b)), column(0)], axis=1)
+def lzw_codes(samples: bytes, code_size: int = CODE_SIZE) -> list[int]:
+    """The code stream of a frame: a clear code, the longest known runs, the stop code; cleared again when the table is full."""
+    clear = 1 << code_size
+    table: dict[int, int] = {}
+    known, new = table.get, clear + 2
+    codes, run = [clear], samples[0] if samples else -1
+    put = codes.append
+    for sample in samples[1:]:
+        key = run << 8 | sample
+        longer = known(key)
+        if longer is not None:
+            run = longer
+            continue
+        put(run)
+        run = sample
+        table[key] = new
+        new += 1
+        if new == 1 << LONGEST:
+            put(clear)
+            table.clear()
+            new = clear + 2
+    if run >= 0:
+        put(run)
+    put(clear + 1)
+    return codes
+
+
+def code_widths(since: np.ndarray, code_size: int) -> np.ndarray:
+    """Bits of the codes by their place after a clear code, whose own place is 0: as many as a reader's table asks for by then."""
+    entries = (1 << code_size) + 2 + np.maximum(since - 2, 0)
+    return np.clip(np.ceil(np.log2(entries + 1)).astype(np.int64), code_size + 1, LONGEST)
+
+
+def packed_codes(codes: list[int], code_size: int = CODE_SIZE) -> bytes:
+    """A code stream as bytes, lowest bits first."""
+    values, place = np.array(codes, np.uint32), np.arange(len(codes))
+    starts = np.flatnonzero(values == 1 << code_size)
+    width = code_widths(place - starts[np.maximum(np.searchsorted(starts, place, "left") - 1, 0)], code_size)
+    bit = np.arange(LONGEST)
+    bits = (values[:, None] >> bit & 1).astype(np.uint8)
+    return np.packbits(bits[bit < width[:, None]], bitorder="little").tobytes()
+
+
+def _codes_alike(frames: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The codes of ``lzw_codes`` for rows of samples too few to fill a table, sample by sample for all rows at once, and their numbers."""
+    n, size = frames.shape
+    symbols, dense = np.unique(frames, return_inverse=True)
+    dense, own, rows = dense.reshape(n, size).astype(np.int64), len(symbols), len(symbols) + size
+    table = np.zeros(n * rows * own, np.uint16)
+    base = np.arange(n) * (rows * own)
+    codes = np.zeros((n, size + 2), np.uint16)
+    codes[:, 0] = 1 << CODE_SIZE
+    count, new, run = np.ones(n, np.int64), np.full(n, own), dense[:, 0]
+    named = np.concatenate([symbols.astype(np.uint16), np.arange((1 << CODE_SIZE) + 2, (1 << CODE_SIZE) + 2 + size, dtype=np.uint16)])
+    for k in range(1, size):
+        sample = dense[:, k]
+        place = base + run * own + sample
+        longer = table[place]
+        miss = np.flatnonzero(longer == 0)
+        codes[miss, count[miss]] = named[run[miss]]
+        count[miss] += 1
+        table[place[miss]] = new[miss]
+        new[miss] += 1
+        run = longer.astype(np.int64)
+        run[miss] = sample[miss]
+    codes[np.arange(n), count] = named[run]
+    codes[np.arange(n), count + 1] = (1 << CODE_SIZE) + 1
+    return codes, count + 2
+
+
+def _packed_alike(frames: np.ndarray) -> list[bytes]:
+    """The code streams of many frames as bytes."""
+    codes, n = _codes_alike(frames)
+    codes = codes[:, : int(n.max())]
+    width = code_widths(np.arange(codes.shape[1]), CODE_SIZE)
+    parts = [codes[:, width == w][:, :, None] >> np.arange(w, dtype=np.uint16) & 1 for w in np.unique(width).tolist()]
+    packed = np.packbits(np.concatenate([p.astype(np.uint8).reshape(len(n), -1) for p in parts], axis=1), axis=1, bitorder="little")
+    return [packed[i, :k].tobytes() for i, k in enumerate((-(-np.cumsum(width)[n - 1] // 8)).tolist())]
+
+
+def _blocks(data: bytes) -> bytes:
+    return b"".join(bytes([len(data[lo : lo + 255])]) + data[lo : lo + 255] for lo in range(0, len(data), 255)) + b"\0"
 
 
 def write(payloads: list[bytes]) -> list[bytes]:
     """A GIF for each payload, whose length is a positive multiple of 576."""
-    joined = b"".join(payloads)
-    frames = write_frames(np.frombuffer(joined, np.uint8).reshape(-1, SAMPLES)).tobytes()
-    size, out, at = len(frames) * SAMPLES // len(joined), [], 0
-    for p in payloads:
-        n = len(p) // SAMPLES * size
-        out.append(HEADER + frames[at : at + n] + TRAILER)
-        at += n
-    return out
+    frames = np.frombuffer(b"".join(payloads), np.uint8).reshape(-1, SAMPLES)
+    first = np.cumsum([0, *(len(p) // SAMPLES for p in payloads)])
+    has = (frames == CLEAR_INDEX).any(1)
+    follows = np.ones(len(frames), bool)
+    follows[first[:-1]] = False
+    follows[1:] &= ~has[1:] & ~has[:-1]
+    shown = frames.copy()
+    shown[1:][follows[1:, None] & (frames[1:] == frames[:-1])] = CLEAR_INDEX
+    streams: list[bytes] = []
+    for at in range(0, len(shown), FRAMES_AT_ONCE):
+        streams += _packed_alike(shown[at : at + FRAMES_AT_ONCE])
+    made = [bytes([0x21, 0xF9, 4, 1 << 2 | flag, DELAY, 0, CLEAR_INDEX, 0, 0x2C, 0, 0, 0, 0, SIDE, 0, SIDE, 0, 0, CODE_SIZE]) + _blocks(data) for flag, data in zip(follows.tolist(), streams, strict=True)]
+    return [b"".join([HEADER, *made[lo:hi], TRAILER]) for lo, hi in zip(first[:-1].tolist(), first[1:].tolist(), strict=True)]
 
 
 class Frame(NamedTuple):
@@ -144,138 +212,173 @@ def parse(raw: bytes) -> tuple[int, int, list[Frame]]:
 
 def lzw_decode(data: bytes, code_size: int, size: int) -> bytes:
     """The first ``size`` samples of a code stream; missing ones are 0."""
+    if not 1 <= code_size <= 8:
+        raise GifError(f"code size {code_size}")
     clear, stop = 1 << code_size, (1 << code_size) + 1
     roots = [bytes([i]) for i in range(clear)] + [b"", b""]
-    table, width, before = roots[:], code_size + 1, b""
-    out, made, held, bits = [], 0, 0, 0
+    table, width, before, last = roots[:], code_size + 1, b"", 1 << LONGEST
+    out, made, held, bits, mask = [], 0, 0, 0, (1 << code_size + 1) - 1
+    put, grow, known = out.append, table.append, len(roots)
     for byte in data:
         held |= byte << bits
         bits += 8
         while bits >= width:
-            code = held & (1 << width) - 1
+            code = held & mask
             held >>= width
             bits -= width
             if code == clear:
-                table, width, before = roots[:], code_size + 1, b""
+                table, width, before, known = roots[:], code_size + 1, b"", len(roots)
+                mask, grow = (1 << width) - 1, table.append
                 continue
             if code == stop or made >= size:
-                return (b"".join(out) + bytes(size))[:size]
-            if code < len(table):
+                return (b"".join(out) + bytes(max(0, size - made)))[:size]
+            if code < known:
                 entry = table[code]
-            elif code == len(table) and before:
+            elif code == known and before:
                 entry = before + before[:1]
             else:
                 raise GifError("code beyond the table")
-            out.append(entry)
+            put(entry)
             made += len(entry)
-            if before and len(table) < 4096:
-                table.append(before + entry[:1])
-                if len(table) == 1 << width and width < 12:
+            if before and known < last:
+                grow(before + entry[:1])
+                known += 1
+                if known > mask and width < LONGEST:
                     width += 1
+                    mask = (1 << width) - 1
             before = entry
-    return (b"".join(out) + bytes(size))[:size]
-
-
-def _literal_frames(data: list[bytes], size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Samples of streams of one length that hold 9-bit literals only, and which those are."""
-    n = len(data[0])
-    raw = np.zeros((len(data), -(-n // 9) * 9), np.uint8)
-    raw[:, :n] = np.frombuffer(b"".join(data), np.uint8).reshape(len(data), n)
-    nine = raw.reshape(len(data), -1, 9).astype(np.uint16)
-    codes = np.stack([(nine[..., j] >> j | nine[..., j + 1] << (8 - j)) & 0x1FF for j in range(8)], -1).reshape(len(data), -1)[:, : n * 8 // 9]
-    plain = np.zeros(len(data), bool)
-    out = np.zeros((len(data), size), np.uint8)
-    pattern = codes[0]
-    ends = np.flatnonzero(pattern == STOP)
-    if not len(ends):
-        return out, plain
-    literal = pattern[: ends[0]] < 256
-    clears = np.flatnonzero(pattern[: ends[0]] == CLEAR)
-    gaps = np.diff([*clears, ends[0]]) - 1
-    if literal.sum() + len(clears) != ends[0] or literal.sum() != size or not len(clears) or clears[0] != 0 or gaps.max() > RUN:
-        return out, plain
-    used = codes[:, : ends[0] + 1]
-    plain = ((used < 256) == np.append(literal, False)).all(1) & (used[:, clears] == CLEAR).all(1) & (used[:, -1] == STOP)
-    out[plain] = used[plain][:, :-1][:, literal]
-    return out, plain
+    return (b"".join(out) + bytes(max(0, size - made)))[:size]
+
+
+def _alike(data: list[bytes], code_size: int, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Samples of many streams that are cleared at their start only, and which of them are so and whole.
+
+    Code by code for all streams at once.  A table's entry is the string of a
+    code and the sample after it, so it stands in the output where that code
+    was met; each sample points to where it stands first, until it is a root.
+    """
+    clear, n = 1 << code_size, len(data)
+    longest = max(map(len, data))
+    raw = np.zeros((n, longest + 3), np.uint32)
+    for i, d in enumerate(data):
+        raw[i, : len(d)] = np.frombuffer(d, np.uint8)
+    width = code_widths(np.arange(longest * 8 // (code_size + 1)), code_size)
+    at = np.cumsum(width) - width
+    at, width = at[at + width <= longest * 8], width[at + width <= longest * 8]
+    byte = at >> 3
+    codes = ((raw[:, byte] | raw[:, byte + 1] << 8 | raw[:, byte + 2] << 16) >> (at & 7).astype(np.uint32) & ((1 << width) - 1).astype(np.uint32)).astype(np.int32)
+    stops = codes == clear + 1
+    end = np.where(stops.any(1), stops.argmax(1), 0)
+    inside = np.arange(codes.shape[1]) < end[:, None]
+    good = (codes[:, 0] == clear) & (end > 0) & (((codes == clear) & inside).sum(1) == 1)
+    length, start = np.zeros(codes.shape, np.int32), np.zeros(codes.shape, np.int32)
+    total, row = np.zeros(n, np.int64), np.arange(n)
+    for j in range(1, int(end.max(initial=0))):
+        of = codes[:, j] - (clear + 1)
+        root = codes[:, j] < clear
+        good &= root | (of < j) | ~inside[:, j]
+        own = np.where(root, 1, length[row, np.clip(of, 0, j - 1)] + 1) * inside[:, j]
+        length[:, j], start[:, j] = own, total
+        total += own
+        good &= total <= size
+        if not good.any():
+            break
+    out = np.zeros((n, size), np.uint8)
+    if not good.any():
+        return out, good
+    stream, j = np.nonzero(inside & good[:, None] & (length > 0))
+    code, n_out = codes[stream, j], length[stream, j]
+    to = stream * size + start[stream, j]
+    root = code < clear
+    value, point = np.zeros(n * size, np.uint8), np.arange(n * size, dtype=np.int32)
+    value[to[root]] = code[root]
+    to, n_out, stream, of = to[~root], n_out[~root], stream[~root], code[~root] - (clear + 1)
+    back = to - (stream * size + start[stream, of])
+    each = np.repeat(to - (np.cumsum(n_out) - n_out), n_out) + np.arange(int(n_out.sum()))
+    point[each] = each - np.repeat(back, n_out)
+    while True:
+        further = point[point]
+        if (further == point).all():
+            return value[point].reshape(n, size), good
+        point = further
 
 
 def samples(frames: list[Frame]) -> list[np.ndarray]:
-    """The palette indices of each frame, top to bottom."""
+    """The palette indices of each frame, top to bottom; streams of a kind are decoded together."""
     out: list[np.ndarray | None] = [None] * len(frames)
-    alike: dict[tuple[int, int], list[int]] = {}
+    kinds: dict[tuple[int, int], list[int]] = {}
     for i, f in enumerate(frames):
-        if f.code_size == 8 and not f.interlaced and f.data:
-            alike.setdefault((len(f.data), f.width * f.height), []).append(i)
-    for (_, size), own in alike.items():
-        got, plain = _literal_frames([frames[i].data for i in own], size)
-        for k, i in enumerate(own):
-            if plain[k]:
-                out[i] = got[k]
+        if f.width * f.height > MOST_PIXELS:
+            raise GifError("frame too large")
+        if 1 <= f.code_size <= 8 and f.data and f.width * f.height <= ALIKE_PIXELS:
+            kinds.setdefault((f.code_size, f.width * f.height), []).append(i)
+    for (code_size, size), own in kinds.items():
+        for lo in range(0, len(own), 1024):
+            some = own[lo : lo + 1024]
+            got, good = _alike([frames[i].data for i in some], code_size, size)
+            for k in np.flatnonzero(good).tolist():
+                out[some[k]] = got[k]
     for i, f in enumerate(frames):
-        if out[i] is None:
-            flat = np.frombuffer(lzw_decode(f.data, f.code_size, f.width * f.height), np.uint8)
-            if f.interlaced and f.height:
-                rows = [r for first, step in ((0, 8), (4, 8), (2, 4), (1, 2)) for r in range(first, f.height, step)]
-                straight = np.empty((f.height, f.width), np.uint8)
-                straight[rows] = flat.reshape(f.height, f.width)
-                flat = straight.ravel()
-            out[i] = flat
+        flat = out[i] if out[i] is not None else np.frombuffer(lzw_decode(f.data, f.code_size, f.width * f.height), np.uint8)
+        if f.interlaced and f.height:
+            rows = [r for first, step in ((0, 8), (4, 8), (2, 4), (1, 2)) for r in range(first, f.height, step)]
+            straight = np.empty((f.height, f.width), np.uint8)
+            straight[rows] = flat.reshape(f.height, f.width)
+            flat = straight.ravel()
+        out[i] = flat
     return out
 
 
 def _colours(palette: bytes) -> np.ndarray:
     table = np.zeros((256, 3), np.uint8)
-    own = np.frombuffer(palette, np.uint8).reshape(-1, 3)
+    own = np.frombuffer(palette[: len(palette) // 3 * 3], np.uint8).reshape(-1, 3)
     table[: len(own)] = own
     return table
 
 
-def canvases(width: int, height: int, frames: list[Frame], indices: list[np.ndarray]) -> Iterator[np.ndarray]:
-    """The screen (height, width, 3) after each frame; what no frame has drawn is black."""
+def canvases(width: int, height: int, frames: list[Frame], indices: list[np.ndarray] | None = None) -> Iterator[np.ndarray]:
+    """The screen (height, width, 3) after each frame, good until the next; what no frame has drawn is black."""
+    if width * height > MOST_PIXELS or width * height * len(frames) > MOST_SAMPLES:
+        raise GifError("screen too large")
     screen = np.zeros((height, width, 3), np.uint8)
-    for f, index in zip(frames, indices, strict=True):
+    palette, colours = None, None
+    for f, index in zip(frames, samples(frames) if indices is None else indices, strict=True):
+        if f.palette != palette:
+            palette, colours = f.palette, _colours(f.palette)
         before = screen.copy() if f.disposal == 3 else None
         box = (slice(f.top, min(f.top + f.height, height)), slice(f.left, min(f.left + f.width, width)))
         part = index.reshape(f.height, f.width)[: max(0, height - f.top), : max(0, width - f.left)]
-        drawn = np.ones(part.shape, bool) if f.transparent < 0 else part != f.transparent
-        screen[box][drawn] = _colours(f.palette)[part[drawn]]
-        yield screen.copy()
+        if f.transparent < 0:
+            screen[box] = colours[part]
+        else:
+            drawn = part != f.transparent
+            screen[box][drawn] = colours[part[drawn]]
+        yield screen
         if f.disposal == 2:
             screen[box] = 0
         elif before is not None:
             screen = before
 
 
-def read(media: list[bytes]) -> Iterator[tuple[bytes, list[tuple[int, int, list[int]]]]]:
-    """Per GIF: the red samples of all its screens, and each frame's start and length in ms with its colour histogram.
+def _histogram(screen: np.ndarray) -> list[int]:
+    """``BINS`` counts for each of red, green and blue."""
+    bins = (screen.reshape(-1, 3) >> 5) + np.arange(0, 3 * BINS, BINS, dtype=np.uint8)
+    return np.bincount(bins.ravel(), minlength=3 * BINS).tolist()
 
-    The histogram has ``BINS`` counts for each of red, green and blue.
-    """
-    parsed = [parse(m) for m in media]
-    every = samples([f for _, _, frames in parsed for f in frames])
-    at = 0
+
+def read(media: list[bytes]) -> Iterator[tuple[bytes, list[tuple[int, int, list[int]]]]]:
+    """Per GIF: the red samples of all its screens, and each frame's start and length in ms with its colour histogram."""
+    parsed = [parse(raw) for raw in media]
+    every, at = samples([f for _, _, frames in parsed for f in frames]), 0
     for width, height, frames in parsed:
         own = every[at : at + len(frames)]
         at += len(frames)
-        first = frames[0] if frames else None
-        if first and all(f.transparent < 0 and (f.left, f.top, f.width, f.height) == (0, 0, width, height) and f.palette == first.palette for f in frames):
-            table, stacked = _colours(first.palette), np.stack(own)
-            red = table[:, 0][stacked].tobytes()
-            counts = np.bincount((stacked + np.arange(len(own))[:, None] * 256).ravel(), minlength=len(own) * 256).reshape(-1, 256)
-            bins = np.zeros((256, 3 * BINS), np.int64)
-            for c in range(3):
-                bins[np.arange(256), c * BINS + table[:, c].astype(int) * BINS // 256] = 1
-            histograms = (counts @ bins).tolist()
-        else:
-            screens = list(canvases(width, height, frames, own))
-            red = b"".join(s[..., 0].tobytes() for s in screens)
-            histograms = [[int(x) for c in range(3) for x in np.bincount(s[..., c].ravel().astype(int) * BINS // 256, minlength=BINS)] for s in screens]
-        start, timed = 0, []
-        for f, h in zip(frames, histograms, strict=True):
-            timed.append((start, f.delay * 10, h))
+        red, timed, start = [], [], 0
+        for f, screen in zip(frames, canvases(width, height, frames, own), strict=True):
+            red.append(screen[..., 0].tobytes())
+            timed.append((start, f.delay * 10, _histogram(screen)))
             start += f.delay * 10
-        yield red, timed
+        yield b"".join(red), timed
 
 
 def _store(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -324,12 +427,14 @@ def _decode(media_at: int):
 def decode_media(table: DataFrame, column: str = "media") -> DataFrame:
     """The rows with the GIF's screen ``samples``, its timed ``frames`` and an ``error`` where it can't be read.
 
-    Columns of those names in ``table`` are replaced; null media give nulls.
+    Columns of those names in ``table`` are replaced; null media give nulls;
+    media that are cut short, no GIF, or larger than ``MOST_PIXELS`` and
+    ``MOST_SAMPLES`` allow have an error; an empty table stays empty.
     """
     prepare(table.sparkSession)
-    table = table.drop("samples", "frames", "error")
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in table.schema)
-    return table.mapInArrow(_decode(table.columns.index(column)), f"{schema}, samples binary, frames {FRAMES}, error string")
+    table = table.drop(*(c for c in ("samples", "frames", "error") if c != column))
+    plain = lambda d: d.mapInArrow(_decode(d.columns.index(column)), f"{schema_of(d)}, samples binary, frames {FRAMES}, error string")
+    return with_names(table, [column], plain)
 
 
 def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -352,6 +457,11 @@ def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def media_digests(docs: DataFrame) -> DataFrame:
-    """What is read back from each text's stored GIF, as digests and a feature string."""
+    """What is read back from each text's stored GIF, as digests and a feature string.
+
+    Null and empty texts have one frame of filling; a text of any length is
+    stored whole; equal texts have equal values; repeated rows stay; other
+    columns are not read; an empty table stays empty.
+    """
     id_type = docs.schema["doc_id"].dataType.simpleString()
     return store_texts(docs).mapInArrow(_digest, f"doc_id {id_type}, n_bytes bigint, payload_bytes bigint, payload_sha256 string, tail_crc32 bigint, media_bytes bigint, media_sha256 string, feature string")
