@@ -84,6 +84,11 @@ def _longs(values) -> Column:
     return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>")
 
 
+def _among(column: str, values: list[int]) -> Column:
+    """The elements of an array that are any of very many numbers, as one parsed list, which Spark makes a hash set of."""
+    return F.expr(f"filter({column}, x -> x IN ({', '.join(f'{v}L' for v in values)}))")
+
+
 def _best_run(at: Column, grams: Column, threshold: float) -> Column:
     """First and last place of the run of ``grams`` with the greatest sum, from the hits' places ``at``.
 
@@ -117,7 +122,7 @@ def best_runs(docs: DataFrame, notices: dict[str, str] | None = None, threshold:
     words = docs.select("doc_id", F.split(normalised(F.col("text").cast("string")), " ").alias("w"))
     n = F.size("w") - 1
     grams = words.select("doc_id", F.zip_with(F.slice("w", 1, F.greatest(n, F.lit(0))), F.slice("w", 2, F.greatest(n, F.lit(0))), lambda a, b: F.xxhash64(a, b)).alias("grams"))
-    hits = grams.select("doc_id", "grams", F.array_distinct(F.filter("grams", lambda g: g.isin(every))).alias("hits"))
+    hits = grams.select("doc_id", "grams", F.array_distinct(_among("grams", every)).alias("hits"))
     named = hits.select("doc_id", "grams", F.explode_outer(F.filter(known, lambda k: F.when(F.size("hits") >= k["need"], F.size(F.array_intersect("hits", k["grams"])) >= k["need"]).otherwise(F.lit(False)))).alias("k")).filter("k is not null")
     places = named.select("doc_id", "grams", "k", F.filter(F.transform("grams", lambda g, i: F.when(F.array_contains("k.grams", g), i)), lambda i: i.isNotNull()).alias("at"))
     runs = places.select("doc_id", "grams", "k", _best_run(F.col("at"), F.col("grams"), threshold).alias("run"))
