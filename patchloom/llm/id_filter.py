@@ -27,8 +27,8 @@ class IdFilter:
         prime = next((p for p in PRIMES if p >= 32 * n), PRIMES[-1])
         words = ids.groupBy(F.expr(f"pmod(doc, {prime}) div 64").alias("word")).agg(F.expr(f"bit_or(shiftleft(1L, cast(pmod(doc, {prime}) % 64 AS int)))").alias("bits"))
         out = np.zeros(prime // 64 + 1, np.int64)
-        for row in words.collect():
-            out[row["word"]] = row["bits"]
+        table = words.toArrow()
+        out[table.column("word").to_numpy()] = table.column("bits").to_numpy()
         return cls(ids.sparkSession.sparkContext.broadcast(out.view(np.uint8)), prime)
 
     def may_hold(self, ids: np.ndarray) -> np.ndarray:
