@@ -29,7 +29,7 @@ from patchloom.llm import kernels
 from patchloom.llm.session import prepare
 
 CAPACITY = 2048
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 4 << 20
 END_ID = 1
 #: A worker keeps so many words and ids, about 30 bytes a word, in each of two generations.
 CACHE_WORDS, CACHE_IDS = 600_000, 4_000_000
@@ -37,7 +37,8 @@ CACHE_WORDS, CACHE_IDS = 600_000, 4_000_000
 LONGEST_WORD = 64
 CHUNK_BYTES = 1 << 20
 
-TOKENS = "block bigint, doc_id bigint, ids binary"
+#: Ids travel in as few bytes as all of the tokenizer fit, 2 or 4.
+TOKENS = "block bigint, doc_id bigint, width int, ids binary"
 RESULT = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
 
 
@@ -204,17 +205,19 @@ def _tokenise(tokenizer_path: str, end_id: int, blocks: int):
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         words, task = WordIds.of(tokenizer_path), TaskContext.get().partitionId()
+        width = 2 if max(len(words.ends) - 1, end_id) < 1 << 16 else 4
         for batch in batches:
             data, offsets = kernels.text_buffer(batch.column(1))
             for lo, hi in kernels.doc_chunks(offsets, CHUNK_BYTES):
                 ids, at = words.encode(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
                 at = at + np.arange(len(at))
-                ended = np.full(at[-1], end_id, "<u4")
+                ended = np.full(at[-1], end_id, f"<u{width}")
                 ended[np.delete(np.arange(at[-1]), at[1:] - 1)] = ids
                 docs = batch.column(0).slice(lo, hi - lo)
-                column = pa.BinaryArray.from_buffers(pa.binary(), hi - lo, [None, pa.py_buffer((4 * at).astype(np.int32)), pa.py_buffer(ended)])
+                column = pa.BinaryArray.from_buffers(pa.binary(), hi - lo, [None, pa.py_buffer((width * at).astype(np.int32)), pa.py_buffer(ended)])
                 block = [zlib.crc32(b"%d %d" % (doc or 0, task), zlib.crc32(raw.as_buffer())) % blocks for doc, raw in zip(docs.to_pylist(), column, strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array(block, pa.int64()), docs, column], ["block", "doc_id", "ids"])
+                yield pa.RecordBatch.from_arrays([pa.array(block, pa.int64()), docs, pa.array(np.full(hi - lo, width, np.int32)), column], ["block", "doc_id", "width", "ids"])
+        kernels.release()
 
     return run
 
@@ -271,19 +274,18 @@ def placed(length: np.ndarray, capacity: int = CAPACITY) -> np.ndarray:
 def _pack(capacity: int, with_ids: bool):
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by([("doc_id", "ascending"), ("ids", "ascending")])
-        block = table.column("block")[0].as_py()
-        ids = table.column("ids").combine_chunks()
-        raw = [x.as_buffer() for x in ids]
-        length = np.array([len(x) // 4 for x in raw], np.int64)
+        block, width = (table.column(c)[0].as_py() for c in ("block", "width"))
+        raw = [np.frombuffer(x.as_buffer(), f"<u{width}").astype("<u4") for x in table.column("ids").combine_chunks()]
+        length = np.array([len(x) for x in raw], np.int64)
         pieces = placed(length, capacity)
         pieces = pieces[np.lexsort((pieces[:, 4], pieces[:, 3]))]
-        cut = [raw[d].slice(4 * start, 4 * n) for d, start, n in pieces[:, :3].tolist()]
+        cut = [raw[d][start : start + n] for d, start, n in pieces[:, :3].tolist()]
         columns = {
             "doc_id": table.column("doc_id").take(pa.array(pieces[:, 0])), "start": pa.array(pieces[:, 1]), "length": pa.array(pieces[:, 2]), "ids_crc32": pa.array([zlib.crc32(x) for x in cut], pa.int64()),
             "doc_tokens": pa.array(length[pieces[:, 0]]), "sequence_id": pa.array((block << 32) + pieces[:, 3]), "offset": pa.array(pieces[:, 4]),
         }
         if with_ids:
-            columns["ids"] = pa.array([np.frombuffer(x, "<u4").astype(np.int64) for x in cut], pa.list_(pa.int64()))
+            columns["ids"] = pa.array([x.astype(np.int64) for x in cut], pa.list_(pa.int64()))
         return pa.table(columns)
 
     return run
