@@ -13,6 +13,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from patchloom.llm import kernels
+
+#: After a part of this size a worker gives freed memory back.
+TIDY_BYTES = 4 << 20
 SCHEMA = "part int, kind int, data binary"
 
 
@@ -64,7 +68,11 @@ def by_part(blobs: DataFrame, function, schema: str) -> DataFrame:
         got: dict[int, list[bytes]] = {}
         for kind, blob in zip(kinds, data, strict=True):
             got.setdefault(kind, []).append(blob.as_buffer())
-        return function(got)
+        out = function(got)
+        if table.nbytes > TIDY_BYTES:
+            got.clear()
+            kernels.release()
+        return out
 
     return blobs.groupBy("part").applyInArrow(run, schema)
 

@@ -6,6 +6,7 @@ are bounded by ``CHUNK`` bytes of text, however long a document is.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,6 +23,15 @@ BASE_INVERSE = pow(BASE, -1, 2**64)
 WINDOW_BASE = U64(0xD1B54A32D192ED03)
 
 
+def release() -> None:
+    """Give freed memory back to the system at a task's end, as Spark keeps its Python workers for later tasks."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass
+
+
 def _powers(base: int, n: int) -> np.ndarray:
     out = np.full(n, base, dtype=np.uint64)
     out[0] = 1

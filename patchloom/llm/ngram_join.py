@@ -172,6 +172,8 @@ def _sign(parts: int):
                     seen.clear()
                     yield from flush(held)
         yield from flush(held)
+        del seen, held
+        kernels.release()
 
     return run
 
@@ -275,6 +277,7 @@ def _derive(value, some: IdFilter | None, centres: IdFilter | None):
                 ids = batch.column(0).slice(lo, hi - lo)
                 centre = np.zeros(hi - lo, bool) if centres is None else centres.may_hold(ids.to_numpy(zero_copy_only=False))
                 yield pa.RecordBatch.from_arrays([ids, pa.array([len(t) for t in sets], pa.int64()), pa.array(centre), pa.array([value(t) for t in sets], pa.binary())], ["doc", "n", "centre", "value"])
+        kernels.release()
 
     return run
 

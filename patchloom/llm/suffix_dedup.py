@@ -238,6 +238,7 @@ def _parse(parts: int, heavy, tagged: bool):
                 size = 0
                 yield from flush(held, strings)
         yield from flush(held, strings)
+        kernels.release()
 
     return run
 
