@@ -14,9 +14,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from patchloom.llm.session import prepare
+from patchloom.llm.session import cut_lineage, prepare, schema_of, with_names
 
 WINDOW = 3
+MOST_HOT, SALTS = 2000, 32
+ROWS_AT_ONCE = 512
 LEAST_ID = -(2**63)
 
 
@@ -31,11 +33,28 @@ def _windows(docs: DataFrame, size: int) -> DataFrame:
     return each.filter(~blank).select("d", "t", "pos", F.xxhash64(*fields).alias("h1"), F.xxhash64(F.lit(1), *reversed(fields)).alias("h2"))
 
 
-def _later(docs: DataFrame, size: int) -> DataFrame:
+def _met(docs: DataFrame, size: int) -> DataFrame:
+    """``(d, t, pos, h1, h2, first)``: the places of the windows met more than once, and the least row key that has each.
+
+    At most ``MOST_HOT`` windows can have more than that part of all repeated
+    places.  These are named by a broadcast, and their places are dealt by
+    ``SALTS`` salts, so no task gets all places of a window that all rows have.
+    """
     windows = _windows(docs, size)
-    common = windows.groupBy("h1", "h2").agg(F.min("d").alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    met = windows.join(common, ["h1", "h2"])
-    earliest = met.filter("d = first").groupBy("d", "t", "h1", "h2").agg(F.min("pos").alias("earliest"))
+    common = cut_lineage(windows.groupBy("h1", "h2").agg(F.min("d").alias("first"), F.count("*").alias("n")).filter("n > 1"))
+    total = common.agg(F.sum("n")).first()[0] or 0
+    is_hot = F.col("n") > total / MOST_HOT
+    hot = common.filter(is_hot).select("h1", "h2", F.lit(True).alias("hot"))
+    salt = F.when(F.col("hot"), F.pmod(F.xxhash64("d", "pos"), F.lit(SALTS)).cast("int")).otherwise(0)
+    placed = windows.join(F.broadcast(hot), ["h1", "h2"], "left").withColumn("salt", salt).drop("hot")
+    salts = F.when(is_hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    return cut_lineage(placed.join(common.select("h1", "h2", "first", F.explode(salts).alias("salt")), ["h1", "h2", "salt"]).drop("salt"))
+
+
+def _later(docs: DataFrame, size: int) -> DataFrame:
+    """``(d, t, later)``: for each row the places whose window is met earlier, in the row or in one of a smaller key."""
+    met = _met(docs, size)
+    earliest = met.filter("d = first").groupBy("d", "t", "h1", "h2").agg(F.min("pos").alias("earliest"), F.count("*").alias("n")).filter("n > 1").drop("n")
     inner = met.filter("d = first").join(earliest, ["d", "t", "h1", "h2"]).filter("pos > earliest").select("d", "t", "pos")
     later = met.filter("d > first").select("d", "t", "pos").union(inner)
     return later.groupBy("d", "t").agg(F.collect_set("pos").alias("later"))
@@ -48,32 +67,38 @@ def _covered(later: list[int], size: int) -> set[int]:
 def _remove(size: int, text_at: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, later = batch.column(text_at).to_pylist(), batch.column(batch.num_columns - 1).to_pylist()
-            total, gone = [], []
-            for i, (text, places) in enumerate(zip(texts, later, strict=True)):
-                total.append(0 if text is None else text.count("\n") + 1)
-                covered = _covered(places, size) if places else ()
-                gone.append(len(covered))
-                if covered:
-                    texts[i] = "\n".join(line for k, line in enumerate(text.split("\n")) if k not in covered)
-            columns = [pa.array(texts, pa.string()) if i == text_at else batch.column(i) for i in range(batch.num_columns - 1)]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(total, pa.int64()), pa.array(gone, pa.int64())], [*batch.schema.names[:-1], "__lines", "__removed"])
+            for lo in range(0, batch.num_rows, ROWS_AT_ONCE):
+                some = batch.slice(lo, ROWS_AT_ONCE)
+                texts, later = some.column(text_at).to_pylist(), some.column(some.num_columns - 1).to_pylist()
+                total, gone = [], []
+                for i, (text, places) in enumerate(zip(texts, later, strict=True)):
+                    total.append(0 if text is None else text.count("\n") + 1)
+                    covered = _covered(places, size) if places else ()
+                    gone.append(len(covered))
+                    if covered:
+                        texts[i] = "\n".join(line for k, line in enumerate(text.split("\n")) if k not in covered)
+                columns = [pa.array(texts, pa.string()) if i == text_at else some.column(i) for i in range(some.num_columns - 1)]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(total, pa.int64()), pa.array(gone, pa.int64())], [*some.schema.names[:-1], "lines", "removed"])
 
     return run
 
 
 def _with_counts(docs: DataFrame, size: int) -> DataFrame:
+    """``docs`` without the lines, and ``lines`` and ``removed`` as its last two columns."""
     prepare(docs.sparkSession)
-    key = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LEAST_ID)).alias("d"), F.xxhash64("text").alias("t"), F.col("text").cast("string").alias("text"))
-    later = _later(key, size).select(F.col("d").alias("__d"), F.col("t").alias("__t"), F.col("later").alias("__later"))
-    on = (F.coalesce(docs["doc_id"].cast("bigint"), F.lit(LEAST_ID)) == F.col("__d")) & (F.xxhash64(docs["text"]) == F.col("__t"))
-    joined = docs.join(later, on, "left").select(*(docs[c] for c in docs.columns), "__later")
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return joined.mapInArrow(_remove(size, docs.columns.index("text")), f"{schema}, __lines bigint, __removed bigint")
+
+    def cut(plain: DataFrame) -> DataFrame:
+        text = F.col("text").cast("string")
+        keyed = plain.withColumn("d", F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LEAST_ID))).withColumn("t", F.xxhash64(text))
+        later = _later(keyed.select("d", "t", text.alias("text")), size)
+        joined = keyed.join(later, ["d", "t"], "left").select(*plain.columns, "later")
+        return joined.mapInArrow(_remove(size, plain.columns.index("text")), f"{schema_of(plain)}, lines bigint, removed bigint")
+
+    return with_names(docs, ["doc_id", "text"], cut)
 
 
 def remove_repeated_windows(docs: DataFrame, size: int = WINDOW) -> DataFrame:
-    """All rows and columns of ``docs``, with later windows' lines gone from ``text``.
+    """All rows and columns of ``docs``, whatever their names, with later windows' lines gone from ``text``.
 
     A text has one line more than line feeds; a null text has none and stays
     null; a text with fewer lines than a window, and windows of blank lines
@@ -81,12 +106,13 @@ def remove_repeated_windows(docs: DataFrame, size: int = WINDOW) -> DataFrame:
     Rows that share a ``doc_id`` are no later than each other, and rows that
     also share the text get the same result.  An empty table stays empty.
     """
-    return _with_counts(docs, size).select(*(f"`{c}`" for c in docs.columns))
+    out = _with_counts(docs, size)
+    return out.toDF(*(f"c{i}" for i in range(len(out.columns)))).select(*(f"c{i}" for i in range(len(docs.columns)))).toDF(*docs.columns)
 
 
 def line_report(docs: DataFrame, size: int = WINDOW) -> DataFrame:
-    """``doc_id``, ``n_lines``, ``n_removed`` and the remaining ``text``, for each row."""
-    return _with_counts(docs.select("doc_id", "text"), size).select("doc_id", F.col("__lines").alias("n_lines"), F.col("__removed").alias("n_removed"), "text")
+    """``doc_id``, ``n_lines``, ``n_removed`` and the remaining ``text``, for each row; edge cases as in ``remove_repeated_windows``."""
+    return _with_counts(docs.select("doc_id", "text"), size).select("doc_id", F.col("lines").alias("n_lines"), F.col("removed").alias("n_removed"), "text")
 
 
 ORACLE_SQL = """
