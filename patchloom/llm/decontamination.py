@@ -2,29 +2,35 @@
 
 Windows of ``WINDOW`` consecutive benchmark words are hashed; every window of a
 document's words is looked up by hash, hits are verified word by word, and the
-covered words are removed, or the documents that have any.  A benchmark beyond
-``BLOCK_BYTES`` is broadcast in blocks of that size, one scan each, and the
-hits of a document are merged afterwards.
+covered words are removed, or the documents that have any.
+
+A benchmark of up to ``BLOCK_BYTES`` is broadcast whole, as arrays of a few
+times its size.  A larger one is broadcast as a bit map of its windows' hashes,
+of ``MOST_BITS`` bits at most; document windows that may be in it are joined
+with the benchmark's windows.  Either way documents are scanned once.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from patchloom.llm import kernels
-from patchloom.llm.session import prepare
+from patchloom.llm.session import cut_lineage, prepare, schema_of, with_names
 
 WINDOW = 10
-BLOCK_BYTES = 32 << 20
-TEXT_BYTES = 4 << 20
-FILTER_BITS = 20
+BLOCK_BYTES = 8 << 20
+TEXT_BYTES = 2 << 20
+#: Bits of the map of hashes: at least LEAST_BITS and at most MOST_BITS as powers of two.
+LEAST_BITS, MOST_BITS = 16, 28
+MAP_PART = 1 << 18
 
 #: Bytes of words after lower-casing A-Z; anything else separates.
 WORD_BYTES = np.zeros(256, np.uint8)
@@ -33,40 +39,77 @@ for _b in [*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)]:
 WORD_BYTES[0x41:0x5B] = np.arange(0x61, 0x7B)
 
 
-def item_windows(items: list[tuple[str, str | None]], window: int = WINDOW) -> dict[int, dict[bytes, list[str]]]:
-    """By number of words, the normalised windows and the items that they occur in."""
-    table, gone = bytes(np.where(WORD_BYTES, WORD_BYTES, 32).astype(np.uint8)), {}
-    for item, text in items:
-        words = (text or "").encode().translate(table).split()
-        k = min(window, len(words))
-        for i in range(len(words) - k + 1) if k else ():
-            owners = gone.setdefault(k, {}).setdefault(b" ".join(words[i : i + k]), [])
-            if item not in owners:
-                owners.append(item)
-    return gone
+class Words(NamedTuple):
+    """The words of a text buffer: normalised bytes, starts, ends, word offsets of rows and hashes."""
+
+    norm: np.ndarray
+    starts: np.ndarray
+    ends: np.ndarray
+    row_at: np.ndarray
+    hashes: np.ndarray
+
+    def text(self, at: int, k: int) -> bytes:
+        """The normalised text of k words."""
+        return b" ".join(self.norm[s:e].tobytes() for s, e in zip(self.starts[at : at + k].tolist(), self.ends[at : at + k].tolist(), strict=True))
+
+
+def words_of(data: np.ndarray, offsets: np.ndarray) -> Words:
+    norm = WORD_BYTES[data]
+    starts, ends, row_at = kernels.word_spans(norm, offsets)
+    return Words(norm, starts, ends, row_at, kernels.word_hashes(norm, starts, ends))
+
+
+def own_windows(words: Words, window: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """By number of words: the first words, rows and hashes of the windows of each row; a row of fewer words is one window."""
+    n = np.diff(words.row_at)
+    for k in np.unique(np.minimum(n, window)).tolist():
+        if k == 0:
+            continue
+        hashes = kernels.window_hashes(words.hashes, k)
+        at = np.flatnonzero(kernels.within_rows(words.row_at, k, len(hashes)))
+        row = np.searchsorted(words.row_at, at, "right") - 1
+        mine = n[row] == k if k < window else n[row] >= window
+        yield k, at[mine], row[mine], hashes[at[mine]]
 
 
 class Lookup:
-    """The windows of one length, by hash."""
-
-    def __init__(self, windows: dict[bytes, list[str]], k: int) -> None:
-        self.windows, self.k = windows, k
-        joined = np.frombuffer(b" ".join(windows), np.uint8)
-        norm = WORD_BYTES[joined]
-        starts, ends, _ = kernels.word_spans(norm, np.array([0, len(norm)]))
-        hashes = kernels.window_hashes(kernels.word_hashes(norm, starts, ends), k)[::k]
-        self.bits = np.zeros(1 << FILTER_BITS, bool)
-        self.bits[hashes >> kernels.U64(64 - FILTER_BITS)] = True
-        self.hashes = np.sort(hashes)
-
-    def candidates(self, words: np.ndarray, word_offsets: np.ndarray) -> np.ndarray:
-        found = kernels.window_hashes(words, self.k)
-        at = np.flatnonzero(self.bits[found >> kernels.U64(64 - FILTER_BITS)])
-        got = found[at]
-        place = np.minimum(np.searchsorted(self.hashes, got), len(self.hashes) - 1)
-        at = at[self.hashes[place] == got]
-        row = np.searchsorted(word_offsets, at, "right") - 1
-        return at[at + self.k <= word_offsets[row + 1]]
+    """The windows of one length as arrays: hashes in order, each with its item and the place of its first word."""
+
+    def __init__(self, words: Words, k: int, at: np.ndarray, row: np.ndarray, hashes: np.ndarray) -> None:
+        order = np.lexsort((row, hashes))
+        hashes, row, at = hashes[order], row[order], at[order]
+        new = np.append(True, (hashes[1:] != hashes[:-1]) | (row[1:] != row[:-1]))
+        self.words, self.k = words, k
+        self.hashes, self.row, self.at = hashes[new], row[new].astype(np.int32), at[new].astype(np.int32)
+        self.shift = kernels.U64(64 - min(max(LEAST_BITS, int(len(hashes)).bit_length() + 3), 24))
+        self.bits = np.zeros(1 << int(64 - int(self.shift)), bool)
+        self.bits[self.hashes >> self.shift] = True
+
+    def candidates(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
+        """First words of the document windows whose hash is known, and the hashes' first places here."""
+        found = kernels.window_hashes(words.hashes, self.k)
+        at = np.flatnonzero(self.bits[found >> self.shift])
+        place = np.searchsorted(self.hashes, found[at])
+        hit = self.hashes[np.minimum(place, len(self.hashes) - 1)] == found[at]
+        at, place = at[hit], place[hit]
+        inside = at + self.k <= words.row_at[np.searchsorted(words.row_at, at, "right")]
+        return at[inside], place[inside]
+
+    def items(self, words: Words, at: int, place: int) -> list[int]:
+        """The items whose window has the very words of the document's."""
+        text, own, out = words.text(at, self.k), self.hashes[place], []
+        while place < len(self.hashes) and self.hashes[place] == own:
+            if self.words.text(int(self.at[place]), self.k) == text:
+                out.append(int(self.row[place]))
+            place += 1
+        return out
+
+
+def lookups(items: list[tuple[str, str | None]], window: int = WINDOW) -> tuple[list[str], list[Lookup]]:
+    """The names of the items and a table of their windows for each number of words."""
+    data, offsets = kernels.text_buffer(pa.array([t for _, t in items], pa.string()))
+    words = words_of(data, offsets)
+    return [i for i, _ in items], [Lookup(words, *own) for own in own_windows(words, window)]
 
 
 def united(spans) -> list[dict]:
@@ -80,79 +123,148 @@ def united(spans) -> list[dict]:
     return out
 
 
-def _scan(lookups) -> object:
+def _chunks(batch: pa.RecordBatch, text_at: int) -> Iterator[tuple[int, int, Words]]:
+    data, offsets = kernels.text_buffer(batch.column(text_at))
+    for lo, hi in kernels.doc_chunks(offsets, TEXT_BYTES):
+        yield lo, hi, words_of(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
+
+
+SPANS = "array<struct<start:bigint,end:bigint>>"
+FOUND = f"n_words bigint, spans {SPANS}, items array<string>"
+
+
+def _hits(words: Words, names: list[str], tables: list[Lookup]) -> tuple[list[list[dict]], list[list[str]]]:
+    """Per row its united hit spans and the items found."""
+    n = len(words.row_at) - 1
+    spans: list[list[dict]] = [[] for _ in range(n)]
+    items: list[set] = [set() for _ in range(n)]
+    for table in tables:
+        hits, places = table.candidates(words)
+        rows = np.searchsorted(words.row_at, hits, "right") - 1
+        for at, place, row in zip(hits.tolist(), places.tolist(), rows.tolist(), strict=True):
+            if owners := table.items(words, at, place):
+                first = at - int(words.row_at[row])
+                items[row].update(names[i] for i in owners)
+                spans[row].append({"start": first, "end": first + table.k})
+    return [united(x) for x in spans], [sorted(x) for x in items]
+
+
+def _scan(shared, text_at: int):
+    kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = [Lookup(w, k) for k, w in lookups.value.items()]
+        names, tables = shared.value
         for batch in batches:
-            data, offsets = kernels.text_buffer(batch.column(1))
-            for lo, hi in kernels.doc_chunks(offsets, TEXT_BYTES):
-                part = data[offsets[lo] : offsets[hi]]
-                norm = WORD_BYTES[part]
-                starts, ends, word_at = kernels.word_spans(norm, offsets[lo : hi + 1] - offsets[lo])
-                words = kernels.word_hashes(norm, starts, ends)
-                spans: list[list[dict]] = [[] for _ in range(hi - lo)]
-                items: list[set] = [set() for _ in range(hi - lo)]
-                for table in tables:
-                    hits = table.candidates(words, word_at)
-                    rows = np.searchsorted(word_at, hits, "right") - 1
-                    for at, row in zip(hits.tolist(), rows.tolist(), strict=True):
-                        text = b" ".join(norm[s:e].tobytes() for s, e in zip(starts[at : at + table.k].tolist(), ends[at : at + table.k].tolist(), strict=True))
-                        if owners := table.windows.get(text):
-                            first = at - int(word_at[row])
-                            items[row].update(owners)
-                            spans[row].append({"start": first, "end": first + table.k})
-                spans = [united(x) for x in spans]
-                yield pa.RecordBatch.from_arrays(
-                    [*(batch.column(c).slice(lo, hi - lo) for c in range(batch.num_columns)), pa.array(np.diff(word_at)), pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), pa.array([sorted(x) for x in items], pa.list_(pa.string()))],
-                    [*batch.schema.names, "n_words", "spans", "items"],
-                )
+            for lo, hi, words in _chunks(batch, text_at):
+                spans, items = _hits(words, names, tables)
+                yield pa.RecordBatch.from_arrays([*batch.slice(lo, hi - lo).columns, pa.array(np.diff(words.row_at)), pa.array(spans, kind), pa.array(items, pa.list_(pa.string()))], [*batch.schema.names, "n_words", "spans", "items"])
 
     return run
 
 
-def _finish(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for frame in frames:
-        hit, digest = [], []
-        for spans in frame["spans"]:
-            hit.append(sum(x["end"] - x["start"] for x in united(spans)))
-        for items in frame["items"]:
-            digest.append(hashlib.sha256(",".join(sorted(set(items))).encode()).hexdigest())
-        yield pd.DataFrame({"doc_id": frame["doc_id"], "n_words": frame["n_words"], "n_hit": hit, "n_items": [len(set(x)) for x in frame["items"]], "items_sha256": digest, "contaminated": [n > 0 for n in hit]})
+def _items(benchmark: DataFrame) -> DataFrame:
+    return benchmark.select(F.col("item_id").cast("string").alias("item"), F.col("text").cast("string").alias("text")).filter("item IS NOT NULL")
+
+
+def _benchmark_windows(window: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo, _, words in _chunks(batch, 1):
+                for k, at, row, hashes in own_windows(words, window):
+                    texts = [words.text(a, k) for a in at.tolist()]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), k, np.int32)), pa.array(hashes.view(np.int64)), pa.array(texts, pa.binary()), batch.column(0).take(pa.array(row + lo))], ["k", "hash", "words", "item"])
+
+    return run
+
+
+def _bit_map(windows: DataFrame, bits: int) -> np.ndarray:
+    """A map of the hashes' first ``bits`` bits, put together from parts of ``MAP_PART`` bits."""
+
+    def fill(table: pa.Table) -> pa.Table:
+        out = np.zeros(MAP_PART, bool)
+        out[table.column("bit").to_numpy() % MAP_PART] = True
+        return pa.table({"part": table.column("part").slice(0, 1), "bits": pa.array([np.packbits(out).tobytes()], pa.binary())})
+
+    bit = F.shiftrightunsigned("hash", 64 - bits)
+    placed = windows.select(bit.alias("bit")).distinct().withColumn("part", (F.col("bit") / MAP_PART).cast("int"))
+    out = np.zeros((max(1, (1 << bits) // MAP_PART), MAP_PART // 8), np.uint8)
+    for row in placed.groupBy("part").applyInArrow(fill, "part int, bits binary").toLocalIterator():
+        out[row["part"]] = np.frombuffer(row["bits"], np.uint8)
+    return out.ravel()
+
+
+def _possible(shared, ks: list[int], bits: int, text_at: int):
+    """Adds ``n_words`` and ``may``, the windows that may be the benchmark's."""
+    kind = pa.list_(pa.struct([("start", pa.int64()), ("k", pa.int32()), ("words", pa.binary())]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table, shift = shared.value, kernels.U64(64 - bits)
+        for batch in batches:
+            for lo, hi, words in _chunks(batch, text_at):
+                may: list[list[dict]] = [[] for _ in range(hi - lo)]
+                for k in ks:
+                    found = kernels.window_hashes(words.hashes, k) >> shift
+                    at = np.flatnonzero(table[found >> kernels.U64(3)] >> (kernels.U64(7) - (found & kernels.U64(7))).astype(np.uint8) & 1)
+                    row = np.searchsorted(words.row_at, at, "right") - 1
+                    for a, r in zip(at.tolist(), row.tolist(), strict=True):
+                        if a + k <= words.row_at[r + 1]:
+                            may[r].append({"start": a - int(words.row_at[r]), "k": k, "words": words.text(a, k)})
+                yield pa.RecordBatch.from_arrays([*batch.slice(lo, hi - lo).columns, pa.array(np.diff(words.row_at)), pa.array(may, kind)], [*batch.schema.names, "n_words", "may"])
+
+    return run
+
+
+def _joined(docs: DataFrame, items: DataFrame, window: int) -> DataFrame:
+    """``docs`` with the columns of ``FOUND``, by a join of windows; rows of equal id and text are one document's."""
+    windows = cut_lineage(items.mapInArrow(_benchmark_windows(window), "k int, hash bigint, words binary, item string").distinct())
+    ks = sorted(r["k"] for r in windows.select("k").distinct().collect())
+    bits = min(max(LEAST_BITS + 2, int(windows.count()).bit_length() + 3), MOST_BITS)
+    shared = docs.sparkSession.sparkContext.broadcast(_bit_map(windows, bits))
+    key: Column = F.struct(F.col("doc_id").cast("string").alias("id"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("text"))
+    keyed = docs.withColumn("key", key)
+    may = keyed.select("key", "text").mapInArrow(_possible(shared, ks, bits, 1), "key struct<id:string,text:string>, text string, n_words bigint, may array<struct<start:bigint,k:int,words:binary>>").drop("text")
+    may = cut_lineage(may.dropDuplicates(["key"]))
+    each = may.select("key", F.explode("may").alias("m")).select("key", "m.start", "m.k", "m.words")
+    hits = each.join(windows.select("k", "words", "item"), ["k", "words"])
+    found = hits.groupBy("key").agg(F.array_sort(F.collect_set(F.struct("start", (F.col("start") + F.col("k")).alias("end")))).alias("spans"), F.array_sort(F.collect_set("item")).alias("items"))
+    ready = may.select(F.col("key").alias("own"), "n_words").join(found.withColumnRenamed("key", "own"), "own", "left")
+    none = lambda c, kind: F.coalesce(c, F.array().cast(kind)).alias(c)
+    return keyed.join(ready, keyed["key"].eqNullSafe(ready["own"])).select(*docs.columns, "n_words", none("spans", SPANS), none("items", "array<string>"))
 
 
 def find_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """``doc_id``, ``text``, the number of words, the hit word spans and the items found.
+    """The columns of ``docs`` and ``n_words``, ``spans``, the hit word spans, and ``items``, those found.
 
-    A null text has no words; an empty benchmark hits nothing.  Rows that agree
-    in ``doc_id`` and text are one document's rows and each get its result.
-    The spans of one block are merged; those of several blocks may overlap.
+    A null or empty text has no words; a text of any length is searched whole;
+    an empty benchmark hits nothing, nor does an item without words or id.
+    Repeated rows each get the result; an empty table stays empty.  Spans of a
+    benchmark that is joined may overlap.
     """
     spark = prepare(docs.sparkSession)
-    docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    items = benchmark.select(F.col("item_id").cast("string").alias("item"), F.col("text").cast("string").alias("text"))
+    items = _items(benchmark)
     size = items.agg(F.sum(F.octet_length("text") + 64)).first()[0] or 0
-    blocks = max(1, -(-int(size) // block_bytes))
-    id_type = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {id_type}, text string, n_words bigint, spans array<struct<start:bigint,end:bigint>>, items array<string>"
-    found = None
-    for b in range(blocks):
-        some = items if blocks == 1 else items.filter(F.pmod(F.xxhash64("item"), F.lit(blocks)) == b)
-        windows = item_windows([(r["item"], r["text"]) for r in some.collect() if r["item"] is not None], window)
-        one = docs.mapInArrow(_scan(spark.sparkContext.broadcast(windows)), schema)
-        found = one if found is None else found.unionByName(one)
-    if blocks > 1:
-        key = F.sha2(F.coalesce("text", F.lit("")), 256)
-        copies = docs.groupBy("doc_id", key.alias("key")).agg(F.count("*").alias("n"))
-        merged = found.groupBy("doc_id", key.alias("key")).agg(F.first("text").alias("text"), F.max("n_words").alias("n_words"), F.array_distinct(F.flatten(F.collect_set("spans"))).alias("spans"), F.array_distinct(F.flatten(F.collect_set("items"))).alias("items"))
-        same = merged["doc_id"].eqNullSafe(copies["doc_id"]) & (merged["key"] == copies["key"])
-        found = merged.join(copies, same).select(merged["doc_id"], "text", "n_words", "spans", "items", F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))).alias("copy")).drop("copy")
-    return found
+    if int(size) > block_bytes:
+        return _joined(docs, items, window)
+    shared = spark.sparkContext.broadcast(lookups([(r["item"], r["text"]) for r in items.collect()], window))
+    return docs.mapInArrow(_scan(shared, docs.columns.index("text")), f"{schema_of(docs)}, {FOUND}")
+
+
+def _finish(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for frame in frames:
+        hit = [sum(x["end"] - x["start"] for x in united(spans)) for spans in frame["spans"]]
+        digest = [hashlib.sha256(",".join(sorted(set(items))).encode()).hexdigest() for items in frame["items"]]
+        yield pd.DataFrame({"doc_id": frame["doc_id"], "n_words": frame["n_words"], "n_hit": hit, "n_items": [len(set(x)) for x in frame["items"]], "items_sha256": digest, "contaminated": [n > 0 for n in hit]})
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """Per document: words, hit words, items with occurring windows, their digest, and whether any was hit."""
-    id_type = docs.schema["doc_id"].dataType.simpleString()
-    found = find_hits(docs, benchmark, window, block_bytes).select("doc_id", "n_words", "spans", "items")
+    """Per row: words, hit words, items with occurring windows, their digest, and whether any word was hit.
+
+    Edge cases are those of ``find_hits``: no words give zeros and the digest of
+    an empty list.
+    """
+    own = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    id_type = own.schema["doc_id"].dataType.simpleString()
+    found = find_hits(own, benchmark, window, block_bytes).select("doc_id", "n_words", "spans", "items")
     return found.mapInPandas(_finish, f"doc_id {id_type}, n_words bigint, n_hit bigint, n_items bigint, items_sha256 string, contaminated boolean")
 
 
@@ -171,36 +283,14 @@ def _strip(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield frame[["doc_id"]].assign(text=out)
 
 
-def remove_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """``doc_id`` and the text without its hit words and what lies between them."""
-    id_type = docs.schema["doc_id"].dataType.simpleString()
-    return find_hits(docs, benchmark, window).mapInPandas(_strip, f"doc_id {id_type}, text string")
+def remove_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """``doc_id`` and the text without its hit words and what lies between them; a null text stays null."""
+    own = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    id_type = own.schema["doc_id"].dataType.simpleString()
+    return find_hits(own, benchmark, window, block_bytes).select("doc_id", "text", "spans").mapInPandas(_strip, f"doc_id {id_type}, text string")
 
 
 def remove_documents(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """The rows, with all their columns, whose text has no benchmark window.
-
-    Works on the rows where they are for a benchmark of one block (no shuffle);
-    further blocks filter what the blocks before have kept.
-    """
-    spark = prepare(docs.sparkSession)
-    items = benchmark.select(F.col("item_id").cast("string").alias("item"), F.col("text").cast("string").alias("text"))
-    size = items.agg(F.sum(F.octet_length("text") + 64)).first()[0] or 0
-    blocks = max(1, -(-int(size) // block_bytes))
-    names = docs.columns
-    for b in range(blocks):
-        some = items if blocks == 1 else items.filter(F.pmod(F.xxhash64("item"), F.lit(blocks)) == b)
-        windows = item_windows([(r["item"], r["text"]) for r in some.collect() if r["item"] is not None], window)
-        docs = docs.mapInArrow(_clean(spark.sparkContext.broadcast(windows), names.index("text")), docs.schema)
-    return docs
-
-
-def _clean(lookups, text_at: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scan = _scan(lookups)
-        for batch in batches:
-            pair = pa.RecordBatch.from_arrays([pa.nulls(batch.num_rows, pa.int64()), batch.column(text_at)], ["doc_id", "text"])
-            keep = [not items for got in scan(iter([pair])) for items in got.column(4).to_pylist()]
-            yield batch.filter(pa.array(keep, pa.bool_()))
-
-    return run
+    """The rows, with all their columns whatever their names, whose text has no benchmark window; edge cases as in ``find_hits``."""
+    clean = lambda d: find_hits(d, benchmark, window, block_bytes).filter(F.size("items") == 0).select(*d.columns)
+    return with_names(docs, ["doc_id", "text"], clean)
