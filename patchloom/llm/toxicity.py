@@ -1,14 +1,17 @@
 """Toxicity by a weighted finite-state grammar over clauses.
 
 Small transducers read a clause's tokens: insult, threat, target, negation and
-reported speech.  Their composition, one machine over tuples of states, weighs
-each match by what governs it: an insult aimed at a target counts more than a
-bare one, a negated or reported one is counted apart.  A clause's score is what
-the machine has put out at its end; a document's score is a calibrated function
-of its clauses' scores, not of isolated words.
+reported speech.  Their composition, one machine over tuples of states, puts out
+each insult or threat as negated, reported or open; the state at the clause's
+end decides what the open ones were: with a target anywhere in the clause an
+insult is aimed and a threat is one, without it they are bare, and a bare threat
+matches nothing.  A document's score is a calibrated function of what its
+clauses have put out, not of isolated words.
 
 The insult lexicon (words, and stems of words) is learned from a bounded sample
-of labelled rows, starting from ``SEED_INSULTS``; so are the final weights.
+of labelled rows, starting from ``SEED_INSULTS``; so are the final weights.  The
+sample's words are counted where the texts are; the driver gets the counts of
+words with evidence and a row of features for each sampled document.
 """
 
 from __future__ import annotations
@@ -24,7 +27,7 @@ from pyspark.sql import functions as F
 
 from patchloom.llm import kernels
 from patchloom.llm.labelled import SAMPLE_ROWS, held_out, training_rows
-from patchloom.llm.session import prepare
+from patchloom.llm.session import cut_lineage, free_name, prepare, schema_of, with_names
 
 # Closed word classes of the grammar, in the languages of the corpus.
 SEED_INSULTS = ["idiot", "moron", "stupid", "pathetic", "worthless", "disgusting", "scum", "loser", "trash", "clown"]
@@ -54,31 +57,28 @@ TRANSDUCERS = {
     "negation": {(0, NEGATION): 1, (1, NEGATION): 0},
     "report": {(0, REPORT): 1, (1, REPORT): 1},
 }
-PLAIN, AIMED, NEGATED, REPORTED, THREATS_OUT = range(5)
+PLAIN, AIMED, NEGATED, REPORTED, THREATS_OUT, BARE = range(6)
+OPEN_INSULT, OPEN_THREAT = 6, 7
+#: Columns of a text's scores after the outputs.
+CLAUSES, DISTINCT, BEST, WORDS = 6, 7, 8, 9
 
 
-def compose() -> dict[tuple, tuple]:
-    """The composed machine: (states, category) -> (states, output or None)."""
-    names, out = list(TRANSDUCERS), {}
+def compose() -> tuple[dict[tuple, tuple], dict[tuple, tuple[int, int]]]:
+    """The composed machine: (states, category) -> (states, output or None), and what final states make of open insults and threats."""
+    names, moves, ends = list(TRANSDUCERS), {}, {}
     for states in product((0, 1), repeat=len(names)):
+        of = dict(zip(names, states, strict=True))
+        ends[states] = (AIMED, THREATS_OUT) if of["target"] else (PLAIN, BARE)
         for category in range(1, 6):
             after = tuple(TRANSDUCERS[n].get((s, category), s) for n, s in zip(names, states, strict=True))
             put = None
             if category in (INSULT, THREAT):
-                of = dict(zip(names, states, strict=True))
-                if of["report"]:
-                    put = REPORTED
-                elif of["negation"]:
-                    put = NEGATED
-                elif category == THREAT:
-                    put = THREATS_OUT
-                else:
-                    put = AIMED if of["target"] else PLAIN
-            out[states, category] = (after, put)
-    return out
+                put = REPORTED if of["report"] else NEGATED if of["negation"] else OPEN_INSULT if category == INSULT else OPEN_THREAT
+            moves[states, category] = (after, put)
+    return moves, ends
 
 
-MACHINE = compose()
+MACHINE, FINAL = compose()
 START = (0,) * len(TRANSDUCERS)
 
 
@@ -132,32 +132,42 @@ def clause_scores(data: np.ndarray, offsets: np.ndarray, lexicon: Lexicon) -> np
     """Per text: summed outputs of the machine by kind, matched clauses, distinct insults, the best clause, words."""
     starts, word_at, keys = tokens(data, offsets)
     category, weight = lexicon.match(keys)
-    out = np.zeros((len(offsets) - 1, 9))
+    out = np.zeros((len(offsets) - 1, WORDS + 1))
+    out[:, WORDS] = np.diff(word_at)
     marked = np.flatnonzero(category)
+    if not len(marked):
+        return out
     ends = np.cumsum(CLAUSE_ENDS[data])
-    clause = ends[starts[marked]] if len(marked) else marked
+    clause = ends[starts[marked]]
     row = np.searchsorted(word_at, marked, "right") - 1
-    states, before, best = START, (-1, -1), 0.0
+    last = np.append((clause[1:] != clause[:-1]) | (row[1:] != row[:-1]), True)
+    states, put_out = START, np.zeros(OPEN_THREAT + 1)
     seen: dict[int, set] = {}
-    for i, r, c, kind, w in zip(marked.tolist(), row.tolist(), clause.tolist(), category[marked].tolist(), weight[marked].tolist(), strict=True):
-        if (r, c) != before:
-            states, before, best = START, (r, c), 0.0
+    for i, r, end, kind, w in zip(marked.tolist(), row.tolist(), last.tolist(), category[marked].tolist(), weight[marked].tolist(), strict=True):
         states, put = MACHINE[states, kind]
         if put is not None:
-            out[r, put] += w
-            out[r, 5] += best == 0
-            best += w
-            out[r, 7] = max(out[r, 7], best)
-            seen.setdefault(r, set()).add(int(keys[0, i]))
+            put_out[put] += w
+            if kind == INSULT:
+                seen.setdefault(r, set()).add(int(keys[0, i]))
+        if end:
+            insults, threats = FINAL[states]
+            put_out[insults] += put_out[OPEN_INSULT]
+            put_out[threats] += put_out[OPEN_THREAT]
+            best = put_out[:BARE].sum()
+            out[r, :CLAUSES] += put_out[:CLAUSES]
+            out[r, CLAUSES] += best > 0
+            out[r, BEST] = max(out[r, BEST], best)
+            states = START
+            put_out[:] = 0
     for r, words in seen.items():
-        out[r, 6] = len(words)
-    out[:, 8] = np.diff(word_at)
+        out[r, DISTINCT] = len(words)
     return out
 
 
 def features(scores: np.ndarray) -> np.ndarray:
-    total = scores[:, :5].sum(1)
-    return np.column_stack([np.log1p(scores[:, :5]), np.log1p(total), np.minimum(scores[:, 5], 4), np.minimum(scores[:, 6], 4), scores[:, 5] >= 2, scores[:, 6] >= 2, np.log1p(scores[:, 7])])
+    total = scores[:, :BARE].sum(1)
+    clauses, distinct = scores[:, CLAUSES], scores[:, DISTINCT]
+    return np.column_stack([np.log1p(scores[:, :CLAUSES]), np.log1p(total), np.minimum(clauses, 4), np.minimum(distinct, 4), clauses >= 2, distinct >= 2, np.log1p(scores[:, BEST])])
 
 
 def _each(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -166,35 +176,52 @@ def _each(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         yield data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
 
 
-def learn_lexicon(texts: list[str], label: np.ndarray) -> dict[int, float]:
-    """Log odds of the words and stems that are evidence beyond chance; near copies of a text count once."""
-    seen, toxic, clean, totals, row = set(), {}, {}, [0, 0], 0
-    for data, offsets in _each(pa.array(texts, pa.string())):
-        _, word_at, keys = tokens(data, offsets)
-        windows = kernels.window_hashes(keys[0], 3)
-        for a, b in zip(word_at[:-1].tolist(), word_at[1:].tolist(), strict=True):
-            least = int(windows[a : b - 2].min()) if b - a > 2 else -row
-            y = int(label[row])
-            row += 1
-            if least in seen:
-                continue
-            seen.add(least)
-            totals[y] += 1
-            count = toxic if y else clean
-            for h in np.unique(keys[:, a:b]).tolist():
-                count[h] = count.get(h, 0) + 1
-    if not totals[0] or not totals[1]:
-        return {int(h): 2.0 for h in _hash(SEED_INSULTS)}
-    base = totals[1] / sum(totals)
-    need = EVIDENCE + np.log(max(1, sum(n >= LEAST_TOXIC for n in toxic.values())))
+def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per text a key that near copies share, its label and its distinct words and stems."""
+    for batch in batches:
+        label, at = batch.column(1).to_pylist(), 0
+        for data, offsets in _each(batch.column(0)):
+            _, word_at, keys = tokens(data, offsets)
+            windows = kernels.window_hashes(keys[0], 3)
+            near, words = [], []
+            for a, b in zip(word_at[:-1].tolist(), word_at[1:].tolist(), strict=True):
+                own = np.unique(keys[:, a:b])
+                near.append(int(windows[a : b - 2].min() if b - a > 2 else kernels.mix(np.array([own.sum()], np.uint64))[0]) - (1 << 63))
+                words.append(own[own > 0].tobytes())
+            n = len(near)
+            yield pa.RecordBatch.from_arrays([pa.array(near, pa.int64()), pa.array(label[at : at + n], pa.int32()), pa.array(words, pa.binary())], ["near", "label", "words"])
+            at += n
+
+
+def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        label = np.array(batch.column(1).to_pylist(), np.int64)
+        words = [np.frombuffer(w.as_buffer(), np.uint64) for w in batch.column(2)]
+        toxic = np.repeat(label, [len(w) for w in words])
+        word, place = np.unique(np.concatenate([np.empty(0, np.uint64), *words]), return_inverse=True)
+        got = [np.bincount(place, weights=w, minlength=len(word)).astype(np.int64) for w in (toxic, 1 - toxic)]
+        yield pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), pa.array(got[0]), pa.array(got[1])], ["word", "toxic", "clean"])
+
+
+def learn_lexicon(sample: DataFrame) -> dict[int, float]:
+    """Log odds of the words and stems that are evidence beyond chance, of rows of ``text`` and ``label``; near copies of a text count once."""
     learned = {int(h): 2.0 for h in _hash(SEED_INSULTS)}
-    for h, t in toxic.items():
-        n = clean.get(h, 0)
+    keyed = sample.select("text", "label").mapInArrow(_keyed, "near bigint, label int, words binary")
+    once = cut_lineage(keyed.groupBy("near").agg(F.min_by(F.struct("label", "words"), F.struct("label", "words")).alias("x")).select("near", "x.label", "x.words"))
+    totals = {r["label"]: r["n"] for r in once.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    if len(totals) < 2:
+        return learned
+    base = totals[1] / sum(totals.values())
+    counts = once.mapInArrow(_count_words, "word bigint, toxic bigint, clean bigint").groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")).filter(F.col("toxic") >= LEAST_TOXIC)
+    rows = counts.collect()
+    need = EVIDENCE + np.log(max(1, len(rows)))
+    for r in rows:
+        t, n = r["toxic"], r["clean"]
         share = t / (t + n)
-        if h and t >= LEAST_TOXIC and share > 0.7:
+        if share > 0.7:
             evidence = t * np.log(share / base) + (n * np.log((1 - share) / (1 - base)) if n else 0)
             if evidence > need:
-                learned[h] = float(np.log((t + 0.5) / (n + 0.5)) - np.log(base / (1 - base)))
+                learned[r["word"] % 2**64] = float(np.log((t + 0.5) / (n + 0.5)) - np.log(base / (1 - base)))
     return learned
 
 
@@ -212,19 +239,26 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, rounds: int
     return w
 
 
+def _featured(lexicon: dict[int, float]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ready = Lexicon(lexicon)
+        for batch in batches:
+            x = [features(clause_scores(d, o, ready)) for d, o in _each(batch.column(0))]
+            yield pa.RecordBatch.from_arrays([pa.array([r.tobytes() for part in x for r in part], pa.binary()), batch.column(1)], ["x", "label"])
+
+    return run
+
+
 def fit(sample: DataFrame) -> tuple[dict[int, float], np.ndarray]:
-    """The learned lexicon and the final weights, from rows of ``text`` and ``label``."""
-    frame = sample.toPandas()
-    frame["text"] = frame["text"].fillna("")
-    frame = frame.sort_values(["text", "label"], ignore_index=True).drop_duplicates("text", ignore_index=True)
+    """The learned lexicon and the final weights, from rows of ``text`` and ``label``; repeated texts count once."""
+    sample = cut_lineage(sample.select("text", "label").distinct())
+    lexicon = learn_lexicon(sample)
+    frame = sample.mapInArrow(_featured(lexicon), "x binary, label int").toPandas().sort_values(["x", "label"], ignore_index=True)
     label = frame["label"].to_numpy().astype(int)
-    lexicon = learn_lexicon(frame["text"].tolist(), label)
-    ready = Lexicon(lexicon)
-    x = [features(clause_scores(d, o, ready)) for d, o in _each(pa.array(frame["text"], pa.string()))]
-    if not x or label.min() == label.max():
-        width = features(np.zeros((1, 9))).shape[1]
-        return lexicon, np.array([0.0] * 5 + [2.0] + [0.0] * (width - 6) + [-3.0])
-    return lexicon, fit_logistic(np.concatenate(x), label)
+    if not len(label) or label.min() == label.max():
+        width = features(np.zeros((1, WORDS + 1))).shape[1]
+        return lexicon, np.array([0.0] * CLAUSES + [2.0] + [0.0] * (width - CLAUSES - 1) + [-3.0])
+    return lexicon, fit_logistic(np.stack([np.frombuffer(x) for x in frame["x"]]), label)
 
 
 def _score(lexicon: dict[int, float], weights: np.ndarray, text_at: int):
@@ -235,31 +269,44 @@ def _score(lexicon: dict[int, float], weights: np.ndarray, text_at: int):
             for data, offsets in _each(batch.column(text_at)):
                 x = features(clause_scores(data, offsets, ready))
                 got.append(1 / (1 + np.exp(-np.clip(x @ weights[:-1] + weights[-1], -30, 30))))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate(got))], [*batch.schema.names, "__toxicity"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate(got))], [*batch.schema.names, "score"])
+        kernels.release()
 
     return run
 
 
-def scored(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
-    """The rows of ``docs``, all columns, with the probability ``__toxicity``.
+def scored(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, column: str = "toxicity") -> DataFrame:
+    """The rows of ``docs``, all columns, and the probability as ``column``, with underscores after it if ``docs`` has that name.
 
     Labels are learned from at most ``rows`` rows outside the held-out fold;
-    only texts are scored.  Null and empty texts match no clause.  Without
-    labels of both kinds, the seed lexicon and fixed weights are used.  Repeated
-    rows score alike; an empty table stays empty.
+    only texts are scored, whole.  Null and empty texts match no clause.
+    Without labels of both kinds, the seed lexicon and fixed weights are used.
+    Repeated rows score alike; an empty table stays empty.
     """
     prepare(docs.sparkSession)
     lexicon, weights = fit(training_rows(docs, labels, "toxic", rows))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return docs.mapInArrow(_score(lexicon, weights, docs.columns.index("text")), f"{schema}, __toxicity double")
+    name = free_name(docs.columns, column)
+    plain = lambda d: d.mapInArrow(_score(lexicon, weights, d.columns.index("text")), f"{schema_of(d)}, score double")
+    return with_names(docs, ["text"], plain).toDF(*docs.columns, name)
 
 
 def predictions(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, rows: int = SAMPLE_ROWS) -> DataFrame:
-    """``doc_id``, ``held_out``, ``score`` and ``predicted`` for each row."""
-    found = scored(docs.select("doc_id", F.col("text").cast("string").alias("text")), labels, rows)
-    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("__toxicity").alias("score"), (F.col("__toxicity") >= threshold).cast("int").alias("predicted"))
+    """``doc_id``, ``held_out``, ``score`` and ``predicted`` for each row.
+
+    Nulls, empty and very long texts, repeated rows, missing labels and an empty
+    table are as in ``scored``; a null ``doc_id`` is held out; other columns are
+    not read.
+    """
+    found = scored(docs.select("doc_id", F.col("text").cast("string").alias("text")), labels, rows, "score")
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
 def reject(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, rows: int = SAMPLE_ROWS) -> DataFrame:
-    """The rows of ``docs``, all columns, that score under ``threshold``."""
-    return scored(docs, labels, rows).filter(F.col("__toxicity") < threshold).drop("__toxicity")
+    """The rows of ``docs``, all columns whatever their names, that score under ``threshold``.
+
+    Null and empty texts stay; repeated rows stay or go together; an empty
+    table stays empty.  Scores are those of ``scored``.
+    """
+    found = scored(docs, labels, rows)
+    name = found.columns[-1]
+    return found.filter(F.col(f"`{name}`") < threshold).drop(F.col(f"`{name}`"))
