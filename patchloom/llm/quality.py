@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from patchloom.llm import kernels
 from patchloom.llm.labelled import SAMPLE_ROWS, held_out, training_rows
-from patchloom.llm.session import prepare
+from patchloom.llm.session import free_name, prepare, schema_of, with_names
 
 BITS, DIMENSIONS, NON_ZERO = 13, 48, 4
 BUCKETS = 1 << BITS
@@ -195,13 +195,13 @@ def _score(vectors: np.ndarray, network: Network | None, text_at: int):
             got = [np.empty(0)]
             for token, row_at in _chunks(batch, text_at):
                 got.append(network.probability(pooled(token, row_at, vectors).astype(float)) if network else np.full(len(row_at) - 1, 0.5))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate(got))], [*batch.schema.names, "__quality"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate(got))], [*batch.schema.names, "score"])
 
     return run
 
 
-def scored(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
-    """The rows of ``docs``, all columns, with the probability ``__quality``.
+def scored(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, column: str = "quality") -> DataFrame:
+    """The rows of ``docs``, all columns, and the probability as ``column``, with underscores after it if ``docs`` has that name.
 
     Word vectors come from all rows; the network learns from at most ``rows``
     labelled rows outside the held-out fold.  Null and empty texts have no
@@ -211,11 +211,17 @@ def scored(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> DataF
     prepare(docs.sparkSession)
     vectors = word_vectors(docs)
     network = fit(docs, labels, vectors, rows)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return docs.mapInArrow(_score(vectors, network, docs.columns.index("text")), f"{schema}, __quality double")
+    name = free_name(docs.columns, column)
+    plain = lambda d: d.mapInArrow(_score(vectors, network, d.columns.index("text")), f"{schema_of(d)}, score double")
+    return with_names(docs, ["text"], plain).toDF(*docs.columns, name)
 
 
 def predictions(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, rows: int = SAMPLE_ROWS) -> DataFrame:
-    """``doc_id``, ``held_out``, ``score`` and ``predicted`` for each row."""
-    found = scored(docs.select("doc_id", F.col("text").cast("string").alias("text")), labels, rows)
-    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("__quality").alias("score"), (F.col("__quality") >= threshold).cast("int").alias("predicted"))
+    """``doc_id``, ``held_out``, ``score`` and ``predicted`` for each row.
+
+    Nulls, empty and very long texts, repeated rows, missing labels and an empty
+    table are as in ``scored``; a null ``doc_id`` is held out; other columns are
+    not read.
+    """
+    found = scored(docs.select("doc_id", F.col("text").cast("string").alias("text")), labels, rows, "score")
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
