@@ -59,6 +59,9 @@ def test_grammar_scopes():
     assert score("not an idiot")[toxicity.NEGATED] == 2 and score("not so. an idiot")[toxicity.PLAIN] == 2
     assert score("they said you idiot")[toxicity.REPORTED] == 2 and score("never not an idiot")[toxicity.PLAIN] == 2
     assert score("i will kill you")[toxicity.THREATS_OUT] == 1 and score("").sum() == 0
+    assert score("burn the wood")[toxicity.BARE] == 1 and score("burn the wood")[toxicity.CLAUSES] == 0
+    assert score("idiot that you are")[toxicity.AIMED] == 2 and score("you said idiot")[toxicity.REPORTED] == 2
+    assert score("you. burn it")[toxicity.THREATS_OUT] == 0 and score("an idiot, you")[toxicity.PLAIN] == 2
 
 
 def test_temperature_calibrates():

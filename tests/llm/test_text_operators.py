@@ -5,6 +5,7 @@ import random
 import re
 import zlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -188,13 +189,46 @@ def test_packing(docs, rows, empty, clashing):
             assert p.ids_crc32 == zlib.crc32(raw)
     for _, s in pieces.sort_values("offset").groupby("sequence_id"):
         assert s["offset"].tolist() == [0, *s["length"].cumsum().tolist()[:-1]] and s["length"].sum() <= 2048
+    whole = packing.packed_pieces(docs, tokenizer_path()).filter("doc_id = 13").orderBy("start").collect()
+    assert [x for p in whole for x in p["ids"]] == [*tokenizer.encode(dict(rows)[13], add_special_tokens=False).ids, 1]
     assert packing.pack(empty, tokenizer_path()).count() == 0
     assert packing.pack(clashing, tokenizer_path()).groupBy("doc_id").agg(F.sum("length")).count() == 2
 
 
-def test_piece_lengths():
-    for n in [1, 63, 64, 65, 2047, 2048, 2049, 9999]:
-        assert sum(packing.piece_lengths(n)) == n and all(p in (2048, 1024, 512, 256, 128, 64) or p < 64 for p in packing.piece_lengths(n))
+@pytest.mark.parametrize("capacity", [1, 7, 64, 2048])
+def test_harmonic_classes(capacity):
+    """Each id in one piece, no hole in a sequence, one short sequence at most, whole documents where longer ones fill."""
+    draw = np.random.default_rng(capacity)
+    for _ in range(25):
+        length = draw.integers(1, int(draw.integers(2, 3 * capacity + 2)), int(draw.integers(1, 80)))
+        pieces = packing.placed(length, capacity)
+        for key, at, n, total in ((0, 1, 2, length), (3, 4, 2, None)):
+            for k in np.unique(pieces[:, key]):
+                own = pieces[pieces[:, key] == k]
+                own = own[np.argsort(own[:, at])]
+                assert own[:, at].tolist() == [0, *np.cumsum(own[:, n]).tolist()[:-1]]
+                assert own[:, n].sum() == total[k] if total is not None else own[:, n].sum() <= capacity
+        used = np.bincount(pieces[:, 3], weights=pieces[:, 2])
+        assert (used < capacity).sum() <= 1
+    length = np.concatenate([draw.integers(1, capacity + 1, 300), np.full(40, 9 * capacity)])
+    pieces = packing.placed(length, capacity)
+    assert np.bincount(pieces[:, 0])[:300].max() == 1
+    whole = [b for b in packing.harmonic_bins(length[:300], capacity)]
+    assert all(len({capacity // length[i] for i in b}) == 1 and len(b) <= capacity // length[b[0]] for b in whole)
+
+
+def test_word_ids_with_a_small_cache(monkeypatch):
+    from tokenizers import Tokenizer
+
+    """Texts of all kinds of words, with a cache that is emptied again and again."""
+    monkeypatch.setattr(packing, "CACHE_WORDS", 40)
+    tokenizer, words = Tokenizer.from_file(tokenizer_path()), packing.WordIds(tokenizer_path())
+    draw = random.Random(8)
+    for _ in range(60):
+        texts = ["".join("".join(draw.choice("abcdeéÉßABC1.,-'\u0301\u201c中\0\t") for _ in range(draw.choice([1, 2, 3, 6, 70]))) + draw.choice([" ", " ", ". ", ", ", "\n", "  "]) for _ in range(draw.randint(0, 30))) for _ in range(3)]
+        raw = [t.encode() for t in texts]
+        ids, at = words.encode(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]))
+        assert [ids[lo:hi].tolist() for lo, hi in zip(at[:-1], at[1:], strict=True)] == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
 
 
 def test_gif_round_trip(docs, rows, empty, clashing):
@@ -246,7 +280,7 @@ def test_gif_rules(spark):
     noise = [draw.randrange(4) for _ in range(16)]
     frames = [frame([1] * 16, (0, 0, 4, 4)), frame([2, 0, 0, 2], (1, 1, 2, 2), disposal=2, transparent=0), frame([3] * 4, (0, 0, 2, 2), disposal=3), frame(noise, (0, 0, 4, 4), interlaced=True), frame([1] * 4, (0, 0, 2, 2), palette=bytes([9] * 12))]
     width, height, parsed = gif.parse(head + b"".join(frames) + b";")
-    screens = list(gif.canvases(width, height, parsed, gif.samples(parsed)))
+    screens = [s.copy() for s in gif.canvases(width, height, parsed)]
     red, green, blue = [255, 0, 0], [0, 255, 0], [0, 0, 255]
     assert screens[0][3][3].tolist() == red
     assert screens[1][1][1].tolist() == green and screens[1][1][2].tolist() == red
@@ -264,6 +298,19 @@ def test_gif_rules(spark):
         coded = lzw(raw, size)
         data, _ = gif._sub_blocks(coded, 1)
         assert gif.lzw_decode(data, size, len(raw)) == raw
+        assert gif.lzw_decode(gif.packed_codes(gif.lzw_codes(raw, size), size), size, len(raw)) == raw
+    wide = bytes(draw.randrange(256) for _ in range(20000))
+    assert gif.lzw_decode(gif.packed_codes(gif.lzw_codes(wide)), 8, len(wide)) == wide
+    bad = [(1, b"GIF89a" + b"\xff\xff\xff\xff\x80\0\0" + bytes(6) + frames[0] + b";"), (2, (head + frames[0]).replace(b"\x02", b"\x0c") + b";")]
+    assert all(r["error"] for r in gif.decode_media(spark.createDataFrame([(k, bytearray(m)) for k, m in bad], "k int, media binary")).collect())
+
+
+def test_gif_writer_uses_codes_and_transparency():
+    text = ("the cat sat on the mat and " * 90).encode()[:2304]
+    media = gif.write([text])[0]
+    _, _, frames = gif.parse(media)
+    assert len(frames) == 4 and [f.transparent for f in frames] == [-1, 0xF5, 0xF5, 0xF5] and len(media) < len(gif.HEADER) + 2000
+    assert next(gif.read([media]))[0] == text
 
 
 def test_license_scan(spark, docs, empty, clashing):
