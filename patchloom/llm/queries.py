@@ -79,6 +79,18 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.components(_table(spark, sf_dir, "documents"))
 
 
+def op11_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from patchloom.llm import lm_score
+
+    return lm_score.score(_table(spark, sf_dir, "documents"))
+
+
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from patchloom.llm import divergence
+
+    return divergence.divergence(_table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -97,15 +109,18 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_suffix_dedup": op8_suffix_dedup,
         "op9_decontamination": op9_decontamination,
         "op10_ngram_join": op10_ngram_join,
+        "op11_lm_score": op11_lm_score,
+        "op12_divergence": op12_divergence,
         "pipeline": pipeline,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    from patchloom.llm import license_scan, line_dedup, warc
+    from patchloom.llm import divergence, license_scan, line_dedup, warc
 
     return {
         "op1_line_dedup": line_dedup.ORACLE_SQL,
         "op3_license_scan": license_scan.oracle_sql(),
         "op5_warc_derivatives": warc.oracle_sql(),
+        "op12_divergence": divergence.ORACLE_SQL,
     }
