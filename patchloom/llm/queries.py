@@ -91,6 +91,12 @@ def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.divergence(_table(spark, sf_dir, "documents"))
 
 
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from patchloom.llm import lexical
+
+    return lexical.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -111,16 +117,18 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_ngram_join": op10_ngram_join,
         "op11_lm_score": op11_lm_score,
         "op12_divergence": op12_divergence,
+        "op13_lexical_search": op13_lexical_search,
         "pipeline": pipeline,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    from patchloom.llm import divergence, license_scan, line_dedup, warc
+    from patchloom.llm import divergence, lexical, license_scan, line_dedup, warc
 
     return {
         "op1_line_dedup": line_dedup.ORACLE_SQL,
         "op3_license_scan": license_scan.oracle_sql(),
         "op5_warc_derivatives": warc.oracle_sql(),
         "op12_divergence": divergence.ORACLE_SQL,
+        "op13_lexical_search": lexical.ORACLE_SQL,
     }
