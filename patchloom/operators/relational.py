@@ -3,23 +3,27 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from patchloom.operators import ranges
 from patchloom.session import cut_lineage, free_name, prepare
 
 
 def keep_first(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
     """The first row of each key in the given order, by a partial aggregate."""
-    best = df.groupBy(key).agg(F.min_by(F.struct(*df.columns), F.struct(*order)).alias("__row"))
-    return best.select("__row.*")
+    row = free_name(df.columns, "row")
+    best = df.groupBy(key).agg(F.min_by(F.struct(*df.columns), F.struct(*order)).alias(row))
+    return best.select(f"{row}.*")
 
 
 def last_wins(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
     """The last row of each key, with ``__first``, the order in which the key was first met."""
-    best = df.groupBy(key).agg(F.max_by(F.struct(*df.columns), F.struct(*order)).alias("__row"), F.min(F.struct(*order)).alias("__first"))
-    return best.select("__row.*", "__first")
+    row = free_name(df.columns, "row")
+    best = df.groupBy(key).agg(F.max_by(F.struct(*df.columns), F.struct(*order)).alias(row), F.min(F.struct(*order)).alias("__first"))
+    return best.select(f"{row}.*", "__first")
 
 
 def union_handlers(*frames: DataFrame) -> DataFrame:
@@ -80,33 +84,55 @@ def submitted(df: DataFrame, statuses: DataFrame, key: str, wanted: Sequence[str
 
 
 def interval_semi_join(spans: DataFrame, points: DataFrame, on: Sequence[str], start: str, end: str, point: str) -> DataFrame:
-    """Spans that hold any point of the same keys: equality first, the range as the rest."""
-    p = points.select(*(F.col(c).alias(f"__{c}") for c in on), F.col(point).alias("__point"))
-    match = F.col("__point").between(F.col(start), F.col(end))
-    for c in on:
-        match = match & (F.col(c) == F.col(f"__{c}"))
-    return spans.join(p, match, "left_semi")
+    """Spans that hold any point of the same keys, by one sweep over spans and points together.
+
+    Going down from the greatest, each span's start meets the next point at or
+    after it, which is in the span or none is.  So the cost is that of sorting
+    both, however many points a span holds, and a key of any size is swept in
+    ranges.  Rows with a null key or bound hold nothing; repeated spans each stay.
+    """
+    whole = [F.col(c).isNotNull() for c in on]
+    at, seen, kind = (free_name([*spans.columns, *on], c) for c in ("at", "seen", "kind"))
+    first = reduce(lambda a, b: a & b, [*whole, F.col(point).isNotNull()])
+    p = points.filter(first).select(*on, F.col(point).alias(at), F.col(point).alias(seen), F.lit(0).alias(kind)).dropDuplicates([*on, at])
+    s = spans.filter(reduce(lambda a, b: a & b, [*whole, F.col(start).isNotNull()])).withColumns({at: F.col(start), seen: F.lit(None).cast(points.schema[point].dataType), kind: F.lit(1)})
+    swept = ranges.scan(s.unionByName(p, allowMissingColumns=True), [F.col(at).desc(), kind], {seen: ("last", seen)}, on)
+    return swept.filter((F.col(kind) == 1) & (F.col(seen) <= F.col(end))).select(*spans.columns)
 
 
 def bag_difference(left: DataFrame, right: DataFrame, keys: Sequence[str], value: str, order: str) -> DataFrame:
     """Rows of ``right`` beyond as many equal values as ``left`` has for the keys; order columns stay.
 
-    Values are counted by a partial aggregate on the left; only values that the
-    left has too are numbered.
+    Values of the left are counted by a partial aggregate and go before the
+    right's of the same value, whose rows are then numbered by ranges, so a
+    value that most rows have is split.  Null keys and values are equal to no
+    others: all their rows stay.
     """
-    had = left.groupBy(*keys, value).agg(F.count("*").alias("__had"))
-    nth = F.row_number().over(Window.partitionBy(*keys, value).orderBy(order))
-    return right.join(had, [*keys, value], "left").withColumn("__nth", nth).filter(F.col("__nth") > F.coalesce("__had", F.lit(0))).select(*right.columns)
+    names = [*right.columns, *keys, value]
+    had, one, kind = (free_name(names, c) for c in ("had", "one", "kind"))
+    whole = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in [*keys, value]])
+    counted = left.filter(whole).groupBy(*keys, value).agg(F.count("*").alias(had)).withColumns({one: F.lit(0).cast("bigint"), kind: F.lit(0)})
+    rows = right.withColumns({had: F.lit(None).cast("bigint"), one: F.lit(1).cast("bigint"), kind: F.lit(1)})
+    swept = ranges.scan(rows.unionByName(counted, allowMissingColumns=True), [kind, order], {had: ("last", had), one: ("sum", one)}, [*keys, value])
+    return swept.filter((F.col(kind) == 1) & (F.col(one) > F.coalesce(had, F.lit(0)))).select(*right.columns)
 
 
 def running_least_ratio(df: DataFrame, size: str, order: str, first: float, cap: float, by: Sequence[str] = ()) -> DataFrame:
-    """Adds ``ratio``: the least so far of ``first`` and cap / size, each rounded to one digit as Python does."""
+    """Adds ``ratio``: the least so far of ``first`` and cap / size, each rounded to one digit as Python does.
+
+    Without keys the order is that of all rows, which is scanned by ranges.
+    """
     from patchloom.functions.text import round_half_even_exact
 
     prepare(df.sparkSession)
-    term = round_half_even_exact(F.lit(float(cap)) / F.col(size), F.lit(1))
-    rows = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    return df.withColumn("__term", term).withColumn("ratio", F.least(F.lit(round(first, 1)), F.min("__term").over(rows))).drop("__term")
+    term = free_name(df.columns, "term")
+    sized = df.withColumn(term, round_half_even_exact(F.lit(float(cap)) / F.col(size), F.lit(1)))
+    if by:
+        rows = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+        swept = sized.withColumn(term, F.min(term).over(rows))
+    else:
+        swept = ranges.scan(sized, [order], {term: ("min", term)})
+    return swept.withColumn("ratio", F.least(F.lit(round(first, 1)), F.col(term))).select(*(c for c in df.columns if c != "ratio"), "ratio")
 
 
 def balanced_split(df: DataFrame, n: int, order: str) -> DataFrame:
@@ -153,9 +179,20 @@ def page(df: DataFrame, order: str, offset: int = 0, limit: int | None = None) -
 
 
 def prefix_match(df: DataFrame, prefixes: DataFrame, on: str, value: str, prefix: str, out: str) -> DataFrame:
-    """Adds whether the value starts with any prefix of the same key."""
-    lists = prefixes.groupBy(on).agg(F.collect_set(prefix).alias("__prefixes"))
-    return df.join(lists, on, "left").withColumn(out, F.coalesce(F.exists("__prefixes", lambda p: F.startswith(F.col(value), p)), F.lit(False))).drop("__prefixes")
+    """Adds whether the value starts with any prefix of the same key.
+
+    Distinct values are cut at the lengths that the key's prefixes have, and
+    joined with the prefixes on equal cuts, so no row holds a key's prefixes
+    and a key with most of them is split by cut.  Nulls match nothing.
+    """
+    key, text, cut, size = (free_name([*df.columns, on, value], c) for c in ("key", "text", "cut", "size"))
+    known = prefixes.select(F.col(on).alias(key), F.col(prefix).alias(cut)).dropna().distinct()
+    lengths = known.groupBy(key).agg(F.collect_set(F.length(cut)).alias(size))
+    values = df.select(F.col(on).alias(key), F.col(value).alias(text)).dropna().distinct().join(lengths, key)
+    cuts = values.select(key, text, F.explode(F.filter(size, lambda n: n <= F.length(text))).alias(size)).withColumn(cut, F.left(text, F.col(size)))
+    found = cuts.join(known, [key, cut], "left_semi").select(key, text).distinct().withColumn(cut, F.lit(True))
+    same = (F.col(on) == F.col(key)) & (F.col(value) == F.col(text))
+    return df.drop(out).join(found, same, "left").withColumn(out, F.coalesce(cut, F.lit(False))).drop(key, text, cut)
 
 
 def carried_header(df: DataFrame, header: Column, keys: Sequence[str], order: str, out: str) -> DataFrame:
