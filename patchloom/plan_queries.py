@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,8 +11,11 @@ from patchloom.functions import logs, patches, render, text
 from patchloom.operators import curation, relational, scoring
 from patchloom.plans import adaptive, collection, evaluation, feedback, masking, stages
 from patchloom.queries import RUN_SQL, _t, query, run_logs
+from patchloom.session import shared_folder
 from patchloom.sources import writers
+from patchloom.sources.keyed_table import KeyedTable
 from patchloom.streaming import reports as streams
+from patchloom.streaming import runs
 
 PARSER = {"FAILED": r"(?P<n>\d+) failed", "PASSED": r"(\d+) passed", "ERROR": r"(\d+) error", "SKIPPED": ""}
 
@@ -418,3 +423,36 @@ def q_pass_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = streams.pass_counts(own, "1 day")
     kinds = F.element_at(F.array(*(F.lit(k) for k in ("click", "error", "purchase", "signup", "view"))), F.dayofmonth("window.start"))
     return counts.select(kinds.alias("event_type"), "reports", "passes")
+
+
+RUN_DAYS = 2
+
+
+@query(f"""
+WITH c AS (SELECT user_id, event_id AS seq, CASE event_type WHEN 'error' THEN 'error' WHEN 'signup' THEN 'end' ELSE 'log' END AS kind, props AS data, epoch_ms(ts) AS ms FROM events),
+b AS (SELECT user_id, min(ms) AS begun FROM c GROUP BY user_id),
+t AS (SELECT c.* FROM c JOIN b USING (user_id) WHERE ms < begun + {RUN_DAYS * 86_400_000}),
+z AS (SELECT * FROM t WHERE kind <> 'log' QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ms, seq) = 1),
+p AS (SELECT t.user_id, string_agg(t.data, '' ORDER BY t.seq) AS logs, count(*) AS chunks FROM t LEFT JOIN z USING (user_id) WHERE t.kind = 'log' AND (z.user_id IS NULL OR (t.ms, t.seq) < (z.ms, z.seq)) GROUP BY t.user_id)
+SELECT b.user_id, coalesce(p.logs, '') AS logs, z.user_id IS NULL AS timed_out, CASE WHEN z.kind = 'error' THEN z.data END AS error, coalesce(p.chunks, 0) AS chunks
+FROM b LEFT JOIN z USING (user_id) LEFT JOIN p USING (user_id)""")
+def q_finished_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as chunks of their users' runs; what the stream of chunks gives once all are due."""
+    kind = F.when(F.col("event_type") == "error", "error").when(F.col("event_type") == "signup", "end").otherwise("log")
+    own = _t(spark, sf_dir, "events").select(F.col("user_id").cast("string").alias("instance_id"), F.lit("func").alias("run_name"), F.col("event_id").alias("seq"), kind.alias("kind"), F.encode("props", "utf-8").alias("data"), F.col("ts").alias("at"))
+    got = runs.runs_of_table(own, F.lit("2100-01-01").cast("timestamp"), RUN_DAYS * 86_400_000)
+    return got.select(F.col("instance_id").cast("bigint").alias("user_id"), "logs", "timed_out", "error", "chunks")
+
+
+@query("""
+WITH b AS (SELECT o_custkey, o_orderkey, o_totalprice, o_orderpriority, o_orderkey % 3 AS part FROM orders),
+l AS (SELECT * FROM b QUALIFY row_number() OVER (PARTITION BY o_custkey, part ORDER BY o_orderkey DESC) = 1),
+f AS (SELECT o_custkey, min(part) AS first, max(part) AS last FROM l GROUP BY o_custkey)
+SELECT f.o_custkey, z.o_orderkey, z.o_totalprice, a.o_orderpriority FROM f JOIN l a ON a.o_custkey = f.o_custkey AND a.part = f.first JOIN l z ON z.o_custkey = f.o_custkey AND z.part = f.last""")
+def q_keyed_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders come in three batches, the second one twice; each sets two columns of the customers it has, and adds new ones whole."""
+    own = _t(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_totalprice", "o_orderpriority")
+    table = KeyedTable.create(spark, f"{shared_folder(spark)}/merged-{uuid.uuid4().hex}", own.schema, "o_custkey", 8)
+    for number in (0, 1, 1, 2):
+        table.merge(own.filter(F.col("o_orderkey") % 3 == number), ["o_orderkey"], ["o_orderkey", "o_totalprice"], "orders", number)
+    return table.read()

@@ -22,18 +22,23 @@ def prepare(spark: SparkSession | None = None) -> SparkSession:
     return spark
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the cluster's checkpoint folder and read it from there.
+def shared_folder(spark: SparkSession) -> str:
+    """The cluster's checkpoint folder, in ``spark.checkpoint.dir``, which all executors share.
 
-    The folder is the one in ``spark.checkpoint.dir``, which all executors
-    share.  Only a local master may go without one (tests); a cluster may not.
+    Only a local master may go without one (tests); a cluster may not.
     """
-    context = df.sparkSession.sparkContext
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        configured = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        configured = spark.conf.get("spark.checkpoint.dir", None)
         if not configured and not context.master.split("[")[0] == "local":
             raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         context.setCheckpointDir(configured or tempfile.mkdtemp(prefix="checkpoint-"))
+    return context.getCheckpointDir()
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the ``shared_folder`` and read it from there."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 

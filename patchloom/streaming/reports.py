@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from patchloom.sources.keyed_table import KeyedTable
+
 
 def report_stream(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """JSON lines with ``finished_at``, as files arrive."""
@@ -29,3 +33,12 @@ def write_table(reports: DataFrame, path: str, checkpoint: str) -> StreamingQuer
         batch.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path)
 
     return reports.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def merge_table(rows: DataFrame, table: KeyedTable, checkpoint: str, name: str, order: Sequence[str] = (), columns: Sequence[str] | None = None) -> StreamingQuery:
+    """Merges the stream into a keyed table, batch by batch; a batch that runs again, also after a restart, changes nothing."""
+
+    def put(batch: DataFrame, batch_id: int) -> None:
+        KeyedTable(batch.sparkSession, table.path).merge(batch, order, columns, name, batch_id)
+
+    return rows.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
