@@ -15,16 +15,16 @@ share whose n-gram does not, which follows from the n-grams met once.
 1. Texts are kept in blocks of ``BLOCK_BYTES``.  A block asks for the counts of
    its distinct n-grams, and tells its own, as sorted hashes dealt by ranges.
 2. Each range sums what the blocks tell and answers every block in the order of
-   its question.  Only numbers of the whole corpus meet in one row.
+   its question, and with the range's share of N, V and the n-grams met once.
 3. A block's n-grams, with their counts, are the states and arcs that its texts
    can reach.  One traversal from left to right carries the state and adds up
    the weights, many stretches of the block side by side; a stretch starts in
    the state that the two tokens before it lead to.
 
 Weights are whole multiples of ``1 / UNIT``, so that sums are exact in any
-order.  Words are told apart by 64 bits of hash, n-grams by ``KEY_BITS``: one
-that the corpus lacks is taken for another with a chance of their number in it
-over 2 ** KEY_BITS.
+order.  Words are told apart by 64 bits of hash, n-grams by ``key_bits``, which
+grow with the corpus: one that it lacks is taken for another with a chance of
+2 ** -SPARE_BITS at most.
 """
 
 from __future__ import annotations
@@ -42,10 +42,13 @@ from patchloom.llm.ngram_join import WORD_BYTES
 from patchloom.llm.session import cut_lineage, prepare
 
 U64 = np.uint64
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
+#: A block's texts travel in rows of this size, the first of them numbered FIRST.
+PIECE_BYTES, FIRST = 256 << 10, -(1 << 30)
 LANES = 2048
 UNIT = 10**10
-KEY_BITS = 52
+#: An n-gram's hash has so many bits more than it takes to number the corpus's tokens.
+SPARE_BITS = 20
 #: The bounds of the weight of a failure arc, and its value where nothing tells.
 LEAST_GAMMA, MOST_GAMMA, BLIND_GAMMA = 0.05, 0.95, 0.5
 FOLDS, HELD_FOLD = 7, 2
@@ -56,7 +59,7 @@ BEGIN, END = U64(0x6A09E667F3BCC908), U64(0xBB67AE8584CAA73B)
 STATS = ["tokens", "words", "texts", "once1", "once2", "once3"]
 
 RESULT = "held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
-_LEVEL = pa.Codec("zstd", compression_level=5)
+_LEVEL = pa.Codec("zstd", compression_level=7)
 
 
 def held_out(doc_id: Column) -> Column:
@@ -91,10 +94,16 @@ def _joined(prefix: np.ndarray, word: np.ndarray) -> np.ndarray:
     return kernels.mix(prefix * kernels.WINDOW_BASE + word)
 
 
-def _distinct(hashes: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct hashes in order, summed weights, and each one's place."""
+def _distinct(hashes: np.ndarray, told: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct hashes in order, their summed counts, and each one's place."""
     keys, place = np.unique(hashes, return_inverse=True)
-    return keys, np.bincount(place, weight, len(keys)).astype(np.int64), place
+    return keys, np.bincount(place, told, len(keys)).astype(np.int32), place.astype(np.int32)
+
+
+def _numbered(tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values in order, and each one's place in 32 bits."""
+    distinct, place = np.unique(tokens, return_inverse=True)
+    return distinct, place.astype(np.int32)
 
 
 def grams_of(texts: pa.Array, learn: np.ndarray) -> Grams:
@@ -109,23 +118,30 @@ def grams_of(texts: pa.Array, learn: np.ndarray) -> Grams:
     own[text_at[:-1]] = own[text_at[1:] - 1] = False
     hashes[own] = kernels.word_hashes(norm, starts, ends)
     hashes[text_at[:-1]], hashes[text_at[1:] - 1] = BEGIN, END
-    words, tokens = np.unique(hashes, return_inverse=True)
-    counted = np.repeat(learn.astype(np.int64), np.diff(text_at))
-    told = [np.bincount(tokens, counted, len(words)).astype(np.int64)]
-    begins = np.zeros(len(tokens), bool)
-    begins[text_at[:-1]] = True
+    del norm, starts, ends, own
+    words, tokens = _numbered(hashes)
+    del hashes
+    size = np.int64(len(words))
+    counted = np.repeat(learn, np.diff(text_at))
+    told = [np.bincount(tokens, counted, len(words)).astype(np.int32)]
     # A pair ends at each token but the begins, a triple where a pair also ends at the token before.
-    second = np.flatnonzero(~begins)
-    pair, at_pair = np.unique(tokens[second - 1] * len(words) + tokens[second], return_inverse=True)
-    hash2 = _joined(words[pair // len(words)], words[pair % len(words)])
+    ends_pair = np.ones(len(tokens), bool)
+    ends_pair[text_at[:-1]] = False
+    second = np.flatnonzero(ends_pair).astype(np.int32)
+    pair, at_pair = _numbered(tokens[second - 1] * size + tokens[second])
+    hash2 = _joined(words[pair // size], words[pair % size])
     key2, told2, of_pair = _distinct(hash2, np.bincount(at_pair, counted[second], len(pair)))
-    pair_at = np.full(len(tokens), -1)
+    pair_at = np.full(len(tokens), -1, np.int32)
     pair_at[second] = at_pair
-    third = second[pair_at[second - 1] >= 0]
-    triple, first, at_triple = np.unique(pair_at[third - 1] * len(words) + tokens[third], return_index=True, return_inverse=True)
-    hash3 = _joined(hash2[triple // len(words)] + U64(1), words[triple % len(words)])
-    key3, told3, of_triple = _distinct(hash3, np.bincount(at_triple, counted[third], len(triple)))
-    return Grams(tokens, text_at, words, [words, key2, key3], [*told, told2, told3], pair, of_pair, triple, of_triple, pair_at[third][first])
+    third = second[ends_pair[second - 1]]
+    del second, at_pair, ends_pair
+    triple, at_triple = _numbered(pair_at[third - 1] * size + tokens[third])
+    triple_end = np.empty(len(triple), np.int32)
+    triple_end[at_triple] = pair_at[third]
+    told3 = np.bincount(at_triple, counted[third], len(triple))
+    del pair_at, third, at_triple, counted
+    key3, told3, of_triple = _distinct(_joined(hash2[triple // size] + U64(1), words[triple % size]), told3)
+    return Grams(tokens, text_at, words, [words, key2, key3], [*told, told2, told3], pair, of_pair, triple, of_triple, triple_end)
 
 
 def _part(keys: np.ndarray, parts: int) -> np.ndarray:
@@ -133,9 +149,14 @@ def _part(keys: np.ndarray, parts: int) -> np.ndarray:
     return (((keys >> U64(32)) * U64(parts)) >> U64(32)).astype(np.int64)
 
 
-def _short(keys: np.ndarray, k: int) -> np.ndarray:
+def key_bits(blocks: int) -> int:
+    """Bits of an n-gram's hash, for a corpus of so many blocks."""
+    return min(64, SPARE_BITS + max(1, blocks * BLOCK_BYTES // 4).bit_length())
+
+
+def _short(keys: np.ndarray, k: int, bits: int) -> np.ndarray:
     """Whole hashes of words, the first bits of those of n-grams."""
-    return keys if k == 0 else keys >> U64(64 - KEY_BITS)
+    return keys if k == 0 else keys >> U64(64 - bits)
 
 
 def _cuts(keys: np.ndarray, parts: int) -> np.ndarray:
@@ -161,7 +182,7 @@ def _steps(keys: np.ndarray) -> np.ndarray:
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of ``BLOCK_BYTES`` of text each: (doc_id, learn, text) as one compressed stream."""
+    """(block, part, data): ``BLOCK_BYTES`` of rows (doc_id, learn, text) each as one compressed stream, in pieces."""
     from pyspark import TaskContext
 
     number = TaskContext.get().partitionId() << 32
@@ -169,24 +190,42 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: list[pa.RecordBatch] = []
     size = 0
 
-    def flush() -> Iterator[pa.RecordBatch]:
-        nonlocal size, number
-        if held:
-            sink = pa.BufferOutputStream()
-            with pa.ipc.new_stream(sink, held[0].schema, options=options) as out:
-                out.write_table(pa.Table.from_batches(held).combine_chunks())
-            yield pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([sink.getvalue().to_pybytes()], pa.binary())], ["block", "data"])
-            held.clear()
-            number, size = number + 1, 0
+    def flush() -> pa.RecordBatch:
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, held[0].schema, options=options) as out:
+            out.write_table(pa.Table.from_batches(held).combine_chunks())
+        whole = sink.getvalue().to_pybytes()
+        pieces = [whole[at : at + PIECE_BYTES] for at in range(0, len(whole), PIECE_BYTES)]
+        part = FIRST + np.arange(len(pieces), dtype=np.int32)
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(pieces), number)), pa.array(part, pa.int32()), pa.array(pieces, pa.binary())], ["block", "part", "data"])
 
     for batch in batches:
         _, offsets = kernels.text_buffer(batch.column(2))
         for lo, hi in kernels.doc_chunks(offsets, BLOCK_BYTES):
             if size and size + offsets[hi] - offsets[lo] > BLOCK_BYTES:
-                yield from flush()
+                yield flush()
+                held.clear()
+                number, size = number + 1, 0
             held.append(batch.slice(lo, hi - lo))
             size += int(offsets[hi] - offsets[lo])
-    yield from flush()
+    if held:
+        yield flush()
+    held.clear()
+    kernels.release()
+
+
+def _whole(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.Table]]:
+    """The blocks of a task, whose pieces follow each other."""
+    block, pieces = None, []
+    for batch in batches:
+        for number, piece in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True):
+            if number != block and pieces:
+                yield block, _opened(b"".join(pieces))
+                pieces = []
+            block = number
+            pieces.append(piece)
+    if pieces:
+        yield block, _opened(b"".join(pieces))
 
 
 def _opened(data) -> pa.Table:
@@ -197,33 +236,28 @@ def _grams_of_block(table: pa.Table) -> Grams:
     return grams_of(table.column(2), table.column(1).to_numpy(zero_copy_only=False))
 
 
-def _questions(parts: int):
-    """(part, block, data): the sorted n-grams of each block and what it tells of them."""
+def _questions(parts: int, bits: int):
+    """(part, block, data): the sorted n-grams of each block and what it tells of them; every part is asked, as its numbers are needed, too."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for block, data in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                grams = _grams_of_block(_opened(data.as_buffer()))
-                cuts = [_cuts(keys, parts) for keys in grams.keys]
-                filled = np.flatnonzero(sum(np.diff(c) for c in cuts))
-                rows = []
-                for p in filled.tolist():
-                    own = []
-                    for k, (keys, told, c) in enumerate(zip(grams.keys, grams.told, cuts, strict=True)):
-                        own += [_steps(_short(keys[c[p] : c[p + 1]], k)), told[c[p] : c[p + 1]]]
-                    rows.append(_pressed(own))
-                yield pa.RecordBatch.from_arrays([pa.array(filled.astype(np.int32)), pa.array(np.full(len(filled), block)), pa.array(rows, pa.binary())], ["part", "block", "data"])
-                del grams, rows
+        for block, table in _whole(batches):
+            grams = _grams_of_block(table)
+            cuts = [_cuts(keys, parts) for keys in grams.keys]
+            rows = []
+            for p in range(parts):
+                own = []
+                for k, (keys, told, c) in enumerate(zip(grams.keys, grams.told, cuts, strict=True)):
+                    own += [_steps(_short(keys[c[p] : c[p + 1]], k, bits)), told[c[p] : c[p + 1]].astype(np.int64)]
+                rows.append(_pressed(own))
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(parts, dtype=np.int32)), pa.array(np.full(parts, block)), pa.array(rows, pa.binary())], ["part", "block", "data"])
+            del grams, rows, table
             kernels.release()
 
     return run
 
 
-ANSWERS = "block bigint, part int, data binary, " + ", ".join(f"{s} bigint" for s in STATS)
-
-
 def _answer(table: pa.Table) -> pa.Table:
-    """Sums what the blocks tell of one range, and answers each in the order it asked."""
+    """Sums what the blocks tell of one range, and answers each in the order it asked, with the part's numbers."""
     asked = [_unpressed(d.as_buffer().to_pybytes(), 6) for d in table.column("data")]
     replies: list[list[np.ndarray]] = [[] for _ in asked]
     stats = dict.fromkeys(STATS, 0)
@@ -233,15 +267,18 @@ def _answer(table: pa.Table) -> pa.Table:
         distinct, place = np.unique(keys, return_inverse=True)
         counts = np.zeros(len(distinct), np.int64)
         np.add.at(counts, place, np.concatenate([a[2 * k + 1] for a in asked]).view(np.int64))
-        stats[f"once{k + 1}"] = int((counts[distinct != BEGIN] == 1).sum()) if k == 0 else int((counts == 1).sum())
+        word = distinct != BEGIN if k == 0 else np.ones(len(distinct), bool)
+        stats[f"once{k + 1}"] = int((counts[word] == 1).sum())
         if k == 0:
-            word = distinct != BEGIN
             stats |= {"tokens": int(counts[word].sum()), "words": int((counts[word] > 0).sum()), "texts": int(counts[~word].sum())}
         for reply, part in zip(replies, np.split(counts[place], np.cumsum(sizes)[:-1]), strict=True):
             reply.append(part)
-    n = len(asked)
-    alone = [pa.array([v] + [0] * (n - 1), pa.int64()) for v in stats.values()]
-    return pa.Table.from_arrays([table.column("block"), table.column("part"), pa.array([_pressed(r) for r in replies], pa.binary()), *alone], ["block", "part", "data", *STATS])
+    own = np.array([stats[s] for s in STATS], np.int64)
+    out = pa.Table.from_arrays([table.column("block"), table.column("part"), pa.array([_pressed([*r, own]) for r in replies], pa.binary())], ["block", "part", "data"])
+    if table.nbytes > blobs.TIDY_BYTES:
+        del asked, replies
+        kernels.release()
+    return out
 
 
 class Model(NamedTuple):
@@ -276,7 +313,7 @@ class Automaton:
     """
 
     def __init__(self, grams: Grams, counts: list[np.ndarray], model: Model) -> None:
-        n = self.n = len(grams.words)
+        n = self.n = np.int64(len(grams.words))
         c1, c2, c3 = counts[0], counts[1][grams.of_pair], counts[2][grams.of_triple]
         p1 = (c1 + 1) / (model.tokens + model.words + 1)
         ctx2 = c1[grams.pair // n]
@@ -286,8 +323,7 @@ class Automaton:
         self.pair, self.triple, self.triple_end = grams.pair, grams.triple, grams.triple_end
         self.begin = int(np.searchsorted(grams.words, BEGIN))
         self.word_arc, self.pair_arc, self.triple_arc = _weight(p1), np.where(c2 > 0, _weight(p2), 1), np.where(c3 > 0, _weight(p3), 1)
-        self.known, self.pair_last = c1 > 0, grams.pair % n
-        self.pair_known = c2 > 0
+        self.known, self.pair_last = c1 > 0, (grams.pair % n).astype(np.int32)
         self.fail2, self.fail3 = int(_weight(model.gamma2)), int(_weight(model.gamma3))
 
     @staticmethod
@@ -327,45 +363,47 @@ class Automaton:
         """The weight of reading each token, from left to right."""
         steps = -(-len(tokens) // LANES)
         lanes = -(-len(tokens) // steps)
-        padded = np.full(lanes * steps, self.begin)
+        padded = np.full(lanes * steps, self.begin, np.int32)
         padded[: len(tokens)] = tokens
-        rows = np.ascontiguousarray(padded.reshape(lanes, steps).T)
+        rows = padded.reshape(lanes, steps).T
         state = np.zeros(lanes, np.int64)
         starts = np.arange(lanes) * steps
         for back in (2, 1):
             at = np.flatnonzero(starts >= back)
             state[at], _ = self.step(state[at], padded[starts[at] - back])
-        out = np.empty((steps, lanes), np.int64)
+        out = np.empty((lanes, steps), np.int64)
         for i in range(steps):
-            state, out[i] = self.step(state, rows[i])
-        return out.T.ravel()[: len(tokens)]
-
-
-def _scores(shared):
-    def run(table: pa.Table) -> pa.Table:
-        model: Model = shared.value
-        kinds = table.column("part").to_pylist()
-        data = table.column("data")
-        rows = _opened(data[kinds.index(-1)].as_buffer())
-        grams = _grams_of_block(rows)
-        replies = [_unpressed(data[i].as_buffer().to_pybytes(), 3) for i in sorted((i for i, p in enumerate(kinds) if p >= 0), key=kinds.__getitem__)]
-        counts = [np.concatenate([r[k] for r in replies]).view(np.int64) for k in range(3)]
-        del replies
-        machine = Automaton(grams, counts, model)
-        first, end = grams.text_at[:-1], grams.text_at[1:]
-        total = lambda x: np.append(0, np.cumsum(x))
-        span = lambda x: (lambda s: s[end] - s[first + 1])(total(x))
-        score = span(machine.traverse(grams.tokens)) / UNIT
-        base = span(machine.word_arc[grams.tokens]) / UNIT
-        known = span(machine.known[grams.tokens].astype(np.int64))
-        n = len(first)
-        held = ~rows.column(1).to_numpy(zero_copy_only=False)
-        out = pa.Table.from_arrays([rows.column(0), pa.array(held), pa.array(end - first - 1), pa.array(known), pa.array(np.full(n, model.tokens)), pa.array(base), pa.array(score)], ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
-        del grams, machine
-        kernels.release()
-        return out
-
-    return run
+            state, out[:, i] = self.step(state, rows[i])
+        return out.ravel()[: len(tokens)]
+
+
+def _scores(table: pa.Table) -> pa.Table:
+    """The rows of a block with their scores, from its pieces and all parts' answers."""
+    table = table.sort_by("part")
+    data = table.column("data")
+    pieces = int((table.column("part").to_numpy() < 0).sum())
+    rows = _opened(b"".join(data.slice(0, pieces).to_pylist()))
+    grams = _grams_of_block(rows)
+    replies = [_unpressed(d.as_buffer().to_pybytes(), 4) for d in data.slice(pieces)]
+    counts = [np.concatenate([r[k] for r in replies]).view(np.int64) for k in range(3)]
+    model = model_of(*(int(n) for n in sum(r[3] for r in replies)))
+    del replies
+    machine = Automaton(grams, counts, model)
+    first, end = grams.text_at[:-1], grams.text_at[1:]
+
+    def span(x: np.ndarray) -> np.ndarray:
+        """Sums over each text's tokens but its begin."""
+        total = np.append(0, np.cumsum(x))
+        return total[end] - total[first + 1]
+
+    score = span(machine.traverse(grams.tokens)) / UNIT
+    base = span(machine.word_arc[grams.tokens]) / UNIT
+    known = span(machine.known[grams.tokens].astype(np.int64))
+    held = ~rows.column(1).to_numpy(zero_copy_only=False)
+    out = pa.Table.from_arrays([rows.column(0), pa.array(held), pa.array(end - first - 1), pa.array(known), pa.array(np.full(len(first), model.tokens)), pa.array(base), pa.array(score)], ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+    del grams, machine
+    kernels.release()
+    return out
 
 
 def score(docs: DataFrame, held: Column | None = None) -> DataFrame:
@@ -379,15 +417,13 @@ def score(docs: DataFrame, held: Column | None = None) -> DataFrame:
     and where nothing is learned from, all words are equally unlikely.
     """
     spark = prepare(docs.sparkSession)
-    parts = blobs.part_count(spark)
     id_type = docs.schema["doc_id"].dataType.simpleString()
     learn = ~F.coalesce(held_out(F.col("doc_id")) if held is None else held, F.lit(True))
     own = docs.select("doc_id", learn.alias("learn"), F.col("text").cast("string").alias("text"))
-    blocks = cut_lineage(own.mapInArrow(_blocks, "block bigint, data binary"))
-    asked = blocks.mapInArrow(_questions(parts), "part int, block bigint, data binary")
-    answers = cut_lineage(asked.groupBy("part").applyInArrow(_answer, ANSWERS))
-    sums = answers.agg(*(F.coalesce(F.sum(s), F.lit(0)).alias(s) for s in STATS)).first()
-    shared = spark.sparkContext.broadcast(model_of(*(int(sums[s]) for s in STATS)))
-    both = blocks.select("block", F.lit(-1).alias("part"), "data").unionByName(answers.select("block", "part", "data"))
-    return both.groupBy("block").applyInArrow(_scores(shared), f"doc_id {id_type}, {RESULT}")
+    blocks = cut_lineage(own.mapInArrow(_blocks, "block bigint, part int, data binary"))
+    ask = _questions(blobs.part_count(spark), key_bits(blocks.filter(F.col("part") == FIRST).count()))
+    asked = blocks.mapInArrow(ask, "part int, block bigint, data binary")
+    answers = asked.groupBy("part").applyInArrow(_answer, "block bigint, part int, data binary")
+    both = blocks.unionByName(answers)
+    return both.groupBy("block").applyInArrow(_scores, f"doc_id {id_type}, {RESULT}")
 
