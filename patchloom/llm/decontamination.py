@@ -31,6 +31,8 @@ TEXT_BYTES = 2 << 20
 #: Bits of the map of hashes: at least LEAST_BITS and at most MOST_BITS as powers of two.
 LEAST_BITS, MOST_BITS = 16, 28
 MAP_PART = 1 << 18
+#: Hits whose bytes are compared at once, and sets of items whose names a task keeps.
+AT_ONCE, KEPT_SETS = 1 << 15, 4096
 
 #: Bytes of words after lower-casing A-Z; anything else separates.
 WORD_BYTES = np.zeros(256, np.uint8)
@@ -73,36 +75,70 @@ def own_windows(words: Words, window: int) -> Iterator[tuple[int, np.ndarray, np
 
 
 class Lookup:
-    """The windows of one length as arrays: hashes in order, each with its item and the place of its first word."""
+    """The distinct windows of one length as arrays: hashes in order, the place of each one's first word, and its list of items.
+
+    Windows that the same items have share one list, as those of a common
+    opening do, so a hit costs the same however many items have it.
+    """
 
     def __init__(self, words: Words, k: int, at: np.ndarray, row: np.ndarray, hashes: np.ndarray) -> None:
         order = np.lexsort((row, hashes))
-        hashes, row, at = hashes[order], row[order], at[order]
-        new = np.append(True, (hashes[1:] != hashes[:-1]) | (row[1:] != row[:-1]))
-        self.words, self.k = words, k
-        self.hashes, self.row, self.at = hashes[new], row[new].astype(np.int32), at[new].astype(np.int32)
-        self.shift = kernels.U64(64 - min(max(LEAST_BITS, int(len(hashes)).bit_length() + 3), 24))
+        hashes, row, at = hashes[order], row[order].astype(np.int32), at[order]
+        # A hash that several windows have is several windows only if their words differ.
+        new = np.append(True, hashes[1:] != hashes[:-1])
+        for i in np.flatnonzero(~new).tolist():
+            new[i] = words.text(int(at[i]), k) != words.text(int(at[i - 1]), k)
+        first = np.flatnonzero(new)
+        self.words, self.k, self.hashes, self.at = words, k, hashes[first], at[first].astype(np.int64)
+        self.lists: list[np.ndarray] = []
+        self.list_of = np.empty(len(first), np.int32)
+        known: dict[bytes, int] = {}
+        for i, (lo, hi) in enumerate(zip(first.tolist(), [*first[1:].tolist(), len(row)], strict=True)):
+            own = np.unique(row[lo:hi]) if hi - lo > 1 else row[lo:hi]
+            self.list_of[i] = known.setdefault(own.tobytes(), len(known))
+            if len(known) > len(self.lists):
+                self.lists.append(own)
+        self.shift = kernels.U64(64 - min(max(LEAST_BITS, int(len(self.hashes)).bit_length() + 3), 24))
         self.bits = np.zeros(1 << int(64 - int(self.shift)), bool)
         self.bits[self.hashes >> self.shift] = True
 
-    def candidates(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
-        """First words of the document windows whose hash is known, and the hashes' first places here."""
+    def _same(self, words: Words, at: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """Whether document windows have the very words of the benchmark's, byte for byte."""
+        own, out = self.at[place], np.ones(len(at), bool)
+        for j in range(self.k):
+            size = words.ends[at + j] - words.starts[at + j]
+            out &= size == self.words.ends[own + j] - self.words.starts[own + j]
+        for j in range(self.k):
+            left = np.flatnonzero(out)
+            size = words.ends[at[left] + j] - words.starts[at[left] + j]
+            total = np.append(0, np.cumsum(size))
+            step = np.arange(total[-1]) - np.repeat(total[:-1], size)
+            equal = words.norm[np.repeat(words.starts[at[left] + j], size) + step] == self.words.norm[np.repeat(self.words.starts[own[left] + j], size) + step]
+            if len(left):
+                out[left] = np.logical_and.reduceat(equal, total[:-1])
+        return out
+
+    def hits(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
+        """First words of the document windows that the benchmark has, and their lists of items."""
         found = kernels.window_hashes(words.hashes, self.k)
         at = np.flatnonzero(self.bits[found >> self.shift])
+        at = at[at + self.k <= words.row_at[np.searchsorted(words.row_at, at, "right")]]
         place = np.searchsorted(self.hashes, found[at])
-        hit = self.hashes[np.minimum(place, len(self.hashes) - 1)] == found[at]
-        at, place = at[hit], place[hit]
-        inside = at + self.k <= words.row_at[np.searchsorted(words.row_at, at, "right")]
-        return at[inside], place[inside]
-
-    def items(self, words: Words, at: int, place: int) -> list[int]:
-        """The items whose window has the very words of the document's."""
-        text, own, out = words.text(at, self.k), self.hashes[place], []
-        while place < len(self.hashes) and self.hashes[place] == own:
-            if self.words.text(int(self.at[place]), self.k) == text:
-                out.append(int(self.row[place]))
-            place += 1
-        return out
+        hits, lists = [], []
+        while len(at):
+            here = self.hashes[np.minimum(place, len(self.hashes) - 1)] == found[at]
+            here &= place < len(self.hashes)
+            at, place = at[here], place[here]
+            same = np.concatenate([self._same(words, at[i : i + AT_ONCE], place[i : i + AT_ONCE]) for i in range(0, len(at), AT_ONCE)] or [np.empty(0, bool)])
+            hits.append(at[same])
+            lists.append(self.list_of[place[same]])
+            # Another window of the same hash may be the one.
+            at, place = at[~same], place[~same] + 1
+        if not hits:
+            return np.empty(0, np.int64), np.empty(0, np.int32)
+        at, own = np.concatenate(hits), np.concatenate(lists)
+        order = np.argsort(at, kind="stable")
+        return at[order], own[order]
 
 
 def lookups(items: list[tuple[str, str | None]], window: int = WINDOW) -> tuple[list[str], list[Lookup]]:
@@ -133,31 +169,85 @@ SPANS = "array<struct<start:bigint,end:bigint>>"
 FOUND = f"n_words bigint, spans {SPANS}, items array<string>"
 
 
-def _hits(words: Words, names: list[str], tables: list[Lookup]) -> tuple[list[list[dict]], list[list[str]]]:
-    """Per row its united hit spans and the items found."""
+def _hits(words: Words, tables: list[Lookup]) -> tuple[list[list[dict]], list[frozenset]]:
+    """Per row its united hit spans, and the lists of items found, as (table, list)."""
     n = len(words.row_at) - 1
     spans: list[list[dict]] = [[] for _ in range(n)]
-    items: list[set] = [set() for _ in range(n)]
-    for table in tables:
-        hits, places = table.candidates(words)
-        rows = np.searchsorted(words.row_at, hits, "right") - 1
-        for at, place, row in zip(hits.tolist(), places.tolist(), rows.tolist(), strict=True):
-            if owners := table.items(words, at, place):
-                first = at - int(words.row_at[row])
-                items[row].update(names[i] for i in owners)
-                spans[row].append({"start": first, "end": first + table.k})
-    return [united(x) for x in spans], [sorted(x) for x in items]
+    lists: list[set] = [set() for _ in range(n)]
+    for t, table in enumerate(tables):
+        at, own = table.hits(words)
+        if not len(at):
+            continue
+        row = np.searchsorted(words.row_at, at, "right") - 1
+        for r, o in np.unique(np.stack([row, own]), axis=1).T.tolist():
+            lists[r].add((t, o))
+        # Windows whose starts are no more than their length apart are one span.
+        cut = np.append(True, (row[1:] != row[:-1]) | (at[1:] > at[:-1] + table.k))
+        first = np.flatnonzero(cut)
+        last = np.append(first[1:], len(at)) - 1
+        base = words.row_at[row[first]]
+        for r, lo, hi in zip(row[first].tolist(), (at[first] - base).tolist(), (at[last] - base + table.k).tolist(), strict=True):
+            spans[r].append({"start": lo, "end": hi})
+    return [united(x) for x in spans], [frozenset(x) for x in lists]
+
+
+class Names:
+    """The sorted names of the items of sets of lists, and their digests; sets met before are kept."""
+
+    def __init__(self, names: list[str], tables: list[Lookup]) -> None:
+        self.names, self.tables = names, tables
+        self.known: dict[frozenset, list[str]] = {}
+        self.digests: dict[frozenset, tuple[int, str]] = {}
+
+    def of(self, lists: frozenset) -> list[str]:
+        if lists not in self.known:
+            if len(self.known) >= KEPT_SETS:
+                self.known.clear()
+            rows = np.unique(np.concatenate([self.tables[t].lists[o] for t, o in lists])) if lists else []
+            self.known[lists] = sorted({self.names[i] for i in rows})
+        return self.known[lists]
+
+    def digest(self, lists: frozenset) -> tuple[int, str]:
+        if lists not in self.digests:
+            if len(self.digests) >= KEPT_SETS:
+                self.digests.clear()
+            own = self.of(lists)
+            self.digests[lists] = (len(own), hashlib.sha256(",".join(own).encode()).hexdigest())
+        return self.digests[lists]
+
+
+SPAN_LIST = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
 
 def _scan(shared, text_at: int):
-    kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, tables = shared.value
+        known = Names(names, tables)
         for batch in batches:
             for lo, hi, words in _chunks(batch, text_at):
-                spans, items = _hits(words, names, tables)
-                yield pa.RecordBatch.from_arrays([*batch.slice(lo, hi - lo).columns, pa.array(np.diff(words.row_at)), pa.array(spans, kind), pa.array(items, pa.list_(pa.string()))], [*batch.schema.names, "n_words", "spans", "items"])
+                spans, lists = _hits(words, tables)
+                items = pa.array([known.of(x) for x in lists], pa.list_(pa.string()))
+                yield pa.RecordBatch.from_arrays([*batch.slice(lo, hi - lo).columns, pa.array(np.diff(words.row_at)), pa.array(spans, SPAN_LIST), items], [*batch.schema.names, "n_words", "spans", "items"])
+
+    return run
+
+
+REPORT = "n_words bigint, n_hit bigint, n_items bigint, items_sha256 string, contaminated boolean"
+
+
+def _report(shared):
+    """The columns of ``REPORT`` for (doc_id, text); lists of items stay where they are."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, tables = shared.value
+        known = Names(names, tables)
+        for batch in batches:
+            for lo, hi, words in _chunks(batch, 1):
+                spans, lists = _hits(words, tables)
+                hit = [sum(x["end"] - x["start"] for x in own) for own in spans]
+                found = [known.digest(x) for x in lists]
+                columns = [batch.column(0).slice(lo, hi - lo), pa.array(np.diff(words.row_at)), pa.array(hit, pa.int64()), pa.array([n for n, _ in found], pa.int64()), pa.array([d for _, d in found], pa.string()), pa.array([n > 0 for n in hit])]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"])
 
     return run
 
@@ -229,7 +319,22 @@ def _joined(docs: DataFrame, items: DataFrame, window: int) -> DataFrame:
     found = hits.groupBy("key").agg(F.array_sort(F.collect_set(F.struct("start", (F.col("start") + F.col("k")).alias("end")))).alias("spans"), F.array_sort(F.collect_set("item")).alias("items"))
     ready = may.select(F.col("key").alias("own"), "n_words").join(found.withColumnRenamed("key", "own"), "own", "left")
     none = lambda c, kind: F.coalesce(c, F.array().cast(kind)).alias(c)
-    return keyed.join(ready, keyed["key"].eqNullSafe(ready["own"])).select(*docs.columns, "n_words", none("spans", SPANS), none("items", "array<string>"))
+    out = keyed.join(ready, keyed["key"].eqNullSafe(ready["own"])).select(*docs.columns, "n_words", none("spans", SPANS), none("items", "array<string>"))
+    return out.mapInArrow(_united, out.schema)
+
+
+def _united(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        at = batch.schema.get_field_index("spans")
+        yield batch.set_column(at, batch.schema.field(at), pa.array([united(x) for x in batch.column(at).to_pylist()], SPAN_LIST))
+
+
+def _broadcast(items: DataFrame, window: int, block_bytes: int):
+    """The benchmark's windows for all tasks, or None if its texts are larger than ``block_bytes``."""
+    size = items.agg(F.sum(F.octet_length("text") + 64)).first()[0] or 0
+    if int(size) > block_bytes:
+        return None
+    return items.sparkSession.sparkContext.broadcast(lookups([(r["item"], r["text"]) for r in items.collect()], window))
 
 
 def find_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -237,23 +342,22 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block
 
     A null or empty text has no words; a text of any length is searched whole;
     an empty benchmark hits nothing, nor does an item without words or id.
-    Repeated rows each get the result; an empty table stays empty.  Spans of a
-    benchmark that is joined may overlap.
+    Repeated rows each get the result; an empty table stays empty.  Spans are
+    united, so none overlap or touch.
     """
-    spark = prepare(docs.sparkSession)
+    prepare(docs.sparkSession)
     items = _items(benchmark)
-    size = items.agg(F.sum(F.octet_length("text") + 64)).first()[0] or 0
-    if int(size) > block_bytes:
+    shared = _broadcast(items, window, block_bytes)
+    if shared is None:
         return _joined(docs, items, window)
-    shared = spark.sparkContext.broadcast(lookups([(r["item"], r["text"]) for r in items.collect()], window))
     return docs.mapInArrow(_scan(shared, docs.columns.index("text")), f"{schema_of(docs)}, {FOUND}")
 
 
 def _finish(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for frame in frames:
-        hit = [sum(x["end"] - x["start"] for x in united(spans)) for spans in frame["spans"]]
-        digest = [hashlib.sha256(",".join(sorted(set(items))).encode()).hexdigest() for items in frame["items"]]
-        yield pd.DataFrame({"doc_id": frame["doc_id"], "n_words": frame["n_words"], "n_hit": hit, "n_items": [len(set(x)) for x in frame["items"]], "items_sha256": digest, "contaminated": [n > 0 for n in hit]})
+        hit = [sum(x["end"] - x["start"] for x in spans) for spans in frame["spans"]]
+        digest = [hashlib.sha256(",".join(items).encode()).hexdigest() for items in frame["items"]]
+        yield pd.DataFrame({"doc_id": frame["doc_id"], "n_words": frame["n_words"], "n_hit": hit, "n_items": [len(x) for x in frame["items"]], "items_sha256": digest, "contaminated": [n > 0 for n in hit]})
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -264,33 +368,52 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, b
     """
     own = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     id_type = own.schema["doc_id"].dataType.simpleString()
-    found = find_hits(own, benchmark, window, block_bytes).select("doc_id", "n_words", "spans", "items")
-    return found.mapInPandas(_finish, f"doc_id {id_type}, n_words bigint, n_hit bigint, n_items bigint, items_sha256 string, contaminated boolean")
+    prepare(docs.sparkSession)
+    items = _items(benchmark)
+    shared = _broadcast(items, window, block_bytes)
+    if shared is not None:
+        return own.mapInArrow(_report(shared), f"doc_id {id_type}, {REPORT}")
+    return _joined(own, items, window).select("doc_id", "n_words", "spans", "items").mapInPandas(_finish, f"doc_id {id_type}, {REPORT}")
 
 
-def _strip(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for frame in frames:
-        out = []
-        for text, spans in zip(frame["text"], frame["spans"], strict=True):
-            if text is not None and len(spans):
-                raw = np.frombuffer(text.encode(), np.uint8)
-                starts, ends, _ = kernels.word_spans(WORD_BYTES[raw], np.array([0, len(raw)]))
-                keep = np.ones(len(raw), bool)
-                for x in united(spans):
-                    keep[starts[x["start"]] : ends[x["end"] - 1]] = False
-                text = raw[keep].tobytes().decode()
-            out.append(text)
-        yield frame[["doc_id"]].assign(text=out)
+def _strip(text_at: int, kept: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for text, spans in zip(batch.column(text_at).to_pylist(), batch.column("spans").to_pylist(), strict=True):
+                if text is not None and spans:
+                    raw = np.frombuffer(text.encode(), np.uint8)
+                    starts, ends, _ = kernels.word_spans(WORD_BYTES[raw], np.array([0, len(raw)]))
+                    keep = np.ones(len(raw), bool)
+                    for x in spans:
+                        keep[starts[x["start"]] : ends[x["end"] - 1]] = False
+                    text = raw[keep].tobytes().decode()
+                out.append(text)
+            columns = batch.columns[:kept]
+            columns[text_at] = pa.array(out, pa.string())
+            yield pa.RecordBatch.from_arrays(columns, batch.schema.names[:kept])
+
+    return run
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """``doc_id`` and the text without its hit words and what lies between them; a null text stays null."""
-    own = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    id_type = own.schema["doc_id"].dataType.simpleString()
-    return find_hits(own, benchmark, window, block_bytes).select("doc_id", "text", "spans").mapInPandas(_strip, f"doc_id {id_type}, text string")
+    """The rows, with all their columns whatever their names, their texts without hit words and what lies between them.
+
+    A null text stays null; other edge cases are those of ``find_hits``.
+    """
+
+    def clean(d: DataFrame) -> DataFrame:
+        d = d.withColumn("text", F.col("text").cast("string"))
+        return find_hits(d, benchmark, window, block_bytes).mapInArrow(_strip(d.columns.index("text"), len(d.columns)), d.schema)
+
+    return with_names(docs, ["doc_id", "text"], clean)
 
 
 def remove_documents(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """The rows, with all their columns whatever their names, whose text has no benchmark window; edge cases as in ``find_hits``."""
+    """The rows, with all their columns whatever their names, whose text has no benchmark window.
+
+    So a null or empty text stays, repeated rows stay or go together, and an empty
+    table or benchmark changes nothing; other edge cases as in ``find_hits``.
+    """
     clean = lambda d: find_hits(d, benchmark, window, block_bytes).filter(F.size("items") == 0).select(*d.columns)
     return with_names(docs, ["doc_id", "text"], clean)

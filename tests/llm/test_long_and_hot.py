@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -199,3 +200,29 @@ def test_lines_of_a_hot_window(spark):
     rows = [(i, "\n".join([*words(draw, 3), hot, *words(draw, 2), *([hot] * (i % 3))])) for i in range(60)]
     got = {r["doc_id"]: (r["n_lines"], r["n_removed"], r["text"]) for r in line_dedup.line_report(spark.createDataFrame(rows, DOCS).repartition(5)).collect()}
     assert got == brute_lines(rows)
+
+
+def test_windows_that_many_items_share(spark):
+    draw = random.Random(9)
+    opening = " ".join(f"open{i}" for i in range(25))
+    tail = lambda: " ".join(f"x{draw.randrange(10**6)}" for _ in range(12))
+    texts = [f"{opening} {tail()}" for _ in range(1000)]
+    bench = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "item_id bigint, text string")
+    rows = [(i, f"{tail()} {opening} {tail()}") for i in range(300)] + [(1000 + i, texts[i]) for i in range(5)] + [(2000, tail())]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    every = hashlib.sha256(",".join(sorted(str(i) for i in range(1000))).encode()).hexdigest()
+    began = time.perf_counter()
+    got = {r["doc_id"]: tuple(r)[1:] for r in decontamination.contamination(docs, bench).collect()}
+    assert time.perf_counter() - began < 30
+    assert got[0] == (49, 25, 1000, every, True) and got[1003] == (37, 37, 1000, every, True) and got[2000][1:3] == (0, 0)
+    assert {r["doc_id"]: tuple(r)[1:] for r in decontamination.contamination(docs.filter("doc_id < 20 OR doc_id > 999"), bench, block_bytes=1).collect()}.items() <= got.items()
+
+
+def test_spans_are_united_in_both_forms_and_other_columns_stay(spark):
+    words = [f"w{i}" for i in range(60)]
+    bench = spark.createDataFrame([(1, " ".join(words[:30])), (2, "w40 w41"), (3, " ".join(words[20:35]))], "item_id bigint, text string")
+    docs = spark.createDataFrame([(1, "k", " ".join(words), 7), (2, None, None, 8)], "doc_id bigint, spans string, text string, items int")
+    one, other = (sorted(map(str, decontamination.find_hits(docs.select("doc_id", "text"), bench, block_bytes=b).select("doc_id", "spans", "items").collect())) for b in (1 << 20, 1))
+    assert one == other and "start=0, end=35" in one[0] and "start=40, end=42" in one[0]
+    left = decontamination.remove_spans(docs, bench)
+    assert left.columns == docs.columns and left.orderBy("doc_id").first()["text"].split() == words[35:40] + words[42:]
