@@ -42,7 +42,7 @@ from patchloom.llm.ngram_join import WORD_BYTES
 from patchloom.llm.session import cut_lineage, prepare
 
 U64 = np.uint64
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 6 << 20
 #: A block's texts travel in rows of this size, the first of them numbered FIRST.
 PIECE_BYTES, FIRST = 256 << 10, -(1 << 30)
 LANES = 2048
