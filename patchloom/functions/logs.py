@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import re
-from functools import cache
+from functools import cache, lru_cache
 
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from patchloom.functions.patterns import PatternSet
 from patchloom.schemas import FAILURE_STATUSES, ITEM_STATUSES, STARTUP_ERROR_PATTERNS, SYMBOL_ERROR_PATTERNS
 from patchloom.session import prepare
 
@@ -18,19 +20,38 @@ def java_pattern(pattern: str) -> str:
     return "(?mdU)" + pattern.replace(r"\Z", r"\z").replace(r"\s", r"[\s\x1c-\x1f]").replace("(?P<", "(?<")
 
 
+@cache
+def _fault_patterns() -> PatternSet:
+    return PatternSet([*STARTUP_ERROR_PATTERNS, *SYMBOL_ERROR_PATTERNS])
+
+
+@F.pandas_udf(T.StructType([T.StructField("startup", T.BooleanType()), T.StructField("symbols", T.IntegerType())]))
+def _log_faults(logs: pd.Series) -> pd.DataFrame:
+    known, first = _fault_patterns(), len(STARTUP_ERROR_PATTERNS)
+    startup, symbols = [], []
+    for log in logs:
+        possible = known.possible(log) if log is not None else []
+        startup.append(None if log is None else known.any(log, [i for i in possible if i < first]))
+        symbols.append(None if log is None else known.count(log, [i for i in possible if i >= first]))
+    return pd.DataFrame({"startup": pd.array(startup, "boolean"), "symbols": pd.array(symbols, "Int32")})
+
+
+def log_faults(logs: Column) -> Column:
+    """The struct (startup, symbols): whether a run did not start, and its symbol errors, from one pass over the log.
+
+    A null log has nulls.  A plan that asks for both fields passes once.
+    """
+    prepare()
+    return _log_faults(logs)
+
+
 def run_status(logs: Column, timed_out: Column) -> Column:
     """timeout, else startup_error where any pattern matches, else completion."""
-    failed = F.lit(False)
-    for p in STARTUP_ERROR_PATTERNS:
-        failed = failed | F.regexp_like(logs, F.lit(java_pattern(p)))
-    return F.when(timed_out, "timeout").when(failed, "startup_error").otherwise("completion")
+    return F.when(timed_out, "timeout").when(log_faults(logs)["startup"], "startup_error").otherwise("completion")
 
 
 def symbol_errors(logs: Column) -> Column:
-    total = F.lit(0)
-    for p in SYMBOL_ERROR_PATTERNS:
-        total = total + F.regexp_count(logs, F.lit(java_pattern(p)))
-    return total
+    return log_faults(logs)["symbols"]
 
 
 def last_number(logs: Column, pattern: Column | str) -> Column:
@@ -45,7 +66,7 @@ def parsed_counts(logs: Column, parser: dict[str, str]) -> Column:
     return F.create_map(*pairs) if pairs else F.create_map().cast("map<string,int>")
 
 
-@cache
+@lru_cache(4096)
 def _compiled(pattern: str) -> re.Pattern | str:
     """The pattern, or why it does not compile."""
     try:

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from patchloom.functions.text import LINE_ENDS, split_lines
+from patchloom.functions.text import LINE_ENDS
 from patchloom.schemas import HUNK_PATTERN, PATCH_FILES
 from patchloom.session import prepare
 
@@ -288,30 +288,35 @@ def without_spans(text: Column | str, spans: Column | str) -> Column:
     return of(text, spans)
 
 
+def _added_to(patch: str, name: str) -> str:
+    """The lines that a diff adds to the file of that base name, joined by line feeds."""
+    here = inside = False
+    out = []
+    for line in lines_of(patch):
+        if line.startswith(GIT_HEADER):
+            here = inside = False
+        elif line.startswith("+++ "):
+            here = line[4:].strip(" ").rsplit("/", 1)[-1] == name
+        elif line.startswith("@@"):
+            inside = True
+        elif here and inside and line.startswith("+") and not line.startswith("+++"):
+            out.append(line[1:])
+    return "\n".join(out)
+
+
 def added_text(df: DataFrame, patch: str, name: str, key: str = "instance_id", out: str = "text") -> DataFrame:
     """Per row the lines that its diff adds to the file of that base name, in any folder, joined by line feeds.
 
-    A header carry over each patch's own array of lines: file and hunk headers
-    set a state that the lines below inherit.  Rows stay as they are.
+    File and hunk headers set a state that the lines below inherit, so each
+    patch is read once, in Arrow batches; a null patch adds nothing.
     """
-    lines = split_lines(F.col(patch))
-    state = F.struct(F.lit(False).alias("here"), F.lit(False).alias("hunk"), F.array().cast("array<string>").alias("out"))
-
-    def path_of(line: Column) -> Column:
-        return F.substring_index(F.trim(F.substring(line, 5, 1 << 30)), "/", -1)
-
-    def step(acc: Column, line: Column) -> Column:
-        put = lambda here, hunk, text: F.struct(here.alias("here"), hunk.alias("hunk"), text.alias("out"))
-        added = acc["here"] & acc["hunk"] & F.startswith(line, F.lit("+"))
-        return (
-            F.when(F.startswith(line, F.lit(GIT_HEADER)), put(F.lit(False), F.lit(False), acc["out"]))
-            .when(F.startswith(line, F.lit("+++ ")), put(path_of(line) == name, acc["hunk"], acc["out"]))
-            .when(F.startswith(line, F.lit("@@")), put(acc["here"], F.lit(True), acc["out"]))
-            .when(added & ~F.startswith(line, F.lit("+++")), put(acc["here"], acc["hunk"], F.concat(acc["out"], F.array(F.substring(line, 2, 1 << 30)))))
-            .otherwise(acc)
-        )
-
-    return df.withColumn(out, F.when(F.col(patch).isNull(), F.lit("")).otherwise(F.array_join(F.aggregate(lines, state, step)["out"], "\n")))
+
+    @F.pandas_udf(T.StringType())
+    def added(texts: pd.Series) -> pd.Series:
+        return pd.Series(["" if t is None or name not in t else _added_to(t, name) for t in texts], dtype=object)
+
+    prepare(df.sparkSession)
+    return df.withColumn(out, added(F.col(patch)))
 
 
 def filtered_patch(df: DataFrame, patch: str, targets: list[str] | str, exclude: bool = False, out: str = "filtered_patch") -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import decimal
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column
@@ -16,6 +17,10 @@ LINE_ENDS = r"\n\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029"
 LINE_END = rf"\r\n|[{LINE_ENDS}]"
 
 
+#: So many tokens before the wanted ones are encoded with them, so that a cut before has no part in theirs.
+TAIL_SPARE = 64
+
+
 def split_lines(text: Column) -> Column:
     """Lines without their ends; every Unicode line end parts, and a last end adds no empty line."""
     parts = F.split(text, LINE_END, -1)
@@ -86,6 +91,34 @@ def tail_words(text: Column, n: int) -> Column:
     return F.array_join(F.slice(words, F.greatest(F.lit(1), F.size(words) - (n - 1)), n), " ")
 
 
+@lru_cache(4)
+def _tokenizer(path: str):
+    """A tokenizer file, read once by each worker."""
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(path)
+
+
+def _tail(text: str, tokenizer, n: int) -> str:
+    """The end of a text from its n-th last token on; only as much of the end is encoded as has enough tokens.
+
+    An end is cut where a word starts after white space and a line end, which
+    the tokenizers' own splitting respects, with some tokens to spare before.
+    """
+    if not n:
+        return ""
+    size = max(4096, 16 * n)
+    while size < len(text):
+        cut = text.rfind("\n", 0, len(text) - size) + 1
+        if cut and not text[cut].isspace():
+            offsets = tokenizer.encode(text[cut:], add_special_tokens=False).offsets
+            if len(offsets) > n + TAIL_SPARE:
+                return text[cut + offsets[-n][0] :]
+        size *= 4
+    offsets = tokenizer.encode(text, add_special_tokens=False).offsets
+    return text if len(offsets) <= n else text[offsets[-n][0] :]
+
+
 def tail_tokens(text: Column, tokenizer_path: str, n: int) -> Column:
     """The end of a text from where its last ``n`` tokens start; the whole text if it has no more.
 
@@ -95,11 +128,8 @@ def tail_tokens(text: Column, tokenizer_path: str, n: int) -> Column:
 
     @F.pandas_udf(T.StringType())
     def tail(texts: pd.Series) -> pd.Series:
-        from tokenizers import Tokenizer
-
-        tokenizer = Tokenizer.from_file(tokenizer_path)
-        offsets = [None if t is None else tokenizer.encode(t, add_special_tokens=False).offsets for t in texts]
-        return pd.Series([t if o is None or len(o) <= n else t[o[-n][0] :] if n else "" for t, o in zip(texts, offsets, strict=True)], dtype=object)
+        tokenizer = _tokenizer(tokenizer_path)
+        return pd.Series([None if t is None else _tail(t, tokenizer, n) for t in texts], dtype=object)
 
     return tail(text)
 

@@ -26,6 +26,16 @@ def last_wins(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
     return best.select(f"{row}.*", "__first")
 
 
+def one_of_each(df: DataFrame, keys: Sequence[str], order: str | None = None) -> DataFrame:
+    """One row for each of the keys: the last in ``order``, if the table has that column; else repeated keys are an error."""
+    row, n = (free_name(df.columns, c) for c in ("row", "n"))
+    if order is not None and order in df.columns:
+        return df.groupBy(*keys).agg(F.max_by(F.struct(*df.columns), F.col(order)).alias(row)).select(f"{row}.*")
+    single = df.groupBy(*keys).agg(F.first(F.struct(*df.columns)).alias(row), F.count("*").alias(n))
+    sure = F.when(F.col(n) > 1, F.raise_error(F.concat(F.lit(f"repeated {', '.join(keys)} without an order: "), F.to_json(F.struct(*keys))))).otherwise(F.lit(True))
+    return single.filter(sure).select(f"{row}.*")
+
+
 def union_handlers(*frames: DataFrame) -> DataFrame:
     """All rows by column name, with ``handler_idx``, the position of their frame; missing columns are null."""
     out = frames[0].withColumn("handler_idx", F.lit(0))
@@ -36,9 +46,10 @@ def union_handlers(*frames: DataFrame) -> DataFrame:
 
 def upsert(target: DataFrame, source: DataFrame, key: str, columns: Sequence[str], where: Column | None = None) -> DataFrame:
     """Sets ``columns`` of matched rows from ``source`` and inserts the others whole."""
-    held, new = (df.withColumn("__here", F.lit(True)) for df in (target, source))
+    here = free_name([*target.columns, *source.columns], "here")
     if where is not None:
-        new = new.filter(where)
+        source = source.filter(where)
+    held, new = (df.withColumn(here, F.lit(True)) for df in (target, source))
     t, s = held.alias("t"), new.alias("s")
     out = []
     for c in target.columns:
@@ -47,24 +58,26 @@ def upsert(target: DataFrame, source: DataFrame, key: str, columns: Sequence[str
         if c == key:
             out.append(F.coalesce(own, fresh).alias(c))
         elif c in columns:
-            out.append(F.when(F.col("s.__here"), fresh).otherwise(own).alias(c))
+            out.append(F.when(F.col(f"s.{here}"), fresh).otherwise(own).alias(c))
         else:
-            out.append(F.when(F.col("t.__here"), own).otherwise(fresh).alias(c))
+            out.append(F.when(F.col(f"t.{here}"), own).otherwise(fresh).alias(c))
     return t.join(s, F.col(f"t.{key}") == F.col(f"s.{key}"), "full_outer").select(*out)
 
 
 def update_matched(target: DataFrame, source: DataFrame, key: str, column: str) -> DataFrame:
     """Sets one column where the key is matched."""
-    new = source.select(key, F.col(column).alias("__new"), F.lit(True).alias("__here"))
+    fresh, here = (free_name([*target.columns, *source.columns], c) for c in ("new", "here"))
+    new = source.select(key, F.col(column).alias(fresh), F.lit(True).alias(here))
     kept = [c for c in target.columns if c != column]
     old = F.col(column) if column in target.columns else F.lit(None)
-    return target.join(new, key, "left").select(*kept, F.when(F.col("__here"), F.col("__new")).otherwise(old).alias(column))
+    return target.join(new, key, "left").select(*kept, F.when(F.col(here), F.col(fresh)).otherwise(old).alias(column))
 
 
 def strict_lookup(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """Inner join that fails where a left key has no match."""
-    marked = left.join(right.withColumn("__found", F.lit(True)), key, "left")
-    return marked.withColumn("__found", F.assert_true(F.col("__found"), "no match for a key")).drop("__found")
+    found = free_name([*left.columns, *right.columns], "found")
+    marked = left.join(right.withColumn(found, F.lit(True)), key, "left")
+    return marked.withColumn(found, F.assert_true(F.col(found), "no match for a key")).drop(found)
 
 
 def only_ids(df: DataFrame, key: str, ids: Sequence[str] | None) -> DataFrame:

@@ -15,17 +15,21 @@ RUNS = ["func", "sec"]
 SETUP_RUNS = ["base", "rollback", "sec_patch", "sec_test", "task"]
 
 
-def run_failures(run_logs: DataFrame, specs: DataFrame) -> DataFrame:
+def run_failures(run_logs: DataFrame, specs: DataFrame, order: str = "_pos") -> DataFrame:
     """Per instance and run: status, failures, symbol errors and ``fault``.
 
+    Of an instance's repeated specifications, and of its runs of one name, the
+    last by ``order`` counts; in a table without that column they are an error.
+
     The patterns of an instance come from its specification, in Python's
     dialect.  Logs are classified where they are read and only then joined.
     Patterns are tried by each worker's own regular expressions, so one that
     does not compile, or whose group is no number, is that row's ``fault`` and
     not the query's.
     """
-    status = run_logs.withColumn("status", logs.run_status(F.col("logs"), F.col("timed_out"))).withColumn("symbols", logs.symbol_errors(F.col("logs")))
-    own = specs.groupBy("instance_id").agg(F.last("logs_parser").alias("logs_parser"))
+    single = relational.one_of_each(run_logs, ["instance_id", "run_name"], order)
+    status = single.withColumn("status", logs.run_status(F.col("logs"), F.col("timed_out"))).withColumn("symbols", logs.symbol_errors(F.col("logs")))
+    own = relational.one_of_each(specs, ["instance_id"], order).select("instance_id", "logs_parser")
     joined = status.join(own, "instance_id").withColumn("parsed", logs.parsed_by_rows(F.col("logs"), F.col("logs_parser")))
     done = F.col("status") == "completion"
     failures = sum((F.coalesce(F.try_element_at("parsed.counts", F.lit(s)), F.lit(0)) for s in FAILURE_STATUSES), F.lit(0))
@@ -33,7 +37,7 @@ def run_failures(run_logs: DataFrame, specs: DataFrame) -> DataFrame:
 
 
 def pivoted_runs(runs: DataFrame, names: list[str]) -> DataFrame:
-    """One row per instance with a struct column for each run."""
+    """One row per instance with a struct column for each run, of which there is one of each name."""
     return runs.groupBy("instance_id").pivot("run_name", names).agg(F.first(F.struct("status", "failures", "symbols", "fault")))
 
 
@@ -52,7 +56,9 @@ class Evaluation(NamedTuple):
 def evaluate(predictions: DataFrame, dataset: DataFrame, run_logs: DataFrame, specs: DataFrame, order: str = "_pos", finished: DataFrame | None = None, selection: bool = False, force: bool = False) -> Evaluation:
     """Reports, one row per predicted instance of the dataset, and the instances ``skipped``, with their ``fault``.
 
-    The last of an instance's repeated predictions and dataset rows wins.
+    The last of an instance's repeated predictions wins, and of its dataset
+    rows, specifications and runs, if they have the column ``order``; if not,
+    repeated ones are an error.
     Reports that ``finished`` has are taken over, unless ``force``.  A run
     without a log could not be built, which is a patch error.  An instance
     without a specification, or with a pattern or a number that cannot be read,
@@ -61,14 +67,14 @@ def evaluate(predictions: DataFrame, dataset: DataFrame, run_logs: DataFrame, sp
     """
     chosen = relational.last_wins(predictions, "instance_id", [order]).select("instance_id", F.col("model_name_or_path").alias("model"), "model_patch")
     columns = ["instance_id", "expected_failures", *(["cwe_ids"] if selection else [])]
-    known = relational.last_wins(dataset, "instance_id", [order] if order in dataset.columns else ["instance_id"]).select(*columns)
+    known = relational.one_of_each(dataset, ["instance_id"], order).select(*columns)
     asked = chosen.join(known, "instance_id")
     done = None
     if finished is not None and not force:
         done = finished.join(asked.select("instance_id"), "instance_id", "left_semi")
         asked = relational.pending(asked, finished, "instance_id")
     specified = specs.select("instance_id").distinct().withColumn("__spec", F.lit(True))
-    runs = pivoted_runs(run_failures(run_logs.filter(F.col("run_name").isin(RUNS)), specs), RUNS)
+    runs = pivoted_runs(run_failures(run_logs.filter(F.col("run_name").isin(RUNS)), specs, order), RUNS)
     joined = asked.join(specified, "instance_id", "left").join(runs, "instance_id", "left")
     lost = F.lit("model_patch_error")
     report = scoring.outcome(F.coalesce("func.status", lost), F.coalesce("func.failures", F.lit(0)), F.coalesce("sec.status", lost), F.coalesce("sec.failures", F.lit(0)), F.col("expected_failures"))

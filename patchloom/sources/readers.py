@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from patchloom.session import cut_lineage, free_name
+
+MOST_SPLITS = 100_000
+
 
 def json_lines(spark: SparkSession, path: str, schema: str, tolerant: bool = False) -> DataFrame:
     """Strict: one bad line fails the query.  Tolerant: bad lines stay as ``_corrupt_record`` for the caller to keep apart."""
@@ -24,6 +28,25 @@ def with_position(df: DataFrame, column: str = "_pos") -> DataFrame:
     return df.select("*", meta.alias(column))
 
 
+def with_row_number(df: DataFrame, column: str = "row") -> DataFrame:
+    """Adds the row's number in its file, from 0, in two reads: one counts the rows of each split, one numbers them.
+
+    Call it on the reader's own table, before any shuffle.  A split is read front
+    to back, so a row's number is that of its split's first row and its place
+    after that; only one row for each split is shuffled, and joined back, by
+    broadcast if there are at most ``MOST_SPLITS``.
+    """
+    path, block, place, first, before = (free_name(df.columns, c) for c in ("path", "block", "place", "first", "before"))
+    placed = df.select("*", F.col("_metadata.file_path").alias(path), F.col("_metadata.file_block_start").alias(block), F.monotonically_increasing_id().alias(place))
+    size = free_name([*placed.columns, first], "size")
+    splits = placed.groupBy(path, block).agg(F.min(place).alias(first), F.count("*").alias(size))
+    earlier = Window.partitionBy(path).orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
+    starts = cut_lineage(splits.select(path, block, first, F.coalesce(F.sum(size).over(earlier), F.lit(0)).alias(before)))
+    few = starts.limit(MOST_SPLITS + 1).count() <= MOST_SPLITS
+    numbered = placed.join(F.broadcast(starts) if few else starts, [path, block])
+    return numbered.select(*(c for c in df.columns if c != column), (F.col(before) + F.col(place) - F.col(first)).alias(column))
+
+
 def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Good rows and the raw bad lines."""
     return df.filter(F.col("_corrupt_record").isNull()).drop("_corrupt_record"), df.filter(F.col("_corrupt_record").isNotNull()).select("_corrupt_record")
