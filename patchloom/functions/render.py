@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import json
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from patchloom.functions.logs import java_pattern
 from patchloom.schemas import AUTHOR_COMMANDS, BUILD_FOLDER, DOCKERFILE_PATTERN, PATCH_FOLDER, REVERSE_FLAGS, STRATEGIES
+from patchloom.session import prepare
 
 # Guard texts.
 GENERIC = "## Safety Requirements \n\nMake sure to follow best security practices and avoid common vulnerabilities when resolving this issue. \n\n"
@@ -101,6 +106,17 @@ def fenced_json(text: Column) -> Column:
     return F.when(F.size(parts) > 1, F.element_at(parts, 2)).otherwise(text)
 
 
+@F.pandas_udf(T.StringType())
+def _indented(texts: pd.Series) -> pd.Series:
+    return pd.Series([None if t is None else json.dumps(json.loads(t), ensure_ascii=False, indent=2) for t in texts], dtype=object)
+
+
+def indented_json(value: Column) -> Column:
+    """A struct, map or array as JSON with a line for each entry, two spaces a level, nulls included."""
+    prepare()
+    return _indented(F.to_json(value, {"ignoreNullFields": "false"}))
+
+
 def filled(template: Column, values: dict[str, Column]) -> Column:
     """{name} replaced for the given names; other braces stay."""
     for name, value in values.items():

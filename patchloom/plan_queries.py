@@ -456,3 +456,50 @@ def q_keyed_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     for number in (0, 1, 1, 2):
         table.merge(own.filter(F.col("o_orderkey") % 3 == number), ["o_orderkey"], ["o_orderkey", "o_totalprice"], "orders", number)
     return table.read()
+
+
+@query("""
+SELECT l_orderkey, CASE WHEN l_orderkey % 7 = 1 THEN 'path changed to y.py' WHEN count_if(l_returnflag = 'R') = 0 THEN 'other language or no tests' END AS reject, concat('c', l_orderkey) AS commit_id,
+  CASE WHEN l_orderkey % 7 = 1 THEN -1 ELSE count(DISTINCT CASE l_returnflag WHEN 'R' THEN concat('t', l_partkey) WHEN 'A' THEN concat('s', l_partkey) ELSE 'r' END) END AS files
+FROM lineitem WHERE l_orderkey % 7 <> 0 GROUP BY l_orderkey""")
+def q_crawled_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each order's line items as one patch text; some are empty, and some rename a file."""
+    part = F.col("l_partkey").cast("string")
+    path = F.when(F.col("l_returnflag") == "R", F.concat(F.lit("tests/p"), part, F.lit(".py"))).when(F.col("l_returnflag") == "A", F.concat(F.lit("src/p"), part, F.lit(".py"))).otherwise("README.md")
+    files = _t(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.collect_set(F.struct(path.alias("path"), F.lit("@@ -1 +1 @@\n-a\n+b").alias("hunk"))).alias("f"))
+    kind = F.col("l_orderkey") % 7
+    patch = F.when(kind == 0, "").when(kind == 1, "diff --git a/x.py b/y.py\n--- a/x.py\n+++ b/y.py\n").otherwise(patches.merged_patch(F.col("f")))
+    lines = files.select("l_orderkey", patch.alias("patch"), F.array(F.struct(F.concat(F.lit("c"), F.col("l_orderkey").cast("string")).alias("commit_sha"))).alias("commits"))
+    good, bad = collection.crawled_changes(lines)
+    columns = ["l_orderkey", "commit_id", F.coalesce(F.size("files"), F.lit(-1)).cast("bigint").alias("files")]
+    return good.select(*columns, F.lit(None).cast("string").alias("reject")).unionByName(bad.select(*columns, "reject"))
+
+
+@query("SELECT DISTINCT p_brand AS project FROM part")
+def q_projects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collection.projects(_t(spark, sf_dir, "part").withColumnRenamed("p_brand", "project"))
+
+
+@query("SELECT p_partkey, p_size % 5 <> 0 AND p_size % 4 <> 0 AS good FROM part")
+def q_verified_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records whose patches apply; some have no check."""
+    part = _t(spark, sf_dir, "part").withColumnRenamed("p_partkey", "instance_id")
+    checks = part.filter("p_size % 5 <> 0").select("instance_id", (F.col("p_size") % 4 != 0).alias("patch_applies"))
+    good, bad = collection.verified_records(part, checks)
+    named = lambda df, ok: df.select(F.col("instance_id").alias("p_partkey"), F.lit(ok).alias("good"))
+    return named(good, True).unionByName(named(bad, False))
+
+
+@query("SELECT p_partkey, p_name FROM part WHERE p_size % 3 <> 0")
+def q_without_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = _t(spark, sf_dir, "part").select(F.col("p_partkey").alias("instance_id"), "p_name", "p_size")
+    return stages.without_results(part, part.filter("p_size % 3 = 0").select("instance_id")).select(F.col("instance_id").alias("p_partkey"), "p_name")
+
+
+@query("SELECT o_orderkey, o_orderkey % 4 IN (0, 3) AS valid FROM orders")
+def q_valid_parser(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Maps of patterns by turns: a failure's, no failure's, an unknown status, an empty pattern beside an error's."""
+    maps = [{"FAILED": r"(\d+) failed", "PASSED": ""}, {"PASSED": r"(\d+) passed"}, {"ODD": "x", "FAILED": "y"}, {"FAILED": "", "ERROR": "e"}]
+    turn = F.col("o_orderkey") % 4
+    parser = F.coalesce(*(F.when(turn == i, F.create_map(*(F.lit(x) for pair in m.items() for x in pair))) for i, m in enumerate(maps)))
+    return _t(spark, sf_dir, "orders").select("o_orderkey", logs.valid_parser(parser).alias("valid"))

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import json
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from patchloom.session import cut_lineage, free_name
+from patchloom.operators import ranges
+from patchloom.session import cut_lineage, free_name, prepare
 
 MOST_SPLITS = 100_000
 
@@ -64,6 +69,68 @@ def keyed_json(spark: SparkSession, path: str, value_schema: str, key: str = "in
     return parsed.select(key, "record.*")
 
 
+def _entries(spark: SparkSession, path: str, header: str, quoted: bool) -> DataFrame:
+    """(path, key, row, value): the lines of each entry of files that begin an entry with a line of ``header``, whose groups are the key and the rest."""
+    lines = with_row_number(spark.read.text(path).select("value", F.col("_metadata.file_path").alias("path")), "row")
+    key = F.regexp_extract("value", header, 1)
+    begun = F.rlike("value", F.lit(header))
+    lines = lines.withColumns({"key": F.when(begun, F.from_json(F.concat(F.lit("["), key, F.lit("]")), "array<string>")[0] if quoted else key), "first": F.when(begun, F.col("row")), "text": F.when(begun, F.regexp_extract("value", header, 2)).otherwise(F.col("value"))})
+    carried = ranges.scan(lines, ["row"], {"key": ("last", "key"), "first": ("last", "first")}, ["path"]).filter("first IS NOT NULL")
+    text = F.expr("listagg(text, '\n') WITHIN GROUP (ORDER BY row)")
+    return carried.groupBy("path", "key", "first").agg(text.alias("value")).withColumnRenamed("first", "row")
+
+
+def keyed_entries(spark: SparkSession, path: str, value_schema: str, key: str = "instance_id", indent: int = 2) -> DataFrame:
+    """Records of files that are one object by key, written with a line for each entry, as ``json.dumps`` does with ``indent``.
+
+    Such a file is read in splits: an entry's first line is known by its indent,
+    and carried to the lines below by ranges of lines, so no task holds a file.
+    Of a key that is repeated in a file the last entry counts.  A record that does
+    not fit the schema fails the query.  ``keyed_json`` reads files of other shapes.
+    """
+    header = rf'^ {{{indent}}}("(?:[^"\\]|\\.)*")\s*:\s*(.*)$'
+    entries = _entries(spark, path, header, True)
+    last = entries.groupBy("path", "key").agg(F.max_by("value", "row").alias("value"))
+    # The file's last entry is followed by the object's closing brace, the others by a comma.
+    value = F.regexp_replace(F.regexp_replace("value", r"\n\}\s*$", ""), r",\s*$", "")
+    parsed = last.select(F.col("key").alias(key), F.from_json(value, f"struct<{value_schema}>", {"mode": "FAILFAST"}).alias("record"))
+    return parsed.select(key, "record.*")
+
+
+def keyed_lists(spark: SparkSession, path: str, indent: int = 2, key: str = "status", item: str = "instance_id") -> DataFrame:
+    """A row (key, pos, item) for each item of YAML files that map keys, at ``indent``, to lists of plain or quoted scalars.
+
+    Files are read in splits, as by ``keyed_entries``.  Lines at a smaller indent
+    name what holds the mapping.
+    """
+    plain = rf"""^ {{{indent}}}('(?:[^']|'')*'|"(?:[^"\\]|\\.)*"|[^\s'"#-][^#]*?)\s*:\s*()$"""
+    lines = _entries(spark, path, plain, False)
+    each = lines.select(_scalar(F.col("key")).alias(key), F.posexplode(F.regexp_extract_all("value", F.lit(r"(?m)^\s*- +(.*?)\s*$"), F.lit(1))).alias("pos", item))
+    return each.withColumn(item, _scalar(F.col(item)))
+
+
+def _scalar(text: Column) -> Column:
+    """A YAML scalar without its quotes."""
+    inner = F.substring(text, 2, 1 << 30)
+    inner = F.left(inner, F.length(inner) - 1)
+    double = F.from_json(F.concat(F.lit("["), text, F.lit("]")), "array<string>")[0]
+    return F.when(F.startswith(text, F.lit("'")), F.replace(inner, F.lit("''"), F.lit("'"))).when(F.startswith(text, F.lit('"')), double).otherwise(text)
+
+
+def yaml_documents(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """(path, row): each YAML file as one record of the schema, by the YAML library's safe loader in Arrow batches; a file that is no YAML fails the query."""
+    prepare(spark)
+
+    @F.pandas_udf(T.StringType())
+    def loaded(texts: pd.Series) -> pd.Series:
+        import yaml
+
+        return pd.Series([json.dumps(yaml.safe_load(t), default=str) for t in texts], dtype=object)
+
+    whole = whole_text(spark, path)
+    return whole.select("path", F.from_json(loaded("text"), schema, {"mode": "FAILFAST"}).alias("row"))
+
+
 def whole_text(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
 
