@@ -89,8 +89,22 @@ def _among(column: str, values: list[int]) -> Column:
     return F.expr(f"filter({column}, x -> x IN ({', '.join(f'{v}L' for v in values)}))")
 
 
-def _best_run(at: Column, grams: Column, threshold: float) -> Column:
-    """First and last place of the run of ``grams`` with the greatest sum, from the hits' places ``at``.
+def _hits_of(table: list[tuple[str, list[int]]]) -> Column:
+    """The (gram, place) of the text's bigrams that the licence ``k`` has, each licence's bigrams a hash set of their own."""
+    found = "filter(transform(grams, (g, i) -> CASE WHEN g IN ({}) THEN named_struct('gram', g, 'place', i) END), x -> x IS NOT NULL)"
+    cases = " ".join(f"WHEN '{name}' THEN {found.format(', '.join(f'{v}L' for v in grams))}" for name, grams in table)
+    return F.expr(f"CASE k.id {cases} END")
+
+
+def _with_previous(hits: Column) -> Column:
+    """(place, before) in order of place: where the same bigram was met last, by sorting and comparing neighbours."""
+    by_gram = F.array_sort(hits)
+    shifted = F.concat(F.array(F.lit(None).cast("struct<gram:bigint,place:int>")), F.slice(by_gram, 1, F.greatest(F.size(by_gram) - 1, F.lit(0))))
+    return F.array_sort(F.zip_with(by_gram, shifted, lambda x, y: F.struct(x["place"].alias("place"), F.when(x["gram"] == y["gram"], y["place"]).alias("before"))))
+
+
+def _best_run(at: Column, threshold: float) -> Column:
+    """First and last place of the run of bigrams with the greatest sum, from the hits ``at (place, before)``, in one pass.
 
     The sum is twice the distinct hits less ``threshold`` times the bigrams,
     where a hit that the run has already adds nothing; a run whose sum the gap
@@ -98,11 +112,11 @@ def _best_run(at: Column, grams: Column, threshold: float) -> Column:
     """
     gain, start = 2.0 - threshold, F.struct(F.lit(0.0).alias("sum"), F.lit(-1).alias("start"), F.lit(-1).alias("at"), F.lit(0.0).alias("best"), F.lit(0).alias("first"), F.lit(-1).alias("last"))
 
-    def step(state: Column, place: Column) -> Column:
+    def step(state: Column, hit: Column) -> Column:
+        place = hit["place"]
         left = state["sum"] - threshold * (place - state["at"] - 1)
         anew = (state["start"] < 0) | (left <= 0)
-        run = F.slice(grams, state["start"] + 1, place - state["start"])
-        again = F.when(anew, F.lit(False)).otherwise(F.array_contains(run, F.get(grams, place)))
+        again = F.coalesce(hit["before"] >= state["start"], F.lit(False))
         total = F.when(anew, F.lit(gain)).otherwise(left + F.when(again, F.lit(0.0)).otherwise(F.lit(gain)))
         return F.struct(total.alias("sum"), F.when(anew, place).otherwise(state["start"]).alias("start"), place.alias("at"), state["best"].alias("best"), state["first"].alias("first"), state["last"].alias("last"))
 
@@ -110,7 +124,7 @@ def _best_run(at: Column, grams: Column, threshold: float) -> Column:
         more = state["sum"] > state["best"]
         return F.struct(state["sum"].alias("sum"), state["start"].alias("start"), state["at"].alias("at"), F.when(more, state["sum"]).otherwise(state["best"]).alias("best"), F.when(more, state["start"]).otherwise(state["first"]).alias("first"), F.when(more, state["at"]).otherwise(state["last"]).alias("last"))
 
-    return F.aggregate(at, start, lambda state, place: F.get(F.transform(F.array(step(state, place)), keep), F.lit(0)))
+    return F.aggregate(at, start, lambda state, hit: F.get(F.transform(F.array(step(state, hit)), keep), F.lit(0)))
 
 
 def best_runs(docs: DataFrame, notices: dict[str, str] | None = None, threshold: float = THRESHOLD) -> DataFrame:
@@ -124,8 +138,8 @@ def best_runs(docs: DataFrame, notices: dict[str, str] | None = None, threshold:
     grams = words.select("doc_id", F.zip_with(F.slice("w", 1, F.greatest(n, F.lit(0))), F.slice("w", 2, F.greatest(n, F.lit(0))), lambda a, b: F.xxhash64(a, b)).alias("grams"))
     hits = grams.select("doc_id", "grams", F.array_distinct(_among("grams", every)).alias("hits"))
     named = hits.select("doc_id", "grams", F.explode_outer(F.filter(known, lambda k: F.when(F.size("hits") >= k["need"], F.size(F.array_intersect("hits", k["grams"])) >= k["need"]).otherwise(F.lit(False)))).alias("k")).filter("k is not null")
-    places = named.select("doc_id", "grams", "k", F.filter(F.transform("grams", lambda g, i: F.when(F.array_contains("k.grams", g), i)), lambda i: i.isNotNull()).alias("at"))
-    runs = places.select("doc_id", "grams", "k", _best_run(F.col("at"), F.col("grams"), threshold).alias("run"))
+    places = named.select("doc_id", "grams", "k", _with_previous(_hits_of(table)).alias("at"))
+    runs = places.select("doc_id", "grams", "k", _best_run(F.col("at"), threshold).alias("run"))
     cut = runs.select("doc_id", "k", F.array_distinct(F.slice("grams", F.col("run.first") + 1, F.col("run.last") - F.col("run.first") + 1)).alias("run"))
     score = 2.0 * F.size(F.array_intersect("run", "k.grams")) / (F.size("run") + F.col("k.size"))
     return cut.select("doc_id", F.col("k.id").alias("id"), score.alias("score")).filter(F.col("score") >= threshold)

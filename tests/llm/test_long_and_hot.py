@@ -1,6 +1,7 @@
 """Very long texts, hot groups, clashing column names, and plain-Python twins of the two classifiers' scores."""
 
 import hashlib
+import math
 import random
 import re
 import time
@@ -9,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from patchloom.llm import decontamination, kernels, line_dedup, ngram_join, packing, quality, suffix_dedup, toxicity
+from patchloom.llm import decontamination, kernels, license_scan, line_dedup, ngram_join, packing, quality, suffix_dedup, toxicity
 from patchloom.llm.queries import tokenizer_path
 from tests_llm_tables import brute_components, brute_lines
 
@@ -226,3 +227,65 @@ def test_spans_are_united_in_both_forms_and_other_columns_stay(spark):
     assert one == other and "start=0, end=35" in one[0] and "start=40, end=42" in one[0]
     left = decontamination.remove_spans(docs, bench)
     assert left.columns == docs.columns and left.orderBy("doc_id").first()["text"].split() == words[35:40] + words[42:]
+
+
+def licence_runs(text, threshold=0.7):
+    """Each licence's best run of the words of a text, by sets and loops."""
+    norm = lambda t: re.sub(r"[^a-z0-9.]+", " ", t.lower()).strip(" ").split(" ")
+    grams = lambda w: list(zip(w, w[1:], strict=False))
+    own, out = grams(norm(text)), {}
+    for name, t in (license_scan.NOTICES | license_scan.full_texts()).items():
+        known = set(grams(norm(t)))
+        if len(set(own) & known) < math.ceil(threshold / (2 - threshold) * len(known) - 1e-9):
+            continue
+        total = best = 0.0
+        start = at = last = -1
+        first, seen = 0, set()
+        for i, g in enumerate(own):
+            if g not in known:
+                continue
+            left = total - threshold * (i - at - 1)
+            if start < 0 or left <= 0:
+                start, total, seen = i, 2 - threshold, {g}
+            else:
+                total = left + (0 if g in seen else 2 - threshold)
+                seen.add(g)
+            at = i
+            if total > best:
+                best, first, last = total, start, i
+        run = set(own[first : last + 1])
+        score = 2 * len(run & known) / (len(run) + len(known))
+        if score >= threshold:
+            out[name] = round(score, 9)
+    return out
+
+
+def test_licence_runs_against_loops(spark):
+    draw = random.Random(11)
+    known = license_scan.NOTICES | license_scan.full_texts()
+    words = ["the", "of", "license", "software", "under", "alpha", "beta", "version", "2.0"]
+    prose = lambda n: " ".join(draw.choice(words) for _ in range(n))
+
+    def piece():
+        t = known[draw.choice(sorted(known))].split()
+        at = draw.randrange(max(1, len(t) // 4))
+        return "\n".join(" ".join(t[i : i + 9]) for i in range(at, len(t) - draw.randrange(max(1, len(t) // 4)), 9))
+
+    texts = ["\n".join(draw.choice([piece, lambda: prose(draw.randrange(60))])() for _ in range(draw.randrange(1, 6))) for _ in range(40)] + ["", "x", "all rights reserved all rights reserved"]
+    got: dict = {i: {} for i in range(len(texts))}
+    for r in license_scan.best_runs(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).collect():
+        got[r["doc_id"]][r["id"]] = round(r["score"], 9)
+    assert got == {i: licence_runs(t) for i, t in enumerate(texts)}
+    assert sum(map(len, got.values())) > 40
+
+
+def test_a_text_of_many_licence_copies_is_scanned_in_linear_time(spark):
+    text = license_scan.full_texts()["gpl-3.0-text"]
+    took = []
+    for n in (1, 2, 16):
+        df = spark.createDataFrame([(1, "\n\n".join([text] * n))], "doc_id bigint, text string")
+        began = time.perf_counter()
+        row = license_scan.scan(df).first()
+        took.append(time.perf_counter() - began)
+        assert row["licenses"] == "gpl-3.0-header,gpl-3.0-text"
+    assert took[2] < took[1] + 20
