@@ -1,12 +1,16 @@
 """Toxicity by a weighted finite-state grammar over clauses.
 
-Small transducers read a clause's tokens: insult, threat, target, negation and
-reported speech.  Their composition, one machine over tuples of states, puts out
-each insult or threat as negated, reported or open; the state at the clause's
-end decides what the open ones were: with a target anywhere in the clause an
-insult is aimed and a threat is one, without it they are bare, and a bare threat
-matches nothing.  A document's score is a calibrated function of what its
-clauses have put out, not of isolated words.
+Small transducers read a clause's tokens: insult, target, negation, reported
+speech, and two for threats, whether one was just met and whether a word that
+can be its object was.  Their composition, one machine over tuples of states,
+puts out each insult or threat as negated, reported or open.  A threat is one if
+its target follows within ``REACH`` tokens, or an object comes so shortly before
+it; else it is bare and matches nothing.  The state at the clause's end decides
+what open insults were: with a target anywhere in the clause they are aimed,
+without it plain.  Commas and colons end a clause but not the report that it is
+in, so what is quoted after them is reported still; other marks end both.  A
+document's score is a calibrated function of what its clauses have put out, not
+of isolated words.
 
 The insult lexicon (words, and stems of words) is learned from a bounded sample
 of labelled rows, starting from ``SEED_INSULTS``; so are the final weights.  The
@@ -33,10 +37,13 @@ from patchloom.llm.session import cut_lineage, free_name, prepare, schema_of, wi
 SEED_INSULTS = ["idiot", "moron", "stupid", "pathetic", "worthless", "disgusting", "scum", "loser", "trash", "clown"]
 THREATS = ["kill", "hurt", "destroy", "beat", "burn", "shoot", "stab", "töten", "umbringen", "verletzen", "tuer", "frapper", "matar", "golpear"]
 TARGETS = ["you", "your", "they", "them", "their", "he", "she", "him", "her", "du", "dich", "dein", "ihr", "tu", "toi", "vous", "ton", "tú", "te", "usted", "ellos"]
+OBJECTS = ["dich", "euch", "te", "toi", "vous", "les", "los"]
 NEGATIONS = ["not", "never", "no", "isn't", "aren't", "nicht", "kein", "keine", "nie", "pas", "jamais", "ne", "nunca"]
 REPORTS = ["said", "says", "wrote", "called", "quoted", "claimed", "sagte", "schrieb", "dit", "écrit", "dijo", "escribió"]
 
-OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT = range(6)
+OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT, OBJECT, GAP = range(8)
+#: So many tokens may part a threat from its target; more are a gap.
+REACH = 3
 STEMS = (4, 5, 6, 7)
 LEAST_TOXIC = 3
 EVIDENCE = 3.0
@@ -46,39 +53,46 @@ WORD_BYTES = np.zeros(256, np.uint8)
 for _b in [0x27, *range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)]:
     WORD_BYTES[_b] = _b
 WORD_BYTES[0x41:0x5B] = np.arange(0x61, 0x7B)
-CLAUSE_ENDS = np.zeros(256, bool)
+#: Marks that end a clause, and those that also end a report.
+CLAUSE_ENDS, REPORT_ENDS = np.zeros(256, bool), np.zeros(256, bool)
 CLAUSE_ENDS[[ord(c) for c in ".,;:!?\n"]] = True
+REPORT_ENDS[[ord(c) for c in ".;!?\n"]] = True
 
 #: State changes of each transducer: (state, category) -> state.  What is not listed stays.
 TRANSDUCERS = {
     "insult": {(0, INSULT): 1, (1, INSULT): 1},
-    "threat": {(0, THREAT): 1, (1, THREAT): 1},
-    "target": {(0, TARGET): 1, (1, TARGET): 1},
+    "target": {(0, TARGET): 1, (0, OBJECT): 1},
     "negation": {(0, NEGATION): 1, (1, NEGATION): 0},
     "report": {(0, REPORT): 1, (1, REPORT): 1},
+    "threat": {(0, THREAT): 1, (1, GAP): 0, (1, TARGET): 0, (1, OBJECT): 0},
+    "object": {(0, OBJECT): 1, (1, GAP): 0},
 }
 PLAIN, AIMED, NEGATED, REPORTED, THREATS_OUT, BARE = range(6)
-OPEN_INSULT, OPEN_THREAT = 6, 7
+OPEN_INSULT, OPEN_THREAT, MET = 6, 7, 8
 #: Columns of a text's scores after the outputs.
 CLAUSES, DISTINCT, BEST, WORDS = 6, 7, 8, 9
 
 
-def compose() -> tuple[dict[tuple, tuple], dict[tuple, tuple[int, int]]]:
-    """The composed machine: (states, category) -> (states, output or None), and what final states make of open insults and threats."""
-    names, moves, ends = list(TRANSDUCERS), {}, {}
+def compose() -> tuple[dict[tuple, tuple], dict[tuple, int], dict[tuple, tuple]]:
+    """The composed machine: (states, category) -> (states, output or None), what final states make of open insults, and the states after a soft end."""
+    names, moves, ends, soft = list(TRANSDUCERS), {}, {}, {}
     for states in product((0, 1), repeat=len(names)):
         of = dict(zip(names, states, strict=True))
-        ends[states] = (AIMED, THREATS_OUT) if of["target"] else (PLAIN, BARE)
-        for category in range(1, 6):
+        ends[states] = AIMED if of["target"] else PLAIN
+        soft[states] = tuple(s if n == "report" else 0 for n, s in of.items())
+        for category in range(1, GAP + 1):
             after = tuple(TRANSDUCERS[n].get((s, category), s) for n, s in zip(names, states, strict=True))
             put = None
             if category in (INSULT, THREAT):
-                put = REPORTED if of["report"] else NEGATED if of["negation"] else OPEN_INSULT if category == INSULT else OPEN_THREAT
+                kind = OPEN_INSULT if category == INSULT else THREATS_OUT if of["object"] else OPEN_THREAT
+                put = REPORTED if of["report"] else NEGATED if of["negation"] else kind
+            elif of["threat"] and category in (TARGET, OBJECT):
+                put = MET
             moves[states, category] = (after, put)
-    return moves, ends
+    return moves, ends, soft
 
 
-MACHINE, FINAL = compose()
+MACHINE, FINAL, SOFT = compose()
 START = (0,) * len(TRANSDUCERS)
 
 
@@ -107,7 +121,7 @@ class Lexicon:
 
     def __init__(self, learned: dict[int, float]) -> None:
         entries = {int(h): (INSULT, w) for h, w in learned.items()}
-        for words, category in ((THREATS, THREAT), (TARGETS, TARGET), (NEGATIONS, NEGATION), (REPORTS, REPORT)):
+        for words, category in ((THREATS, THREAT), (TARGETS, TARGET), (OBJECTS, OBJECT), (NEGATIONS, NEGATION), (REPORTS, REPORT)):
             entries |= {int(h): (category, 1.0) for h in _hash(words)}
         self.hashes = np.array(sorted(entries), np.uint64)
         self.category = np.array([entries[int(h)][0] for h in self.hashes], np.int8)
@@ -137,27 +151,36 @@ def clause_scores(data: np.ndarray, offsets: np.ndarray, lexicon: Lexicon) -> np
     marked = np.flatnonzero(category)
     if not len(marked):
         return out
-    ends = np.cumsum(CLAUSE_ENDS[data])
-    clause = ends[starts[marked]]
     row = np.searchsorted(word_at, marked, "right") - 1
-    last = np.append((clause[1:] != clause[:-1]) | (row[1:] != row[:-1]), True)
-    states, put_out = START, np.zeros(OPEN_THREAT + 1)
+    other = row[1:] != row[:-1]
+    clause, report = (np.cumsum(marks[data])[starts[marked]] for marks in (CLAUSE_ENDS, REPORT_ENDS))
+    last = np.append((clause[1:] != clause[:-1]) | other, True)
+    hard = np.append((report[1:] != report[:-1]) | other, True)
+    gap = np.append(False, np.diff(marked) > REACH)
+    states, put_out = START, np.zeros(MET)
     seen: dict[int, set] = {}
-    for i, r, end, kind, w in zip(marked.tolist(), row.tolist(), last.tolist(), category[marked].tolist(), weight[marked].tolist(), strict=True):
+    for i, r, end, ends_report, after_gap, kind, w in zip(marked.tolist(), row.tolist(), last.tolist(), hard.tolist(), gap.tolist(), category[marked].tolist(), weight[marked].tolist(), strict=True):
+        if after_gap:
+            # Threats that were waiting for their target are bare.
+            states = MACHINE[states, GAP][0]
+            put_out[BARE] += put_out[OPEN_THREAT]
+            put_out[OPEN_THREAT] = 0
         states, put = MACHINE[states, kind]
-        if put is not None:
+        if put == MET:
+            put_out[THREATS_OUT] += put_out[OPEN_THREAT]
+            put_out[OPEN_THREAT] = 0
+        elif put is not None:
             put_out[put] += w
             if kind == INSULT:
                 seen.setdefault(r, set()).add(int(keys[0, i]))
         if end:
-            insults, threats = FINAL[states]
-            put_out[insults] += put_out[OPEN_INSULT]
-            put_out[threats] += put_out[OPEN_THREAT]
+            put_out[FINAL[states]] += put_out[OPEN_INSULT]
+            put_out[BARE] += put_out[OPEN_THREAT]
             best = put_out[:BARE].sum()
             out[r, :CLAUSES] += put_out[:CLAUSES]
             out[r, CLAUSES] += best > 0
             out[r, BEST] = max(out[r, BEST], best)
-            states = START
+            states = START if ends_report else SOFT[states]
             put_out[:] = 0
     for r, words in seen.items():
         out[r, DISTINCT] = len(words)

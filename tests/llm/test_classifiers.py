@@ -61,6 +61,14 @@ def test_grammar_scopes():
     assert score("i will kill you")[toxicity.THREATS_OUT] == 1 and score("").sum() == 0
     assert score("burn the wood")[toxicity.BARE] == 1 and score("burn the wood")[toxicity.CLAUSES] == 0
     assert score("idiot that you are")[toxicity.AIMED] == 2 and score("you said idiot")[toxicity.REPORTED] == 2
+    for text in ('he said: "you are an idiot"', "he said, you are an idiot", "they wrote: an idiot, you idiot"):
+        assert score(text)[toxicity.REPORTED] >= 2 and score(text)[toxicity.AIMED] == 0
+    assert score("he said so. you are an idiot")[toxicity.AIMED] == 2
+    for text in ("she beat the record, her best", "I will kill the process for you", "you kill the lights"):
+        assert score(text)[toxicity.THREATS_OUT] == 0 and score(text)[toxicity.BARE] == 1
+    for text in ("i will hurt all of them", "kill or hurt you", "ich werde dich töten", "te voy a matar", "we burn your house"):
+        assert score(text)[toxicity.THREATS_OUT] >= 1
+    assert score("she did not kill you")[toxicity.NEGATED] == 1
     assert score("you. burn it")[toxicity.THREATS_OUT] == 0 and score("an idiot, you")[toxicity.PLAIN] == 2
 
 
