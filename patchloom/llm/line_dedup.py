@@ -17,7 +17,10 @@ from pyspark.sql import functions as F
 from patchloom.llm.session import cut_lineage, prepare, schema_of, with_names
 
 WINDOW = 3
-MOST_HOT, SALTS = 2000, 32
+#: A window is hot if it has over a FEW_HOT-th of all repeated places, or over HOT_PLACES; at most MOST_HOT windows can be.
+FEW_HOT, HOT_PLACES, MOST_HOT = 2000, 200_000, 50_000
+#: A hot window's places are dealt by this many salts at least, and by one for each HOT_PLACES of them.
+SALTS = 32
 ROWS_AT_ONCE = 512
 LEAST_ID = -(2**63)
 
@@ -29,6 +32,7 @@ def _windows(docs: DataFrame, size: int) -> DataFrame:
     zipped = F.arrays_zip(*(F.slice(lines, i + 1, n).alias(f"l{i}") for i in range(size)))
     each = docs.select("d", "t", F.posexplode(zipped).alias("pos", "w"))
     fields = [F.col(f"w.l{i}") for i in range(size)]
+    # Lines of spaces only are blank; those of other white space are not.
     blank: Column = F.trim(F.concat(*fields)) == ""
     return each.filter(~blank).select("d", "t", "pos", F.xxhash64(*fields).alias("h1"), F.xxhash64(F.lit(1), *reversed(fields)).alias("h2"))
 
@@ -36,18 +40,20 @@ def _windows(docs: DataFrame, size: int) -> DataFrame:
 def _met(docs: DataFrame, size: int) -> DataFrame:
     """``(d, t, pos, h1, h2, first)``: the places of the windows met more than once, and the least row key that has each.
 
-    At most ``MOST_HOT`` windows can have more than that part of all repeated
-    places.  These are named by a broadcast, and their places are dealt by
-    ``SALTS`` salts, so no task gets all places of a window that all rows have.
+    Hot windows are named by a broadcast of ``MOST_HOT`` rows at most, and their
+    places are dealt by salts, more for windows of more places, so what a task
+    gets of one window does not grow with the corpus, until the windows over
+    ``HOT_PLACES`` are more than ``MOST_HOT``.
     """
     windows = _windows(docs, size)
     common = cut_lineage(windows.groupBy("h1", "h2").agg(F.min("d").alias("first"), F.count("*").alias("n")).filter("n > 1"))
     total = common.agg(F.sum("n")).first()[0] or 0
-    is_hot = F.col("n") > total / MOST_HOT
-    hot = common.filter(is_hot).select("h1", "h2", F.lit(True).alias("hot"))
-    salt = F.when(F.col("hot"), F.pmod(F.xxhash64("d", "pos"), F.lit(SALTS)).cast("int")).otherwise(0)
-    placed = windows.join(F.broadcast(hot), ["h1", "h2"], "left").withColumn("salt", salt).drop("hot")
-    salts = F.when(is_hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    is_hot = F.col("n") > max(min(total / FEW_HOT, HOT_PLACES), total / MOST_HOT)
+    own_salts = F.greatest(F.lit(SALTS), F.ceil(F.col("n") / HOT_PLACES).cast("int"))
+    hot = common.filter(is_hot).select("h1", "h2", own_salts.alias("salts"))
+    salt = F.coalesce(F.pmod(F.xxhash64("d", "pos"), F.col("salts")).cast("int"), F.lit(0))
+    placed = windows.join(F.broadcast(hot), ["h1", "h2"], "left").withColumn("salt", salt).drop("salts")
+    salts = F.when(is_hot, F.sequence(F.lit(0), own_salts - 1)).otherwise(F.array(F.lit(0)))
     return cut_lineage(placed.join(common.select("h1", "h2", "first", F.explode(salts).alias("salt")), ["h1", "h2", "salt"]).drop("salt"))
 
 
@@ -101,7 +107,7 @@ def remove_repeated_windows(docs: DataFrame, size: int = WINDOW) -> DataFrame:
     """All rows and columns of ``docs``, whatever their names, with later windows' lines gone from ``text``.
 
     A text has one line more than line feeds; a null text has none and stays
-    null; a text with fewer lines than a window, and windows of blank lines
+    null; a text with fewer lines than a window, and windows of lines of spaces
     only, are left alone.  A null ``doc_id`` counts as smaller than all others.
     Rows that share a ``doc_id`` are no later than each other, and rows that
     also share the text get the same result.  An empty table stays empty.
