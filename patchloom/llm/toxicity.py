@@ -4,8 +4,8 @@ Small transducers read a clause's tokens: insult, target, negation, reported
 speech, and two for threats, whether one was just met and whether a word that
 can be its object was.  Their composition, one machine over tuples of states,
 puts out each insult or threat as negated, reported or open.  A threat is one if
-its target follows within ``REACH`` tokens, or an object comes so shortly before
-it; else it is bare and matches nothing.  The state at the clause's end decides
+its target follows before ``REACH`` words in a row that are of no class, or an
+object comes so shortly before it; else it is bare and matches nothing.  The state at the clause's end decides
 what open insults were: with a target anywhere in the clause they are aimed,
 without it plain.  Commas and colons end a clause but not the report that it is
 in, so what is quoted after them is reported still; other marks end both.  A
@@ -42,7 +42,7 @@ NEGATIONS = ["not", "never", "no", "isn't", "aren't", "nicht", "kein", "keine",
 REPORTS = ["said", "says", "wrote", "called", "quoted", "claimed", "sagte", "schrieb", "dit", "écrit", "dijo", "escribió"]
 
 OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT, OBJECT, GAP = range(8)
-#: So many tokens may part a threat from its target; more are a gap.
+#: So many words of no class in a row are a gap, which parts a threat from what follows.
 REACH = 3
 STEMS = (4, 5, 6, 7)
 LEAST_TOXIC = 3

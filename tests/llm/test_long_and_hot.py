@@ -123,36 +123,53 @@ WORD = re.compile("[0-9a-z'\x80-\U0010ffff]+")
 
 def plain_clauses(text, lexicon):
     """The grammar read word by word: (plain, aimed, negated, reported, threats, bare), matched clauses, distinct insults, best clause, words."""
-    closed = [(toxicity.THREATS, "threat"), (toxicity.TARGETS, "target"), (toxicity.NEGATIONS, "not"), (toxicity.REPORTS, "report")]
+    closed = [(toxicity.THREATS, "threat"), (toxicity.TARGETS, "target"), (toxicity.OBJECTS, "object"), (toxicity.NEGATIONS, "not"), (toxicity.REPORTS, "report")]
     kinds = {w: k for words_, k in closed for w in words_}
     total, clauses, insults, best, n = [0.0] * 6, 0, set(), 0.0, 0
-    for clause in re.split("[.,;:!?\n]", text.lower()):
-        target = negated = reported = False
-        out, opened = [0.0] * 6, {"insult": 0.0, "threat": 0.0}
-        for w in WORD.findall(clause):
-            n += 1
-            kind, weight = ("insult", lexicon[w]) if w in lexicon else (kinds.get(w), 1.0)
-            if kind == "target":
-                target = True
-            elif kind == "not":
-                negated = not negated
-            elif kind == "report":
-                reported = True
-            elif kind:
-                if kind == "insult":
-                    insults.add(w)
-                if reported:
-                    out[3] += weight
-                elif negated:
-                    out[2] += weight
+    for sentence in re.split("[.;!?\n]", text.lower()):
+        reported = False
+        for clause in re.split("[,:]", sentence):
+            target = negated = waiting = object_near = False
+            out, insult, threat, unmarked = [0.0] * 6, 0.0, 0.0, 0
+            for w in WORD.findall(clause):
+                n += 1
+                kind, weight = ("insult", lexicon[w]) if w in lexicon else (kinds.get(w), 1.0)
+                if kind is None:
+                    unmarked += 1
+                    continue
+                if unmarked >= toxicity.REACH:
+                    out[5] += threat
+                    threat, waiting, object_near = 0.0, False, False
+                unmarked = 0
+                if kind in ("target", "object"):
+                    target, object_near = True, object_near or kind == "object"
+                    if waiting:
+                        out[4] += threat
+                        threat, waiting = 0.0, False
+                elif kind == "not":
+                    negated = not negated
+                elif kind == "report":
+                    reported = True
                 else:
-                    opened[kind] += weight
-        out[1 if target else 0] += opened["insult"]
-        out[4 if target else 5] += opened["threat"]
-        score = sum(out[:5])
-        clauses += score > 0
-        best = max(best, score)
-        total = [a + b for a, b in zip(total, out, strict=True)]
+                    if kind == "insult":
+                        insults.add(w)
+                    if reported:
+                        out[3] += weight
+                    elif negated:
+                        out[2] += weight
+                    elif kind == "insult":
+                        insult += weight
+                    elif object_near:
+                        out[4] += weight
+                    else:
+                        threat += weight
+                    waiting = waiting or kind == "threat"
+            out[1 if target else 0] += insult
+            out[5] += threat
+            score = sum(out[:5])
+            clauses += score > 0
+            best = max(best, score)
+            total = [a + b for a, b in zip(total, out, strict=True)]
     return [*total, clauses, len(insults), best, n]
 
 
@@ -160,7 +177,7 @@ def test_toxicity_equals_a_plain_reading():
     draw = random.Random(9)
     lexicon = {"idiot": 2.0, "grobul": 1.5, "fül": 0.7}
     pool = ["idiot", "grobul", "fül", "you", "toi", "kill", "töten", "not", "ne", "said", "écrit", "wood", "Ötzi", "a", "b2", "it's"]
-    texts = ["".join(draw.choice(pool) + draw.choice([" ", " ", " ", ", ", ".", "! ", "\n"]) for _ in range(draw.randint(0, 40))) for _ in range(300)]
+    texts = ["".join(draw.choice(pool) + draw.choice([" ", " ", " ", " ", ", ", ": ", ".", "! ", "\n"]) for _ in range(draw.randint(0, 40))) for _ in range(600)]
     ready = toxicity.Lexicon({int(h): lexicon[w] for w in lexicon for h in toxicity._hash([w])})
     raw = [t.lower().encode() for t in texts]
     got = toxicity.clause_scores(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]), ready)
