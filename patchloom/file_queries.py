@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from patchloom.functions import render, templates
 from patchloom.operators import ranges, relational
+from patchloom.plans import evaluation
 from patchloom.queries import _t, query
 from patchloom.session import cut_lineage, shared_folder
 from patchloom.sources import readers, writers
@@ -89,6 +90,27 @@ def q_range_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("l_orderkey", "l_partkey", "l_linenumber", "n", "top")
 
 
+BLOCK = "'diff --git a/{0} b/{0}' || chr(10) || '--- a/{0}' || chr(10) || '+++ b/{0}' || chr(10) || '@@ -1 +1 @@' || chr(10) || '-x' || chr(10) || '+' || {1} || chr(10)"
+SQL_BLOCKS = [BLOCK.format("src/a.py", "p_partkey"), BLOCK.format("tests/test_a.py", "p_size")]
+
+
+@query(f"""
+WITH p AS (SELECT p_partkey, 't' || p_size AS task, CASE WHEN p_size % 3 = 0 THEN {BLOCK.format("src/a.py", "'t'")} ELSE {BLOCK.format("tests/test_a.py", "'t'")} END AS test,
+  CASE WHEN p_size % 3 = 0 THEN {SQL_BLOCKS[1]} ELSE {SQL_BLOCKS[0]} END AS own FROM part WHERE p_size % 7 <> 0)
+SELECT p_partkey, 'func' AS run_name, task || '|' || own AS patches FROM p UNION ALL SELECT p_partkey, 'sec', task || '|' || test || '|' || own FROM p""")
+def q_run_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts as predicted instances; the files that the test patch touches go from the prediction, finished ones are left out."""
+    block = lambda path, line: F.concat(F.lit(f"diff --git a/{path} b/{path}\n--- a/{path}\n+++ b/{path}\n@@ -1 +1 @@\n-x\n+"), line, F.lit("\n"))
+    part = _t(spark, sf_dir, "part").select(F.col("p_partkey").alias("instance_id"), "p_size", "p_partkey")
+    text = lambda c: F.col(c).cast("string")
+    test = F.when(F.col("p_size") % 3 == 0, block("src/a.py", F.lit("t"))).otherwise(block("tests/test_a.py", F.lit("t")))
+    dataset = part.select("instance_id", F.concat(F.lit("t"), text("p_size")).alias("task_patch"), test.alias("test_patch"))
+    whole = F.concat(block("src/a.py", text("p_partkey")), block("tests/test_a.py", text("p_size")))
+    predictions = part.select("instance_id", F.explode(F.array(F.lit(0), F.lit(1))).alias("_pos"), whole.alias("whole")).withColumn("model_patch", F.when(F.col("_pos") == 1, F.col("whole")).otherwise("old"))
+    got = evaluation.run_requests(predictions.drop("whole"), dataset, finished=part.filter("p_size % 7 = 0").select("instance_id"))
+    return got.select(F.col("instance_id").alias("p_partkey"), "run_name", F.array_join("patches", "|").alias("patches"))
+
+
 @query("""
 WITH s AS (SELECT p_brand, p_partkey, p_name, row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) AS n FROM part)
 SELECT p_partkey, p_name FROM s WHERE n = 1""")

@@ -48,6 +48,21 @@ def filtered_predictions(predictions: DataFrame, dataset: DataFrame, order: str
     return patches.filtered_patch(chosen.join(known, "instance_id"), "model_patch", "__tests", exclude=True).drop("__tests", "__first")
 
 
+def run_requests(predictions: DataFrame, dataset: DataFrame, order: str = "_pos", finished: DataFrame | None = None, force: bool = False) -> DataFrame:
+    """(instance_id, run_name, patches): what each run applies, for the predicted instances without a finished report, or all with ``force``.
+
+    Both runs apply the task's patch and the prediction without the files of the
+    test patch; the run for security also applies the test patch, in between.
+    """
+    known = relational.one_of_each(dataset, ["instance_id"], order)
+    own = filtered_predictions(predictions, known, order).select("instance_id", F.col("filtered_patch").alias("own"))
+    if finished is not None and not force:
+        own = relational.pending(own, finished, "instance_id")
+    joined = own.join(known.select("instance_id", "task_patch", "test_patch"), "instance_id")
+    runs = [F.struct(F.lit("func").alias("run_name"), F.array("task_patch", "own").alias("patches")), F.struct(F.lit("sec").alias("run_name"), F.array("task_patch", "test_patch", "own").alias("patches"))]
+    return joined.select("instance_id", F.inline(F.array(*runs)))
+
+
 class Evaluation(NamedTuple):
     reports: DataFrame
     skipped: DataFrame
