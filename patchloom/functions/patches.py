@@ -17,8 +17,9 @@ from patchloom.functions.text import LINE_ENDS
 from patchloom.schemas import HUNK_PATTERN, PATCH_FILES
 from patchloom.session import prepare
 
-#: Where a line starts: at the text's start or after any line end.
-LINE_START = rf"(?:\A|(?<=[{LINE_ENDS}]))"
+#: What was just matched starts a line, at the text's start or after any line end.  Looking back only from there is
+#: cheaper than looking for line starts.
+STARTS_A_LINE = rf"(?<=(?:\A|[{LINE_ENDS}]){{0}})"
 BATCH_ROWS = 4096
 
 
@@ -65,7 +66,7 @@ def flat_map(df: DataFrame, inputs: list[str], function: Callable[..., Iterable[
 
 def touched_files(patch: Column) -> Column:
     """Distinct paths of the '+++ ' lines, cut at a tab, without 'b/'; /dev/null counts."""
-    return F.array_distinct(F.regexp_extract_all(patch, F.lit(rf"{LINE_START}\+\+\+ (?:b/)?([^\t{LINE_ENDS}]*)"), F.lit(1)))
+    return F.array_distinct(F.regexp_extract_all(patch, F.lit(rf"\+\+\+ {STARTS_A_LINE.format(r'\+\+\+ ')}(?:b/)?([^\t{LINE_ENDS}]*)"), F.lit(1)))
 
 
 def count_files(patch: Column) -> Column:
@@ -74,7 +75,7 @@ def count_files(patch: Column) -> Column:
 
 def count_lines(patch: Column) -> Column:
     """Added and removed lines; what starts as a file header does is not counted."""
-    return F.regexp_count(patch, F.lit(rf"{LINE_START}(?:\+(?!\+\+ )|-(?!-- ))"))
+    return F.regexp_count(patch, F.lit(rf"(?:\+(?!\+\+ )|-(?!-- )){STARTS_A_LINE.format('[+-]')}"))
 
 
 def merged_patch(files: Column) -> Column:
