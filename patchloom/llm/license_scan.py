@@ -1,8 +1,9 @@
 """License scans: lines and runs of words compared to licence texts by Dice coefficient over word bigrams.
 
 A line's text is normalised (lower case, anything but letters, digits and dots
-is a space); its distinct bigrams are hashed.  A notice is compared only if the
-numbers of bigrams allow the threshold at all.
+is a space); its distinct bigrams are hashed, if it has any of the words that
+every match has one of.  A notice is compared only if the numbers of bigrams
+allow the threshold at all.
 
 What no single line shows (notices wrapped over lines or inside a paragraph,
 and whole licence texts) is found in the normalised text as a whole.  A licence
@@ -16,6 +17,7 @@ from __future__ import annotations
 
 import math
 import pkgutil
+from collections import Counter
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,11 +52,39 @@ def normalised(text: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(text), r"[^a-z0-9.]+", " "))
 
 
-def notice_table(spark: SparkSession, notices: dict[str, str]) -> list[tuple[str, list[int]]]:
-    """Each notice's distinct bigram hashes, made by the same expressions as a line's."""
+def notice_table(spark: SparkSession, notices: dict[str, str]) -> list[tuple[str, list[int], list[str]]]:
+    """Each notice's distinct bigram hashes, made by the same expressions as a line's, and its words."""
     listed = F.array(*(F.struct(F.lit(k).alias("id"), F.lit(v).alias("text")) for k, v in sorted(notices.items())))
     rows = spark.range(1).select(F.inline(listed)).select("id", F.split(normalised(F.col("text")), " ").alias("w"))
-    return [(r["id"], r["grams"]) for r in rows.select("id", _bigrams().alias("grams")).collect()]
+    return [(r["id"], r["grams"], r["w"]) for r in rows.select("id", "w", _bigrams().alias("grams")).collect()]
+
+
+def least_hits(grams: int, threshold: float) -> int:
+    """The distinct bigrams that any match of a notice of ``grams`` must share with it."""
+    return math.ceil(threshold / (2 - threshold) * grams - 1e-9)
+
+
+def marking_words(texts: list[list[str]], threshold: float) -> set[str]:
+    """Words of which every match of any of the texts has one: the bigrams without them are too few for a match.
+
+    Long words come first, as they are rarer.
+    """
+    marks: set[str] = set()
+    for words in sorted(texts, key=len):
+        grams = set(zip(words, words[1:], strict=False))
+        need = max(least_hits(len(grams), threshold), 1)
+        open_ = {g for g in grams if marks.isdisjoint(g)}
+        while len(open_) >= need:
+            counts = Counter(w for g in open_ for w in set(g))
+            best = max(counts, key=lambda w: (len(w) > 4, counts[w], w))
+            marks.add(best)
+            open_ = {g for g in open_ if best not in g}
+    return marks
+
+
+def _marked(marks: set[str]) -> Column:
+    """Whether the words have any of the marks, which Spark looks up in a hash set."""
+    return F.expr(f"exists(w, x -> x IN ({', '.join(repr(m) for m in sorted(marks))}))")
 
 
 def _bigrams() -> Column:
@@ -64,11 +94,13 @@ def _bigrams() -> Column:
 
 def best_notices(docs: DataFrame, notices: dict[str, str] | None = None, threshold: float = THRESHOLD) -> DataFrame:
     """One row per line: ``doc_id``, and the best notice with its score where one meets the threshold."""
-    table = notice_table(docs.sparkSession, notices or NOTICES)
+    named = notice_table(docs.sparkSession, notices or NOTICES)
+    table = [(name, grams) for name, grams, _ in named]
+    marks = marking_words([w for _, _, w in named], threshold)
     least = min(threshold / (2 - threshold) * len(g) for _, g in table)
     lines = docs.select("doc_id", F.explode_outer(F.split(F.col("text").cast("string"), "\n", -1)).alias("line"))
     words = lines.select("doc_id", F.split(normalised(F.col("line")), " ").alias("w"))
-    grams = words.select("doc_id", F.when(F.size("w") - 1 >= least, _bigrams()).alias("grams"), F.col("w").isNotNull().alias("is_line"))
+    grams = words.select("doc_id", F.when((F.size("w") - 1 >= least) & _marked(marks), _bigrams()).alias("grams"), F.col("w").isNotNull().alias("is_line"))
     sized = grams.select("doc_id", "is_line", "grams", F.size("grams").alias("n"))
     low, high = threshold / (2 - threshold), (2 - threshold) / threshold
     sizes = [len(g) for _, g in table]
@@ -129,13 +161,14 @@ def _best_run(at: Column, threshold: float) -> Column:
 
 def best_runs(docs: DataFrame, notices: dict[str, str] | None = None, threshold: float = THRESHOLD) -> DataFrame:
     """``doc_id`` and, for each licence that a run of its words meets the threshold for, the name and the score."""
-    table = notice_table(docs.sparkSession, (notices or NOTICES) | full_texts())
-    table = [(name, grams) for name, grams in table if grams]
-    known = F.array(*(F.struct(F.lit(name).alias("id"), F.lit(len(g)).alias("size"), F.lit(math.ceil(threshold / (2 - threshold) * len(g) - 1e-9)).alias("need"), _longs(g).alias("grams")) for name, g in table))
+    named = notice_table(docs.sparkSession, (notices or NOTICES) | full_texts())
+    table = [(name, grams) for name, grams, _ in named if grams]
+    marks = marking_words([w for _, grams, w in named if grams], threshold)
+    known = F.array(*(F.struct(F.lit(name).alias("id"), F.lit(len(g)).alias("size"), F.lit(least_hits(len(g), threshold)).alias("need"), _longs(g).alias("grams")) for name, g in table))
     every = sorted({x for _, g in table for x in g})
     words = docs.select("doc_id", F.split(normalised(F.col("text").cast("string")), " ").alias("w"))
     n = F.size("w") - 1
-    grams = words.select("doc_id", F.zip_with(F.slice("w", 1, F.greatest(n, F.lit(0))), F.slice("w", 2, F.greatest(n, F.lit(0))), lambda a, b: F.xxhash64(a, b)).alias("grams"))
+    grams = words.select("doc_id", F.when(_marked(marks), F.zip_with(F.slice("w", 1, F.greatest(n, F.lit(0))), F.slice("w", 2, F.greatest(n, F.lit(0))), lambda a, b: F.xxhash64(a, b))).alias("grams"))
     hits = grams.select("doc_id", "grams", F.array_distinct(_among("grams", every)).alias("hits"))
     named = hits.select("doc_id", "grams", F.explode_outer(F.filter(known, lambda k: F.when(F.size("hits") >= k["need"], F.size(F.array_intersect("hits", k["grams"])) >= k["need"]).otherwise(F.lit(False)))).alias("k")).filter("k is not null")
     places = named.select("doc_id", "grams", "k", _with_previous(_hits_of(table)).alias("at"))
