@@ -299,21 +299,32 @@ def linked(a: np.ndarray, b: np.ndarray) -> bool:
     return DEN * both >= NUM * (len(a) + len(b) - both)
 
 
-def _bounded(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for f in frames:
-        total = (f["n_a"] + f["n_b"]).tolist()
-        yield f.loc[[min(x, y) > 0 and overlap_bound(a, b) >= least_overlap(t) for a, b, x, y, t in zip(f["value_a"], f["value_b"], f["n_a"], f["n_b"], total, strict=True)], ["a", "b"]]
+def _passing(test):
+    """The pairs of a batch whose values pass ``test``, read where Arrow holds them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            total = zip(batch.column("n_a").to_pylist(), batch.column("n_b").to_pylist(), strict=True)
+            keep = [test(a.as_buffer(), b.as_buffer(), x, y) for a, b, (x, y) in zip(batch.column("value_a"), batch.column("value_b"), total, strict=True)]
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+        kernels.release()
+
+    return run
+
+
+def _bounded(a: pa.Buffer, b: pa.Buffer, n_a: int, n_b: int) -> bool:
+    """Whether the points of two sets of these sizes leave room for a link."""
+    return min(n_a, n_b) > 0 and overlap_bound(a, b) >= least_overlap(n_a + n_b)
 
 
-def _verify(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for f in frames:
-        yield f.loc[[len(a) > 0 and len(b) > 0 and linked(np.frombuffer(a, "<u8"), np.frombuffer(b, "<u8")) for a, b in zip(f["value_a"], f["value_b"], strict=True)], ["a", "b"]]
+def _verify(a: pa.Buffer, b: pa.Buffer, n_a: int, n_b: int) -> bool:
+    return min(n_a, n_b) > 0 and linked(np.frombuffer(a, "<u8"), np.frombuffer(b, "<u8"))
 
 
 def _of_pairs(pairs: DataFrame, values: DataFrame, test, only_centres: bool = True) -> DataFrame:
     """The pairs ``(a, b)`` that pass a test on both documents' values."""
     one = {s: values.filter("centre" if s == "a" and only_centres else "true").select(F.col("doc").alias(s), F.col("n").alias(f"n_{s}"), F.col("value").alias(f"value_{s}")) for s in "ab"}
-    return pairs.join(one["b"], "b").join(one["a"], "a").mapInPandas(test, "a bigint, b bigint")
+    return pairs.join(one["b"], "b").join(one["a"], "a").mapInArrow(_passing(test), "a bigint, b bigint")
 
 
 def _links(docs: DataFrame, pairs: DataFrame) -> DataFrame:
