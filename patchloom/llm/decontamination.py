@@ -417,3 +417,17 @@ def remove_documents(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW
     """
     clean = lambda d: find_hits(d, benchmark, window, block_bytes).filter(F.size("items") == 0).select(*d.columns)
     return with_names(docs, ["doc_id", "text"], clean)
+
+
+_WORDS = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+ORACLE_SQL = f"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, {_WORDS} AS w FROM documents),
+b AS (SELECT CAST(item_id AS VARCHAR) AS item, {_WORDS} AS w FROM benchmark WHERE item_id IS NOT NULL),
+v AS (SELECT DISTINCT item, k, array_to_string(w[i : i + k - 1], ' ') AS t FROM (SELECT item, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM (SELECT *, least({WINDOW}, len(w)) AS k FROM b WHERE len(w) > 0))),
+o AS (SELECT r, k, i, array_to_string(w[i : i + k - 1], ' ') AS t FROM (SELECT r, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM d, (SELECT DISTINCT k FROM v) WHERE len(w) >= k)),
+h AS (SELECT r, i, k, item FROM o JOIN v USING (k, t)),
+c AS (SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest(range(i, i + k)) AS p FROM h) GROUP BY r),
+f AS (SELECT r, count(DISTINCT item) AS n, string_agg(DISTINCT item, ',' ORDER BY item) AS items FROM h GROUP BY r)
+SELECT doc_id, len(w) AS n_words, coalesce(c.n, 0) AS n_hit, coalesce(f.n, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(c.n, 0) > 0 AS contaminated
+FROM d LEFT JOIN c USING (r) LEFT JOIN f USING (r)
+"""

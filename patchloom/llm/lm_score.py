@@ -427,3 +427,25 @@ def score(docs: DataFrame, held: Column | None = None) -> DataFrame:
     both = blocks.unionByName(answers)
     return both.groupBy("block").applyInArrow(_scores, f"doc_id {id_type}, {RESULT}")
 
+
+_CRC = "xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ord(x)::BIGINT)), lambda c, x: list_reduce(list_prepend(xor(c, x), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]), lambda y, z: xor(y >> 1, 3988292384 * (y & 1)))))"
+_GAMMA = "CASE WHEN {2} - {1} <= 0 THEN {3} ELSE least(greatest(({0} - {1})::DOUBLE / ({2} - {1})::DOUBLE, {4}), {5}) END"
+#: The model by counts of n-grams; texts are token lists between ' <' and ' >', which no word is.
+ORACLE_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce({_CRC} % {FOLDS} = {HELD_FOLD}, true) AS held,
+  list_concat([' <'], regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+'), [' >']) AS w FROM documents),
+t AS (SELECT r, held, i, w[i] AS c, CASE WHEN i > 1 THEN w[i - 1] END AS b, CASE WHEN i > 2 THEN w[i - 2] END AS a FROM (SELECT r, held, w, unnest(range(1, len(w) + 1)) AS i FROM d)),
+c1 AS (SELECT c, count(*) AS n FROM t WHERE NOT held GROUP BY c),
+c2 AS (SELECT b, c, count(*) AS n FROM t WHERE NOT held AND i > 1 GROUP BY b, c),
+c3 AS (SELECT a, b, c, count(*) AS n FROM t WHERE NOT held AND i > 2 GROUP BY a, b, c),
+o AS (SELECT (SELECT coalesce(sum(n), 0)::BIGINT FROM c1 WHERE c <> ' <') AS tokens, (SELECT count(*) FROM c1 WHERE c <> ' <') AS words, (SELECT coalesce(sum(n), 0)::BIGINT FROM c1 WHERE c = ' <') AS texts,
+  (SELECT count(*) FROM c1 WHERE n = 1 AND c <> ' <') AS o1, (SELECT count(*) FROM c2 WHERE n = 1) AS o2, (SELECT count(*) FROM c3 WHERE n = 1) AS o3),
+m AS (SELECT tokens, words, {_GAMMA.format("o2", "o1", "tokens", f"{BLIND_GAMMA}::DOUBLE", f"{LEAST_GAMMA}::DOUBLE", f"{MOST_GAMMA}::DOUBLE")} AS g2, {_GAMMA.format("o3", "o2", "(tokens - texts)", f"{BLIND_GAMMA}::DOUBLE", f"{LEAST_GAMMA}::DOUBLE", f"{MOST_GAMMA}::DOUBLE")} AS g3 FROM o),
+x AS (SELECT t.r, coalesce(n1.n, 0) AS x1, coalesce(h1.n, 0) AS h2, coalesce(n2.n, 0) AS x2, coalesce(h2.n, 0) AS h3, coalesce(n3.n, 0) AS x3, g2, g3, (coalesce(n1.n, 0) + 1)::DOUBLE / (tokens + words + 1)::DOUBLE AS p1
+  FROM t CROSS JOIN m LEFT JOIN c1 n1 ON n1.c = t.c LEFT JOIN c1 h1 ON h1.c = t.b LEFT JOIN c2 n2 ON n2.b = t.b AND n2.c = t.c LEFT JOIN c2 h2 ON h2.b = t.a AND h2.c = t.b LEFT JOIN c3 n3 ON n3.a = t.a AND n3.b = t.b AND n3.c = t.c WHERE i > 1),
+y AS (SELECT *, (1 - g2) * (x2::DOUBLE / greatest(h2, 1)::DOUBLE) + g2 * p1 AS p2 FROM x),
+z AS (SELECT *, (1 - g3) * (x3::DOUBLE / greatest(h3, 1)::DOUBLE) + g3 * p2 AS p3 FROM y),
+u AS (SELECT r, x1, round(log10(p1) * {UNIT})::BIGINT AS l1, round(log10(p2) * {UNIT})::BIGINT AS l2, round(log10(p3) * {UNIT})::BIGINT AS l3, CASE WHEN h2 > 0 THEN round(log10(g2) * {UNIT})::BIGINT ELSE 0 END AS f2, CASE WHEN h3 > 0 THEN round(log10(g3) * {UNIT})::BIGINT ELSE 0 END AS f3, x2, x3 FROM z),
+s AS (SELECT r, count(*) AS n_tokens, count_if(x1 > 0)::BIGINT AS n_known, sum(l1)::BIGINT AS base, sum(CASE WHEN x3 > 0 THEN l3 WHEN x2 > 0 THEN f3 + l2 ELSE f3 + f2 + l1 END)::BIGINT AS score FROM u GROUP BY r)
+SELECT doc_id, held AS held_out, n_tokens, n_known, (SELECT tokens FROM m) AS train_tokens, base::DOUBLE / {UNIT} AS base_score, score::DOUBLE / {UNIT} AS score FROM d JOIN s USING (r)
+"""

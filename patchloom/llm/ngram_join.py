@@ -507,3 +507,15 @@ def keep_first(docs: DataFrame) -> DataFrame:
     clear = docs.mapInArrow(_side(hit, at, held=False), docs.schema)
     asked = docs.mapInArrow(_side(hit, at, held=True), docs.schema)
     return clear.unionByName(asked.join(gone, asked["doc_id"] == gone["doc"], "left_anti"))
+
+
+#: Shared shingles counted for each pair, and what links reach.
+ORACLE_SQL = f"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i : i + {SHINGLE - 1}], ' ') AS t FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - {SHINGLE - 2}, 2))) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.t = b.t AND a.doc_id <> b.doc_id GROUP BY ALL),
+e AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE {DEN} * c >= {NUM} * (x.n + y.n - c)),
+r AS (SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT r.a, e.b FROM r JOIN e ON e.a = r.b)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least_of.b AS component_id FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT a, min(b) AS b FROM r GROUP BY a) least_of ON least_of.a = d.doc_id
+"""

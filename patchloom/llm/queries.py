@@ -123,12 +123,16 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    from patchloom.llm import divergence, lexical, license_scan, line_dedup, warc
+    from patchloom.llm import decontamination, divergence, lexical, license_scan, line_dedup, lm_score, ngram_join, suffix_dedup, warc
 
     return {
         "op1_line_dedup": line_dedup.ORACLE_SQL,
         "op3_license_scan": license_scan.oracle_sql(),
         "op5_warc_derivatives": warc.oracle_sql(),
+        "op8_suffix_dedup": suffix_dedup.ORACLE_SQL,
+        "op9_decontamination": decontamination.ORACLE_SQL,
+        "op10_ngram_join": ngram_join.ORACLE_SQL,
+        "op11_lm_score": lm_score.ORACLE_SQL,
         "op12_divergence": divergence.ORACLE_SQL,
         "op13_lexical_search": lexical.ORACLE_SQL,
     }

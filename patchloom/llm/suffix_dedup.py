@@ -476,3 +476,19 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     A null text comes back empty; other edge cases are those of ``report``.
     """
     return repeated_spans(docs).mapInPandas(_remaining, "doc_id bigint, text string")
+
+
+#: Every string of LENGTH bytes with the least document that has it, and the bytes that no repeated one covers.
+ORACLE_SQL = f"""
+WITH d AS (SELECT doc_id, encode(coalesce(text, '')) AS b, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+s AS (SELECT doc_id, i, array_slice(b, i + 1, i + {LENGTH}) AS t FROM (SELECT doc_id, b, unnest(range(0, n - {LENGTH - 1})) AS i FROM d WHERE n >= {LENGTH})),
+f AS (SELECT t, min(doc_id) AS first FROM s GROUP BY t),
+h AS (SELECT s.doc_id, s.i FROM s JOIN f USING (t) WHERE f.first < s.doc_id),
+m AS (SELECT doc_id, i, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM (SELECT doc_id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + {LENGTH} THEN 0 ELSE 1 END AS new FROM h)),
+r AS (SELECT doc_id, min(i) AS lo, max(i) + {LENGTH} AS hi FROM m GROUP BY doc_id, run),
+k AS (SELECT doc_id, coalesce(lag(hi) OVER (PARTITION BY doc_id ORDER BY lo), 0) AS lo, lo AS hi FROM r UNION ALL SELECT r.doc_id, max(r.hi), any_value(d.n) FROM r JOIN d USING (doc_id) GROUP BY r.doc_id),
+l AS (SELECT doc_id, list_reduce(list(array_slice(b, lo + 1, hi) ORDER BY lo), lambda x, y: x || y) AS b FROM k JOIN d USING (doc_id) GROUP BY doc_id),
+g AS (SELECT doc_id, sum(hi - lo) AS n, count(*) AS spans FROM r GROUP BY doc_id)
+SELECT d.doc_id, d.n AS n_bytes, coalesce(g.n, 0)::BIGINT AS n_removed, coalesce(g.spans, 0) AS n_spans, sha256(coalesce(l.b, d.b)) AS kept_sha256
+FROM d LEFT JOIN l USING (doc_id) LEFT JOIN g USING (doc_id)
+"""
