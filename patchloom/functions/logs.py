@@ -75,11 +75,16 @@ def _compiled(pattern: str) -> re.Pattern | str:
         return f"pattern {pattern!r}: {fault}"
 
 
-def last_of_pattern(log: str, pattern: str) -> int:
-    """The first group of the last match as a number, or 0; ValueError for a pattern or a group that is no good."""
+def last_of_pattern(log: str, pattern: str, strict: bool = False) -> int:
+    """The first group of the last match as a number, or 0; ValueError for a pattern or a group that is no good.
+
+    A pattern without a group is no good where it matches; if ``strict``, anywhere.
+    """
     own = _compiled(pattern)
     if isinstance(own, str):
         raise ValueError(own)
+    if strict and not own.groups:
+        raise ValueError(f"pattern {pattern!r}: no group")
     found = None
     for found in own.finditer(log):
         pass
@@ -91,11 +96,12 @@ def last_of_pattern(log: str, pattern: str) -> int:
         raise ValueError(f"pattern {pattern!r}: {fault}") from None
 
 
-def parsed_by_rows(logs: Column, parser: Column) -> Column:
+def parsed_by_rows(logs: Column, parser: Column, strict: bool = False) -> Column:
     """The struct (counts, fault) of each row's own map from status to pattern, in Python's dialect.
 
     A status without a pattern has no count; with a fault there are no counts.
-    A null log is empty, a null map has no patterns.
+    A null log is empty, a null map has no patterns.  If ``strict``, a pattern
+    without a group is a fault whatever the log, as one that does not compile is.
     """
     prepare()
 
@@ -104,7 +110,7 @@ def parsed_by_rows(logs: Column, parser: Column) -> Column:
         counts, faults = [], []
         for log, patterns in zip(texts, parsers, strict=True):
             try:
-                counts.append({s: last_of_pattern(log or "", p) for s, p in dict(patterns or ()).items() if p})
+                counts.append({s: last_of_pattern(log or "", p, strict) for s, p in dict(patterns or ()).items() if p})
                 faults.append(None)
             except ValueError as fault:
                 counts.append(None)

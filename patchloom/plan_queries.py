@@ -35,8 +35,7 @@ def q_parsed_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT user_id, side, CASE WHEN user_id % 7 <> 0 AND user_id % 7 <> 1 THEN CAST(failed AS INTEGER) ELSE -1 END AS failed, user_id % 7 IN (0, 1) AS faulty FROM r""")
 def q_row_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
     pattern = F.when(F.col("user_id") % 7 == 0, "(").when(F.col("user_id") % 7 == 1, r"\d+").otherwise(PARSER["FAILED"])
-    known = run_logs(spark, sf_dir).filter(F.contains("logs", F.lit("failed")) | (F.col("user_id") % 7 > 1) | (F.col("user_id") % 7 == 0))
-    got = known.select("user_id", "side", logs.parsed_by_rows(F.col("logs"), F.create_map(F.lit("FAILED"), pattern)).alias("p"))
+    got = run_logs(spark, sf_dir).select("user_id", "side", logs.parsed_by_rows(F.col("logs"), F.create_map(F.lit("FAILED"), pattern), strict=True).alias("p"))
     return got.select("user_id", "side", F.coalesce(F.try_element_at("p.counts", F.lit("FAILED")), F.lit(-1)).alias("failed"), F.col("p.fault").isNotNull().alias("faulty"))
 
 

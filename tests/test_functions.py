@@ -140,6 +140,12 @@ def test_status_precedence_and_last_match(spark):
     assert [(r["counts"], r["fault"] is not None) for r in got] == [(c, f) for _, c, f in parsers]
 
 
+def test_patterns_without_a_group(spark):
+    df = spark.createDataFrame([("no digit",), ("3 passed",), (None,)], "l string").coalesce(1)
+    faults = {strict: [r[0] is not None for r in df.select(logs.parsed_by_rows(F.col("l"), F.create_map(F.lit("FAILED"), F.lit(r"\d+")), strict)["fault"]).collect()] for strict in (False, True)}
+    assert faults == {False: [False, True, False], True: [True, True, True]}
+
+
 def test_patterns_agree_with_python(spark):
     import random
     import re
