@@ -5,6 +5,7 @@ from __future__ import annotations
 import ast
 import difflib
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
@@ -233,18 +234,37 @@ def test_spans(df: DataFrame, source: str) -> DataFrame:
 test_spans.__test__ = False
 
 
+def kept_lines(changed: Iterable[tuple[str, int | None, int | None]], before: str | None, after: str | None) -> Iterator[tuple[int, int]]:
+    """(new, old) of unchanged lines: the n-th that is not added is the n-th that is not removed."""
+    changed = list(changed)
+    added = {new for kind, _, new in changed if kind == "added"}
+    removed = {old for kind, old, _ in changed if kind == "removed"}
+    old = (i for i in range(1, len(lines_of(before or "")) + 1) if i not in removed)
+    new = (i for i in range(1, len(lines_of(after or "")) + 1) if i not in added)
+    return zip(new, old, strict=False)
+
+
 def line_map(df: DataFrame, hunks: str, before: str, after: str) -> DataFrame:
     """Unchanged lines by new_ln and old_ln: the n-th that is not added is the n-th that is not removed."""
+    return flat_map(df, [hunks, before, after], lambda text, one, two: kept_lines(hunk_lines(text), one, two), "new_ln int, old_ln int")
+
 
-    def each(text: str | None, one: str | None, two: str | None) -> Iterator[tuple]:
-        changed = list(hunk_lines(text))
-        added = {new for kind, _, new in changed if kind == "added"}
-        removed = {old for kind, old, _ in changed if kind == "removed"}
-        old = (i for i in range(1, len(lines_of(one or "")) + 1) if i not in removed)
-        new = (i for i in range(1, len(lines_of(two or "")) + 1) if i not in added)
-        yield from zip(new, old, strict=False)
+def touched_tests(hunks: str | None, before: str | None, after: str | None) -> tuple[set[tuple[int, int]], str | None]:
+    """The spans before of the tests that hunks touch, and the fault of what does not parse.
 
-    return flat_map(df, [hunks, before, after], each, "new_ln int, old_ln int")
+    A test is touched if a removed line is in it before, or an added line is in
+    it after; the latter is found before by the line its start had.
+    """
+    (own, fault), (later, other) = spans_of_tests(before), spans_of_tests(after)
+    if fault or other:
+        return set(), min(f for f in (fault, other) if f)
+    changed = list(hunk_lines(hunks))
+    removed = sorted({old for kind, old, _ in changed if kind == "removed"})
+    added = sorted({new for kind, _, new in changed if kind == "added"})
+    holds = lambda lines, start, end: bisect_left(lines, start) < bisect_right(lines, end)
+    starts = {start for _, start, end in later if holds(added, start, end)}
+    known = {old for new, old in kept_lines(changed, before, after) if new in starts} if starts else set()
+    return {(start, end) for _, start, end in own if start in known or holds(removed, start, end)}, None
 
 
 def _series(function: Callable[..., str]) -> Callable[..., pd.Series]:
@@ -260,6 +280,8 @@ def unified_diff(before: Column | str, after: Column | str) -> Column:
     """The hunks between two texts, with their line ends and without file headers."""
 
     def diff(one: str | None, two: str | None) -> str:
+        if (one or "") == (two or ""):
+            return ""
         got = list(difflib.unified_diff((one or "").splitlines(keepends=True), (two or "").splitlines(keepends=True)))
         first = next((i for i, x in enumerate(got) if x.startswith("@@")), len(got))
         return "".join(got[first:])
@@ -273,12 +295,17 @@ def unified_diff(before: Column | str, after: Column | str) -> Column:
     return of(before, after)
 
 
+def without_lines(source: str | None, spans: Iterable[tuple[int, int]]) -> str:
+    """The text without the lines of 1-based inclusive spans."""
+    gone = {i for start, end in spans for i in range(start, end + 1)}
+    return "".join(x for i, x in enumerate((source or "").splitlines(keepends=True), 1) if i not in gone)
+
+
 def without_spans(text: Column | str, spans: Column | str) -> Column:
     """The text without the lines of 1-based inclusive spans."""
 
     def cut(source: str | None, own) -> str:
-        gone = {i for s in (own if own is not None else []) for i in range(s["start"], s["end"] + 1)}
-        return "".join(x for i, x in enumerate((source or "").splitlines(keepends=True), 1) if i not in gone)
+        return without_lines(source, [(s["start"], s["end"]) for s in (own if own is not None else [])])
 
     prepare()
 
@@ -289,6 +316,22 @@ def without_spans(text: Column | str, spans: Column | str) -> Column:
     return of(text, spans)
 
 
+def without_touched_tests(hunks: Column | str, before: Column | str, after: Column | str) -> Column:
+    """The struct (masked, fault): ``before`` without the tests that the hunks touch, or why either source does not parse."""
+    prepare()
+
+    @F.pandas_udf("masked string, fault string")
+    def of(changes: pd.Series, one: pd.Series, two: pd.Series) -> pd.DataFrame:
+        masked, faults = [], []
+        for hunk, old, new in zip(changes, one, two, strict=True):
+            spans, fault = touched_tests(hunk, old, new)
+            masked.append(None if fault else without_lines(old, spans) if spans else old or "")
+            faults.append(fault)
+        return pd.DataFrame({"masked": masked, "fault": faults}, dtype=object)
+
+    return of(hunks, before, after)
+
+
 def _added_to(patch: str, name: str) -> str:
     """The lines that a diff adds to the file of that base name, joined by line feeds."""
     here = inside = False

@@ -1,42 +1,26 @@
-"""Masks for the tests that a patch touches: line maps, spans and interval joins, then a diff per file."""
+"""Masks for the tests that a patch touches: spans, line maps and cuts of one file in one pass, then a diff per file."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from patchloom.functions import patches, text
-from patchloom.operators import relational
 from patchloom.schemas import TEST_KEYWORD
 
 
-def masked_tests(files: DataFrame, key: Sequence[str] = ("file_id",)) -> DataFrame:
+def masked_tests(files: DataFrame) -> DataFrame:
     """Adds ``masked``, ``before`` without the touched test functions, ``mask``, the diff to it, and ``fault``.
 
-    ``files`` has the key's columns, hunks, before and after.  A test is touched
-    if a removed line is in it before, or an added line is in it after; the
-    latter is found before by the line its start had.  Where either source does
-    not parse, ``fault`` says why, and ``masked`` and ``mask`` are null.
+    ``files`` has hunks, before and after.  A test is touched if a removed line
+    is in it before, or an added line is in it after; the latter is found before
+    by the line its start had.  Where either source does not parse, ``fault``
+    says why, and ``masked`` and ``mask`` are null.  All of this is the file's
+    own, so rows stay where they are, and no join or shuffle is made.
     """
-    key = list(key)
-    spans = {side: patches.test_spans(files.select(*key, side), side).drop(side) for side in ("before", "after")}
-    fault = spans["before"].unionByName(spans["after"]).filter("fault IS NOT NULL").groupBy(*key).agg(F.min("fault").alias("fault"))
-    spans = {side: s.filter("fault IS NULL") for side, s in spans.items()}
-    lines = patches.lines_of_hunks(files.select(*key, "hunks"), "hunks").drop("hunks")
-    kept = patches.line_map(files.select(*key, "hunks", "before", "after"), "hunks", "before", "after").select(*key, F.col("new_ln").alias("start"), "old_ln")
-    removed = lines.filter("kind = 'removed'").select(*key, F.col("old_ln").alias("ln"))
-    added = lines.filter("kind = 'added'").select(*key, F.col("new_ln").alias("ln"))
-    direct = relational.interval_semi_join(spans["before"], removed, key, "start", "end", "ln").select(*key, "start", "end")
-    later = relational.interval_semi_join(spans["after"], added, key, "start", "end", "ln").select(*key, "start")
-    starts = later.join(kept, [*key, "start"]).select(*key, F.col("old_ln").alias("start")).distinct()
-    found = spans["before"].join(starts, [*key, "start"]).select(*key, "start", "end")
-    gone = direct.unionByName(found).groupBy(*key).agg(F.collect_set(F.struct("start", "end")).alias("__spans"))
-    joined = files.join(gone, key, "left").join(fault, key, "left")
-    whole = F.col("fault").isNull()
-    joined = joined.withColumn("masked", F.when(whole, patches.without_spans("before", "__spans")))
-    return joined.withColumn("mask", F.when(whole, patches.unified_diff("before", "masked"))).drop("__spans")
+    got = files.withColumn("__got", patches.without_touched_tests("hunks", "before", "after"))
+    cut = got.select(*files.columns, "__got.fault", "__got.masked")
+    return cut.withColumn("mask", F.when(F.col("fault").isNull(), patches.unified_diff("before", "masked")))
 
 
 def expanded_masks(records: DataFrame, sources: DataFrame, test: str = "python") -> tuple[DataFrame, DataFrame]:
@@ -52,7 +36,7 @@ def expanded_masks(records: DataFrame, sources: DataFrame, test: str = "python")
     each = parsed.select("instance_id", F.posexplode("files").alias("pos", "f")).select("instance_id", "pos", F.col("f.path").alias("path"), F.col("f.hunk").alias("hunks"))
     files = each.join(sources.select("instance_id", "path", "before", "after", F.lit(True).alias("here")), ["instance_id", "path"], "left")
     is_test = F.contains(F.lower("path"), F.lit(TEST_KEYWORD)) & text.of_language(F.col("path"), test)
-    own = masked_tests(files.filter(is_test), ["instance_id", "path"])
+    own = masked_tests(files.filter(is_test))
     other = files.filter(~is_test).withColumn("masked", F.col("before")).withColumn("fault", F.lit(None).cast("string"))
     every = own.drop("mask").unionByName(other).withColumn("fault", F.when(F.col("here").isNull(), "no source").otherwise(F.col("fault")))
     hunk = patches.unified_diff(F.col("masked"), F.col("after"))

@@ -14,6 +14,19 @@ def test_masked_tests(spark):
     assert masking.masked_tests(df).filter("file_id = 2").first()["fault"].startswith("SyntaxError")
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_files_are_masked_where_they_are(spark):
+    """No shuffle, and files that share an id are masked each by their own hunks."""
+    other = "@@ -3,2 +3,2 @@\n-def test_a():\n+def test_a(): \n     assert x"
+    df = spark.createDataFrame([(1, HUNKS, BEFORE, AFTER), (1, other, BEFORE, BEFORE.replace("test_a():", "test_a(): "))], "file_id int, hunks string, before string, after string")
+    got = masking.masked_tests(df)
+    assert "Exchange" not in plan_of(got)
+    assert sorted(r["masked"] for r in got.collect()) == sorted([BEFORE.replace("def test_b():\n    assert 1\n", ""), BEFORE.replace("def test_a():\n    assert x\n", "")])
+
+
 def test_feedback(spark):
     reports = spark.createDataFrame([("i", (True,), (False,)), ("j", (True,), (True,))], "instance_id string, func struct<pass:boolean>, sec struct<pass:boolean>")
     logs = spark.createDataFrame([("i", "func", "x\nx\ny\n"), ("i", "sec", "x\ny\nx\nx\nz\n"), ("j", "func", ""), ("j", "sec", "a")], "instance_id string, run_name string, logs string")
