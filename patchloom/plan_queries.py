@@ -147,9 +147,9 @@ def q_expanded_masks(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = _python_files(spark, sf_dir).filter("p_partkey % 10 <> 9 OR p_partkey % 6 <> 5").withColumn("instance_id", F.col("p_partkey").cast("string"))
     records = files.select("instance_id", patches.merged_patch(F.array(F.struct(F.lit("tests/test_x.py").alias("path"), F.col("hunks").alias("hunk")))).alias("test_patch"))
     sources = files.filter("p_partkey % 6 <> 5").select("instance_id", F.lit("tests/test_x.py").alias("path"), "before", "after")
-    good, bad = masking.expanded_masks(records, sources)
-    one = good.select("instance_id", F.lit("good").alias("kind"), patches.count_files(F.col("test_patch")).alias("files"))
-    return one.unionByName(bad.select("instance_id", F.when(F.col("fault") == "no source", "no source").otherwise("faulty").alias("kind"), F.lit(0).alias("files")))
+    got = masking.restored(records, sources)
+    kind = F.when(F.col("fault").isNull(), "good").when(F.col("fault") == "no source", "no source").otherwise("faulty")
+    return got.select("instance_id", kind.alias("kind"), F.when(F.col("fault").isNull(), patches.count_files(F.col("test_patch"))).otherwise(0).alias("files"))
 
 
 def _handlers(spark: SparkSession, sf_dir: str) -> list[DataFrame]:

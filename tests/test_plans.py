@@ -27,6 +27,22 @@ def test_files_are_masked_where_they_are(spark):
     assert sorted(r["masked"] for r in got.collect()) == sorted([BEFORE.replace("def test_b():\n    assert 1\n", ""), BEFORE.replace("def test_a():\n    assert x\n", "")])
 
 
+def test_masks_are_expanded_in_one_pass(spark):
+    """Tests, other files, missing sources, faulty sources and faulty patches, with each source read once."""
+    patch = lambda path, hunks: f"diff --git a/{path} b/{path}\n--- a/{path}\n+++ b/{path}\n{hunks}\n"
+    texts = {"good": patch("tests/test_x.py", HUNKS) + patch("x.py", "@@ -1 +1 @@\n-a\n+b"), "gone": patch("tests/test_y.py", HUNKS), "bad": patch("tests/test_x.py", HUNKS), "loose": "diff --git a/x.py b/y.py\n", "none": None}
+    records = spark.createDataFrame(list(texts.items()), "instance_id string, test_patch string")
+    sources = spark.createDataFrame([("good", "tests/test_x.py", BEFORE, AFTER), ("good", "x.py", "a\n", "b\n"), ("bad", "tests/test_x.py", "def (", AFTER)], "instance_id string, path string, before string, after string")
+    got = {r["instance_id"]: r for r in masking.restored(records, sources).collect()}
+    assert {k: r["fault"] for k, r in got.items()} == {"good": None, "gone": "no source", "bad": "SyntaxError: invalid syntax", "loose": "path changed to y.py", "none": "no files"}
+    assert {k: r["test_patch"] for k, r in got.items() if k != "good"} == {k: t for k, t in texts.items() if k != "good"}
+    new = got["good"]["test_patch"]
+    assert new.startswith(patch("tests/test_x.py", "@@ -1,8 +1,12 @@\n import x\n+import y\n")[:-1]) and "+def test_b():" in new and new.endswith(patch("x.py", "@@ -1 +1 @@\n-a\n+b"))
+    good, bad = masking.expanded_masks(records, sources)
+    assert [r["instance_id"] for r in good.collect()] == ["good"] and bad.count() == 4
+    assert plan_of(masking.restored(records, sources)).count("Scan ExistingRDD") == 3
+
+
 def test_feedback(spark):
     reports = spark.createDataFrame([("i", (True,), (False,)), ("j", (True,), (True,))], "instance_id string, func struct<pass:boolean>, sec struct<pass:boolean>")
     logs = spark.createDataFrame([("i", "func", "x\nx\ny\n"), ("i", "sec", "x\ny\nx\nx\nz\n"), ("j", "func", ""), ("j", "sec", "a")], "instance_id string, run_name string, logs string")
