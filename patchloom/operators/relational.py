@@ -13,10 +13,15 @@ from patchloom.session import cut_lineage, free_name, prepare
 
 
 def keep_first(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
-    """The first row of each key in the given order, by a partial aggregate."""
-    row = free_name(df.columns, "row")
-    best = df.groupBy(key).agg(F.min_by(F.struct(*df.columns), F.struct(*order)).alias(row))
-    return best.select(f"{row}.*")
+    """The first row of each key in the given order, by a partial aggregate.
+
+    Each column is aggregated by itself, all by the same comparisons and so from
+    the same row; what a plan does not ask for is left out of the sort by keys.
+    """
+    rest = [c for c in df.columns if c != key]
+    if not rest:
+        return df.distinct()
+    return df.groupBy(key).agg(*(F.min_by(c, F.struct(*order)).alias(c) for c in rest)).select(*df.columns)
 
 
 def last_wins(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:

@@ -17,6 +17,16 @@ def test_keep_first_and_last_wins(spark):
     assert rows(relational.last_wins(df, "k", ["o"]), "k", "v", "__first.o") == [("a", "x", 1), ("b", "z", 3)]
 
 
+def test_keep_first_sorts_only_what_is_asked_for(spark):
+    """Columns that a plan leaves out are not aggregated; those it has come from one row, also among equals in order."""
+    df = spark.range(4000).selectExpr("id % 50 AS k", "id DIV 400 AS o", "id AS a", "repeat(cast(id AS string), 9) AS wide").repartition(6)
+    first = relational.keep_first(df, "k", ["o"])
+    assert "wide" not in first.select("k", "a")._jdf.queryExecution().executedPlan().toString()
+    got = first.collect()
+    assert len(got) == 50 and all(r["wide"] == str(r["a"]) * 9 and r["a"] % 50 == r["k"] and r["o"] == 0 for r in got)
+    assert relational.keep_first(df.select("k"), "k", ["k"]).count() == 50
+
+
 def test_upsert_and_update(spark):
     old = spark.createDataFrame([("a", 1, "p"), ("b", 2, "q")], "k string, v int, w string")
     new = spark.createDataFrame([("b", 20, "r"), ("c", 30, "s")], "k string, v int, w string")
