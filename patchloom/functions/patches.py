@@ -102,37 +102,39 @@ def file_patches(patch: str) -> Iterator[tuple[str, str | None, str | None]]:
     Blocks start at 'diff --git ' lines.  Renames, copies, new and deleted
     files, missing headers and headers of another path are faults.
     """
-    block: list[str] | None = None
-    blocks: list[list[str]] = []
-    for line in lines_of(patch):
-        if line.startswith(GIT_HEADER) and (block is None or any(x.startswith("--- ") for x in block[1:])):
-            block = [line]
-            blocks.append(block)
-        elif block is not None:
-            block.append(line)
-    for lines in blocks:
-        paths = header_paths(lines[0])
+    lines = lines_of(patch)
+    heads = [i for i, line in enumerate(lines) if line.startswith(GIT_HEADER)]
+    heads.append(len(lines))
+    k = 0
+    while (start := heads[k]) < len(lines):
+        at = start + 1
+        while at < len(lines) and not lines[at].startswith("--- "):
+            at += 1
+        while heads[k] < at:
+            k += 1
+        end = heads[k]
+        paths = header_paths(lines[start])
         if paths is None:
             continue
         path, renamed = paths
         if path != renamed:
             yield path, None, f"path changed to {renamed}"
             return
-        at = next((k for k, x in enumerate(lines) if k and x.startswith("--- ")), len(lines))
-        if any(x.startswith(("rename from ", "rename to ", "copy from ", "copy to ")) for x in lines[1:at]):
+        if at > start + 1 and any(x.startswith(("rename from ", "rename to ", "copy from ", "copy to ")) for x in lines[start + 1 : at]):
             yield path, None, "path changed by rename or copy"
             return
-        if at + 1 >= len(lines) or not lines[at + 1].startswith("+++ "):
+        if at + 1 >= end or not lines[at + 1].startswith("+++ "):
             yield path, None, "header missing"
             return
-        old, new = (x[4:].split("\t")[0].strip() for x in lines[at : at + 2])
-        if "/dev/null" in (old, new):
-            yield path, None, "file created or deleted"
-            return
-        if (old, new) != (f"a/{path}", f"b/{path}"):
-            yield path, None, "headers name another path"
-            return
-        yield path, "\n".join(lines[at + 2 :]).rstrip("\n"), None
+        if lines[at] != f"--- a/{path}" or lines[at + 1] != f"+++ b/{path}" or "\t" in path:
+            old, new = (x[4:].split("\t")[0].strip() for x in lines[at : at + 2])
+            if "/dev/null" in (old, new):
+                yield path, None, "file created or deleted"
+                return
+            if (old, new) != (f"a/{path}", f"b/{path}"):
+                yield path, None, "headers name another path"
+                return
+        yield path, "\n".join(lines[at + 2 : end]).rstrip("\n"), None
 
 
 def patch_files(df: DataFrame, patch: str) -> DataFrame:
@@ -152,18 +154,26 @@ def with_files(df: DataFrame, patch: str = "patch") -> DataFrame:
     null patch, and one without any block, has no files and no fault.
     """
 
-    @F.pandas_udf(f"files {PATCH_FILES}, error string")
-    def parse(texts: pd.Series) -> pd.DataFrame:
-        files, errors = [], []
-        for text in texts:
+    @F.arrow_udf(f"files {PATCH_FILES}, error string")
+    def parse(texts: pa.Array) -> pa.Array:
+        paths: list[str] = []
+        hunks: list[str] = []
+        ends: list[int | None] = []
+        errors: list[str | None] = []
+        for text in texts.to_pylist():
             found: dict[str, str] = {}
             fault = None
             for path, hunk, fault in file_patches(text or ""):
                 if fault is None:
                     found[path] = hunk
-            files.append(None if fault else [{"path": p, "hunk": h} for p, h in found.items()])
+            ends.append(None if fault else len(paths))
+            if not fault:
+                paths += found
+                hunks += found.values()
             errors.append(fault)
-        return pd.DataFrame({"files": files, "error": errors})
+        each = pa.StructArray.from_arrays([pa.array(paths, pa.string()), pa.array(hunks, pa.string())], ["path", "hunk"])
+        files = pa.ListArray.from_arrays(pa.array([*ends, len(paths)], pa.int32()), each)
+        return pa.StructArray.from_arrays([files, pa.array(errors, pa.string())], ["files", "error"])
 
     prepare(df.sparkSession)
     kept = [c for c in df.columns if c not in ("files", "error")]

@@ -55,7 +55,9 @@ def model_dir(model: Column) -> Column:
 
 def suffix(path: Column) -> Column:
     """The last extension of the base name, with its dot; none for names that only start with a dot."""
-    return F.regexp_extract(F.substring_index(path, "/", -1), r"^.+(\.[^.]+)$", 1)
+    name = F.substring_index(path, "/", -1)
+    last = F.substring_index(name, ".", -1)
+    return F.when((F.length(name) > F.length(last) + 1) & (last != ""), F.concat(F.lit("."), last)).otherwise(F.when(path.isNotNull(), ""))
 
 
 def has_keyword(path: Column, keywords: list[str]) -> Column:

@@ -467,13 +467,13 @@ def q_crawled_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each order's line items as one patch text; some are empty, and some rename a file."""
     part = F.col("l_partkey").cast("string")
     path = F.when(F.col("l_returnflag") == "R", F.concat(F.lit("tests/p"), part, F.lit(".py"))).when(F.col("l_returnflag") == "A", F.concat(F.lit("src/p"), part, F.lit(".py"))).otherwise("README.md")
-    files = _t(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.collect_set(F.struct(path.alias("path"), F.lit("@@ -1 +1 @@\n-a\n+b").alias("hunk"))).alias("f"))
+    files = _t(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.collect_set(path).alias("paths"))
+    changed = F.transform("paths", lambda p: F.struct(p.alias("path"), F.lit("@@ -1 +1 @@\n-a\n+b").alias("hunk")))
     kind = F.col("l_orderkey") % 7
-    patch = F.when(kind == 0, "").when(kind == 1, "diff --git a/x.py b/y.py\n--- a/x.py\n+++ b/y.py\n").otherwise(patches.merged_patch(F.col("f")))
+    patch = F.when(kind == 0, "").when(kind == 1, "diff --git a/x.py b/y.py\n--- a/x.py\n+++ b/y.py\n").otherwise(patches.merged_patch(changed))
     lines = files.select("l_orderkey", patch.alias("patch"), F.array(F.struct(F.concat(F.lit("c"), F.col("l_orderkey").cast("string")).alias("commit_sha"))).alias("commits"))
-    good, bad = collection.crawled_changes(lines)
-    columns = ["l_orderkey", "commit_id", F.coalesce(F.size("files"), F.lit(-1)).cast("bigint").alias("files")]
-    return good.select(*columns, F.lit(None).cast("string").alias("reject")).unionByName(bad.select(*columns, "reject"))
+    got = collection.judged_changes(lines)
+    return got.select("l_orderkey", "commit_id", F.coalesce(F.size("files"), F.lit(-1)).cast("bigint").alias("files"), "reject")
 
 
 @query("SELECT DISTINCT p_brand AS project FROM part")

@@ -44,8 +44,8 @@ def listed_changes(records: DataFrame, statuses: DataFrame) -> DataFrame:
     return own.withColumn("files", F.transform(names, lambda n: F.struct(n.alias("path"), last(n).alias("hunk")))).withColumnRenamed("cwe_id", "cwe_ids")
 
 
-def crawled_changes(lines: DataFrame, target: str = "python", test: str = "python") -> tuple[DataFrame, DataFrame]:
-    """Records with one patch text: those that parse and are of the target's language, with ``files`` and commit_id; and the faults.
+def judged_changes(lines: DataFrame, target: str = "python", test: str = "python") -> DataFrame:
+    """Records with one patch text, with ``files``, commit_id and ``reject``: why the text does not parse or is of another language, or null.
 
     ``lines`` has patch and commits, and ``_corrupt_record`` if it was read tolerantly.
     """
@@ -53,8 +53,12 @@ def crawled_changes(lines: DataFrame, target: str = "python", test: str = "pytho
     parsed = patches.with_files(curation.non_empty(good, "patch"))
     wanted = curation.target_language_only(F.col("files"), target, test)
     reason = F.coalesce(F.col("error"), F.when(~wanted, "other language or no tests"))
-    out = parsed.withColumn("reject", reason).drop("error").withColumn("commit_id", F.try_element_at("commits", F.lit(1))["commit_sha"])
-    return curation.split_accepted(out)
+    return parsed.withColumn("reject", reason).drop("error").withColumn("commit_id", F.try_element_at("commits", F.lit(1))["commit_sha"])
+
+
+def crawled_changes(lines: DataFrame, target: str = "python", test: str = "python") -> tuple[DataFrame, DataFrame]:
+    """The accepted ``judged_changes`` and the rejected ones; a plan that needs both parses once by asking for those."""
+    return curation.split_accepted(judged_changes(lines, target, test))
 
 
 def crawl_plan(addresses: DataFrame, fetched: DataFrame) -> DataFrame:

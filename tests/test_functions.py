@@ -179,3 +179,13 @@ def test_render(spark):
     assert one(spark, render.with_image(F.col("v"), "i"), "FROM --platform=x  a:1 AS b\n") == "FROM --platform=x  i AS b\n"
     assert one(spark, render.with_image(F.col("v"), "i"), "COPY x y\n") == "COPY x y\n"
     assert one(spark, render.filled(F.col("v"), {"a": F.lit("1")}), "{a} {b}") == "1 {b}"
+
+
+def test_suffixes(spark):
+    from pathlib import PurePosixPath
+
+    from patchloom.functions import text
+
+    paths = ["a.py", "x/a.b.py", ".py", "x/.py", "a", "a.", "..py", "x.d/a", "a.py.", ".a.b", "", None]
+    got = [r[0] for r in spark.createDataFrame([(p,) for p in paths], "p string").coalesce(1).select(text.suffix(F.col("p"))).collect()]
+    assert got == [None if p is None else "" if p.endswith(".") else PurePosixPath(p).suffix for p in paths]

@@ -1,5 +1,5 @@
 from patchloom.operators import curation
-from patchloom.plans import feedback, masking
+from patchloom.plans import collection, feedback, masking
 
 BEFORE = "import x\n\ndef test_a():\n    assert x\n\ndef test_b():\n    assert 1\n\ndef helper():\n    pass\n"
 AFTER = "import x\nimport y\n\ndef test_a():\n    assert x\n\ndef test_b():\n    assert 1\n    assert 2\n\ndef helper():\n    pass\n"
@@ -43,6 +43,18 @@ def test_masks_are_expanded_in_one_pass(spark):
     assert plan_of(masking.restored(records, sources)).count("Scan ExistingRDD") == 3
 
 
+def test_changes_are_judged_in_one_pass(spark):
+    """Each patch is parsed once, whether it is accepted or not."""
+    patch = lambda path, to=None: f"diff --git a/{path} b/{to or path}\n--- a/{path}\n+++ b/{to or path}\n@@ -1 +1 @@\n-a\n+b\n"
+    rows = [(1, patch("tests/t.py") + patch("x.py") + patch("x.py"), [("c1",)]), (2, patch("x.py"), []), (3, patch("x.py", "y.py"), [("c3",)]), (4, "", [("c4",)]), (5, None, [("c5",)])]
+    lines = spark.createDataFrame(rows, "k int, patch string, commits array<struct<commit_sha:string>>").repartition(2)
+    got = collection.judged_changes(lines)
+    assert plan_of(got).count("ArrowEvalPython") == 1
+    assert sorted((r["k"], r["commit_id"], r["reject"], r["files"] and [f["path"] for f in r["files"]]) for r in got.collect()) == [(1, "c1", None, ["tests/t.py", "x.py"]), (2, None, "other language or no tests", ["x.py"]), (3, "c3", "path changed to y.py", None)]
+    good, bad = collection.crawled_changes(lines)
+    assert [r["k"] for r in good.collect()] == [1] and sorted(r["k"] for r in bad.collect()) == [2, 3]
+
+
 def test_feedback(spark):
     reports = spark.createDataFrame([("i", (True,), (False,)), ("j", (True,), (True,))], "instance_id string, func struct<pass:boolean>, sec struct<pass:boolean>")
     logs = spark.createDataFrame([("i", "func", "x\nx\ny\n"), ("i", "sec", "x\ny\nx\nx\nz\n"), ("j", "func", ""), ("j", "sec", "a")], "instance_id string, run_name string, logs string")
