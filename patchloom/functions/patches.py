@@ -8,20 +8,26 @@ import re
 from bisect import bisect_left, bisect_right
 from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from patchloom.functions.text import LINE_ENDS
+from patchloom.functions.text import LINE_END, LINE_ENDS
 from patchloom.schemas import HUNK_PATTERN, PATCH_FILES
 from patchloom.session import prepare
 
 #: What was just matched starts a line, at the text's start or after any line end.  Looking back only from there is
 #: cheaper than looking for line starts.
 STARTS_A_LINE = rf"(?<=(?:\A|[{LINE_ENDS}]){{0}})"
+#: The line ends themselves, for dialects without escapes of Unicode characters.
+PLAIN_LINE_END = LINE_END.encode().decode("unicode_escape")
 BATCH_ROWS = 4096
+#: So many diffs' lines are one batch.
+PATCH_ROWS = 1024
 
 
 def lines_of(text: str) -> list[str]:
@@ -194,6 +200,40 @@ def patch_blocks(df: DataFrame, patch: str) -> DataFrame:
     return flat_map(df, [patch], each, "pos int, a_path string, b_path string, block string")
 
 
+def lines_of_files(df: DataFrame, patch: str) -> DataFrame:
+    """The diff's lines in place of the diff: pos, line and path, that of the last file header at or before a line, or null.
+
+    All lines of a diff are in one row, so what each takes over from a header is
+    settled in Arrow batches where the rows are, without a sort of the lines.  A
+    malformed header's path is empty; a null diff has no lines.
+    """
+    prepare(df.sparkSession)
+    own = [c for c in df.columns if c != patch]
+    whole = T.StructType([df.schema[c] for c in own] + T.StructType.fromDDL("pos int, line string, path string").fields)
+
+    def lines_of_batch(batch: pa.RecordBatch) -> pa.RecordBatch:
+        parts = pc.split_pattern_regex(batch.column(patch).cast(pa.string()), PLAIN_LINE_END)
+        line, row = parts.flatten(), np.array(pc.list_parent_indices(parts))
+        size = len(line)
+        pos = np.arange(size) - np.searchsorted(row, row)
+        last = np.append(row[1:] != row[:-1], [True])[:size]
+        is_head = np.array(pc.starts_with(line, GIT_HEADER), bool)
+        found = pc.extract_regex(line.filter(pa.array(is_head)), f"^{GIT_HEADER}a/(?P<path>.*?) b/")
+        paths = pc.fill_null(pc.struct_field(found, "path"), "")
+        head = np.maximum.accumulate(np.where(is_head, np.arange(size), -1))
+        path = paths.take(pa.array(np.cumsum(is_head) - 1, mask=head < np.arange(size) - pos))
+        kept = pa.array(~(last & np.array(pc.equal(line, ""), bool)))
+        columns = [*(batch.column(c).take(pa.array(row)) for c in own), pa.array(pos.astype(np.int32)), line, path]
+        return pa.RecordBatch.from_arrays(columns, whole.names).filter(kept)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, PATCH_ROWS):
+                yield lines_of_batch(batch.slice(start, PATCH_ROWS))
+
+    return df.mapInArrow(run, whole)
+
+
 def hunk_lines(hunks: str) -> Iterator[tuple[str, int | None, int | None]]:
     """'added', 'removed' and 'same' lines of a file's hunks, with their numbers before and after."""
     old = new = 0

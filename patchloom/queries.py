@@ -212,10 +212,10 @@ def q_instance_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders with an array of (path, hunk), a file for each line item."""
-    hunk = F.concat(F.lit("@@ -1,2 +1,2 @@\n keep "), F.col("l_partkey").cast("string"), F.lit("\n-old "), F.col("l_returnflag"), F.lit("\n+new "), F.col("l_linestatus"))
-    items = _t(spark, sf_dir, "lineitem").select("l_orderkey", F.struct(*ITEM_ORDER, F.concat(F.lit("src/p"), F.col("l_partkey").cast("string"), F.lit(".py")).alias("path"), hunk.alias("hunk")).alias("x"))
-    lists = items.groupBy("l_orderkey").agg(F.array_sort(F.collect_list("x")).alias("x"))
-    return lists.select("l_orderkey", F.transform("x", lambda x: F.struct(x["path"].alias("path"), x["hunk"].alias("hunk"))).alias("files"))
+    hunk = lambda x: F.concat(F.lit("@@ -1,2 +1,2 @@\n keep "), x["l_partkey"].cast("string"), F.lit("\n-old "), x["l_returnflag"], F.lit("\n+new "), x["l_linestatus"])
+    path = lambda x: F.concat(F.lit("src/p"), x["l_partkey"].cast("string"), F.lit(".py"))
+    lists = _t(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct(*ITEM_ORDER, "l_linestatus"))).alias("x"))
+    return lists.select("l_orderkey", F.transform("x", lambda x: F.struct(path(x).alias("path"), hunk(x).alias("hunk"))).alias("files"))
 
 
 def _patches(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -248,14 +248,9 @@ def q_patch_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return patches.patch_files(_patches(spark, sf_dir), "patch").filter("error IS NULL").select("l_orderkey", "pos", "path", "hunk")
 
 
-def _patch_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _patches(spark, sf_dir).select("l_orderkey", F.posexplode(text.split_lines(F.col("patch"))).alias("pos", "line"))
-
-
 @query(f"""{PATCH_SQL} SELECT l_orderkey, CAST((i - 1) * 7 + k AS INTEGER) AS pos, path FROM block, (SELECT unnest(range(7)) AS k) WHERE k >= 3""")
 def q_patch_carry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    header = F.when(F.startswith("line", F.lit("diff --git ")), F.regexp_extract("line", "^diff --git a/(.*?) b/", 1))
-    rows = relational.carried_header(_patch_lines(spark, sf_dir), header, ["l_orderkey"], "pos", "path")
+    rows = patches.lines_of_files(_patches(spark, sf_dir), "patch")
     return rows.filter(~F.col("line").rlike(r"^(diff --git|---|\+\+\+) ")).select("l_orderkey", "pos", "path")
 
 

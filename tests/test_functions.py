@@ -189,3 +189,22 @@ def test_suffixes(spark):
     paths = ["a.py", "x/a.b.py", ".py", "x/.py", "a", "a.", "..py", "x.d/a", "a.py.", ".a.b", "", None]
     got = [r[0] for r in spark.createDataFrame([(p,) for p in paths], "p string").coalesce(1).select(text.suffix(F.col("p"))).collect()]
     assert got == [None if p is None else "" if p.endswith(".") else PurePosixPath(p).suffix for p in paths]
+
+
+def test_lines_of_files_carry_headers(spark):
+    """Every line has the header that a window over all lines carries to it, without a sort or a shuffle."""
+    import random
+
+    from patchloom.functions import text
+    from patchloom.operators import relational
+
+    draw = random.Random(5)
+    pieces = ["diff --git a/x b/x", "diff --git a/y é b/z b/z", "diff --git odd", " diff --git a/q b/q", "--- a/x", "+++ b/x", "@@ -1 +1 @@", "-a", "+b", "", "\u00e9"]
+    texts = [None, "", "\n", *("".join(draw.choice(pieces) + draw.choice(["\n", "\r\n", "\x0b", "\u2028", "\x85"]) for _ in range(draw.randint(0, 12))) + draw.choice(["", "-z"]) for _ in range(2500))]
+    df = spark.createDataFrame(list(enumerate(texts)), "k int, patch string").coalesce(2)
+    got = patches.lines_of_files(df, "patch")
+    assert not any(x in got._jdf.queryExecution().executedPlan().toString() for x in ("Exchange", "Sort", "Window"))
+    lines = df.select("k", F.posexplode(text.split_lines(F.col("patch"))).alias("pos", "line"))
+    header = F.when(F.startswith("line", F.lit("diff --git ")), F.regexp_extract("line", "^diff --git a/(.*?) b/", 1))
+    want = relational.carried_header(lines, header, ["k"], "pos", "path")
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.select(got.columns).collect()))
